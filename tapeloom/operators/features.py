@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions.keys import random_key
@@ -146,24 +146,26 @@ def vocabulary(df: DataFrame, text: str, size: int = 5000) -> DataFrame:
 
 
 def token_pack(
-    df: DataFrame, id_col: str, text: str, vocab: DataFrame, max_len: int = 32
+    df: DataFrame, keys: Sequence[str], order: str, text: str, vocab: DataFrame, max_len: int = 32
 ) -> DataFrame:
-    """Exactly ``max_len`` token ids and a 0/1 mask per text, cut or padded at the end."""
+    """Exactly ``max_len`` token ids and a 0/1 mask per key, cut or padded at the end.
+
+    The texts of a key count as one text in the given order. Only the leading
+    tokens of each text travel, and at most ``max_len`` per key and task.
+    """
     first = F.slice(tokens(F.col(text)), 1, max_len)
-    places = df.select(id_col, F.posexplode_outer(first).alias("place", "token"))
-    found = places.join(vocab, "token", "left").select(
-        id_col,
-        "place",
-        F.when(F.col("token").isNotNull(), F.coalesce("token_id", F.lit(UNKNOWN))).alias("t"),
-    )
-    entry = F.when(F.col("t").isNotNull(), F.struct("place", "t"))
-    packed = found.groupBy(id_col).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    places = df.select(*keys, order, F.posexplode_outer(first).alias("_place", "token"))
+    reading = Window.partitionBy(*keys).orderBy(F.col("token").isNull(), order, "_place")
+    leading = places.withColumn("_rn", F.row_number().over(reading)).where(F.col("_rn") <= max_len)
+    found = leading.join(vocab, "token", "left")
+    known = F.struct(F.col("_rn"), F.coalesce("token_id", F.lit(UNKNOWN)).alias("t"))
+    entry = F.when(F.col("token").isNotNull(), known)
+    packed = found.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
     ids = F.transform("_entries", lambda e: e["t"])
     n = F.size("_entries")
+    rest = F.lit(max_len) - n
     return packed.select(
-        id_col,
-        F.concat(ids, F.array_repeat(F.lit(PAD), F.lit(max_len) - n)).alias("token_ids"),
-        F.concat(
-            F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.lit(max_len) - n)
-        ).alias("mask"),
+        *keys,
+        F.concat(ids, F.array_repeat(F.lit(PAD), rest)).alias("token_ids"),
+        F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), rest)).alias("mask"),
     )

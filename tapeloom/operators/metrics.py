@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tapeloom.operators.stats import value_runs
 
 # The threshold sweep runs 0.10, 0.15 ... 2.95.
-SWEEP = [(10 + 5 * i) / 100 for i in range(58)]
+SWEEP = [0.1 + 0.05 * i for i in range(58)]
 
 
 def regression_metrics(
@@ -59,14 +59,14 @@ def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Area under the curve; ties count half. Null with only one class.
 
-    Sums over distinct scores are integers, so the result does not depend on
-    how the rows were spread.
+    Pairs are counted as whole numbers, so the result does not depend on how the
+    rows were spread; decimals hold the square of any row count.
     """
     points = roc_points(df, score, label)
-    above = F.col("upto_pos") - F.col("pos")
-    twice = F.sum(F.col("neg") * (2 * above + F.col("pos")))
-    pairs = F.max("all_pos") * F.max("all_neg")
-    return points.agg((twice / (2.0 * F.nullif(pairs, F.lit(0)))).alias("auc"))
+    above = 2 * (F.col("upto_pos") - F.col("pos")) + F.col("pos")
+    twice = F.sum(F.col("neg").cast("decimal(19,0)") * above.cast("decimal(19,0)"))
+    pairs = F.max("all_pos").cast("double") * F.max("all_neg").cast("double")
+    return points.agg((twice.cast("double") / (2.0 * F.nullif(pairs, F.lit(0.0)))).alias("auc"))
 
 
 def youden_threshold(points: DataFrame) -> DataFrame:

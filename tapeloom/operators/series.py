@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions.numeric import finite, guarded_pct, guarded_ratio
@@ -185,39 +185,52 @@ def sliding_sequences(
     lookback: int = LOOKBACK,
     horizon: int = HORIZON,
     keep: Sequence[str] = (),
+    earlier: dict[str, int] | None = None,
 ) -> DataFrame:
     """Windows of ``lookback`` rows with the target ``horizon`` rows after the last.
 
     Windows stay inside one (symbol, split); n - lookback - horizon + 1 per part.
-    ``rows`` must carry ``pos`` and ``split``. Columns in ``keep`` are taken from
-    the last row of the window.
+    ``rows`` must carry ``pos`` and ``split``. ``keep`` columns come from the last
+    row of the window, ``earlier`` names target values some rows before it.
+    Without ``features`` no window array is built.
     """
-    slim = rows.df.select(*rows.group, *rows.order, SEGMENT, "split", "pos", target, *features, *keep)
-    slim = slim.select(*dict.fromkeys(slim.columns))
+    slim = rows.df.select(
+        *dict.fromkeys([*rows.group, *rows.order, SEGMENT, "split", "pos", target, *features, *keep])
+    )
 
     def cut(window) -> dict[str, Column]:
-        span = window.rowsBetween(1 - lookback, 0)
-        step = F.struct(*[F.col(f).cast("float").alias(f) for f in features])
-        return {
-            "window": F.collect_list(step).over(span),
-            "_from": F.first("split").over(span),
+        columns = {
+            "_from": F.lag("split", lookback - 1).over(window),
             "target": F.lead(target, horizon).over(window),
             "_to": F.lead("split", horizon).over(window),
             "last_known": F.col(target),
         }
+        for name, back in (earlier or {}).items():
+            columns[name] = F.lag(target, back).over(window)
+        if features:
+            step = F.struct(*[as_float(slim, f) for f in features])
+            columns["window"] = F.collect_list(step).over(window.rowsBetween(1 - lookback, 0))
+        return columns
 
     cuts = Timeline(slim, rows.group, rows.order).around(lookback - 1, horizon, cut)
     whole = (
-        (F.col("pos") >= lookback - 1)
-        & (F.col("_from") == F.col("split"))
+        (F.col("_from") == F.col("split"))
         & (F.col("_to") == F.col("split"))
         & F.col("target").isNotNull()
     )
+    extra = [*(earlier or {}), *(["window"] if features else [])]
+    kept = dict.fromkeys([*rows.group, *rows.order, "split", *keep])
     return cuts.where(whole).select(
-        *rows.group, *rows.order, "split", F.col("pos").alias("end_pos"), *keep, "window", "target", "last_known"
+        *kept, F.col("pos").alias("end_pos"), "target", "last_known", *extra
     )
 
 
+def as_float(df: DataFrame, name: str) -> Column:
+    """Numbers as float32 under their own name; arrays as they are."""
+    value = F.col(name)
+    return value if dict(df.dtypes)[name].startswith("array") else value.cast("float").alias(name)
+
+
 def symbol_index(df: DataFrame) -> DataFrame:
     """0-based number of each symbol in sorted order, one row per symbol."""
     symbols = df.select(SYMBOL).distinct()
@@ -230,12 +243,3 @@ def sample_index(windows: DataFrame, order: Sequence[str] = (SYMBOL, "end_pos"))
     rows = Timeline.by_range(windows, (), order).annotate(position="sample_id")
     within = Timeline(rows.df, (SYMBOL,), rows.order).annotate(position="offset")
     return within.result()
-
-
-def running_totals(rows: Timeline, values: dict[str, Column]) -> DataFrame:
-    return rows.annotate(running=values).result()
-
-
-def partition_window(*cols: str):
-    """A window over groups with a proven small size."""
-    return Window.partitionBy(*cols)
