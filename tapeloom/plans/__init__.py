@@ -4,7 +4,7 @@ from importlib import import_module
 
 from tapeloom.plans.registry import PLANS
 
-MODULES = ["ingest", "projections", "titles", "joins", "series"]
+MODULES = ["ingest", "projections", "titles", "joins", "series", "aggregates", "vectors", "features", "evaluation"]
 
 for _module in MODULES:  # importing a module registers its queries
     import_module(f"{__name__}.{_module}")

@@ -117,10 +117,10 @@ def scored_prices(spark, sf_dir):
         body=LENGTH_SCORES
         + """, p AS (SELECT stock_symbol, date, sentiment, row_number() OVER (PARTITION BY stock_symbol ORDER BY date) AS pos
 FROM prices LEFT JOIN daily USING (stock_symbol, date)),
-c AS (SELECT *, last_value(CASE WHEN sentiment IS NOT NULL THEN pos END IGNORE NULLS) OVER w AS at,
+c AS (SELECT *, last_value(CASE WHEN sentiment IS NOT NULL THEN pos END IGNORE NULLS) OVER w AS seen,
 last_value(sentiment IGNORE NULLS) OVER w AS v FROM p
 WINDOW w AS (PARTITION BY stock_symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT stock_symbol, date, round(coalesce(sentiment, 3 + pow(exp(-0.03::DOUBLE), pos - at) * (v - 3), 3), 6) AS sentiment FROM c""",
+SELECT stock_symbol, date, round(coalesce(sentiment, 3 + pow(exp(-0.03::DOUBLE), pos - seen) * (v - 3), 3), 6) AS sentiment FROM c""",
     ),
 )
 def decayed_sentiment(spark, sf_dir):

@@ -14,16 +14,16 @@ FROM orders GROUP BY 1, 2""",
     "news": f"""
 SELECT doc_id AS id,
        CASE WHEN doc_id % 97 = 0 THEN 'unknown'
-            ELSE CAST(DATE '1995-01-01' + CAST(doc_id % 50 AS INTEGER) AS VARCHAR) || ' 00:00:00 UTC' END AS date,
-       substr(text, 1, 60) AS article_title, {SYMBOL_LIST}[CAST(doc_id % 5 + 1 AS INTEGER)] AS stock_symbol,
+            ELSE CAST(DATE '1995-01-01' + CAST(doc_id % 50 * 45 AS INTEGER) AS VARCHAR) || ' 00:00:00 UTC' END AS date,
+       substr(text, 1, 60) AS article_title, {SYMBOL_LIST}[CAST(doc_id // 50 % 5 + 1 AS INTEGER)] AS stock_symbol,
        source AS publisher, text AS lsa_summary
 FROM documents""",
     "dated": """
 SELECT id, TRY_CAST(substr(date, 1, 10) AS DATE) AS date, article_title, stock_symbol, publisher, lsa_summary
 FROM news WHERE TRY_CAST(substr(date, 1, 10) AS DATE) IS NOT NULL""",
     "vectors": f"""
-SELECT vec_id AS id, {SYMBOL_LIST}[CAST(vec_id % 5 + 1 AS INTEGER)] AS stock_symbol,
-       DATE '1995-01-01' + CAST(vec_id % 50 AS INTEGER) AS date, embedding, label
+SELECT vec_id AS id, {SYMBOL_LIST}[CAST(vec_id // 50 % 5 + 1 AS INTEGER)] AS stock_symbol,
+       DATE '1995-01-01' + CAST(vec_id % 50 * 45 AS INTEGER) AS date, embedding, label
 FROM embeddings""",
     "elements": """
 SELECT id, stock_symbol, date, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS place

@@ -19,11 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def symbol_of(id_col: str) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in SYMBOLS]), (F.col(id_col) % 5 + 1).cast("int"))
+    """Symbols in turn, independent of the day."""
+    number = F.floor(F.col(id_col) / 50) % 5 + 1
+    return F.element_at(F.array(*[F.lit(s) for s in SYMBOLS]), number.cast("int"))
 
 
-def day_of(id_col: str, days: int = 50) -> Column:
-    return F.date_add(F.lit("1995-01-01").cast("date"), (F.col(id_col) % days).cast("int"))
+def day_of(id_col: str) -> Column:
+    """One of 50 days, 45 days apart, so that they span the price history."""
+    return F.date_add(F.lit("1995-01-01").cast("date"), (F.col(id_col) % 50 * 45).cast("int"))
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
