@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.functions.vectors import let, total
+
 # The columns that hold free text in the wide news form.
 TEXT_COLUMNS = [
     "article_title",
@@ -83,21 +85,35 @@ def lexicon_probabilities(
     positive: Sequence[str] = DEFAULT_POSITIVE,
 ) -> Column:
     """(negative, neutral, positive) shares from word hits, one neutral hit assumed."""
-    words = tokens(text)
-    neg = F.size(F.filter(words, lambda t: t.isin(*negative)))
-    pos = F.size(F.filter(words, lambda t: t.isin(*positive)))
-    every = (neg + pos + 1).cast("double")
-    return F.array(neg / every, F.lit(1.0) / every, pos / every)
+
+    def hits(words: Column) -> Column:
+        return F.array(
+            F.size(F.filter(words, lambda t: t.isin(*negative))),
+            F.lit(1),
+            F.size(F.filter(words, lambda t: t.isin(*positive))),
+        )
+
+    def shares(counts: Column) -> Column:
+        every = (counts[0] + counts[1] + counts[2]).cast("double")
+        return F.transform(counts, lambda n: n / every)
+
+    return let(let(tokens(text), hits), shares)
 
 
 def sentiment_score(probabilities: Column) -> Column:
     """1·negative + 3·neutral + 5·positive."""
-    p = probabilities
-    return p[0] * 1.0 + p[1] * 3.0 + p[2] * 5.0
+    return let(probabilities, lambda p: p[0] * 1.0 + p[1] * 3.0 + p[2] * 5.0)
 
 
 def softmax(logits: Column) -> Column:
     """Class probabilities from logits, shifted by the maximum for stability."""
-    shifted = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-    total = F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(shifted, lambda x: x / total)
+
+    def divide(raised: Column) -> Column:
+        return let(total(raised), lambda every: F.transform(raised, lambda x: x / every))
+
+    return let(exponentials(logits), divide)
+
+
+def exponentials(scores: Column) -> Column:
+    """exp(score - greatest score) per element."""
+    return let(F.array_max(scores), lambda top: F.transform(scores, lambda s: F.exp(s - top)))

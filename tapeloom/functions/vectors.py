@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
 def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
 
@@ -36,8 +41,12 @@ def norm(v: Column) -> Column:
 
 def l2_normalize(v: Column) -> Column:
     """The vector over its norm; a zero vector stays as it is."""
-    size = F.when(norm(v) == 0, F.lit(1.0)).otherwise(norm(v))
-    return F.transform(v, lambda x: x.cast("double") / size)
+
+    def divide(size: Column) -> Column:
+        divisor = F.when(size == 0, F.lit(1.0)).otherwise(size)
+        return F.transform(v, lambda x: x.cast("double") / divisor)
+
+    return let(norm(v), divide)
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -52,9 +61,12 @@ def contrastive_loss(label: Column, distance: Column, margin: float = 1.0, scale
 
 def order_stat_target(v: Column, k: int = 5) -> Column:
     """Half the mean plus half the sum of the k-th smallest and k-th largest."""
-    ordered = F.array_sort(F.transform(v, lambda x: x.cast("double")))
-    mean = total(ordered) / F.size(ordered)
-    return 0.5 * mean + 0.5 * (F.element_at(ordered, k) + F.element_at(ordered, -k))
+
+    def combine(ordered: Column) -> Column:
+        mean = total(ordered) / F.size(ordered)
+        return 0.5 * mean + 0.5 * (F.element_at(ordered, k) + F.element_at(ordered, -k))
+
+    return let(F.array_sort(F.transform(v, lambda x: x.cast("double"))), combine)
 
 
 def wide_to_array(df: DataFrame, names: Sequence[str], out: str = "embedding") -> DataFrame:

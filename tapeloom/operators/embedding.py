@@ -11,8 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.functions.text import tokens
-from tapeloom.functions.vectors import dot
+from tapeloom.functions.text import exponentials, tokens
+from tapeloom.functions.vectors import dot, let, total
 from tapeloom.operators.news import daily_mean_embedding
 
 
@@ -56,7 +56,7 @@ def masked_mean_pool(bag: Column, mask: Column, dim: int) -> Column:
         kept, zero, lambda acc, e: F.zip_with(acc, e["v"], lambda x, y: x + y.cast("double"))
     )
     weight = F.greatest(F.aggregate(mask, F.lit(0.0), lambda a, m: a + m), F.lit(1e-9))
-    return F.transform(summed, lambda x: x / weight)
+    return let(weight, lambda w: F.transform(summed, lambda x: x / w))
 
 
 def project_embedding(
@@ -91,16 +91,13 @@ def attention_pool(bag: Column, values: Column, mask: Column, query: Column, dim
         F.arrays_zip(bag.alias("k"), mask.alias("m")),
         lambda e: F.when(e["m"] == 0, F.lit(-1e9)).otherwise(dot(e["k"], query) / scale),
     )
-    return _weighted(values, scores, dim)
 
+    def weigh(weights: Column) -> Column:
+        summed = F.aggregate(
+            F.arrays_zip(values.alias("v"), weights.alias("w")),
+            F.array_repeat(F.lit(0.0), dim),
+            lambda acc, e: F.zip_with(acc, e["v"], lambda x, y: x + y.cast("double") * e["w"]),
+        )
+        return let(total(weights), lambda every: F.transform(summed, lambda x: x / every))
 
-def _weighted(values: Column, scores: Column, dim: int) -> Column:
-    top = F.array_max(scores)
-    raised = F.transform(scores, lambda s: F.exp(s - top))
-    weight = F.aggregate(raised, F.lit(0.0), lambda acc, x: acc + x)
-    summed = F.aggregate(
-        F.arrays_zip(values.alias("v"), raised.alias("w")),
-        F.array_repeat(F.lit(0.0), dim),
-        lambda acc, e: F.zip_with(acc, e["v"], lambda x, y: x + y.cast("double") * e["w"]),
-    )
-    return F.transform(summed, lambda x: x / weight)
+    return let(let(scores, exponentials), weigh)

@@ -75,7 +75,8 @@ def daily_texts_with_gaps(spark, sf_dir):
         "vectors",
         body="""SELECT stock_symbol, date, item, CAST(CASE WHEN id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS mask,
 round(coalesce(embedding[1]::DOUBLE, 0), 6) AS first_value, round(coalesce(embedding[64]::DOUBLE, 0), 6) AS last_value
-FROM (SELECT DISTINCT stock_symbol, date FROM vectors), (SELECT CAST(unnest(generate_series(0, 29)) AS INTEGER) AS item)
+FROM (SELECT stock_symbol, date, CAST(unnest(generate_series(0, 29)) AS INTEGER) AS item
+FROM (SELECT DISTINCT stock_symbol, date FROM vectors))
 LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY stock_symbol, date ORDER BY id) - 1 AS item FROM vectors) v
 USING (stock_symbol, date, item)""",
     ),

@@ -79,7 +79,7 @@ WINDOW w AS ({part} ORDER BY {order})) WHERE rn > 3)
 """
 GLOBAL = {"part": "", "order": "stock_symbol, date"}
 BY_SYMBOL = {"part": "PARTITION BY stock_symbol", "order": "date"}
-SIGN, RAW = "sign(target - last_known)", "target - last_known"
+SIGN, RAW = "CAST(sign(target - last_known) AS DOUBLE)", "target - last_known"
 RELATIVE_SQL = """SELECT count(*) AS n, round(sum(move), 6) AS market_total, round(sum(signal * move), 6) AS strategy_total,
 round(avg(CASE WHEN signal = sign(move) THEN 1.0::DOUBLE ELSE 0 END), 6) AS accuracy FROM shifted"""
 TOTALS = ["market_total", "strategy_total", "accuracy"]
