@@ -35,9 +35,16 @@ DEFAULT_NEGATIVE = ("loss", "fall", "drop", "down", "weak", "miss", "risk", "cut
 DEFAULT_POSITIVE = ("gain", "rise", "jump", "up", "strong", "beat", "growth", "record")
 
 
+# All Unicode white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
     """Remove all leading and trailing white space, not only blanks."""
-    return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def clean_text(text: Column) -> Column:
@@ -73,10 +80,22 @@ def page_text(html: Column) -> Column:
     return F.coalesce(strip(F.regexp_replace(text, r"\s+", " ")), F.lit(""))
 
 
+NOT_LETTERS = r"[^\p{L}]+"
+
+
+def pieces(text: Column, limit: int = -1) -> Column:
+    """Lower-case letter runs in order, with an empty piece at an open end."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_LETTERS, limit)
+
+
 def tokens(text: Column) -> Column:
     """Lower-case letter runs, in order."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
-    return F.filter(parts, lambda t: t != "")
+    return F.filter(pieces(text), lambda t: t != "")
+
+
+def leading_tokens(text: Column, n: int) -> Column:
+    """The first ``n`` tokens, without splitting the rest of the text."""
+    return F.slice(F.filter(pieces(text, n + 2), lambda t: t != ""), 1, n)
 
 
 def lexicon_probabilities(

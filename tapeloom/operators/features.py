@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions.keys import random_key
 from tapeloom.functions.numeric import tercile_bin
-from tapeloom.functions.text import tokens
+from tapeloom.functions.text import leading_tokens, pieces
 from tapeloom.operators.series import scale
 from tapeloom.operators.stats import quantiles
-from tapeloom.operators.timeline import Timeline
 
 
 def minmax_pooled(df: DataFrame, columns: Sequence[str], fit_on: str = "train") -> DataFrame:
@@ -136,13 +135,14 @@ PAD, UNKNOWN = 0, 1
 
 
 def vocabulary(df: DataFrame, text: str, size: int = 5000) -> DataFrame:
-    """The ``size`` most frequent tokens with ids from 2 on; ties by token."""
-    counts = df.select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").count()
-    top = counts.orderBy(F.desc("count"), "token").limit(size)
-    ranked = Timeline.by_range(
-        top.withColumn("_rarity", -F.col("count")), (), ("_rarity", "token")
-    ).annotate(position="_pos")
-    return ranked.result().select("token", (F.col("_pos") + 2).cast("int").alias("token_id"))
+    """The ``size`` most frequent tokens with ids from 2 on; ties by token.
+
+    Counts combine before the shuffle and only ``size`` rows are numbered.
+    """
+    words = df.select(F.explode(pieces(F.col(text))).alias("token")).where(F.col("token") != "")
+    top = words.groupBy("token").count().orderBy(F.desc("count"), "token").limit(size)
+    rank = F.row_number().over(Window.orderBy(F.desc("count"), "token"))
+    return top.select("token", (rank + 1).cast("int").alias("token_id"))
 
 
 def token_pack(
@@ -153,7 +153,7 @@ def token_pack(
     The texts of a key count as one text in the given order. Only the leading
     tokens of each text travel, and at most ``max_len`` per key and task.
     """
-    first = F.slice(tokens(F.col(text)), 1, max_len)
+    first = leading_tokens(F.col(text), max_len)
     places = df.select(*keys, order, F.posexplode_outer(first).alias("_place", "token"))
     reading = Window.partitionBy(*keys).orderBy(F.col("token").isNull(), order, "_place")
     leading = places.withColumn("_rn", F.row_number().over(reading)).where(F.col("_rn") <= max_len)

@@ -85,25 +85,15 @@ def title_batches(
         F.col("article_group"),
     )
     out = ["date", "article_group", *columns, "aggregated_article_title"]
-    matched = joined.where(F.col("date").isNotNull()).withColumn(
-        "aggregated_article_title", F.array_join("_titles", "|")
-    )
     if how == "inner":
-        return matched.select(*out)
+        return joined.select(*out[:-1], F.array_join("_titles", "|").alias(out[-1]))
     day_entry = F.struct(F.col("clean_date"), F.col("_titles"))
-    unmatched = (
-        joined.where(F.col("date").isNull())
-        .groupBy("article_group")
-        .agg(
-            *[F.any_value(c).alias(c) for c in ("date", *columns)],
-            F.array_sort(F.collect_list(day_entry)).alias("_days"),
-        )
-        .withColumn(
-            "aggregated_article_title",
-            F.array_join(F.flatten(F.transform("_days", lambda d: d["_titles"])), "|"),
-        )
+    grouped = joined.groupBy("date", "article_group").agg(
+        *[F.any_value(c).alias(c) for c in columns],
+        F.array_sort(F.collect_list(day_entry)).alias("_days"),
     )
-    return matched.select(*out).unionByName(unmatched.select(*out))
+    titles = F.flatten(F.transform("_days", lambda d: d["_titles"]))
+    return grouped.select(*out[:-1], F.array_join(titles, "|").alias(out[-1]))
 
 
 def daily_mean(df: DataFrame, value: str, keys: Sequence[str] = ("stock_symbol", "date")) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,6 +75,16 @@ class Timeline:
         stored = spark.read.schema(ranged.schema).parquet(path)
         return cls(stored, tuple(group), tuple(order))
 
+    @classmethod
+    def by_bounds(
+        cls, df: DataFrame, group: Sequence[str], value: str, bounds: Sequence[float]
+    ) -> Timeline:
+        """Distinct numbers per group, cut at the given ascending bounds."""
+        splits = [-float("inf"), *bounds, float("inf")]
+        number = df.withColumn("_number", F.col(value).cast("double"))
+        cut = Bucketizer(splits=splits, inputCol="_number", outputCol=SEGMENT)
+        return cls(cut.transform(number).drop("_number"), tuple(group), (value,))
+
     # -- windows -------------------------------------------------------------
     def local(self):
         """The window of one segment."""

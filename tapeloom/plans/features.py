@@ -160,7 +160,7 @@ def trimmed_inliers(spark, sf_dir):
     f"WITH {VOCAB_SQL} SELECT token, CAST(token_id AS INTEGER) AS token_id FROM vocab",
 )
 def token_vocabulary(spark, sf_dir):
-    return fe.vocabulary(adapter.table(spark, sf_dir, "documents"), "text")
+    return fe.vocabulary(adapter.texts(spark, sf_dir, "documents", "doc_id"), "text")
 
 
 @plan(
@@ -173,7 +173,7 @@ FROM (SELECT doc_id, CAST(unnest(generate_series(0, 31)) AS INTEGER) AS place FR
 LEFT JOIN words USING (doc_id, place) LEFT JOIN vocab USING (token)""",
 )
 def token_pack(spark, sf_dir):
-    documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     vocab = fe.vocabulary(documents, "text")
     one = documents.withColumn("order", F.lit(0))
     packed = fe.token_pack(one, ["doc_id"], "order", "text", vocab)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tapeloom.functions.text import article_date, clean_text, page_text
+from tapeloom.functions.text import WHITE_SPACE, article_date, clean_text, page_text
 from tapeloom.functions.vectors import array_to_wide, order_stat_target, wide_to_array
 from tapeloom.plans.registry import places, plan, r6
 from tapeloom.plans.sql import check_sql
@@ -12,9 +12,13 @@ from tapeloom.session import scratch_path
 from tapeloom.sources import adapter, csv, sinks, tables
 from tapeloom.streaming.ingest import file_stream, ingest
 
+# The check SQL for clean_text; chr(39) is the single quote.
 CLEAN = (
-    "regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace({0}, "
-    r"'[\n\r]+', ' ', 'g'), '^\s+', ''), '\s+$', ''), '" + '"' + r"', chr(39)), '^\s+', ''), '\s+$', '')"
+    "trim(replace(trim(regexp_replace({0}, '[\\n\\r]+', ' ', 'g'), '"
+    + WHITE_SPACE
+    + "'), '\"', chr(39)), '"
+    + WHITE_SPACE
+    + "')"
 )
 
 
@@ -139,7 +143,7 @@ SELECT page_id, coalesce(regexp_replace(regexp_replace(regexp_replace(t, '\s+',
 AS article FROM plain""",
 )
 def page_articles(spark, sf_dir):
-    return adapter.table(spark, sf_dir, "pages").select(
+    return adapter.texts(spark, sf_dir, "pages", "page_id").select(
         "page_id", page_text(F.col("html")).alias("article")
     )
 

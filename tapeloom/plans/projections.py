@@ -17,7 +17,7 @@ from tapeloom.sources import adapter
 
 @plan("clean_text", f"SELECT doc_id, {CLEAN.format('text')} AS text FROM documents")
 def cleaned_documents(spark, sf_dir):
-    documents = adapter.table(spark, sf_dir, "documents")
+    documents = adapter.texts(spark, sf_dir, "documents", "doc_id")
     return documents.select("doc_id", clean_text(F.col("text")).alias("text"))
 
 

@@ -228,8 +228,8 @@ WHERE in_part >= 49 AND target IS NOT NULL""",
     ),
 )
 def multimodal_sequences(spark, sf_dir):
-    news = adapter.dated_news(spark, sf_dir)
-    vocab = vocabulary(adapter.table(spark, sf_dir, "documents"), "text")
+    news = adapter.dated_news(spark, sf_dir, spread=True)
+    vocab = vocabulary(adapter.texts(spark, sf_dir, "documents", "doc_id"), "text")
     packed = token_pack(news, KEYS, "id", "lsa_summary", vocab)
     days = news.select(*KEYS).distinct().withColumn("_has", F.lit(True))
     rows = scaled_rows(spark, sf_dir).result()

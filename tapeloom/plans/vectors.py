@@ -44,7 +44,8 @@ pos / (neg + pos + 1)::DOUBLE AS p_pos, (neg + 3 + 5 * pos) / (neg + pos + 1)::D
 
 def lexicon_scores(spark, sf_dir):
     chances = lexicon_probabilities(F.col("lsa_summary"), NEGATIVE, POSITIVE)
-    scored = adapter.dated_news(spark, sf_dir).select("id", *KEYS, chances.alias("p"))
+    news = adapter.dated_news(spark, sf_dir, spread=True)
+    scored = news.select("id", *KEYS, chances.alias("p"))
     return scored.withColumn("score", sentiment_score(F.col("p")))
 
 
@@ -67,7 +68,7 @@ def text_class_score(spark, sf_dir):
 
 @plan("text_embedding")
 def text_embedding(spark, sf_dir):
-    documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     return hashed_text_vectors(documents, "text").drop("text")
 
 
@@ -88,7 +89,7 @@ CAST(length(text) - length(replace(text, 'aeiou'[i], '')) AS DOUBLE) AS value
 FROM documents, (SELECT unnest(generate_series(1, 5)) AS i)""",
 )
 def text_model_batches(spark, sf_dir):
-    documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     scored = score_batches(documents, "text", load_letter_model, "vector", "array<double>")
     return places(scored, ["doc_id"], "vector")
 
@@ -254,7 +255,7 @@ def sequence_forecast(spark, sf_dir):
 @plan("single_text_regression")
 def single_text_regression(spark, sf_dir):
     labels = adapter.table(spark, sf_dir, "labels").select("doc_id", "quality")
-    documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     vectors = hashed_text_vectors(documents, "text").drop("text")
     data = vectors.join(labels, "doc_id").withColumn("y", F.col("quality").cast("double"))
     scored = linear_head(data, data, ["embedding"], "y", reg=0.01)

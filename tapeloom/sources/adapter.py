@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table of long texts, spread over the cores if it comes in fewer splits.
+
+    Large tables have more splits than cores and are left as they are.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def symbol_of(id_col: str) -> Column:
     """Symbols in turn, independent of the day."""
     number = F.floor(F.col(id_col) / 50) % 5 + 1
@@ -50,8 +60,12 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw news with a text date that is sometimes not a date."""
+    return news_from(table(spark, sf_dir, "documents"))
+
+
+def news_from(documents: DataFrame) -> DataFrame:
     stamp = F.concat(day_of("doc_id").cast("string"), F.lit(" 00:00:00 UTC"))
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         F.col("doc_id").alias("id"),
         F.when(F.col("doc_id") % 97 == 0, F.lit("unknown")).otherwise(stamp).alias("date"),
         F.substring("text", 1, 60).alias("article_title"),
@@ -61,10 +75,11 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dated_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dated_news(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """News whose date parses, with the date typed."""
+    documents = texts(spark, sf_dir, "documents", "doc_id") if spread else table(spark, sf_dir, "documents")
     return (
-        news(spark, sf_dir)
+        news_from(documents)
         .withColumn("date", article_date(F.col("date")))
         .where(F.col("date").isNotNull())
     )
