@@ -13,45 +13,45 @@ from tapeloom.functions.keys import random_key
 from tapeloom.functions.numeric import tercile_bin
 from tapeloom.functions.text import leading_tokens, pieces
 from tapeloom.operators.series import scale
-from tapeloom.operators.stats import quantiles
+from tapeloom.operators.stats import limits
 
 
 def minmax_pooled(df: DataFrame, columns: Sequence[str], fit_on: str = "train") -> DataFrame:
     """One min-max scaler over all symbols, fitted on ``split = 'train'`` or on all rows."""
     fitted = df.where(F.col("split") == "train") if fit_on == "train" else df
     ranges = [F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns]
-    fit = fitted.agg(F.struct(*ranges)).scalar()
-    return df.withColumns({f"{c}_scaled": scale(F.col(c), fit[c]["lo"], fit[c]["hi"]) for c in columns})
+    fit = fitted.agg(*ranges).first()
+    return df.withColumns(
+        {f"{c}_scaled": scale(F.col(c), F.lit(fit[c]["lo"]), F.lit(fit[c]["hi"])) for c in columns}
+    )
 
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(x - mean) / population deviation over all rows; a zero deviation divides by one."""
     stats = [F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in columns]
-    fit = df.agg(F.struct(*stats)).scalar()
-    out = {}
-    for c in columns:
-        spread = F.when(fit[c]["s"] == 0, F.lit(1.0)).otherwise(fit[c]["s"])
-        out[f"{c}_std"] = (F.col(c) - fit[c]["m"]) / spread
-    return df.withColumns(out)
+    fit = df.agg(*stats).first()
+    return df.withColumns(
+        {f"{c}_std": (F.col(c) - F.lit(fit[c]["m"])) / F.lit(fit[c]["s"] or 1.0) for c in columns}
+    )
 
 
 def standardize_label(df: DataFrame, column: str, eps: float = 1e-8) -> DataFrame:
     """(y - mean) / (population deviation + eps)."""
-    fit = df.agg(F.struct(F.avg(column).alias("m"), F.stddev_pop(column).alias("s"))).scalar()
-    return df.withColumn(f"{column}_std", (F.col(column) - fit["m"]) / (fit["s"] + F.lit(eps)))
+    fit = df.agg(F.avg(column).alias("m"), F.stddev_pop(column).alias("s")).first()
+    centred = F.col(column) - F.lit(fit["m"])
+    return df.withColumn(f"{column}_std", centred / (F.lit(fit["s"]) + F.lit(eps)))
 
 
 def tercile_bins(
     df: DataFrame, value: str, low: float = 0.25, high: float = 0.75, out: str = "bin"
 ) -> DataFrame:
     """0 below the low quantile, 2 above the high one, 1 between."""
-    limits = quantiles(df, value, {"lo": low, "hi": high}).select(F.struct("lo", "hi")).scalar()
-    return df.withColumn(out, tercile_bin(F.col(value), limits["lo"], limits["hi"]))
+    return df.withColumn(out, tercile_bin(F.col(value), *limits(df, value, low, high)))
 
 
 def median_bins(df: DataFrame, value: str, out: str = "bin") -> DataFrame:
     """0 up to the median, 1 above it."""
-    middle = quantiles(df, value, {"mid": 0.5}).scalar()
+    middle, _ = limits(df, value, 0.5, 0.5)
     return df.withColumn(out, F.when(F.col(value) <= middle, 0).otherwise(1))
 
 
@@ -121,7 +121,7 @@ def outlier_flag(
             yield pd.Series(levels[np.searchsorted(edges, batch.to_numpy(), side="left")])
 
     scored = df.withColumn("outlier_score", anomaly(F.col(value).cast("double")))
-    limit = quantiles(scored, "outlier_score", {"cut": 1.0 - contamination}).scalar()
+    limit, _ = limits(scored, "outlier_score", 1.0 - contamination, 1.0)
     flag = F.when(F.col("outlier_score") > limit, -1).otherwise(1)
     return scored.withColumn("is_outlier", flag)
 

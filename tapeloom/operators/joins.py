@@ -34,6 +34,22 @@ def key_intersection(
     return salted_join(rows, keys, on, "left_semi", spread), keyed.join(row_keys, list(on), "left_semi")
 
 
+def intersection_report(
+    rows: DataFrame, keyed: DataFrame, on: Sequence[str], spread: Column
+) -> DataFrame:
+    """Rows of both tables, and how many of them have a common key."""
+    hit = F.lit(1).alias("_hit")
+    found = salted_join(rows, keyed.select(*on).distinct().select("*", hit), on, "left", spread)
+    matched = keyed.join(rows.select(*on).distinct().select("*", hit), list(on), "left")
+
+    def counts(df: DataFrame, side: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count("_hit").alias("n_kept")).select(
+            F.lit(side).alias("side"), "*"
+        )
+
+    return counts(found, "rows").unionByName(counts(matched, "keyed"))
+
+
 def intersect_keys(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
     return a.select(*on).intersect(b.select(*on))
 

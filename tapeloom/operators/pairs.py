@@ -53,10 +53,8 @@ def sampled_pairs(
     """
     members = Timeline.by_id(df.select(id_col, bin_col, *payload), (bin_col,), id_col)
     members = members.annotate(position="_idx").result()
-    sizes = df.groupBy(bin_col).agg(F.count(F.lit(1)).alias("n"))
-    bins = sizes.agg(
-        F.array_sort(F.collect_list(F.struct(F.col(bin_col).alias("b"), "n"))).alias("bins")
-    ).scalar()
+    sizes = df.groupBy(bin_col).count().orderBy(bin_col).collect()  # a handful of bins
+    bins = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(n).cast("long").alias("n")) for b, n in sizes])
 
     key = random_key(id_col, seed=seed)
     tagged = df.select(id_col, bin_col, *payload).withColumns({"_key": key, "_bins": bins})

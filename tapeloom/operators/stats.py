@@ -81,24 +81,27 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 def describe(df: DataFrame, value: str) -> DataFrame:
     """count, mean, sample deviation, min, quartiles, max as one row."""
     simple = df.agg(
-        F.struct(
-            F.count(value).alias("n"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("lowest"),
-            F.max(value).alias("highest"),
-        ).alias("s")
-    )
-    s = simple.scalar()
-    return quantiles(df, value, QUARTILES).select(
-        *[s[name].alias(name) for name in ("n", "mean", "std", "lowest", "highest")], *QUARTILES
+        F.count(value).alias("n"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("lowest"),
+        F.max(value).alias("highest"),
     )
+    one = F.lit(1).alias("_one")
+    quartiles = quantiles(df, value, QUARTILES).select(one, *QUARTILES)
+    return simple.select(one, "*").join(quartiles, "_one", "left").drop("_one")
+
+
+def limits(df: DataFrame, value: str, low: float, high: float) -> tuple[Column, Column]:
+    """Two exact quantiles as constants, so that filters on them reach the scan."""
+    row = quantiles(df, value, {"lo": low, "hi": high}).first()
+    return (F.lit(row["lo"]), F.lit(row["hi"])) if row else (F.lit(None), F.lit(None))
 
 
 def percentile_trim(df: DataFrame, value: str, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Rows whose value lies within the two quantiles, borders included."""
-    limits = quantiles(df, value, {"lo": low, "hi": high}).select(F.struct("lo", "hi")).scalar()
-    return df.where((F.col(value) >= limits["lo"]) & (F.col(value) <= limits["hi"]))
+    lowest, highest = limits(df, value, low, high)
+    return df.where((F.col(value) >= lowest) & (F.col(value) <= highest))
 
 
 def histogram(df: DataFrame, value: str, bins: int, group: Sequence[str] = ()) -> DataFrame:
@@ -108,8 +111,8 @@ def histogram(df: DataFrame, value: str, bins: int, group: Sequence[str] = ()) -
     if group:
         placed = known.join(span, list(group))
     else:
-        limits = span.select(F.struct("_lo", "_hi")).scalar()
-        placed = known.withColumns({"_lo": limits["_lo"], "_hi": limits["_hi"]})
+        ends = span.first()
+        placed = known.withColumns({"_lo": F.lit(ends["_lo"]), "_hi": F.lit(ends["_hi"])})
     width = F.nullif((F.col("_hi") - F.col("_lo")) / F.lit(bins), F.lit(0.0))
     place = F.floor((F.col(value) - F.col("_lo")) / width)
     bin_no = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int")

@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeloom.session import scratch_path
+from tapeloom.session import staged
 
 SEGMENT = "_segment"
 BLOCK = "_block"
@@ -65,15 +65,11 @@ class Timeline:
         The partition number is written out with the rows, so that every later
         reader, and every retried task, sees the same cut.
         """
-        spark = df.sparkSession
         keys = [F.col(c).asc_nulls_first() for c in (*group, *order)]
         ranged = df.repartitionByRange(*keys).withColumn(
             SEGMENT, F.spark_partition_id().cast("long")
         )
-        path = scratch_path(spark, "ranged")
-        ranged.write.parquet(path)
-        stored = spark.read.schema(ranged.schema).parquet(path)
-        return cls(stored, tuple(group), tuple(order))
+        return cls(staged(ranged, "ranged"), tuple(group), tuple(order))
 
     @classmethod
     def by_bounds(

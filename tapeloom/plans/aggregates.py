@@ -183,7 +183,7 @@ def price_histogram(spark, sf_dir):
     ),
 )
 def histogram_by_symbol(spark, sf_dir):
-    return stats.histogram(adapter.prices(spark, sf_dir), "volume", 30, (SYMBOL,))
+    return stats.histogram(adapter.bars(spark, sf_dir), "volume", 30, (SYMBOL,))
 
 
 @plan("value_counts", "SELECT label % 3 AS bin, count(*) AS n FROM embeddings GROUP BY 1 ORDER BY n DESC, bin")
@@ -200,7 +200,7 @@ def value_counts(spark, sf_dir):
     ),
 )
 def distinct_symbols(spark, sf_dir):
-    rows = chrono_split(adapter.prices(spark, sf_dir).select(*KEYS)).result()
+    rows = chrono_split(adapter.bars(spark, sf_dir).select(*KEYS)).result()
     return rows.groupBy("stock_symbol").agg(F.bool_or(F.col("split") == "test").alias("in_test"))
 
 

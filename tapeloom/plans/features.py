@@ -36,7 +36,7 @@ FROM split_prices, fit"""
 
 
 def pooled(spark, sf_dir, fit_on):
-    rows = ts.chrono_split(adapter.prices(spark, sf_dir).select(*KEYS, "close")).result()
+    rows = ts.chrono_split(adapter.bars(spark, sf_dir).select(*KEYS, "close")).result()
     scaled = fe.minmax_pooled(rows, ["close"], fit_on)
     return scaled.select(*KEYS, r6("close_scaled").alias("close_scaled"))
 

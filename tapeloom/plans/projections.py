@@ -172,7 +172,7 @@ def gappy_prices(spark, sf_dir):
     """Bars with missing opens and closes and some closes of zero."""
     volume = F.col("volume")
     close = F.when(volume % 11 == 0, 0.0).when(volume % 7 != 0, F.col("close"))
-    return adapter.prices(spark, sf_dir).select(
+    return adapter.bars(spark, sf_dir).select(
         "stock_symbol", "date", F.when(volume % 13 != 0, F.col("open")).alias("open"), close.alias("close")
     )
 

@@ -13,6 +13,7 @@ from tapeloom.operators.timeline import Timeline
 from tapeloom.plans.projections import gappy_prices
 from tapeloom.plans.registry import plan, r6
 from tapeloom.plans.sql import check_sql
+from tapeloom.session import staged
 from tapeloom.sources import adapter
 
 KEYS = ["stock_symbol", "date"]
@@ -21,7 +22,7 @@ PRICE_FEATURES = ["open", "close", "volume"]
 
 @plan("volume_delta", check_sql("changes", body="SELECT stock_symbol, date, volume_delta FROM changes"))
 def volume_delta(spark, sf_dir):
-    return ts.price_changes(adapter.prices(spark, sf_dir)).select(*KEYS, "volume_delta")
+    return ts.price_changes(adapter.bars(spark, sf_dir)).select(*KEYS, "volume_delta")
 
 
 @plan(
@@ -31,7 +32,7 @@ def volume_delta(spark, sf_dir):
     ),
 )
 def volume_change_ratio(spark, sf_dir):
-    changes = ts.price_changes(adapter.prices(spark, sf_dir))
+    changes = ts.price_changes(adapter.bars(spark, sf_dir))
     return changes.select(*KEYS, r6("volume_change_ratio").alias("volume_change_ratio"))
 
 
@@ -44,7 +45,7 @@ round(open_lead_close_lag_change_pct, 6) AS pct FROM changes""",
     ),
 )
 def open_lead_close_lag(spark, sf_dir):
-    changes = ts.price_changes(adapter.prices(spark, sf_dir))
+    changes = ts.price_changes(adapter.bars(spark, sf_dir))
     return changes.select(
         *KEYS,
         r6("open_lead_close_lag_diff").alias("diff"),
@@ -60,7 +61,7 @@ BUCKETS = ["volume_delta_decile_bucket", "volume_change_ratio_decile_bucket"]
     check_sql("deciles", body=f"SELECT stock_symbol, date, {', '.join(BUCKETS)} FROM deciles"),
 )
 def decile_bucket(spark, sf_dir):
-    changes = ts.price_changes(adapter.prices(spark, sf_dir))
+    changes = ts.price_changes(adapter.bars(spark, sf_dir))
     return ts.decile_buckets(changes).select(*KEYS, *BUCKETS)
 
 
@@ -105,7 +106,7 @@ def scored_prices(spark, sf_dir):
     news = adapter.dated_news(spark, sf_dir).select(
         *KEYS, (F.length("lsa_summary") % 5 + 1).alias("sentiment")
     )
-    prices = adapter.prices(spark, sf_dir).select(*KEYS, "close")
+    prices = adapter.bars(spark, sf_dir).select(*KEYS, "close")
     return left_features(prices, daily_mean(news, "sentiment"), KEYS)
 
 
@@ -137,12 +138,12 @@ lead(close, 3) OVER (PARTITION BY stock_symbol ORDER BY date) AS label FROM pric
     ),
 )
 def horizon_labels(spark, sf_dir):
-    return ts.horizon_label(adapter.prices(spark, sf_dir).select(*KEYS, "close"))
+    return ts.horizon_label(adapter.bars(spark, sf_dir).select(*KEYS, "close"))
 
 
 @plan("chrono_split", check_sql("split_prices", body="SELECT stock_symbol, date, pos, split FROM split_prices"))
 def split_prices(spark, sf_dir):
-    return ts.chrono_split(adapter.prices(spark, sf_dir).select(*KEYS)).result()
+    return ts.chrono_split(adapter.bars(spark, sf_dir).select(*KEYS)).result()
 
 
 @plan(
@@ -154,11 +155,11 @@ FROM (SELECT stock_symbol, date, row_number() OVER (ORDER BY stock_symbol, date)
     ),
 )
 def sequentially_split(spark, sf_dir):
-    return ts.sequential_split(adapter.prices(spark, sf_dir).select(*KEYS))
+    return ts.sequential_split(adapter.bars(spark, sf_dir).select(*KEYS))
 
 
-def scaled_rows(spark, sf_dir, keep=()):
-    prices = adapter.prices(spark, sf_dir).select(*KEYS, *PRICE_FEATURES)
+def scaled_rows(spark, sf_dir):
+    prices = adapter.bars(spark, sf_dir).select(*KEYS, *PRICE_FEATURES)
     return ts.minmax_per_symbol(ts.chrono_split(prices), PRICE_FEATURES)
 
 
@@ -232,7 +233,7 @@ def multimodal_sequences(spark, sf_dir):
     vocab = vocabulary(adapter.texts(spark, sf_dir, "documents", "doc_id"), "text")
     packed = token_pack(news, KEYS, "id", "lsa_summary", vocab)
     days = news.select(*KEYS).distinct().withColumn("_has", F.lit(True))
-    rows = scaled_rows(spark, sf_dir).result()
+    rows = staged(scaled_rows(spark, sf_dir).result(), "scaled")
     dated = ts.ffill_key(left_features(rows, days, KEYS), F.col("_has").isNotNull(), "text_date")
     side = packed.withColumnRenamed("date", "text_date")
     blank = F.array_repeat(F.lit(0), 32)
@@ -299,7 +300,7 @@ FROM (SELECT DISTINCT stock_symbol FROM prices)""",
     ),
 )
 def symbol_numbers(spark, sf_dir):
-    return ts.symbol_index(adapter.prices(spark, sf_dir))
+    return ts.symbol_index(adapter.bars(spark, sf_dir))
 
 
 @plan(

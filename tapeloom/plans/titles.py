@@ -11,6 +11,7 @@ from tapeloom.operators.series import decile_buckets, price_changes
 from tapeloom.operators.stats import distinct_keys
 from tapeloom.plans.registry import plan, r6
 from tapeloom.plans.sql import check_sql
+from tapeloom.session import staged
 from tapeloom.sources import adapter
 
 BUCKETS = ["volume_delta_decile_bucket", "volume_change_ratio_decile_bucket"]
@@ -21,7 +22,7 @@ BATCH_KEY = ["date", "article_group"]
 def bucketed_bars(spark, sf_dir, symbol):
     """Changes and deciles of one symbol."""
     bars = adapter.prices(spark, sf_dir).where(F.col("stock_symbol") == symbol)
-    return decile_buckets(price_changes(bars))
+    return decile_buckets(price_changes(staged(bars, "bars")))
 
 
 def labelled_batches(spark, sf_dir):
@@ -30,6 +31,11 @@ def labelled_batches(spark, sf_dir):
     return title_batches(article_groups(adapter.news(spark, sf_dir)), bars, BUCKETS, "left")
 
 
+def stored_batches(batches):
+    """Batches on trading days, stored: pairing reads them twice."""
+    return staged(batches.dropna(subset=["date"]), "batches")
+
+
 def gap_batches(spark, sf_dir):
     """Randomly ordered batches of ten on days with a bar."""
     bars = bucketed_bars(spark, sf_dir, "2-high")
@@ -86,7 +92,7 @@ AS samebucket FROM r t1 JOIN r t2 ON t1.rn = t2.rn - 1""",
     ),
 )
 def matched_pairs(spark, sf_dir):
-    batches = labelled_batches(spark, sf_dir).dropna(subset=["date"])
+    batches = stored_batches(labelled_batches(spark, sf_dir))
     columns = {
         "aggregated_article_title": "concatarticles",
         "date": "date",
@@ -111,7 +117,7 @@ FROM r t1 JOIN r t2 ON t1.rn = t2.rn - 1""",
 )
 def paired_gap_changes(spark, sf_dir):
     columns = {"aggregated_article_title": "concatarticles", "date": "date", GAP: "vol_diff"}
-    pairs = adjacent_pairs(gap_batches(spark, sf_dir), BATCH_KEY, columns)
+    pairs = adjacent_pairs(stored_batches(gap_batches(spark, sf_dir)), BATCH_KEY, columns)
     change = F.col("vol_diff2") - F.col("vol_diff1")
     return pairs.withColumns(
         {"vol_1_vs_2": r6(change), "vol_diff1": r6("vol_diff1"), "vol_diff2": r6("vol_diff2")}
@@ -140,7 +146,7 @@ def paired_buckets_one_pass(spark, sf_dir):
         BUCKETS[0]: "bucket_delta",
         BUCKETS[1]: "bucket_ratio",
     }
-    pairs = adjacent_pairs(gap_batches(spark, sf_dir), BATCH_KEY, columns)
+    pairs = adjacent_pairs(stored_batches(gap_batches(spark, sf_dir)), BATCH_KEY, columns)
     return pairs.withColumns(
         {
             "samebucket_delta": same_bucket(F.col("bucket_delta1"), F.col("bucket_delta2")),

@@ -26,7 +26,9 @@ from tapeloom.operators.news import news_bag
 from tapeloom.operators.pairs import random_split
 from tapeloom.operators.timeline import Timeline
 from tapeloom.plans.registry import places, plan, r6
+from tapeloom.plans.series import scaled_rows
 from tapeloom.plans.sql import check_sql
+from tapeloom.session import staged
 from tapeloom.sources import adapter
 
 KEYS = ["stock_symbol", "date"]
@@ -241,11 +243,10 @@ def pair_regression(spark, sf_dir):
 
 @plan("sequence_forecast")
 def sequence_forecast(spark, sf_dir):
-    prices = adapter.prices(spark, sf_dir).select(*KEYS, "open", "close", "volume")
-    rows = ts.minmax_per_symbol(ts.chrono_split(prices), ["open", "close", "volume"])
+    rows = scaled_rows(spark, sf_dir)
     features = ["open_scaled", "close_scaled", "volume_scaled"]
     windows = ts.sliding_sequences(rows, features, "close_scaled")
-    flat = flatten_window(windows, "window", features).drop("window")
+    flat = staged(flatten_window(windows, "window", features).drop("window"), "windows")
     scored = linear_head(flat.where(F.col("split") == "train"), flat, ["flat"], "target", reg=0.01)
     return scored.where(F.col("split") == "test").select(
         *KEYS, "target", "last_known", r6("prediction").alias("prediction")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.functions.text import article_date
+from tapeloom.session import staged
 
 # The symbols that documents and vectors are dealt out to.
 SYMBOLS = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
@@ -58,6 +59,11 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily bars as a stored table, for work that reads them more than once."""
+    return staged(prices(spark, sf_dir), "bars")
+
+
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw news with a text date that is sometimes not a date."""
     return news_from(table(spark, sf_dir, "documents"))
