@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.functions.vectors import let
 from tapeloom.operators.stats import value_runs
 
 # The threshold sweep runs 0.10, 0.15 ... 2.95.
@@ -135,7 +136,7 @@ def f1_threshold_sweep(df: DataFrame, distance: str, label: str, thresholds: Seq
     intervals then give every threshold's confusion in one pass over the data.
     """
     steps = F.array(*[F.lit(float(t)) for t in thresholds])
-    reached = F.size(F.filter(steps, lambda t: t <= F.col(distance)))
+    reached = let(F.col(distance), lambda d: F.size(F.filter(steps, lambda t: t <= d)))
     sums = df.groupBy(reached.alias("k")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n")
     )

@@ -212,17 +212,17 @@ words AS (SELECT stock_symbol, date, id, unnest({TOKENS.format('lsa_summary')})
 generate_subscripts({TOKENS.format('lsa_summary')}, 1) AS place FROM dated),
 led AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stock_symbol, date ORDER BY id, place) AS rn FROM words)
 WHERE rn <= 32),
-packed AS (SELECT stock_symbol, date, CAST(count(*) AS DOUBLE) AS n_tokens, sum(coalesce(token_id, 1))::DOUBLE AS id_sum
+packed AS (SELECT stock_symbol, date, string_agg(coalesce(token_id, 1), ' ' ORDER BY rn) AS ids, count(*) AS n
 FROM led LEFT JOIN vocab USING (token) GROUP BY 1, 2),
-carried AS (SELECT s.*, last_value(CASE WHEN p.date IS NOT NULL THEN p.date END IGNORE NULLS) OVER (PARTITION BY s.stock_symbol
+carried AS (SELECT s.*, last_value(p.date IGNORE NULLS) OVER (PARTITION BY s.stock_symbol
 ORDER BY s.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS text_date
 FROM scaled s LEFT JOIN (SELECT DISTINCT stock_symbol, date FROM dated) p USING (stock_symbol, date)),
-joined AS (SELECT c.*, coalesce(p.n_tokens, 0) AS n_tokens, coalesce(p.id_sum, 0) AS id_sum FROM carried c
+joined AS (SELECT c.*, coalesce(p.ids, '') AS ids, coalesce(p.n, 0) AS n FROM carried c
 LEFT JOIN packed p ON p.stock_symbol = c.stock_symbol AND p.date = c.text_date)
-SELECT stock_symbol, date, split, end_pos, round(target, 6) AS target, close_sum, mask_sum, id_sum FROM (
+SELECT stock_symbol, date, split, end_pos, round(target, 6) AS target, close_sum, first_ids, last_ids, last_mask FROM (
 SELECT stock_symbol, date, split, pos AS end_pos, lead(close_scaled, 3) OVER w AS target, row_number() OVER w - 1 AS in_part,
-round(sum(CAST(close_scaled AS FLOAT)::DOUBLE) OVER l, 6) AS close_sum, CAST(sum(n_tokens) OVER l AS BIGINT) AS mask_sum,
-CAST(sum(id_sum) OVER l AS BIGINT) AS id_sum FROM joined
+round(sum(CAST(close_scaled AS FLOAT)::DOUBLE) OVER l, 6) AS close_sum, lag(ids, 49) OVER w AS first_ids, ids AS last_ids,
+CAST(n AS INTEGER) AS last_mask FROM joined
 WINDOW w AS (PARTITION BY stock_symbol, split ORDER BY date),
 l AS (PARTITION BY stock_symbol, split ORDER BY date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))
 WHERE in_part >= 49 AND target IS NOT NULL""",
@@ -248,17 +248,20 @@ def multimodal_sequences(spark, sf_dir):
         "close_scaled",
     )
 
-    def whole(field):
-        return F.aggregate(F.flatten(F.col(f"window.{field}")), F.lit(0).cast("long"), lambda a, x: a + x)
+    def ids(place):
+        step = F.element_at("window", place)["token_ids"]
+        return F.array_join(F.array_remove(step, 0), " ")
 
+    last_mask = F.element_at("window", -1)["mask"]
     return windows.select(
         *KEYS,
         "split",
         "end_pos",
         r6("target").alias("target"),
         r6(total(F.col("window.close_scaled"))).alias("close_sum"),
-        whole("mask").alias("mask_sum"),
-        whole("token_ids").alias("id_sum"),
+        ids(1).alias("first_ids"),
+        ids(-1).alias("last_ids"),
+        F.size(F.array_remove(last_mask, 0)).alias("last_mask"),
     )
 
 

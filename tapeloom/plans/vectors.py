@@ -234,7 +234,7 @@ def attended_bags(spark, sf_dir):
 @plan("pair_regression")
 def pair_regression(spark, sf_dir):
     pairs = neighbours(spark, sf_dir).withColumn("y", F.col("label_diff").cast("double"))
-    split = random_split(pairs, ["id"])
+    split = staged(random_split(pairs, ["id"]), "pairs")
     scored = linear_head(
         split.where(F.col("split") == "train"), split, ["embedding", "next"], "y", reg=0.01
     )
@@ -258,6 +258,7 @@ def single_text_regression(spark, sf_dir):
     labels = adapter.table(spark, sf_dir, "labels").select("doc_id", "quality")
     documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     vectors = hashed_text_vectors(documents, "text").drop("text")
-    data = vectors.join(labels, "doc_id").withColumn("y", F.col("quality").cast("double"))
+    joined = vectors.join(labels, "doc_id").withColumn("y", F.col("quality").cast("double"))
+    data = staged(joined, "labelled")
     scored = linear_head(data, data, ["embedding"], "y", reg=0.01)
     return scored.select("doc_id", "y", r6("prediction").alias("prediction"))

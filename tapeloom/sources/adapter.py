@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tapeloom.functions.text import article_date
 from tapeloom.session import staged
@@ -15,8 +16,16 @@ from tapeloom.session import staged
 SYMBOLS = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its footer is read once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
