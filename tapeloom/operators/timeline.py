@@ -76,7 +76,7 @@ class Timeline:
         cls, df: DataFrame, group: Sequence[str], value: str, bounds: Sequence[float]
     ) -> Timeline:
         """Distinct numbers per group, cut at the given ascending bounds."""
-        splits = [-float("inf"), *bounds, float("inf")]
+        splits = [-float("inf"), *(bounds or [0.0]), float("inf")]
         number = df.withColumn("_number", F.col(value).cast("double"))
         cut = Bucketizer(splits=splits, inputCol="_number", outputCol=SEGMENT)
         return cls(cut.transform(number).drop("_number"), tuple(group), (value,))
