@@ -16,6 +16,9 @@ from tapeloom.functions.vectors import dot, let, total
 from tapeloom.operators.news import daily_mean_embedding
 
 
+MAX_BROADCAST_BYTES = 256 << 20
+
+
 def hashed_text_vectors(df: DataFrame, text: str, dim: int = 64, out: str = "embedding") -> DataFrame:
     """Default text vectors: hashed token counts, length one."""
     counted = HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=dim).transform(
@@ -62,7 +65,13 @@ def masked_mean_pool(bag: Column, mask: Column, dim: int) -> Column:
 def project_embedding(
     df: DataFrame, vector: str, weights: dict[str, np.ndarray], out: str = "projected"
 ) -> DataFrame:
-    """Two dense layers with a ReLU between, one matrix product per Arrow batch."""
+    """Two dense layers with a ReLU between, one matrix product per Arrow batch.
+
+    The weights go to every executor, so their size is checked first.
+    """
+    size = sum(w.nbytes for w in weights.values())
+    if size > MAX_BROADCAST_BYTES:
+        raise ValueError(f"weights of {size} bytes are too large to broadcast")
     shared = df.sparkSession.sparkContext.broadcast(weights)
 
     @F.pandas_udf("array<double>")

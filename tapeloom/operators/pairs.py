@@ -21,7 +21,7 @@ def random_order(
     ``key`` must identify a row.
     """
     tagged = df.withColumns(
-        {"_key": random_key(*key, seed=seed), "_tie": F.concat_ws(":", *[F.col(k).cast("string") for k in key])}
+        {"_key": random_key(*key, seed=seed), "_tie": F.struct(*key)}
     )
     rows = Timeline.by_hash(tagged, (), "_key", "_tie").annotate(position="_pos", total=total)
     return rows.with_columns({out: F.col("_pos") + 1})
@@ -82,8 +82,19 @@ def sampled_pairs(
 
 
 def random_sample(df: DataFrame, key: Sequence[str], n: int, seed: int = SEED) -> DataFrame:
-    """``n`` random rows, or all of them if there are fewer."""
-    return df.orderBy(random_key(*key, seed=seed), *key).limit(n)
+    """``n`` random rows, or all of them if there are fewer.
+
+    The sample is the ``n`` smallest digests. Rows far above that share are left out
+    before the shuffle; if this leaves fewer than ``n``, nothing is left out.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    share = (n + 10.0 * n**0.5 + 10.0) / total
+    near = df.where(uniform(random_key(*key, seed=seed)) < share)
+    chosen = near if near.count() >= n else df
+    picked = random_order(chosen, key, seed).result().where(F.col("rn") <= n)
+    return picked.select(*df.columns)
 
 
 def random_split(df: DataFrame, key: Sequence[str], share: float = 0.2, seed: int = 999) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.operators.joins import salted_join
 from tapeloom.operators.timeline import Timeline
 
 
@@ -109,7 +110,7 @@ def histogram(df: DataFrame, value: str, bins: int, group: Sequence[str] = ()) -
     known = df.where(F.col(value).isNotNull())
     span = known.groupBy(*group).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     if group:
-        placed = known.join(span, list(group))
+        placed = salted_join(known, span, group, "inner", F.col(value))
     else:
         ends = span.first()
         placed = known.withColumns({"_lo": F.lit(ends["_lo"]), "_hi": F.lit(ends["_hi"])})

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from tapeloom.session import staged
 
 SEGMENT = "_segment"
+GROUP = "_group"
+NO_PLACE = -(1 << 62)  # the segment of rows without a date or id: sorted first, as nulls are
 BLOCK = "_block"
 
 
@@ -39,13 +41,13 @@ class Timeline:
     @classmethod
     def by_date(cls, df: DataFrame, group: Sequence[str], date: str, days: int = 256) -> Timeline:
         """One row per (group, date): a segment holds at most ``days`` rows."""
-        segment = F.floor(F.unix_date(F.col(date)) / days)
+        segment = F.coalesce(F.floor(F.unix_date(F.col(date)) / days), F.lit(NO_PLACE))
         return cls(df.withColumn(SEGMENT, segment), tuple(group), (date,))
 
     @classmethod
     def by_id(cls, df: DataFrame, group: Sequence[str], id_col: str, width: int = 1 << 18) -> Timeline:
         """Unique integer ids: a segment holds at most ``width`` rows."""
-        segment = F.floor(F.col(id_col) / width)
+        segment = F.coalesce(F.floor(F.col(id_col) / width), F.lit(NO_PLACE))
         return cls(df.withColumn(SEGMENT, segment), tuple(group), (id_col,))
 
     @classmethod
@@ -82,10 +84,6 @@ class Timeline:
         return cls(cut.transform(number).drop("_number"), tuple(group), (value,))
 
     # -- windows -------------------------------------------------------------
-    def local(self):
-        """The window of one segment."""
-        return Window.partitionBy(*self.group, SEGMENT).orderBy(*self.order)
-
     def with_columns(self, columns: dict[str, Column]) -> Timeline:
         return replace(self, df=self.df.withColumns(columns))
 
@@ -111,7 +109,10 @@ class Timeline:
         """
         running, last, previous = running or {}, last or {}, previous or {}
         following, totals = following or {}, totals or {}
-        group, keys = list(self.group), [*self.group, SEGMENT]
+        # The group as one struct: rows of a null group then meet their summary too.
+        group = [GROUP] if self.group else []
+        keys = [*group, SEGMENT]
+        source = self.df.withColumn(GROUP, F.struct(*self.group)) if group else self.df
         at = F.struct(*self.order)
 
         aggs = [F.count(F.lit(1)).alias("_n")]
@@ -142,9 +143,9 @@ class Timeline:
             cols.append(carried.alias(f"_c_next_{name}"))
         for name, (kind, _) in totals.items():
             cols.append(getattr(F, kind)(f"_tot_{name}").over(across).alias(name))
-        summary = self.df.groupBy(*keys).agg(*aggs).select(*keys, *cols)
+        summary = source.groupBy(*keys).agg(*aggs).select(*keys, *cols)
 
-        here = self.local()
+        here = Window.partitionBy(*keys).orderBy(*self.order)
         upto = here.rowsBetween(Window.unboundedPreceding, 0)
         prior = here.rowsBetween(Window.unboundedPreceding, -1)
         later = here.rowsBetween(1, Window.unboundedFollowing)
@@ -159,7 +160,7 @@ class Timeline:
             own.append(F.last(value, ignorenulls=True).over(prior).alias(f"_l_prev_{name}"))
         for name, value in following.items():
             own.append(F.first(value, ignorenulls=True).over(later).alias(f"_l_next_{name}"))
-        joined = self.df.select("*", *own).join(summary, keys)
+        joined = source.select("*", *own).join(summary, keys)
 
         out = {}
         if position:

@@ -203,7 +203,7 @@ def plain_limit(spark, sf_dir):
 @plan(
     "random_split",
     """SELECT o_orderkey, CASE WHEN rn <= ceil(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM (
-SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey || ':999'), CAST(o_orderkey AS VARCHAR)) AS rn,
+SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey || ':999'), o_orderkey) AS rn,
 count(*) OVER () AS n FROM orders)""",
 )
 def random_split(spark, sf_dir):

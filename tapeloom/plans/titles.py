@@ -76,7 +76,7 @@ def dated_title_batches(spark, sf_dir):
 
 
 PAIRED = """
-SELECT *, row_number() OVER (ORDER BY md5(date || ':' || article_group || ':42'), date || ':' || article_group) AS rn
+SELECT *, row_number() OVER (ORDER BY md5(date || ':' || article_group || ':42'), date, article_group) AS rn
 FROM {0} WHERE date IS NOT NULL"""
 
 
@@ -155,7 +155,7 @@ def paired_buckets_one_pass(spark, sf_dir):
     )
 
 
-ORDERED_DOCS = "SELECT doc_id, row_number() OVER (ORDER BY md5(doc_id || ':42'), CAST(doc_id AS VARCHAR)) AS rn FROM documents"
+ORDERED_DOCS = "SELECT doc_id, row_number() OVER (ORDER BY md5(doc_id || ':42'), doc_id) AS rn FROM documents"
 
 
 @plan(

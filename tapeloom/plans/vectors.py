@@ -21,6 +21,7 @@ from tapeloom.operators.embedding import (
     score_batches,
     symbol_queries,
 )
+from tapeloom.operators.joins import salted_join
 from tapeloom.operators.models import flatten_window, linear_head
 from tapeloom.operators.news import news_bag
 from tapeloom.operators.pairs import random_split
@@ -225,7 +226,8 @@ FROM scores s JOIN elements e USING (id) GROUP BY s.stock_symbol, s.date, place"
 )
 def attended_bags(spark, sf_dir):
     vectors = adapter.vectors(spark, sf_dir)
-    bags = news_bag(vectors).join(symbol_queries(vectors), "stock_symbol")
+    queries = symbol_queries(vectors)
+    bags = salted_join(news_bag(vectors), queries, ["stock_symbol"], "inner", F.col("date"))
     bag, mask = F.col("bag"), F.col("mask")
     pooled = attention_pool(bag, bag, mask, F.col("query"), 64)
     return places(bags.select(*KEYS, pooled.alias("vector")), KEYS, "vector")

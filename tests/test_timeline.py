@@ -105,3 +105,17 @@ def test_bounds_only_steer_the_work(hot):
         got = rows.annotate(running={"upto": F.col("n")}).result().orderBy("v").collect()
         assert got[-1].upto == hot.where("v is not null").count()
         assert all(a.upto < b.upto for a, b in zip(got, got[1:]))
+
+
+def test_rows_without_a_date_are_kept(spark):
+    rows = [(1, "a", None), (2, "a", START), (3, "a", START + dt.timedelta(days=900))]
+    df = spark.createDataFrame(rows, "id long, g string, date date")
+    got = Timeline.by_date(df, ("g",), "date").annotate(position="pos").result()
+    assert collected(got, "pos") == [(1, 0), (2, 1), (3, 2)]
+
+
+def test_rows_of_a_null_group_are_kept(spark):
+    rows = [(i, None if i % 2 else "a") for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, g string")
+    got = Timeline.by_id(df, ("g",), "id", width=3).annotate(position="pos", total="n").result()
+    assert collected(got, "pos", "n") == [(i, i // 2, 10) for i in range(20)]
