@@ -48,6 +48,7 @@ def article_groups(
     ``dedup='after_rank'`` takes DISTINCT (day, title, rank) and thus removes
     nothing; ``'before_rank'`` keeps one article per (day, title).
     """
+    news = news.select("id", "date", "article_title")  # whole articles need not travel
     if dedup == "before_rank":
         day = article_date(F.col("date"))
         news = (

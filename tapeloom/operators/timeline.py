@@ -9,6 +9,7 @@ fixed number of rows around use equal blocks plus copied border rows.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
@@ -19,11 +20,37 @@ from pyspark.sql import functions as F
 from tapeloom.session import staged
 
 SEGMENT = "_segment"
-GROUP = "_group"
 NO_PLACE = -(1 << 62)  # the segment of rows without a date or id: sorted first, as nulls are
 BLOCK = "_block"
 
 
+# What stands for null in a key column, by type.
+STAND_INS = {
+    "string": "",
+    "date": dt.date(1970, 1, 1),
+    "boolean": False,
+    "double": 0.0,
+    "bigint": 0,
+    "int": 0,
+}
+
+
+def null_safe_keys(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """Key columns that are never null, so that a null group finds its summary.
+
+    Each column becomes its value or a stand-in, and whether it was null; plain
+    types keep sorting and hashing fast.
+    """
+    types, keys = dict(df.dtypes), {}
+    for i, c in enumerate(columns):
+        if types[c] in STAND_INS:
+            keys[f"_g{i}"] = F.coalesce(F.col(c), F.lit(STAND_INS[types[c]]))
+            keys[f"_g{i}_null"] = F.col(c).isNull()
+        else:
+            keys[f"_g{i}"] = F.struct(c)
+    return keys
+
+
 def hash_buckets(df: DataFrame) -> int:
     """Segments for hash-ordered rows: a few per shuffle partition."""
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -109,10 +136,10 @@ class Timeline:
         """
         running, last, previous = running or {}, last or {}, previous or {}
         following, totals = following or {}, totals or {}
-        # The group as one struct: rows of a null group then meet their summary too.
-        group = [GROUP] if self.group else []
+        group_keys = null_safe_keys(self.df, self.group)
+        group = list(group_keys)
         keys = [*group, SEGMENT]
-        source = self.df.withColumn(GROUP, F.struct(*self.group)) if group else self.df
+        source = self.df.withColumns(group_keys) if group else self.df
         at = F.struct(*self.order)
 
         aggs = [F.count(F.lit(1)).alias("_n")]

@@ -119,3 +119,12 @@ def test_rows_of_a_null_group_are_kept(spark):
     df = spark.createDataFrame(rows, "id long, g string")
     got = Timeline.by_id(df, ("g",), "id", width=3).annotate(position="pos", total="n").result()
     assert collected(got, "pos", "n") == [(i, i // 2, 10) for i in range(20)]
+    small = df.withColumn("g", F.when(F.col("g").isNotNull(), F.lit(1).cast("smallint")))
+    got = Timeline.by_id(small, ("g",), "id", width=3).annotate(position="pos").result()
+    assert collected(got, "pos") == [(i, i // 2) for i in range(20)]
+
+
+def test_empty_strings_and_nulls_are_different_groups(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, None)], "id long, g string")
+    got = Timeline.by_id(df, ("g",), "id").annotate(position="pos", total="n").result()
+    assert collected(got, "pos", "n") == [(1, 0, 2), (2, 0, 1), (3, 1, 2)]
