@@ -43,31 +43,28 @@ SELECT *, CAST(ntile(10) OVER (PARTITION BY stock_symbol ORDER BY volume_delta,
        CAST(ntile(10) OVER (PARTITION BY stock_symbol ORDER BY volume_change_ratio, date) AS INTEGER)
            AS volume_change_ratio_decile_bucket
 FROM changes WHERE volume_delta IS NOT NULL AND volume_change_ratio IS NOT NULL""",
+    "titles": """
+SELECT id, article_title, TRY_CAST(substr(date, 1, 10) AS DATE) AS clean_date FROM news""",
     "title_groups": """
-SELECT *, (rn - 1) // 10 AS article_group FROM (
-  SELECT TRY_CAST(substr(date, 1, 10) AS DATE) AS clean_date, id, article_title,
-         row_number() OVER (PARTITION BY TRY_CAST(substr(date, 1, 10) AS DATE)
-                            ORDER BY article_title NULLS LAST, id) AS rn
-  FROM news)""",
+SELECT *, row_number() OVER w AS rn, (row_number() OVER w - 1) // 10 AS article_group FROM titles
+WINDOW w AS (PARTITION BY clean_date ORDER BY article_title NULLS LAST, id)""",
     "random_groups": """
-SELECT *, (rn - 1) // 10 AS article_group FROM (
-  SELECT TRY_CAST(substr(date, 1, 10) AS DATE) AS clean_date, id, article_title,
-         row_number() OVER (PARTITION BY TRY_CAST(substr(date, 1, 10) AS DATE)
-                            ORDER BY md5(id || ':42'), id) AS rn
-  FROM news)""",
+SELECT *, row_number() OVER w AS rn, (row_number() OVER w - 1) // 10 AS article_group FROM titles
+WINDOW w AS (PARTITION BY clean_date ORDER BY md5(id || ':42'), id)""",
     "title_batches": """
-SELECT t1.date, article_group, any_value(t1.volume_change_ratio_decile_bucket) AS volume_change_ratio_decile_bucket,
-       any_value(t1.volume_delta_decile_bucket) AS volume_delta_decile_bucket,
-       coalesce(string_agg(article_title, '|' ORDER BY clean_date NULLS FIRST, rn), '') AS aggregated_article_title
-FROM title_groups t2 LEFT JOIN (SELECT * FROM deciles WHERE stock_symbol = '1-urgent') t1 ON t2.clean_date = t1.date
-GROUP BY t1.date, article_group""",
+SELECT bar.date, g.article_group, min(bar.volume_change_ratio_decile_bucket) AS volume_change_ratio_decile_bucket,
+       min(bar.volume_delta_decile_bucket) AS volume_delta_decile_bucket,
+       coalesce(string_agg(g.article_title, '|' ORDER BY g.clean_date NULLS FIRST, g.rn), '') AS aggregated_article_title
+FROM title_groups g
+LEFT JOIN deciles bar ON bar.date = g.clean_date AND bar.stock_symbol = '1-urgent'
+GROUP BY ALL""",
     "gap_batches": """
-SELECT t1.date, article_group, any_value(t1.open_lead_close_lag_change_pct) AS open_lead_close_lag_change_pct,
-       any_value(volume_delta_decile_bucket) AS volume_delta_decile_bucket,
-       any_value(volume_change_ratio_decile_bucket) AS volume_change_ratio_decile_bucket,
-       coalesce(string_agg(article_title, '|' ORDER BY rn), '') AS aggregated_article_title
-FROM random_groups t2 JOIN (SELECT * FROM deciles WHERE stock_symbol = '2-high') t1 ON t2.clean_date = t1.date
-GROUP BY t1.date, article_group""",
+SELECT bar.date, g.article_group, min(bar.open_lead_close_lag_change_pct) AS open_lead_close_lag_change_pct,
+       min(bar.volume_delta_decile_bucket) AS volume_delta_decile_bucket,
+       min(bar.volume_change_ratio_decile_bucket) AS volume_change_ratio_decile_bucket,
+       coalesce(string_agg(g.article_title, '|' ORDER BY g.rn), '') AS aggregated_article_title
+FROM random_groups g JOIN deciles bar ON bar.date = g.clean_date
+WHERE bar.stock_symbol = '2-high' GROUP BY ALL""",
     "targets": """
 SELECT date, stock_symbol, close_t_minus_1, open_t_plus_1,
        (open_t_plus_1 - close_t_minus_1) / nullif(close_t_minus_1, 0) AS y
@@ -118,8 +115,9 @@ NEEDS = {
     "bars": ["prices"],
     "changes": ["prices"],
     "deciles": ["changes"],
-    "title_groups": ["news"],
-    "random_groups": ["news"],
+    "titles": ["news"],
+    "title_groups": ["titles"],
+    "random_groups": ["titles"],
     "title_batches": ["title_groups", "deciles"],
     "gap_batches": ["random_groups", "deciles"],
     "gappy": ["prices"],

@@ -75,20 +75,25 @@ def dated_title_batches(spark, sf_dir):
     return kept.select("date", "article_group", "volume_delta_decile_bucket", "aggregated_article_title")
 
 
-PAIRED = """
-SELECT *, row_number() OVER (ORDER BY md5(date || ':' || article_group || ':42'), date, article_group) AS rn
-FROM {0} WHERE date IS NOT NULL"""
+# Each batch with the next one in digest order.
+CHAINED = """, chained AS (SELECT row_number() OVER w AS rn, this, lead(this) OVER w AS following
+FROM {0} AS this WHERE this.date IS NOT NULL
+WINDOW w AS (ORDER BY md5(this.date || ':' || this.article_group || ':42'), this.date, this.article_group))
+"""
+BOTH_TITLES = """rn, this.aggregated_article_title AS concatarticles1, this.date AS date1,
+following.aggregated_article_title AS concatarticles2, following.date AS date2"""
+
+
+def same_sql(column: str, name: str) -> str:
+    return f"CAST(CASE WHEN this.{column} = following.{column} THEN 1 ELSE 0 END AS INTEGER) AS {name}"
 
 
 @plan(
     "matched_pairs",
     check_sql(
         "title_batches",
-        body=f""", r AS ({PAIRED.format('title_batches')})
-SELECT t1.rn, t1.aggregated_article_title AS concatarticles1, t1.date AS date1,
-t2.aggregated_article_title AS concatarticles2, t2.date AS date2,
-CAST(CASE WHEN t1.volume_change_ratio_decile_bucket = t2.volume_change_ratio_decile_bucket THEN 1 ELSE 0 END AS INTEGER)
-AS samebucket FROM r t1 JOIN r t2 ON t1.rn = t2.rn - 1""",
+        body=CHAINED.format("title_batches")
+        + f"SELECT {BOTH_TITLES}, {same_sql(BUCKETS[1], 'samebucket')} FROM chained WHERE following IS NOT NULL",
     ),
 )
 def matched_pairs(spark, sf_dir):
@@ -107,12 +112,9 @@ def matched_pairs(spark, sf_dir):
     "paired_gap_changes",
     check_sql(
         "gap_batches",
-        body=f""", r AS ({PAIRED.format('gap_batches')})
-SELECT t1.rn, t1.aggregated_article_title AS concatarticles1, t1.date AS date1,
-round(t1.open_lead_close_lag_change_pct, 6) AS vol_diff1,
-t2.aggregated_article_title AS concatarticles2, t2.date AS date2, round(t2.open_lead_close_lag_change_pct, 6) AS vol_diff2,
-round(t2.open_lead_close_lag_change_pct - t1.open_lead_close_lag_change_pct, 6) AS vol_1_vs_2
-FROM r t1 JOIN r t2 ON t1.rn = t2.rn - 1""",
+        body=CHAINED.format("gap_batches")
+        + f"""SELECT {BOTH_TITLES}, round(this.{GAP}, 6) AS vol_diff1, round(following.{GAP}, 6) AS vol_diff2,
+round(following.{GAP} - this.{GAP}, 6) AS vol_1_vs_2 FROM chained WHERE following IS NOT NULL""",
     ),
 )
 def paired_gap_changes(spark, sf_dir):
@@ -128,15 +130,11 @@ def paired_gap_changes(spark, sf_dir):
     "paired_buckets_one_pass",
     check_sql(
         "gap_batches",
-        body=f""", r AS ({PAIRED.format('gap_batches')})
-SELECT t1.rn, t1.aggregated_article_title AS concatarticles1, t1.date AS date1,
-t1.volume_delta_decile_bucket AS bucket_delta1, t1.volume_change_ratio_decile_bucket AS bucket_ratio1,
-t2.aggregated_article_title AS concatarticles2, t2.date AS date2,
-t2.volume_delta_decile_bucket AS bucket_delta2, t2.volume_change_ratio_decile_bucket AS bucket_ratio2,
-CAST(CASE WHEN t1.volume_delta_decile_bucket = t2.volume_delta_decile_bucket THEN 1 ELSE 0 END AS INTEGER)
-AS samebucket_delta,
-CAST(CASE WHEN t1.volume_change_ratio_decile_bucket = t2.volume_change_ratio_decile_bucket THEN 1 ELSE 0 END AS INTEGER)
-AS samebucket_ratio FROM r t1 JOIN r t2 ON t1.rn = t2.rn - 1""",
+        body=CHAINED.format("gap_batches")
+        + f"""SELECT {BOTH_TITLES}, this.{BUCKETS[0]} AS bucket_delta1, this.{BUCKETS[1]} AS bucket_ratio1,
+following.{BUCKETS[0]} AS bucket_delta2, following.{BUCKETS[1]} AS bucket_ratio2,
+{same_sql(BUCKETS[0], 'samebucket_delta')}, {same_sql(BUCKETS[1], 'samebucket_ratio')}
+FROM chained WHERE following IS NOT NULL""",
     ),
 )
 def paired_buckets_one_pass(spark, sf_dir):
@@ -160,8 +158,8 @@ ORDERED_DOCS = "SELECT doc_id, row_number() OVER (ORDER BY md5(doc_id || ':42'),
 
 @plan(
     "adjacent_pairs",
-    f"""WITH r AS ({ORDERED_DOCS}) SELECT t1.rn, t1.doc_id AS doc_id1, t2.doc_id AS doc_id2
-FROM r t1 JOIN r t2 ON t1.rn = t2.rn - 1""",
+    f"""SELECT * FROM (SELECT rn, doc_id AS doc_id1, lead(doc_id) OVER (ORDER BY rn) AS doc_id2
+FROM ({ORDERED_DOCS})) WHERE doc_id2 IS NOT NULL""",
 )
 def adjacent_documents(spark, sf_dir):
     documents = adapter.table(spark, sf_dir, "documents").select("doc_id")
@@ -214,10 +212,10 @@ def distinct_titles_after_rank(spark, sf_dir):
 @plan(
     "distinct_titles_before_rank",
     check_sql(
-        "news",
-        body="""SELECT clean_date, article_title, id, rn, (rn - 1) // 10 AS article_group FROM (
-SELECT *, row_number() OVER (PARTITION BY clean_date ORDER BY md5(id || ':42'), id) AS rn FROM (
-SELECT TRY_CAST(substr(date, 1, 10) AS DATE) AS clean_date, article_title, min(id) AS id FROM news GROUP BY 1, 2))""",
+        "titles",
+        body="""SELECT clean_date, article_title, id, row_number() OVER w AS rn, (row_number() OVER w - 1) // 10 AS article_group
+FROM (SELECT clean_date, article_title, min(id) AS id FROM titles GROUP BY ALL)
+WINDOW w AS (PARTITION BY clean_date ORDER BY md5(id || ':42'), id)""",
     ),
 )
 def distinct_titles_before_rank(spark, sf_dir):
