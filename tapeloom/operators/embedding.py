@@ -39,7 +39,8 @@ def score_batches(
     """Run a caller's model over a text column in Arrow batches.
 
     ``load`` is called once per task and returns a function from a series of texts
-    to one value per text; only the text crosses to Python.
+    to one value per text; only the text crosses to Python. It must be importable on
+    the executors or be a local function.
     """
 
     @F.pandas_udf(out_type)

@@ -75,16 +75,6 @@ def text_embedding(spark, sf_dir):
     return hashed_text_vectors(documents, "text").drop("text")
 
 
-def load_letter_model():
-    """A stand-in model: how often each of five letters occurs in a text."""
-
-    def model(texts):
-        for text in texts:
-            yield [float(text.count(letter)) for letter in "aeiou"]
-
-    return model
-
-
 @plan(
     "text_model_batches",
     """SELECT doc_id, CAST(i - 1 AS INTEGER) AS place,
@@ -93,7 +83,13 @@ FROM documents, (SELECT unnest(generate_series(1, 5)) AS i)""",
 )
 def text_model_batches(spark, sf_dir):
     documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
-    scored = score_batches(documents, "text", load_letter_model, "vector", "array<double>")
+
+    def load():
+        # A stand-in model: how often each of five letters occurs in a text. It is
+        # local, so that it travels to executors that do not have this package.
+        return lambda texts: [[float(text.count(c)) for c in "aeiou"] for text in texts]
+
+    scored = score_batches(documents, "text", load, "vector", "array<double>")
     return places(scored, ["doc_id"], "vector")
 
 
