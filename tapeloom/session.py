@@ -32,25 +32,44 @@ def local_session(cores: str = "8", app: str = "tapeloom", **extra: str) -> Spar
     return spark
 
 
+#: Per application: the root chosen where none is configured, and the paths made below the root.
+_ROOTS: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``; the setting is read, never written.
 
-    Only a local-mode session may fall back to a temporary folder: on a cluster
-    a machine-local path would be lost with its executor.
+    Only a local-mode session without the setting gets a temporary folder of its
+    own: on a cluster a machine-local path would be lost with its executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tapeloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        _ROOTS[app] = tempfile.mkdtemp(prefix="tapeloom-")
+    return _ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the scratch root; nothing is created or removed here."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the scratch root; ``release`` removes what was written there."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the stored copies of this application; results that read them end here."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        removed += bool(place.getFileSystem(conf).delete(place, True))
+    return removed
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
