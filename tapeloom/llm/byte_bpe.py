@@ -28,7 +28,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.runtime import arrow_map, column, shared_file
+from tapeloom.llm.runtime import arrow_map, column, quoted, shared_file
 
 #: Code points of a window, and of the part it shares with the next one.
 WINDOW, OVERLAP = 16_384, 512
@@ -201,7 +201,7 @@ def encode_decode(
     ranks = shared_file(spark, ranks_path)
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"id {id_type}, ids binary, decoded binary"
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"))
     length = F.length(F.coalesce("text", F.lit("")))
 
     def encode(batches):

@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import byte_bpe
+from tapeloom.llm import byte_bpe, line_dedup, quality, token_counts
 from tapeloom.llm.runtime import documents
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+WORD_MERGES = "word_bpe_49k.json"
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,8 +27,47 @@ def encoded(docs: DataFrame) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.judged(documents(spark, sf_dir).select("doc_id", "text"))
+    names = [f[0] for f in quality.FIELDS if f[0] != "kept_text"]
+    return rows.select("doc_id", *[F.col(f"verdict.{n}").alias(n) for n in names])
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(WORD_MERGES))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_quality": op3_quality,
+    "op5_token_counts": op5_token_counts,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 SQL: dict[str, str] = {}
+
+# chr(9)..chr(13) and the space are the white space of a line's ends.
+SQL["op10_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), frequent AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.*, f.keeper IS NOT NULL AND f.keeper <> k.doc_id AS gone
+  FROM keyed k LEFT JOIN frequent f USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""

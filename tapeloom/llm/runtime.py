@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tapeloom.session import scratch_path
@@ -59,6 +60,16 @@ def arrow_map(
     return df.mapInArrow(batches, schema)
 
 
+def quoted(name: str) -> str:
+    """A column name as ``F.col`` takes it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed(columns: list[str]) -> Column:
+    """Columns as one struct, so that their names meet no others."""
+    return F.struct(*map(quoted, columns)) if columns else F.lit(0)
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
