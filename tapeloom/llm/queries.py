@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import byte_bpe, line_dedup, quality, token_counts
+from tapeloom.llm import byte_bpe, html_text, line_dedup, quality, token_counts
 from tapeloom.llm.runtime import documents
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -37,6 +37,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(WORD_MERGES))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(documents(spark, sf_dir, "pages"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -46,6 +50,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_quality": op3_quality,
     "op5_token_counts": op5_token_counts,
+    "op7_html_text": op7_html_text,
     "op10_line_dedup": op10_line_dedup,
 }
 
