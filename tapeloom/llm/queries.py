@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import byte_bpe, html_text, line_dedup, quality, token_counts
+from tapeloom.llm import byte_bpe, html_text, line_dedup, near_dedup, quality, token_counts
 from tapeloom.llm.runtime import documents
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -33,6 +33,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *[F.col(f"verdict.{n}").alias(n) for n in names])
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), size=4)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(WORD_MERGES))
 
@@ -49,6 +53,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_quality": op3_quality,
+    "op4_near_dedup": op4_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op7_html_text": op7_html_text,
     "op10_line_dedup": op10_line_dedup,
