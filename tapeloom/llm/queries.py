@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import byte_bpe, html_text, line_dedup, near_dedup, quality, token_counts
+from tapeloom.llm import byte_bpe, html_text, line_dedup, near_dedup, quality, token_counts, url_filter
 from tapeloom.llm.runtime import documents
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,19 @@ def encoded(docs: DataFrame) -> DataFrame:
     )
 
 
+#: The rules that the url query judges by.
+URL_RULES = [
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(documents(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(documents(spark, sf_dir).select("doc_id", "text"))
     names = [f[0] for f in quality.FIELDS if f[0] != "kept_text"]
@@ -52,6 +65,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_url_filter": op2_url_filter,
     "op3_quality": op3_quality,
     "op4_near_dedup": op4_near_dedup,
     "op5_token_counts": op5_token_counts,
@@ -81,3 +95,74 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+def _url_level(level: int, source: str) -> str:
+    """SQL for one level of the path-template tree: table t<level> from ``source``."""
+    above = ", ".join(["host", *[f"g{k}" for k in range(1, level)]])
+    seg, name = f"s{level}", f"g{level}"
+
+    def differ(x: str) -> str:
+        b, n, b0, n0 = (f"{c}::DOUBLE" for c in (x, "n", f"{x}0", "n0"))
+        gap = f"({b} * {n0} - {b0} * {n})"
+        return f"{gap} * {gap} * ({n} + {n0}) > 3.8416::DOUBLE * ({b} + {b0}) * ({n} + {n0} - {b} - {b0}) * {n} * {n0}"
+
+    return f"""
+c{level} AS (
+  SELECT {above}, {seg}, sum(n) AS n, sum(bad) AS bad, sum(good) AS good FROM {source} GROUP BY {above}, {seg}
+), k{level} AS (
+  SELECT *, CASE WHEN kids > 50 AND n * 50 < total THEN '*' ELSE {seg} END AS kind
+  FROM (SELECT *, sum(n) OVER (PARTITION BY {above}) AS total, count(*) OVER (PARTITION BY {above}) AS kids FROM c{level})
+), m{level} AS (
+  SELECT {above}, kind, sum(n) AS n, sum(bad) AS bad, sum(good) AS good FROM k{level} GROUP BY {above}, kind
+), b{level} AS (
+  SELECT *, lag(n) OVER o AS n0, lag(bad) OVER o AS bad0, lag(good) OVER o AS good0 FROM m{level}
+  WINDOW o AS (PARTITION BY {above} ORDER BY bad / n, good / n, kind)
+), r{level} AS (
+  SELECT *, sum(CASE WHEN n0 IS NULL OR {differ("bad")} OR {differ("good")} THEN 1 ELSE 0 END)
+    OVER (PARTITION BY {above} ORDER BY bad / n, good / n, kind ROWS UNBOUNDED PRECEDING) AS run
+  FROM b{level}
+), v{level} AS (
+  SELECT {above}, kind, min(kind) OVER w || CASE WHEN count(*) OVER w > 1 THEN '+' ELSE '' END AS {name} FROM r{level}
+  WINDOW w AS (PARTITION BY {above}, run)
+), t{level} AS (
+  SELECT s.*, v.{name} FROM {source} s JOIN k{level} USING ({above}, {seg}) JOIN v{level} v USING ({above}, kind)
+)"""
+
+
+SQL["op2_url_filter"] = f"""
+WITH parsed AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), rules(rule, action) AS (
+  VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'), ('org/fr/', 'allow')
+), fits AS (
+  SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS ruled
+  FROM parsed LEFT JOIN rules
+    ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+   AND starts_with(path, substr(rule, strpos(rule, '/')))
+  GROUP BY page_id, host, path
+), cut AS (
+  SELECT *, string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(path, '[0-9a-f]{{16,}}', '{{x}}', 'g'),
+           '[0-9]+', '{{n}}', 'g'), '/+', '/', 'g'), '^/|/$', '', 'g'), '/') AS parts
+  FROM fits
+), urls AS (
+  SELECT *, coalesce(parts[1], '') AS s1, coalesce(parts[2], '') AS s2, coalesce(parts[3], '') AS s3,
+         CASE WHEN len(parts) > 3 THEN '**' ELSE '' END AS s4
+  FROM cut
+), t0 AS (
+  SELECT host, s1, s2, s3, s4, count(*) AS n, count(*) FILTER (ruled = 'block') AS bad,
+         count(*) FILTER (ruled = 'allow') AS good
+  FROM urls WHERE host <> '' GROUP BY host, s1, s2, s3, s4
+), {", ".join(_url_level(k, f"t{k - 1}") for k in (1, 2, 3))}, leaves AS (
+  SELECT *, host || concat(CASE WHEN g1 <> '' THEN '/' || g1 END, CASE WHEN g2 <> '' THEN '/' || g2 END,
+                           CASE WHEN g3 <> '' THEN '/' || g3 END, CASE WHEN s4 <> '' THEN '/' || s4 END) AS template,
+         (sum(bad) OVER w + 0.1::DOUBLE * 5) / (sum(bad) OVER w + sum(good) OVER w + 5) AS badness
+  FROM t3 WINDOW w AS (PARTITION BY host, g1, g2, g3, s4)
+)
+SELECT page_id, host, path, rule, template, coalesce(badness, 0.1::DOUBLE) AS badness,
+       coalesce(ruled, CASE WHEN badness >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM urls LEFT JOIN leaves USING (host, s1, s2, s3, s4)
+"""
