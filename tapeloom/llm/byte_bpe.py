@@ -169,14 +169,15 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(k, _BATCH)
 
 
-def _packed(numbers_: list[int]) -> bytes:
-    return array("i", numbers_).tobytes()
+def _packed(sizes: list[int]) -> bytes:
+    """Sizes inside a window: two bytes each, as a window has at most 2**14 code points and four times as many bytes."""
+    return array("H", sizes).tobytes()
 
 
-def _unpacked(packed: bytes) -> list[int]:
-    out = array("i")
+def _ends(packed: bytes, start: int) -> list[int]:
+    out = array("H")
     out.frombytes(packed)
-    return out.tolist()
+    return list(accumulate(out, initial=start))
 
 
 def encode_decode(
@@ -195,8 +196,8 @@ def encode_decode(
     tokens are ordinary text. A text of one window is encoded where it is read; the windows
     of longer ones are dealt out over the tasks and meet again by (id, digest of the text).
     """
-    if not 2 * LOOKAHEAD < overlap < window:
-        raise ValueError("the overlap must be shorter than the window")
+    if not 2 * LOOKAHEAD < overlap < window <= 1 << 14:
+        raise ValueError("the overlap must be shorter than the window, and that at most 16,384")
     spark = docs.sparkSession
     ranks = shared_file(spark, ranks_path)
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -230,8 +231,8 @@ def encode_decode(
         for batch in _rows(batches):
             made = [pretokenised(bpe, s, t) for s, t in zip(column(batch, "start"), column(batch, "text"))]
             packed = {
-                "at": [_packed(w.at) for w in made],
-                "sizes": [_packed([len(i) for i in w.ids]) for w in made],
+                "lengths": [_packed([b - a for a, b in zip(w.at, w.at[1:])]) for w in made],
+                "counts": [_packed([len(i) // 4 for i in w.ids]) for w in made],
                 "ids": [b"".join(w.ids) for w in made],
             }
             yield pa.RecordBatch.from_arrays(
@@ -249,9 +250,9 @@ def encode_decode(
     key = f"id {id_type}, digest binary"
     windows = arrow_map(rows.where(length > window), cut, f"{key}, start int, text string")
     windows = windows.repartition("id", "digest", "start")
-    windows = arrow_map(windows, pretokenise, f"{key}, start int, text string, at binary, sizes binary, ids binary")
+    windows = arrow_map(windows, pretokenise, f"{key}, start int, text string, lengths binary, counts binary, ids binary")
     whole = windows.groupBy("id", "digest").agg(
-        F.sort_array(F.collect_list(F.struct("start", "text", "at", "sizes", "ids"))).alias("windows")
+        F.sort_array(F.collect_list(F.struct("start", "text", "lengths", "counts", "ids"))).alias("windows")
     )
     long = arrow_map(whole.select("id", "windows"), join, schema)
     short = arrow_map(rows.where(length <= window), encode, schema)
@@ -259,9 +260,9 @@ def encode_decode(
 
 
 def _window(part: dict) -> Window:
-    ends = list(accumulate(_unpacked(part["sizes"]), initial=0))
-    ids = [part["ids"][a:b] for a, b in zip(ends, ends[1:])]
-    return Window(part["start"], part["text"], _unpacked(part["at"]), ids)
+    ends = _ends(part["counts"], 0)
+    ids = [part["ids"][4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
+    return Window(part["start"], part["text"], _ends(part["lengths"], part["start"]), ids)
 
 
 def _result(keys: pa.Array, ids: list[bytes], bpe: ByteBpe) -> pa.RecordBatch:
