@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import byte_bpe, html_text, line_dedup, near_dedup, quality, token_counts, url_filter
+from tapeloom.llm import byte_bpe, decontaminate, html_text, line_dedup, near_dedup, quality, token_counts, url_filter
 from tapeloom.llm.runtime import documents
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -58,6 +58,10 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(documents(spark, sf_dir, "pages"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -70,6 +74,7 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op7_html_text": op7_html_text,
+    "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
 }
 
@@ -166,3 +171,42 @@ SELECT page_id, host, path, rule, template, coalesce(badness, 0.1::DOUBLE) AS ba
        coalesce(ruled, CASE WHEN badness >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict
 FROM urls LEFT JOIN leaves USING (host, s1, s2, s3, s4)
 """
+
+
+def _seed(words: str, at: str) -> str:
+    """SQL for the tokens under each mask at a position, as a list of strings."""
+    masks = [
+        f"'{n} ' || " + " || ' ' || ".join(f"{words}[{at} + {k + 1}]" for k, one in enumerate(mask) if one == "1")
+        for n, mask in enumerate(decontaminate.MASKS)
+    ]
+    return f"[{', '.join(masks)}]"
+
+
+_TOKENS = r"string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' ')"
+
+SQL["op9_decontaminate"] = f"""
+WITH docs AS (
+  SELECT doc_id, {_TOKENS} AS words FROM documents
+), items AS (
+  SELECT DISTINCT item_id, {_TOKENS} AS item_words FROM benchmark
+), doc_places AS (
+  SELECT doc_id, words, unnest(range(0, len(words) - 9)) AS pos FROM docs WHERE len(words) >= 10
+), doc_seeds AS (
+  SELECT doc_id, pos, unnest({_seed("words", "pos")}) AS seed FROM doc_places
+), item_places AS (
+  SELECT item_id, item_words, unnest(range(0, len(item_words) - 9)) AS item_at FROM items WHERE len(item_words) >= 10
+), item_seeds AS (
+  SELECT item_id, item_at, unnest({_seed("item_words", "item_at")}) AS seed FROM item_places
+), hits AS (
+  SELECT doc_id, item_id, pos, item_at, words, item_words,
+         greatest(0, item_at - 10) AS first, least(len(item_words), item_at + 20) AS past
+  FROM doc_seeds JOIN item_seeds USING (seed) JOIN docs USING (doc_id) JOIN items USING (item_id)
+), compared AS (
+  SELECT doc_id, item_id, past - first AS compared,
+         len(list_filter(range(first, past), lambda k: k + pos - item_at >= 0
+             AND words[k + pos - item_at + 1] IS NOT DISTINCT FROM item_words[k + 1])) AS agree
+  FROM hits
+)
+SELECT doc_id, item_id, count(*) AS n_hits, max(agree) AS most_agreeing
+FROM compared WHERE agree * 100 >= compared * 75 GROUP BY doc_id, item_id
+"""
