@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import byte_bpe, decontaminate, html_text, line_dedup, near_dedup, quality, token_counts, url_filter
+from tapeloom.llm import byte_bpe, decontaminate, html_text, line_dedup, near_dedup, ngram_lm, quality, token_counts, url_filter
 from tapeloom.llm.runtime import documents
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -58,6 +58,22 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(documents(spark, sf_dir, "pages"))
 
 
+def op8_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    docs = documents(spark, sf_dir)
+    model = ngram_lm.train(docs.where(~held_out))
+    scored = ngram_lm.score(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -74,6 +90,7 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op7_html_text": op7_html_text,
+    "op8_ngram_lm": op8_ngram_lm,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
 }
