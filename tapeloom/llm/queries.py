@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import byte_bpe, decontaminate, html_text, line_dedup, near_dedup, ngram_lm, quality, token_counts, url_filter
+from tapeloom.llm import byte_bpe, decontaminate, html_text, license_scan, line_dedup, near_dedup, ngram_lm, quality, token_counts, url_filter
 from tapeloom.llm.runtime import documents
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -54,6 +54,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(WORD_MERGES))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return license_scan.scan(docs, license_scan.train(docs))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(documents(spark, sf_dir, "pages"))
 
@@ -89,6 +94,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_near_dedup": op4_near_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_license_scan": op6_license_scan,
     "op7_html_text": op7_html_text,
     "op8_ngram_lm": op8_ngram_lm,
     "op9_decontaminate": op9_decontaminate,
