@@ -10,17 +10,42 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from tapeloom.llm import queries  # noqa: E402
+from tapeloom.llm import decontaminate, line_dedup, near_dedup, quality, queries  # noqa: E402
 from tapeloom.llm.runtime import documents, stored  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Failing lines go, and the documents that fail or lose too much."""
+    return quality.clean(docs)
+
+
+def frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of three or more documents stay in one of them."""
+    return line_dedup.clean(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8."""
+    return near_dedup.keep_one(docs)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontaminate.remove(docs, documents(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token numbers and digests of the documents that are left."""
     return queries.encoded(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", frequent_lines),
+    ("near_dedup", near_copies),
+    ("decontaminate", benchmark_passages),
     ("encode", encode),
 ]
 
