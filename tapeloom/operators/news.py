@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions.keys import random_key
 from tapeloom.functions.text import article_date
 from tapeloom.operators.joins import salted_join
+from tapeloom.operators.series import ffill_key
 from tapeloom.operators.timeline import Timeline
 
 GROUP_SIZE = 10
@@ -117,26 +118,36 @@ def daily_text(
     keys: Sequence[str] = ("stock_symbol", "date"),
     part_rows: int = 1000,
 ) -> DataFrame:
-    """The day's texts joined by blanks, in id order.
+    """The day's texts joined by blanks, in id order: one row per day, of any size.
 
-    A day with more than ``part_rows`` texts comes as numbered parts, so that no
-    cell or task holds an unbounded day; the parts in order are the whole text.
+    Texts are joined ``part_rows`` at a time first, so that a hot day is put together from
+    few long parts and not from all of its rows.
     """
     if nulls not in ("drop", "empty"):
         raise ValueError(f"nulls must be 'drop' or 'empty', not {nulls!r}")
     chosen = df.where(F.col(text).isNotNull()) if nulls == "drop" else df
     slim = chosen.select(*keys, id_col, F.coalesce(F.col(text), F.lit("")).alias(text))
     rows = Timeline.by_id(slim, keys, id_col).annotate(position="_pos").result()
-    entry = F.struct(F.col("_pos"), F.col(text))
-    return (
-        rows.groupBy(*keys, F.floor(F.col("_pos") / part_rows).alias("part"))
-        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-        .select(
-            *keys,
-            "part",
-            F.array_join(F.transform("_entries", lambda e: e[text]), " ").alias(text),
-        )
-    )
+
+    def joined(table: DataFrame, place: str, by: Sequence[Column]) -> DataFrame:
+        entries = F.array_sort(F.collect_list(F.struct(F.col(place), F.col(text))))
+        found = table.groupBy(*by).agg(entries.alias("_entries"))
+        return found.withColumn(text, F.array_join(F.transform("_entries", lambda e: e[text]), " ")).drop("_entries")
+
+    parts = joined(rows, "_pos", [*map(F.col, keys), F.floor(F.col("_pos") / part_rows).alias("_part")])
+    return joined(parts, "_part", [*map(F.col, keys)])
+
+
+def carried_text(rows: DataFrame, texts: DataFrame, text: str, missing: str) -> DataFrame:
+    """Every row of ``rows`` (symbol, date, ...) with the latest daily text up to its day, else ``missing``.
+
+    The day is carried forward and the text joined once, so that no text goes through a window.
+    """
+    days = texts.select("stock_symbol", "date").withColumn("_has", F.lit(True))
+    dated = ffill_key(rows.join(days, ["stock_symbol", "date"], "left"), F.col("_has").isNotNull(), "_text_date")
+    side = texts.withColumnRenamed("date", "_text_date")
+    found = dated.drop("_has").join(side, ["stock_symbol", "_text_date"], "left").drop("_text_date")
+    return found.withColumn(text, F.coalesce(F.col(text), F.lit(missing)))
 
 
 def news_bag(

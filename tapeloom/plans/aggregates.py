@@ -8,7 +8,7 @@ from tapeloom.operators import stats
 from tapeloom.operators.news import daily_mean, daily_mean_embedding, daily_text, news_bag
 from tapeloom.operators.series import SYMBOL, chrono_split, return_target
 from tapeloom.plans.projections import gappy_prices
-from tapeloom.plans.registry import places, plan, r6
+from tapeloom.plans.registry import places, plan, r6, steps
 from tapeloom.plans.series import LENGTH_SCORES, scored_prices
 from tapeloom.plans.sql import check_sql
 from tapeloom.plans.vectors import LEXICON_SQL, lexicon_scores
@@ -45,8 +45,7 @@ def daily_vectors(spark, sf_dir):
     "daily_text",
     check_sql(
         "dated",
-        body="""SELECT stock_symbol, date, (rn - 1) // 1000 AS part, string_agg(lsa_summary, ' ' ORDER BY rn) AS lsa_summary
-FROM (SELECT *, row_number() OVER (PARTITION BY stock_symbol, date ORDER BY id) AS rn FROM dated) GROUP BY 1, 2, 3""",
+        body="""SELECT stock_symbol, date, string_agg(lsa_summary, ' ' ORDER BY id) AS lsa_summary FROM dated GROUP BY 1, 2""",
     ),
 )
 def daily_texts(spark, sf_dir):
@@ -57,13 +56,12 @@ def daily_texts(spark, sf_dir):
     "daily_text_empty",
     check_sql(
         "dated",
-        body="""SELECT stock_symbol, date, (rn - 1) // 3 AS part, string_agg(t, ' ' ORDER BY rn) AS lsa_summary
-FROM (SELECT *, CASE WHEN id % 5 = 0 THEN '' ELSE lsa_summary END AS t,
-row_number() OVER (PARTITION BY stock_symbol, date ORDER BY id) AS rn FROM dated) GROUP BY 1, 2, 3""",
+        body="""SELECT stock_symbol, date, string_agg(CASE WHEN id % 5 = 0 THEN '' ELSE lsa_summary END, ' ' ORDER BY id)
+AS lsa_summary FROM dated GROUP BY 1, 2""",
     ),
 )
 def daily_texts_with_gaps(spark, sf_dir):
-    """Missing texts count as empty ones; days in parts of three."""
+    """Missing texts count as empty ones; the days are put together from parts of three."""
     news = adapter.dated_news(spark, sf_dir)
     gappy = news.withColumn("lsa_summary", F.when(F.col("id") % 5 != 0, F.col("lsa_summary")))
     return daily_text(gappy, nulls="empty", part_rows=3)
@@ -74,7 +72,8 @@ def daily_texts_with_gaps(spark, sf_dir):
     check_sql(
         "vectors",
         body="""SELECT stock_symbol, date, item, CAST(CASE WHEN id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS mask,
-round(coalesce(embedding[1]::DOUBLE, 0), 6) AS first_value, round(coalesce(embedding[64]::DOUBLE, 0), 6) AS last_value
+coalesce(array_to_string(list_transform(embedding, lambda x: CAST(round(x::DOUBLE * 1000000) AS BIGINT)), ','),
+repeat('0,', 63) || '0') AS vector
 FROM (SELECT stock_symbol, date, CAST(unnest(generate_series(0, 29)) AS INTEGER) AS item
 FROM (SELECT DISTINCT stock_symbol, date FROM vectors))
 LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY stock_symbol, date ORDER BY id) - 1 AS item FROM vectors) v
@@ -88,8 +87,7 @@ def news_bags(spark, sf_dir):
         *KEYS,
         "item",
         F.col("e.mask").alias("mask"),
-        r6(F.col("e.bag")[0].cast("double")).alias("first_value"),
-        r6(F.col("e.bag")[63].cast("double")).alias("last_value"),
+        steps(F.col("e.bag")).alias("vector"),
     )
 
 

@@ -269,9 +269,10 @@ def best_f1_threshold(spark, sf_dir):
 
 @plan(
     "fixed_threshold",
-    """SELECT vec_id, CAST(CASE WHEN embedding[1]::DOUBLE + 0.5 > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS pred FROM embeddings""",
+    """SELECT vec_id, CAST(place - 1 AS INTEGER) AS place, CAST(CASE WHEN embedding[place]::DOUBLE + 0.5 > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS pred
+FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS place FROM embeddings)""",
 )
 def fixed_threshold(spark, sf_dir):
-    score = F.col("embedding")[0].cast("double") + 0.5
     vectors = adapter.table(spark, sf_dir, "embeddings")
-    return vectors.select("vec_id", me.fixed_threshold(score).alias("pred"))
+    scores = vectors.select("vec_id", F.posexplode("embedding").alias("place", "value"))
+    return scores.select("vec_id", "place", me.fixed_threshold(F.col("value").cast("double") + 0.5).alias("pred"))

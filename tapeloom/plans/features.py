@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tapeloom.operators import features as fe
@@ -225,11 +227,10 @@ def stratified_split(spark, sf_dir):
     "union_parts",
     check_sql(
         "prices",
-        body="""SELECT stock_symbol, date, close FROM prices WHERE stock_symbol = '1-urgent' UNION ALL
-SELECT stock_symbol, date, close FROM prices WHERE stock_symbol = '5-low'""",
+        body="SELECT stock_symbol, date, close FROM prices",
     ),
 )
 def union_parts(spark, sf_dir):
     prices = adapter.prices(spark, sf_dir).select(*KEYS, "close")
-    first, second = (prices.where(F.col("stock_symbol") == s) for s in ("1-urgent", "5-low"))
-    return first.unionByName(second)
+    parts = [prices.where(F.col("stock_symbol") == s) for s in adapter.SYMBOLS]
+    return reduce(lambda a, b: a.unionByName(b), parts)

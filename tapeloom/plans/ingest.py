@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tapeloom.functions.text import WHITE_SPACE, article_date, clean_text, page_text
+from tapeloom.functions.text import WHITE_SPACE, article_date, clean_text, clean_text_columns, page_text
 from tapeloom.functions.vectors import array_to_wide, order_stat_target, wide_to_array
 from tapeloom.plans.registry import places, plan, r6
 from tapeloom.plans.sql import check_sql
@@ -57,6 +57,72 @@ def symbol_from_path(spark, sf_dir):
     return pages.select("page_id", csv.symbol_from_path(path).alias("stock_symbol"))
 
 
+@plan(
+    "price_files",
+    check_sql(
+        "prices",
+        body="""SELECT stock_symbol, CAST(date AS VARCHAR) AS date, round(open, 6) AS open, round(high, 6) AS high,
+round(low, 6) AS low, round(close, 6) AS close, round(adj_close, 6) AS adj_close, volume FROM prices""",
+    ),
+)
+def price_files(spark, sf_dir):
+    """One CSV file per symbol, written and read again with the symbol from the file's name."""
+    path = scratch_path(spark, "price-files")
+    bars = adapter.bars(spark, sf_dir)
+    for symbol in adapter.SYMBOLS:
+        own = bars.where(F.col("stock_symbol") == symbol).select(*csv.PRICE_FILE_COLUMNS)
+        sinks.write_single_csv(own, path, f"{symbol}.csv")
+    back = csv.read_prices_csv(spark, path)
+    numbers = [r6(F.col(c).cast("double")).alias(c) for c in ("open", "high", "low", "close", "adj_close")]
+    return back.select("stock_symbol", "date", *numbers, F.col("volume").cast("double").alias("volume"))
+
+
+WIDE_NEWS = ", ".join(
+    CLEAN.format(f"coalesce({text}, '')") + f" AS {name}"
+    for name, text in (
+        ("author", "lang"),
+        ("article", "text"),
+        ("lsa_summary", "reverse(text)"),
+        ("luhn_summary", "upper(source)"),
+        ("textrank_summary", "NULL"),
+        ("lexrank_summary", "'\"quoted\"  ' || source"),
+    )
+)
+
+
+@plan(
+    "wide_news_scan",
+    f"""SELECT CAST(doc_id AS VARCHAR) AS url, {CLEAN.format('text')} AS article_title, {WIDE_NEWS} FROM documents""",
+)
+def wide_news_scan(spark, sf_dir):
+    """Raw news of eleven columns, stored as CSV with line breaks and quotes, scanned and cleaned."""
+    path = scratch_path(spark, "wide-news")
+    documents = adapter.table(spark, sf_dir, "documents")
+    raw = documents.select(
+        F.lit("2020-01-01").alias("date"),
+        F.col("text").alias("article_title"),
+        F.lit("A").alias("stock_symbol"),
+        F.col("doc_id").cast("string").alias("url"),
+        F.col("source").alias("publisher"),
+        F.col("lang").alias("author"),
+        F.col("text").alias("article"),
+        F.reverse("text").alias("lsa_summary"),
+        F.upper("source").alias("luhn_summary"),
+        F.lit(None).cast("string").alias("textrank_summary"),
+        F.concat(F.lit('"quoted"  '), "source").alias("lexrank_summary"),
+    )
+    sinks.write_csv(raw, path)
+    news = clean_text_columns(csv.read_news_csv(spark, path, wide=True, multi_line=True))
+    filled = [F.coalesce(c, F.lit("")).alias(c) for c in csv.NEWS_WIDE_COLUMNS[5:]]
+    return news.select("url", "article_title", *filled)
+
+
+@plan("named_table", "SELECT o_orderkey, o_totalprice FROM orders")
+def named_table(spark, sf_dir):
+    adapter.table(spark, sf_dir, "orders").createOrReplaceTempView("tapeloom_orders")
+    return tables.read_table(spark, "tapeloom_orders", ["o_orderkey", "o_totalprice"])
+
+
 @plan(
     "catalog_query",
     "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'",
@@ -178,22 +244,18 @@ def stream_ingest(spark, sf_dir):
 
 @plan(
     "chunked_write",
-    """SELECT chunk_id, 'part-' || lpad(CAST(chunk_id AS VARCHAR), 5, '0') AS part, count(*) AS n, min(o_orderkey) AS first_key,
-max(o_orderkey) AS last_key FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS chunk_id FROM orders)
-GROUP BY chunk_id""",
+    """SELECT doc_id, text, lang, chunk_id, 'part-' || lpad(CAST(chunk_id AS VARCHAR), 5, '0') AS part FROM (
+SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // 70 AS chunk_id FROM documents)""",
 )
 def chunked_write(spark, sf_dir):
     path = scratch_path(spark, "chunks")
-    orders = adapter.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    sinks.write_chunks(orders, "o_orderkey", path, rows=1000)
-    stored = spark.read.option("header", True).schema(
-        "o_orderkey long, o_orderpriority string, chunk_id long"
-    ).csv(path)
-    part = F.concat(F.lit("part-"), F.lpad(F.col("chunk_id").cast("string"), 5, "0"))
-    return stored.groupBy("chunk_id", part.alias("part")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("o_orderkey").alias("first_key"),
-        F.max("o_orderkey").alias("last_key"),
+    documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    sinks.write_chunks(documents, "doc_id", path, rows=70)
+    back = csv.read_strings(spark, path, ["doc_id", "text", "lang", "chunk_id"], multi_line=True)
+    chunk = F.col("chunk_id").cast("long")
+    part = F.concat(F.lit("part-"), F.lpad(chunk.cast("string"), 5, "0"))
+    return back.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", chunk.alias("chunk_id"), part.alias("part")
     )
 
 

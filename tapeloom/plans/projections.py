@@ -244,11 +244,13 @@ def pct_change_guarded(spark, sf_dir):
 
 @plan(
     "sentiment_score",
-    """SELECT vec_id, round((exp(a) + 3 * exp(b) + 5 * exp(c)) / (exp(a) + exp(b) + exp(c)), 6) AS score FROM (
-SELECT vec_id, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE AS c FROM embeddings)""",
+    """SELECT vec_id, CAST(k // 3 AS INTEGER) AS item,
+round((exp(v[k + 1]) + 3 * exp(v[k + 2]) + 5 * exp(v[k + 3])) / (exp(v[k + 1]) + exp(v[k + 2]) + exp(v[k + 3])), 6) AS score
+FROM (SELECT vec_id, embedding::DOUBLE[] AS v, unnest(range(0, 62, 3)) AS k FROM embeddings)""",
 )
 def vector_sentiment(spark, sf_dir):
-    logits = F.slice(F.col("embedding").cast("array<double>"), 1, 3)
-    return adapter.table(spark, sf_dir, "embeddings").select(
-        "vec_id", r6(sentiment_score(softmax(logits))).alias("score")
-    )
+    """Every three elements of a vector in turn stand for the logits of one item."""
+    logits = F.col("embedding").cast("array<double>")
+    triples = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda k: F.slice(logits, k * 3 + 1, 3))
+    items = adapter.table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(triples).alias("item", "logits"))
+    return items.select("vec_id", "item", r6(sentiment_score(softmax(F.col("logits")))).alias("score"))

@@ -42,3 +42,9 @@ def places(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
     return df.select(*keys, F.posexplode(vector).alias("place", "value")).withColumn(
         "value", r6(F.col("value").cast("double"))
     )
+
+
+def steps(values: Column) -> Column:
+    """Numbers of an array as one text, in millionths, so that every element can be compared."""
+    whole = F.transform(values, lambda x: F.round(x.cast("double") * 1_000_000).cast("long").cast("string"))
+    return F.array_join(whole, ",")

@@ -8,10 +8,10 @@ from tapeloom.functions.vectors import total
 from tapeloom.operators import series as ts
 from tapeloom.operators.features import token_pack, vocabulary
 from tapeloom.operators.joins import left_features
-from tapeloom.operators.news import daily_mean, daily_text
+from tapeloom.operators.news import carried_text, daily_mean, daily_text
 from tapeloom.operators.timeline import Timeline
 from tapeloom.plans.projections import gappy_prices
-from tapeloom.plans.registry import plan, r6
+from tapeloom.plans.registry import plan, r6, steps
 from tapeloom.plans.sql import check_sql
 from tapeloom.session import staged
 from tapeloom.sources import adapter
@@ -163,6 +163,11 @@ def scaled_rows(spark, sf_dir):
     return ts.minmax_per_symbol(ts.chrono_split(prices), PRICE_FEATURES)
 
 
+def coded(values: str) -> str:
+    """SQL for a list of numbers as text, in millionths."""
+    return f"array_to_string(list_transform({values}, lambda x: CAST(round(x * 1000000) AS BIGINT)), ',')"
+
+
 WINDOW_SQL = """, f AS (SELECT stock_symbol, date, split, pos, CAST(open_scaled AS FLOAT)::DOUBLE AS o,
 CAST(close_scaled AS FLOAT)::DOUBLE AS c, CAST(volume_scaled AS FLOAT)::DOUBLE AS v, close_scaled FROM scaled),
 cut AS (SELECT stock_symbol, date, split, pos AS end_pos, row_number() OVER w - 1 AS in_part,
@@ -176,9 +181,8 @@ l AS (PARTITION BY stock_symbol, split ORDER BY date ROWS BETWEEN 49 PRECEDING A
     check_sql(
         "scaled",
         body=WINDOW_SQL
-        + """ SELECT stock_symbol, date, split, end_pos, round(target, 6) AS target, CAST(len(cs) AS INTEGER) AS steps,
-round(list_sum(os), 6) AS open_sum, round(list_sum(cs), 6) AS close_sum, round(list_sum(vs), 6) AS volume_sum,
-round(cs[1], 6) AS first_close, round(cs[50], 6) AS last_close FROM cut WHERE in_part >= 49 AND target IS NOT NULL""",
+        + f""" SELECT stock_symbol, date, split, end_pos, round(target, 6) AS target, CAST(len(cs) AS INTEGER) AS steps,
+{coded('os')} AS open_steps, {coded('cs')} AS close_steps, {coded('vs')} AS volume_steps FROM cut WHERE in_part >= 49 AND target IS NOT NULL""",
     ),
 )
 def price_sequences(spark, sf_dir):
@@ -190,9 +194,7 @@ def price_sequences(spark, sf_dir):
         "end_pos",
         r6("target").alias("target"),
         F.size("window").alias("steps"),
-        *[r6(total(F.col(f"window.{c}_scaled"))).alias(f"{c}_sum") for c in PRICE_FEATURES],
-        r6(F.element_at("window", 1)["close_scaled"].cast("double")).alias("first_close"),
-        r6(F.element_at("window", -1)["close_scaled"].cast("double")).alias("last_close"),
+        *[steps(F.col(f"window.{c}_scaled")).alias(f"{c}_steps") for c in PRICE_FEATURES],
     )
 
 
@@ -219,10 +221,10 @@ ORDER BY s.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS text_date
 FROM scaled s LEFT JOIN (SELECT DISTINCT stock_symbol, date FROM dated) p USING (stock_symbol, date)),
 joined AS (SELECT c.*, coalesce(p.ids, '') AS ids, coalesce(p.n, 0) AS n FROM carried c
 LEFT JOIN packed p ON p.stock_symbol = c.stock_symbol AND p.date = c.text_date)
-SELECT stock_symbol, date, split, end_pos, round(target, 6) AS target, close_sum, first_ids, last_ids, last_mask FROM (
+SELECT stock_symbol, date, split, end_pos, round(target, 6) AS target, open_steps, close_steps, volume_steps, ids, masks FROM (
 SELECT stock_symbol, date, split, pos AS end_pos, lead(close_scaled, 3) OVER w AS target, row_number() OVER w - 1 AS in_part,
-round(sum(CAST(close_scaled AS FLOAT)::DOUBLE) OVER l, 6) AS close_sum, lag(ids, 49) OVER w AS first_ids, ids AS last_ids,
-CAST(n AS INTEGER) AS last_mask FROM joined
+{', '.join(f"string_agg(CAST(round(CAST({c}_scaled AS FLOAT)::DOUBLE * 1000000) AS BIGINT), ',') OVER l AS {c}_steps" for c in PRICE_FEATURES)},
+string_agg(ids, ';') OVER l AS ids, string_agg(n, ',') OVER l AS masks FROM joined
 WINDOW w AS (PARTITION BY stock_symbol, split ORDER BY date),
 l AS (PARTITION BY stock_symbol, split ORDER BY date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))
 WHERE in_part >= 49 AND target IS NOT NULL""",
@@ -244,24 +246,19 @@ def multimodal_sequences(spark, sf_dir):
     )
     windows = ts.sliding_sequences(
         Timeline.by_date(filled, ("stock_symbol",), "date"),
-        ["close_scaled", "token_ids", "mask"],
+        [*[f"{c}_scaled" for c in PRICE_FEATURES], "token_ids", "mask"],
         "close_scaled",
     )
-
-    def ids(place):
-        step = F.element_at("window", place)["token_ids"]
-        return F.array_join(F.array_remove(step, 0), " ")
-
-    last_mask = F.element_at("window", -1)["mask"]
+    ids = F.transform("window", lambda step: F.array_join(F.array_remove(step["token_ids"], 0), " "))
+    masks = F.transform("window", lambda step: F.aggregate(step["mask"], F.lit(0), lambda a, m: a + m))
     return windows.select(
         *KEYS,
         "split",
         "end_pos",
         r6("target").alias("target"),
-        r6(total(F.col("window.close_scaled"))).alias("close_sum"),
-        ids(1).alias("first_ids"),
-        ids(-1).alias("last_ids"),
-        F.size(F.array_remove(last_mask, 0)).alias("last_mask"),
+        *[steps(F.col(f"window.{c}_scaled")).alias(f"{c}_steps") for c in PRICE_FEATURES],
+        F.array_join(ids, ";").alias("ids"),
+        F.array_join(masks.cast("array<string>"), ",").alias("masks"),
     )
 
 
@@ -271,26 +268,30 @@ def multimodal_sequences(spark, sf_dir):
         "scaled",
         "dated",
         body=""", texts AS (SELECT stock_symbol, date, string_agg(coalesce(lsa_summary, ''), ' ' ORDER BY id) AS text
-FROM dated GROUP BY 1, 2)
-SELECT stock_symbol, date, split, end_pos, round(target, 6) AS target, close_sum,
-coalesce(t.text, 'neutral market update') AS text FROM (
+FROM dated GROUP BY 1, 2),
+filled AS (SELECT s.*, coalesce(last_value(t.text IGNORE NULLS) OVER (PARTITION BY s.stock_symbol ORDER BY s.date
+ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'neutral market update') AS text
+FROM scaled s LEFT JOIN texts t USING (stock_symbol, date))
+SELECT stock_symbol, date, split, end_pos, round(target, 6) AS target, close_steps, text FROM (
 SELECT stock_symbol, date, split, pos AS end_pos, lead(close_scaled, 3) OVER w AS target, row_number() OVER w - 1 AS in_part,
-round(sum(CAST(close_scaled AS FLOAT)::DOUBLE) OVER l, 6) AS close_sum FROM scaled
+string_agg(CAST(round(CAST(close_scaled AS FLOAT)::DOUBLE * 1000000) AS BIGINT), ',') OVER l AS close_steps, text FROM filled
 WINDOW w AS (PARTITION BY stock_symbol, split ORDER BY date),
 l AS (PARTITION BY stock_symbol, split ORDER BY date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))
-LEFT JOIN texts t USING (stock_symbol, date) WHERE in_part >= 49 AND target IS NOT NULL""",
+WHERE in_part >= 49 AND target IS NOT NULL""",
     ),
 )
 def last_day_text_sequences(spark, sf_dir):
-    windows = ts.sliding_sequences(scaled_rows(spark, sf_dir), ["close_scaled"], "close_scaled")
-    texts = daily_text(adapter.dated_news(spark, sf_dir), nulls="empty").drop("part")
-    return left_features(windows, texts, KEYS).select(
+    rows = scaled_rows(spark, sf_dir)
+    windows = ts.sliding_sequences(rows, ["close_scaled"], "close_scaled")
+    texts = daily_text(adapter.dated_news(spark, sf_dir), nulls="empty")
+    filled = carried_text(rows.df.select(*KEYS), texts, "lsa_summary", "neutral market update")
+    return windows.join(filled, KEYS).select(
         *KEYS,
         "split",
         "end_pos",
         r6("target").alias("target"),
-        r6(total(F.col("window.close_scaled"))).alias("close_sum"),
-        F.coalesce("lsa_summary", F.lit("neutral market update")).alias("text"),
+        steps(F.col("window.close_scaled")).alias("close_steps"),
+        F.col("lsa_summary").alias("text"),
     )
 
 
@@ -309,15 +310,17 @@ def symbol_numbers(spark, sf_dir):
 @plan(
     "sample_index",
     check_sql(
-        "samples",
-        body="""SELECT stock_symbol, end_pos, row_number() OVER (ORDER BY stock_symbol, end_pos) - 1 AS sample_id,
-row_number() OVER (PARTITION BY stock_symbol ORDER BY end_pos) - 1 AS "offset" FROM samples""",
+        "scaled",
+        body="""SELECT stock_symbol, split, end_pos, row_number() OVER (ORDER BY stock_symbol, end_pos) - 1 AS sample_id,
+row_number() OVER (PARTITION BY stock_symbol ORDER BY end_pos) - 1 AS "offset" FROM (
+SELECT stock_symbol, split, pos AS end_pos, row_number() OVER w - 1 AS in_part, lead(close_scaled, 3) OVER w AS target
+FROM scaled WINDOW w AS (PARTITION BY stock_symbol, split ORDER BY date)) WHERE in_part >= 49 AND target IS NOT NULL""",
     ),
 )
 def sample_numbers(spark, sf_dir):
     rows = scaled_rows(spark, sf_dir)
-    windows = ts.sliding_sequences(rows, [], "close_scaled").where(F.col("split") == "test")
-    return ts.sample_index(windows.select("stock_symbol", "end_pos"))
+    windows = ts.sliding_sequences(rows, [], "close_scaled")
+    return ts.sample_index(windows.select("stock_symbol", "split", "end_pos"))
 
 
 @plan(

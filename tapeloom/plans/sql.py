@@ -15,7 +15,7 @@ FROM orders GROUP BY 1, 2""",
 SELECT doc_id AS id,
        CASE WHEN doc_id % 97 = 0 THEN 'unknown'
             ELSE CAST(DATE '1995-01-01' + CAST(doc_id % 50 * 45 AS INTEGER) AS VARCHAR) || ' 00:00:00 UTC' END AS date,
-       substr(text, 1, 60) AS article_title, {SYMBOL_LIST}[CAST(doc_id // 50 % 5 + 1 AS INTEGER)] AS stock_symbol,
+       text AS article_title, {SYMBOL_LIST}[CAST(doc_id // 50 % 5 + 1 AS INTEGER)] AS stock_symbol,
        source AS publisher, text AS lsa_summary
 FROM documents""",
     "dated": """

@@ -83,7 +83,7 @@ def news_from(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("doc_id").alias("id"),
         F.when(F.col("doc_id") % 97 == 0, F.lit("unknown")).otherwise(stamp).alias("date"),
-        F.substring("text", 1, 60).alias("article_title"),
+        F.col("text").alias("article_title"),
         symbol_of("doc_id").alias("stock_symbol"),
         F.col("source").alias("publisher"),
         F.col("text").alias("lsa_summary"),

@@ -26,25 +26,36 @@ NEWS_WIDE_COLUMNS = [
 PRICE_FILE_COLUMNS = ["date", "volume", "open", "high", "low", "close", "adj_close"]
 
 
+#: One set of options for all writers and readers: what is written is read back unchanged.
+CSV_OPTIONS = {
+    "quote": '"',
+    "escape": "\\",
+    "charToEscapeQuoteEscaping": "\\",
+    "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
 def read_strings(
-    spark: SparkSession, path: str, columns: Sequence[str], header: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str], header: bool = True, multi_line: bool = False
 ) -> DataFrame:
+    """``multi_line`` for texts that may hold line breaks: each file is then read by one task."""
     return (
         spark.read.schema(string_schema(columns))
         .option("header", header)
         .option("enforceSchema", True)
-        .option("quote", '"')
-        .option("escape", "\\")
+        .options(**CSV_OPTIONS, multiLine=multi_line)
         .csv(path)
     )
 
 
-def read_news_csv(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
-    return read_strings(spark, path, NEWS_WIDE_COLUMNS if wide else NEWS_COLUMNS)
+def read_news_csv(spark: SparkSession, path: str, wide: bool = False, multi_line: bool = False) -> DataFrame:
+    return read_strings(spark, path, NEWS_WIDE_COLUMNS if wide else NEWS_COLUMNS, multi_line=multi_line)
 
 
 def symbol_from_path(path: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.operators.timeline import Timeline
+from tapeloom.sources.csv import CSV_OPTIONS
 
 CHUNK_ROWS = 100_000
 
@@ -31,14 +32,28 @@ def write_chunks(df: DataFrame, id_col: str, path: str, rows: int = CHUNK_ROWS)
     """One folder per chunk of CSV files with a header."""
     chunks = with_chunks(df, id_col, rows)
     spread = chunks.repartition("chunk_id").sortWithinPartitions("chunk_id", id_col)
-    spread.drop("part").write.partitionBy("chunk_id").option("header", True).option(
-        "quoteAll", True
-    ).option("escape", '"').csv(path)
+    writer = spread.drop("part").write.partitionBy("chunk_id").options(**CSV_OPTIONS)
+    writer.option("header", True).option("quoteAll", True).option("emptyValue", "").csv(path)
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = True) -> None:
     """CSV with a header; every text quoted, or only where it must be."""
-    df.write.option("header", True).option("quoteAll", quote_all).option("escape", "\\").csv(path)
+    df.write.options(**CSV_OPTIONS).option("header", True).option("quoteAll", quote_all).csv(path)
+
+
+def write_single_csv(df: DataFrame, folder: str, name: str) -> None:
+    """One CSV file of a given name in a folder, for readers that take a key from the name.
+
+    The rows pass through one task, so this is for tables of one symbol.
+    """
+    spark = df.sparkSession
+    part = f"{folder}/_{name}"
+    df.coalesce(1).write.options(**CSV_OPTIONS).option("header", True).csv(part)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(part).getFileSystem(spark._jsc.hadoopConfiguration())
+    (written,) = [s.getPath() for s in store.globStatus(path(f"{part}/part-*"))]
+    store.rename(written, path(f"{folder}/{name}"))
+    store.delete(path(part), True)
 
 
 def create_parquet(df: DataFrame, path: str, if_not_exists: bool = False) -> DataFrame:
@@ -49,7 +64,7 @@ def create_parquet(df: DataFrame, path: str, if_not_exists: bool = False) -> Dat
 
 def create_text(df: DataFrame, path: str) -> None:
     """Comma-separated text without a header."""
-    df.write.option("header", False).option("escape", "\\").csv(path)
+    df.write.options(**CSV_OPTIONS).option("header", False).csv(path)
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

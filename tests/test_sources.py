@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeloom.functions.text import clean_text
-from tapeloom.session import scratch_path, scratch_root
+from pyspark.errors import AnalysisException
+from tapeloom.session import release, scratch_path, scratch_root, staged
 from tapeloom.sources import csv, sinks, tables
 from tapeloom.streaming.ingest import file_stream, ingest
 
@@ -24,6 +25,24 @@ def test_quotes_and_commas_survive_a_round_trip(spark):
         assert sorted(csv.read_news_csv(spark, path).collect(), key=str) == sorted(df.collect(), key=str)
 
 
+def test_chunks_are_read_back_as_they_were(spark):
+    texts = ["abc\\", 'q " q', "a\nb\n", '\\"', "x\\n, y", " lead", "", '"', "\\\\"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    path = scratch_path(spark, "chunk-trip")
+    sinks.write_chunks(df, "k", path, rows=2)
+    back = csv.read_strings(spark, path, ["k", "text", "chunk_id"], multi_line=True).collect()
+    got = {int(r.k): (r.text or "", int(r.chunk_id)) for r in back}
+    assert got == {k: (t, k // 2) for k, t in enumerate(texts)}
+
+
+def test_stored_copies_are_removed_on_request(spark):
+    kept = staged(spark.range(3), "gone")
+    (folder,) = {f.rsplit("/", 1)[0] for f in kept.inputFiles()}
+    assert release(spark) >= 1
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(folder)
+
+
 def test_text_with_line_breaks_is_clean_in_csv(spark):
     df = spark.createDataFrame([(1, 'a\r\n"b"'), (2, "c")], "id long, text string")
     path = scratch_path(spark, "clean")

@@ -125,12 +125,23 @@ def test_daily_text_parts_make_the_whole(spark):
     rows = [("s", dt.date(2000, 1, 1), i, None if i % 4 == 0 else f"w{i}") for i in range(11)]
     df = spark.createDataFrame(rows, "stock_symbol string, date date, id long, lsa_summary string")
     whole = " ".join(f"w{i}" for i in range(11) if i % 4)
-    parts = nw.daily_text(df, part_rows=3).orderBy("part").collect()
-    assert " ".join(p.lsa_summary for p in parts) == whole and len(parts) == 3
+    for size in (1, 3, 1000):
+        assert [r.lsa_summary for r in nw.daily_text(df, part_rows=size).collect()] == [whole]
     (kept,) = nw.daily_text(df, nulls="empty").collect()
     assert kept.lsa_summary == " ".join("" if i % 4 == 0 else f"w{i}" for i in range(11))
 
 
+def test_a_day_of_many_articles_multiplies_no_rows(spark):
+    day = dt.date(2000, 1, 3)
+    news = spark.range(2500).select(
+        F.lit("s").alias("stock_symbol"), F.lit(day).alias("date"), "id", F.concat(F.lit("w"), "id").alias("lsa_summary")
+    )
+    bars = spark.createDataFrame([("s", day + dt.timedelta(k)) for k in range(-2, 4)], "stock_symbol string, date date")
+    rows = nw.carried_text(bars, nw.daily_text(news), "lsa_summary", "none").orderBy("date").collect()
+    whole = " ".join(f"w{i}" for i in range(2500))
+    assert [r.lsa_summary for r in rows] == ["none"] * 2 + [whole] * 4  # the last known text is carried on
+
+
 def test_token_pack(spark):
     rows = [("d1", 0, "b a a"), ("d1", 1, "...c!"), ("d2", 0, ""), ("d3", 0, "a " * 50)]
     df = spark.createDataFrame(rows, "doc string, part int, text string")
