@@ -6,8 +6,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +17,22 @@ from tapeloom.operators.news import daily_mean_embedding
 MAX_BROADCAST_BYTES = 256 << 20
 
 
-def hashed_text_vectors(df: DataFrame, text: str, dim: int = 64, out: str = "embedding") -> DataFrame:
-    """Default text vectors: hashed token counts, length one."""
-    counted = HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=dim).transform(
-        df.withColumn("_tokens", tokens(F.col(text)))
-    )
-    normed = Normalizer(inputCol="_counts", outputCol="_vector").transform(counted)
-    vector = vector_to_array("_vector", "float32")
-    return normed.withColumn(out, vector).drop("_tokens", "_counts", "_vector")
+def hashed_text_vectors(
+    df: DataFrame, text: str, dim: int = 64, out: str = "embedding", key: str = "doc_id"
+) -> DataFrame:
+    """Default text vectors: counts of tokens per digest bucket, length one; one row per ``key``.
+
+    Tokens are counted per (key, bucket) before the shuffle. A text without tokens is all zeros.
+    """
+    slot = F.pmod(F.conv(F.substring(F.md5("token"), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int")
+    words = df.select(key, F.explode_outer(tokens(F.col(text))).alias("token")).withColumn("slot", slot)
+    counts = words.groupBy(key, "slot").agg(F.count("token").cast("double").alias("n"))
+    entry = F.when(F.col("slot").isNotNull(), F.struct("slot", "n"))
+    found = counts.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("found"), F.sum(F.col("n") * F.col("n")).alias("norm"))
+    value = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: F.coalesce(F.try_element_at("found", k), F.lit(0.0)))
+    length = F.when(F.col("norm") > 0, F.sqrt("norm")).otherwise(F.lit(1.0))
+    vector = F.transform(value, lambda x: (x / length).cast("float"))
+    return found.select(key, vector.alias(out))
 
 
 def score_batches(

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeloom.functions.keys import random_key
+from tapeloom.functions.keys import random_key, uniform
 from tapeloom.functions.numeric import tercile_bin
 from tapeloom.functions.text import leading_tokens, pieces
 from tapeloom.operators.series import scale
@@ -63,14 +63,14 @@ def _path_adjustment(n: float) -> float:
     return 2.0 * (np.log(n - 1) + np.euler_gamma) - 2.0 * (n - 1) / n
 
 
-def isolation_steps(sample: np.ndarray, trees: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def isolation_steps(sample: np.ndarray, trees: int, seed: int, max_samples: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """A 1-D isolation forest as a step function: (borders, score per interval).
 
     A tree over one variable only cuts intervals, so the mean path length of the
     forest is constant between neighbouring cut points.
     """
     rng = np.random.default_rng(seed)
-    size = min(256, len(sample))
+    size = min(max_samples, len(sample))
     depth_limit = int(np.ceil(np.log2(max(size, 2))))
     leaves: list[tuple[float, float, float]] = []
     for _ in range(trees):
@@ -103,31 +103,54 @@ def outlier_flag(
     contamination: float = 0.05,
     trees: int = 100,
     seed: int = 42,
+    max_samples: int = 256,
 ) -> DataFrame:
-    """``is_outlier``: -1 for the ``contamination`` share hardest to keep apart, else 1.
+    """``is_outlier``: -1 for the ``contamination`` share hardest to keep apart, else 1; null for nulls.
 
-    The forest is grown on at most 256 values per tree, a fixed bound; all rows
-    are then scored in Arrow batches on the executors.
+    The forest is grown on ``max_samples`` values per tree, drawn by digest from all rows; this
+    bound is part of the method. The score is a step function of the value with at most
+    ``max_samples * trees`` steps: rows are counted per step once, which gives the score limit
+    and with it the ranges of values that are flagged, so the flag is one comparison.
     """
-    picked = df.where(F.col(value).isNotNull()).orderBy(random_key(*key, seed=seed)).limit(256 * trees)
-    sample = picked.select(F.col(value).cast("double").alias("v")).toPandas()["v"].to_numpy()
-    borders, scores = isolation_steps(sample, trees, seed)
-    forest = df.sparkSession.sparkContext.broadcast((borders, scores))
-
-    @F.pandas_udf("double")
-    def anomaly(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        edges, levels = forest.value
-        for batch in batches:
-            yield pd.Series(levels[np.searchsorted(edges, batch.to_numpy(), side="left")])
-
-    scored = df.withColumn("outlier_score", anomaly(F.col(value).cast("double")))
-    limit, _ = limits(scored, "outlier_score", 1.0 - contamination, 1.0)
-    flag = F.when(F.col("outlier_score") > limit, -1).otherwise(1)
-    return scored.withColumn("is_outlier", flag)
+    known = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    digest = random_key(*key, seed=seed)
+    wanted = max_samples * trees
+    share = min(1.0, (wanted + 10.0 * wanted**0.5) / max(known.count(), 1))
+    drawn = known.where(uniform(digest) < share).select(digest.alias("k"), F.col(value).cast("double").alias("v"))
+    sample = drawn.toPandas().sort_values("k")["v"].to_numpy()[:wanted]
+    if not len(sample):
+        return df.withColumn("is_outlier", F.lit(None).cast("int"))
+    borders, scores = isolation_steps(sample, trees, seed, max_samples)
+    after = np.nextafter(borders, np.inf)  # a value on a border belongs to the step below it
+    splits = [-np.inf, *(after.tolist() or [0.0]), np.inf]
+    steps = Bucketizer(splits=splits, inputCol="_v", outputCol="_step")
+    counted = steps.transform(known.select(F.col(value).cast("double").alias("_v"))).groupBy("_step").count().collect()
+    counts = np.zeros(len(scores))
+    for row in counted:
+        counts[min(int(row["_step"]), len(scores) - 1)] += row["count"]
+    high = scores > weighted_quantile(scores, counts, 1.0 - contamination)
+    turns = np.flatnonzero(high[1:] != high[:-1])  # after these steps flagged and unflagged ranges change
+    cuts = after[turns].tolist()
+    ranges = Bucketizer(splits=[-np.inf, *(cuts or [0.0]), np.inf], inputCol="_v", outputCol="_range", handleInvalid="keep")
+    placed = ranges.transform(df.withColumn("_v", F.coalesce(F.col(value).cast("double"), F.lit(float("nan")))))
+    flagged = (F.col("_range") % 2 == int(not high[0])) if cuts else F.lit(bool(high[0]))
+    flag = F.when(~F.isnan("_v"), F.when(flagged, -1).otherwise(1))
+    return placed.withColumn("is_outlier", flag).drop("_v", "_range")
+
+
+def weighted_quantile(values: np.ndarray, counts: np.ndarray, share: float) -> float:
+    """The quantile, linear between neighbours, of values that occur ``counts`` times."""
+    order = np.argsort(values, kind="stable")
+    upto = np.cumsum(counts[order])
+    if not len(upto) or not upto[-1]:
+        return float("inf")
+    place = (upto[-1] - 1) * share
+    low, high = (values[order][np.searchsorted(upto, p, side="right")] for p in (np.floor(place), np.ceil(place)))
+    return float(low + (high - low) * (place - np.floor(place)))
 
 
 def inlier_filter(df: DataFrame) -> DataFrame:
-    return df.where(F.col("is_outlier") == 1).drop("is_outlier", "outlier_score")
+    return df.where(F.col("is_outlier") == 1).drop("is_outlier")
 
 
 # -- tokens ----------------------------------------------------------------------

@@ -7,11 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+
+
+def salt_count(df: DataFrame) -> int:
+    """Parts that a hot key is spread over: a quarter of the shuffle partitions."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
 
 
 def salted_join(
-    rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str, spread: Column, salts: int = SALTS
+    rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str, spread: Column, salts: int | None = None
 ) -> DataFrame:
     """Join many rows per key to a table with one row per key.
 
@@ -19,6 +23,7 @@ def salted_join(
     ``keyed`` side is copied ``salts`` times, so a hot key is shared by as many
     tasks. Spark still broadcasts ``keyed`` by itself when it is small.
     """
+    salts = salts or salt_count(rows)
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     right = keyed.withColumn("_salt", copies)

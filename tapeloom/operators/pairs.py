@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions.keys import random_key, uniform
+from tapeloom.operators.joins import salted_join
 from tapeloom.operators.timeline import Timeline
 
 SEED = 42
@@ -48,29 +49,31 @@ def sampled_pairs(
     """Each anchor with one random partner: half from its own bin (label 1), half
     from another bin (label 0). With a single bin every label is 1.
 
-    The three draws of an anchor name a (bin, number in bin); the partner is then
-    found by an equi-join on that, which is spread evenly over the bin.
+    Bins are numbered in their order and joined with their sizes, so there may be any
+    number of them. The three draws of an anchor name a (bin, number in bin); the partner
+    is then found by an equi-join on that, which is spread evenly over the bin.
     """
     members = Timeline.by_id(df.select(id_col, bin_col, *payload), (bin_col,), id_col)
     members = members.annotate(position="_idx").result()
-    sizes = df.groupBy(bin_col).count().orderBy(bin_col).collect()  # a handful of bins
-    bins = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(n).cast("long").alias("n")) for b, n in sizes])
+    sizes = df.groupBy(F.col(bin_col).alias("_bin")).agg(F.count("*").alias("_n"))
+    sizes = Timeline.by_range(sizes, (), ("_bin",)).annotate(position="_no", total="_bins").result()
 
     key = random_key(id_col, seed=seed)
-    tagged = df.select(id_col, bin_col, *payload).withColumns({"_key": key, "_bins": bins})
-    others = F.filter("_bins", lambda e: e["b"] != F.col(bin_col))
-    same = (uniform(F.col("_key"), 0) < 0.5) | (F.size(others) == 0)
-    own = F.element_at(F.filter("_bins", lambda e: e["b"] == F.col(bin_col)), 1)
-    pick = F.floor(uniform(F.col("_key"), 1) * F.size(others)).cast("int") + 1
-    target = F.when(same, own).otherwise(F.try_element_at(others, pick))
-    anchors = tagged.select(
+    tagged = df.select(id_col, bin_col, *payload).withColumns({"_key": key, "_bin": F.col(bin_col)})
+    own = salted_join(tagged, sizes.select("_bin", "_no", "_bins"), ["_bin"], "inner", F.col(id_col))
+    same = (uniform(F.col("_key"), 0) < 0.5) | (F.col("_bins") == 1)
+    other = F.floor(uniform(F.col("_key"), 1) * (F.col("_bins") - 1))
+    other = F.when(other < F.col("_no"), other).otherwise(other + 1)
+    drawn = own.select(
         F.col(id_col).alias(f"{id_col}_1"),
         F.col(bin_col).alias(f"{bin_col}_1"),
         *[F.col(c).alias(f"{c}_1") for c in payload],
         F.when(same, 1).otherwise(0).alias("label"),
-        target["b"].alias("_bin"),
-        F.floor(uniform(F.col("_key"), 2) * target["n"]).alias("_idx"),
+        F.when(same, F.col("_no")).otherwise(other).alias("_no"),
+        uniform(F.col("_key"), 2).alias("_draw"),
     )
+    targets = salted_join(drawn, sizes.select("_no", "_bin", "_n"), ["_no"], "inner", F.col(f"{id_col}_1"))
+    anchors = targets.withColumn("_idx", F.floor(F.col("_draw") * F.col("_n"))).drop("_no", "_n", "_draw")
     partners = members.select(
         F.col(id_col).alias(f"{id_col}_2"),
         F.col(bin_col).alias("_bin"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from tapeloom.functions.numeric import finite, guarded_pct, guarded_ratio
 from tapeloom.operators.timeline import SEGMENT, Timeline
 
 SYMBOL, DATE = "stock_symbol", "date"
-ALPHA = 0.9704455335485082  # fixed value: exp(-0.03)
+ALPHA = math.exp(-0.03)
 NEUTRAL = 3.0
 LOOKBACK, HORIZON, TRAIN_SHARE = 50, 3, 0.8
 
@@ -226,9 +227,21 @@ def sliding_sequences(
 
 
 def as_float(df: DataFrame, name: str) -> Column:
-    """Numbers as float32 under their own name; arrays as they are."""
+    """Numbers as float32 under their own name; arrays and dates as they are."""
     value = F.col(name)
-    return value if dict(df.dtypes)[name].startswith("array") else value.cast("float").alias(name)
+    return value if dict(df.dtypes)[name].startswith(("array", "date")) else value.cast("float").alias(name)
+
+
+def long_enough_parts(rows: Timeline, lookback: int = LOOKBACK, horizon: int = HORIZON) -> Timeline:
+    """Without the symbols of which the train or the test part has at most ``lookback + horizon`` rows."""
+    sizes = rows.annotate(
+        totals={
+            "_train": ("sum", F.when(F.col("split") == "train", 1).otherwise(0)),
+            "_test": ("sum", F.when(F.col("split") == "test", 1).otherwise(0)),
+        }
+    )
+    kept = sizes.df.where(F.least("_train", "_test") > lookback + horizon).drop("_train", "_test")
+    return Timeline(kept, rows.group, rows.order)
 
 
 def symbol_index(df: DataFrame) -> DataFrame:

@@ -72,10 +72,19 @@ class Timeline:
         return cls(df.withColumn(SEGMENT, segment), tuple(group), (date,))
 
     @classmethod
-    def by_id(cls, df: DataFrame, group: Sequence[str], id_col: str, width: int = 1 << 18) -> Timeline:
-        """Unique integer ids: a segment holds at most ``width`` rows."""
-        segment = F.coalesce(F.floor(F.col(id_col) / width), F.lit(NO_PLACE))
-        return cls(df.withColumn(SEGMENT, segment), tuple(group), (id_col,))
+    def by_id(cls, df: DataFrame, group: Sequence[str], id_col: str, segments: int | None = None) -> Timeline:
+        """Unique integer ids, dense or far apart, cut where a sketch of them says that equal shares lie.
+
+        The number of segments, and so of summary rows per group, is a few per shuffle
+        partition at any size of the table. Rows without an id come first.
+        """
+        n = segments or hash_buckets(df)
+        marks = F.array(*[F.lit(k / n) for k in range(1, n)])
+        found = df.agg(F.percentile_approx(id_col, marks, 20 * n)).first()[0] if n > 1 else None
+        splits = [-float("inf"), *(sorted({float(b) for b in found}) if found else [0.0]), float("inf")]
+        number = df.withColumn("_number", F.coalesce(F.col(id_col).cast("double"), F.lit(-1.7e308)))
+        cut = Bucketizer(splits=splits, inputCol="_number", outputCol=SEGMENT)
+        return cls(cut.transform(number).drop("_number"), tuple(group), (id_col,))
 
     @classmethod
     def by_hash(

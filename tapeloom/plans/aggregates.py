@@ -202,7 +202,26 @@ def distinct_symbols(spark, sf_dir):
     return rows.groupBy("stock_symbol").agg(F.bool_or(F.col("split") == "test").alias("in_test"))
 
 
-@plan("approx_quantiles", None)
+@plan(
+    "approx_quantiles",
+    "SELECT q, (SELECT count(*) FROM orders) AS n, true AS near FROM (VALUES "
+    + ", ".join(f"('{name}')" for name in QS)
+    + ") AS t(q)",
+)
 def approx_quantiles(spark, sf_dir):
+    """Each estimate's rank, counted in the table, lies within one part in the sketch's accuracy."""
     orders = adapter.table(spark, sf_dir, "orders")
-    return stats.approx_quantiles(orders, "o_totalprice", QS)
+    found = stats.approx_quantiles(orders, "o_totalprice", QS).first()
+    value = F.col("o_totalprice")
+    ranks = [
+        F.struct(
+            F.lit(name).alias("q"),
+            F.count("*").alias("n"),
+            (
+                (F.count(F.when(value < found[name], 1)) <= F.count("*") * (q + 1e-3) + 1)
+                & (F.count(F.when(value <= found[name], 1)) >= F.count("*") * (q - 1e-3) - 1)
+            ).alias("near"),
+        )
+        for name, q in QS.items()
+    ]
+    return orders.agg(F.array(*ranks).alias("r")).select(F.explode("r").alias("e")).select("e.*")

@@ -8,7 +8,7 @@ from tapeloom.functions.vectors import total
 from tapeloom.operators import series as ts
 from tapeloom.operators.features import token_pack, vocabulary
 from tapeloom.operators.joins import left_features
-from tapeloom.operators.news import carried_text, daily_mean, daily_text
+from tapeloom.operators.news import carried_text, daily_mean, daily_mean_embedding, daily_text
 from tapeloom.operators.timeline import Timeline
 from tapeloom.plans.projections import gappy_prices
 from tapeloom.plans.registry import plan, r6, steps
@@ -295,6 +295,57 @@ def last_day_text_sequences(spark, sf_dir):
     )
 
 
+@plan(
+    "embedding_sequences",
+    check_sql(
+        "scaled",
+        "elements",
+        body=""", daily AS (SELECT stock_symbol, date, place, avg(x) AS x FROM elements GROUP BY 1, 2, 3),
+vectors_of_day AS (SELECT stock_symbol, date, string_agg(CAST(round(CAST(x AS FLOAT)::DOUBLE * 1000) AS BIGINT), ',' ORDER BY place) AS v
+FROM daily GROUP BY 1, 2),
+filled AS (SELECT s.*, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY s.stock_symbol ORDER BY s.date
+ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), repeat('0,', 63) || '0') AS vec
+FROM scaled s LEFT JOIN vectors_of_day USING (stock_symbol, date)),
+parts AS (SELECT stock_symbol FROM scaled GROUP BY 1
+HAVING least(count(*) FILTER (split = 'train'), count(*) FILTER (split = 'test')) > 53)
+SELECT stock_symbol, date, split, end_pos, round(target, 6) AS target, close_steps, vectors FROM (
+SELECT stock_symbol, date, split, pos AS end_pos, lead(close_scaled, 3) OVER w AS target, row_number() OVER w - 1 AS in_part,
+string_agg(CAST(round(CAST(close_scaled AS FLOAT)::DOUBLE * 1000000) AS BIGINT), ',') OVER l AS close_steps,
+string_agg(vec, ';') OVER l AS vectors FROM filled SEMI JOIN parts USING (stock_symbol)
+WINDOW w AS (PARTITION BY stock_symbol, split ORDER BY date),
+l AS (PARTITION BY stock_symbol, split ORDER BY date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))
+WHERE in_part >= 49 AND target IS NOT NULL""",
+    ),
+)
+def embedding_sequences(spark, sf_dir):
+    """Daily mean vectors, carried forward, zeros before the first, cut into windows with scaled prices."""
+    daily = staged(daily_mean_embedding(adapter.vectors(spark, sf_dir)), "daily-vectors")
+    rows = ts.long_enough_parts(scaled_rows(spark, sf_dir))
+    days = daily.select(*KEYS).withColumn("_has", F.lit(True))
+    dated = ts.ffill_key(left_features(rows.result(), days, KEYS), F.col("_has").isNotNull(), "vector_date")
+    windows = ts.sliding_sequences(
+        Timeline.by_date(dated.drop("_has"), ("stock_symbol",), "date"),
+        ["close_scaled", "vector_date"],
+        "close_scaled",
+    )
+    # the window carries days; each day's vector is joined once per step at the end
+    steps_ = windows.select(*KEYS, "split", "end_pos", "target", F.posexplode("window").alias("step", "w"))
+    side = daily.select("stock_symbol", F.col("date").alias("vector_date"), "embedding")
+    found = steps_.select("*", "w.vector_date", "w.close_scaled").drop("w").join(side, ["stock_symbol", "vector_date"], "left")
+    vector = F.coalesce(F.col("embedding").cast("array<float>"), F.array_repeat(F.lit(0.0).cast("float"), 64))
+    coded_vector = F.array_join(F.transform(vector, lambda x: F.round(x.cast("double") * 1000).cast("long").cast("string")), ",")
+    entry = F.struct("step", F.col("close_scaled").alias("c"), coded_vector.alias("v"))
+    whole = found.groupBy(*KEYS, "split", "end_pos", "target").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    return whole.select(
+        *KEYS,
+        "split",
+        "end_pos",
+        r6("target").alias("target"),
+        steps(F.transform("e", lambda x: x["c"])).alias("close_steps"),
+        F.array_join(F.transform("e", lambda x: x["v"]), ";").alias("vectors"),
+    )
+
+
 @plan(
     "symbol_index",
     check_sql(

@@ -27,7 +27,7 @@ from tapeloom.operators.news import news_bag
 from tapeloom.operators.pairs import random_split
 from tapeloom.operators.timeline import Timeline
 from tapeloom.plans.registry import places, plan, r6
-from tapeloom.plans.series import scaled_rows
+from tapeloom.plans.series import TOKENS, scaled_rows
 from tapeloom.plans.sql import check_sql
 from tapeloom.session import staged
 from tapeloom.sources import adapter
@@ -69,10 +69,20 @@ def text_class_score(spark, sf_dir):
     )
 
 
-@plan("text_embedding")
+TEXT_VECTORS = f"""counted AS (SELECT doc_id, slot, count(*) AS n FROM (SELECT doc_id,
+CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % 64 AS slot FROM (
+SELECT doc_id, unnest({TOKENS.format('text')}) AS token FROM documents)) GROUP BY 1, 2),
+norms AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM counted GROUP BY 1),
+text_vectors AS (SELECT d.doc_id, CAST(d.place AS INTEGER) AS place,
+CAST(coalesce(n / norm, 0) AS FLOAT)::DOUBLE AS value
+FROM (SELECT doc_id, unnest(range(0, 64)) AS place FROM documents) d
+LEFT JOIN counted c ON c.doc_id = d.doc_id AND c.slot = d.place LEFT JOIN norms r ON r.doc_id = d.doc_id)"""
+
+
+@plan("text_embedding", f"WITH {TEXT_VECTORS} SELECT doc_id, place, round(value, 6) AS value FROM text_vectors")
 def text_embedding(spark, sf_dir):
-    documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
-    return hashed_text_vectors(documents, "text").drop("text")
+    documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return places(hashed_text_vectors(documents, "text"), ["doc_id"], "embedding")
 
 
 @plan(
@@ -246,17 +256,71 @@ def sequence_forecast(spark, sf_dir):
     windows = ts.sliding_sequences(rows, features, "close_scaled")
     flat = staged(flatten_window(windows, "window", features).drop("window"), "windows")
     scored = linear_head(flat.where(F.col("split") == "train"), flat, ["flat"], "target", reg=0.01)
-    return scored.where(F.col("split") == "test").select(
-        *KEYS, "target", "last_known", r6("prediction").alias("prediction")
+    return scored.select(
+        *KEYS, "split", "target", "last_known", r6("prediction").alias("prediction")
     )
 
 
 @plan("single_text_regression")
 def single_text_regression(spark, sf_dir):
     labels = adapter.table(spark, sf_dir, "labels").select("doc_id", "quality")
-    documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
-    vectors = hashed_text_vectors(documents, "text").drop("text")
-    joined = vectors.join(labels, "doc_id").withColumn("y", F.col("quality").cast("double"))
-    data = staged(joined, "labelled")
-    scored = linear_head(data, data, ["embedding"], "y", reg=0.01)
-    return scored.select("doc_id", "y", r6("prediction").alias("prediction"))
+    documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = hashed_text_vectors(documents, "text").join(labels, "doc_id")
+    data = staged(random_split(joined.withColumn("y", F.col("quality").cast("double")), ["doc_id"]), "labelled")
+    scored = linear_head(data.where(F.col("split") == "train"), data, ["embedding"], "y", reg=0.01)
+    return scored.select("doc_id", "split", "y", r6("prediction").alias("prediction"))
+
+
+def one_feature(rows, x: str, y: str, keys: list[str]):
+    """A least-squares line fitted on the train part, for all rows: what the heads do with one feature."""
+    data = staged(rows.withColumn("x", F.array(F.col(x).cast("double"))), "one-feature")
+    scored = linear_head(data.where(F.col("split") == "train"), data, ["x"], y)
+    return scored.select(*keys, "split", r6("prediction").alias("prediction"))
+
+
+LINE = """, line AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM data WHERE split = 'train')
+SELECT {keys}, split, round(slope * x + intercept, 6) AS prediction FROM data, line"""
+
+
+@plan(
+    "pair_regression_line",
+    check_sql(
+        "pair_scores",
+        body=""", ordered AS (SELECT *, row_number() OVER (ORDER BY md5(id || ':999'), id) AS rn, count(*) OVER () AS n FROM pair_scores),
+data AS (SELECT id, distance AS x, CAST(label AS DOUBLE) AS y, CASE WHEN rn <= ceil(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split
+FROM ordered)"""
+        + LINE.format(keys="id"),
+    ),
+)
+def pair_regression_line(spark, sf_dir):
+    pairs = pair_scores(spark, sf_dir).withColumn("y", F.col("label").cast("double"))
+    return one_feature(random_split(pairs, ["id"]), "distance", "y", ["id"])
+
+
+@plan(
+    "sequence_forecast_line",
+    check_sql(
+        "scaled",
+        body=""", data AS (SELECT * FROM (SELECT stock_symbol, date, split, close_scaled AS x, lead(close_scaled, 3) OVER w AS y,
+row_number() OVER w - 1 AS in_part FROM scaled WINDOW w AS (PARTITION BY stock_symbol, split ORDER BY date))
+WHERE in_part >= 49 AND y IS NOT NULL)"""
+        + LINE.format(keys="stock_symbol, date"),
+    ),
+)
+def sequence_forecast_line(spark, sf_dir):
+    windows = ts.sliding_sequences(scaled_rows(spark, sf_dir), [], "close_scaled")
+    return one_feature(windows, "last_known", "target", KEYS)
+
+
+@plan(
+    "text_regression_line",
+    """WITH labelled AS (SELECT d.doc_id, CAST(d.n_chars AS DOUBLE) AS x, CAST(l.quality AS DOUBLE) AS y
+FROM documents d JOIN labels l USING (doc_id)),
+ordered AS (SELECT *, row_number() OVER (ORDER BY md5(doc_id || ':999'), doc_id) AS rn, count(*) OVER () AS n FROM labelled),
+data AS (SELECT *, CASE WHEN rn <= ceil(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM ordered)"""
+    + LINE.format(keys="doc_id"),
+)
+def text_regression_line(spark, sf_dir):
+    labels = adapter.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("y"))
+    documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return one_feature(random_split(documents.join(labels, "doc_id"), ["doc_id"]), "n_chars", "y", ["doc_id"])

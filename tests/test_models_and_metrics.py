@@ -207,6 +207,10 @@ def test_outliers_are_the_far_values(spark):
     assert 25 <= len(bad) <= 50
     assert len([i for i in bad if i >= 1000]) >= 25
     assert fe.inlier_filter(flagged).count() == 1000 - len(bad)
+    gaps = df.unionByName(spark.createDataFrame([(5000 + i, None) for i in range(20)], "id long, v double"))
+    got = {r.id: r.is_outlier for r in fe.outlier_flag(gaps, "v", ["id"]).collect()}
+    assert all(got[5000 + i] is None for i in range(20)) and {i for i, f in got.items() if f == -1} == bad
+    assert fe.outlier_flag(df.limit(0), "v", ["id"]).count() == 0
 
 
 def test_approximate_quantiles_are_near(spark):
@@ -215,7 +219,7 @@ def test_approximate_quantiles_are_near(spark):
 
 
 def test_text_vectors_have_length_one(spark):
-    df = spark.createDataFrame([("a b b",), ("B, a b",), ("",)], "text string")
-    got = [r.embedding for r in em.hashed_text_vectors(df, "text", 16).collect()]
+    df = spark.createDataFrame([(0, "a b b"), (1, "B, a b"), (2, ""), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r.embedding for r in em.hashed_text_vectors(df, "text", 16).collect()}
     assert got[0] == got[1] and np.linalg.norm(got[0]) == pytest.approx(1.0)
-    assert len(got[2]) == 16 and not any(got[2])
+    assert len(got[2]) == 16 and not any(got[2]) and got[3] == got[2]

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions.keys import random_key
+from tapeloom.operators.pairs import sampled_pairs
 from tapeloom.operators.timeline import SEGMENT, Timeline
 
 START = dt.date(2000, 1, 1)
@@ -94,7 +95,7 @@ def test_hash_and_id_cuts_number_all_rows(hot):
     by_hash = Timeline.by_hash(keyed, (), "key", "id", buckets=16).annotate(position="pos").result()
     order = [r.id for r in by_hash.orderBy("pos").collect()]
     assert order == [r.id for r in keyed.orderBy("key", "id").collect()]
-    by_id = Timeline.by_id(hot, (), "id", width=100).annotate(position="pos", total="n").result()
+    by_id = Timeline.by_id(hot, (), "id", segments=9).annotate(position="pos", total="n").result()
     assert collected(by_id, "pos", "n") == [(i, i, 2000) for i in range(2000)]
 
 
@@ -117,10 +118,10 @@ def test_rows_without_a_date_are_kept(spark):
 def test_rows_of_a_null_group_are_kept(spark):
     rows = [(i, None if i % 2 else "a") for i in range(20)]
     df = spark.createDataFrame(rows, "id long, g string")
-    got = Timeline.by_id(df, ("g",), "id", width=3).annotate(position="pos", total="n").result()
+    got = Timeline.by_id(df, ("g",), "id", segments=7).annotate(position="pos", total="n").result()
     assert collected(got, "pos", "n") == [(i, i // 2, 10) for i in range(20)]
     small = df.withColumn("g", F.when(F.col("g").isNotNull(), F.lit(1).cast("smallint")))
-    got = Timeline.by_id(small, ("g",), "id", width=3).annotate(position="pos").result()
+    got = Timeline.by_id(small, ("g",), "id", segments=7).annotate(position="pos").result()
     assert collected(got, "pos") == [(i, i // 2) for i in range(20)]
 
 
@@ -128,3 +129,22 @@ def test_empty_strings_and_nulls_are_different_groups(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, None)], "id long, g string")
     got = Timeline.by_id(df, ("g",), "id").annotate(position="pos", total="n").result()
     assert collected(got, "pos", "n") == [(1, 0, 2), (2, 0, 1), (3, 1, 2)]
+
+
+def test_ids_far_apart_give_few_segments(spark):
+    df = spark.range(4000).select((F.xxhash64("id") % (1 << 60)).alias("k"), F.lit("s").alias("g"))
+    rows = Timeline.by_id(df, ("g",), "k", segments=12)
+    assert rows.df.select(SEGMENT).distinct().count() <= 12
+    got = rows.annotate(position="p").result().orderBy("k").collect()
+    assert [r.p for r in got] == list(range(4000))
+
+
+def test_partners_among_many_bins(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 10_000).alias("bin"))
+    pairs = sampled_pairs(df, "id", "bin")
+    row = pairs.agg(
+        F.count("*").alias("n"),
+        F.count(F.when((F.col("bin_1") == F.col("bin_2")) != (F.col("label") == 1), 1)).alias("wrong"),
+        F.avg("label").alias("share"),
+    ).first()
+    assert row.n == 20_000 and row.wrong == 0 and 0.48 < row.share < 0.52
