@@ -233,3 +233,101 @@ WITH docs AS (
 SELECT doc_id, item_id, count(*) AS n_hits, max(agree) AS most_agreeing
 FROM compared WHERE agree * 100 >= compared * 75 GROUP BY doc_id, item_id
 """
+
+
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+
+def _sql_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in sorted(values))
+
+
+SQL["op3_quality"] = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS words FROM documents
+), runs AS (
+  SELECT doc_id, place, array_to_string(words[place + 1 : place + 8], ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(0, len(words) - 7)) AS place FROM docs)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT place + k) AS n_repeat_words
+  FROM (SELECT doc_id, place, unnest(range(0, 8)) AS k FROM (
+    SELECT *, count(*) OVER (PARTITION BY doc_id, run) AS times FROM runs) WHERE times > 1)
+  GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, place, line, {_WORDS.format("line")} AS w
+  FROM (SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS line
+        FROM (SELECT doc_id, string_split(t, chr(10)) AS parts FROM docs))
+), counted AS (
+  SELECT *, len(w) AS n, array_to_string(w, '') AS solid,
+         len(list_filter(w, lambda x: x IN ({_sql_list(quality.SEPARATORS)}))) AS separators,
+         length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS symbols,
+         len(list_filter(range(1, len(w)), lambda k: w[k] = w[k + 1])) AS stutters,
+         len(list_filter(w, lambda x: ends_with(x, '!'))) AS shouts,
+         row_number() OVER (PARTITION BY doc_id, line ORDER BY place) > 1 AS again
+  FROM lines WHERE len(w) > 0
+), judged AS (
+  SELECT *, (separators >= 3 AND 4 * separators >= n)
+         OR (n <= 30 AND regexp_matches(line, '(?i){quality.BOILERPLATE.pattern}'))
+         OR 2 * symbols >= n
+         OR (n >= 8 AND 2 * stutters >= n)
+         OR (n <= 4 AND right(solid, 1) NOT IN ({_sql_list(quality.END_MARKS)}))
+         OR (n >= 3 AND 2 * shouts >= n) AS fails
+  FROM counted
+), by_doc AS (
+  SELECT doc_id, count(*) FILTER (again) AS n_dup_lines, count(*) FILTER (fails) AS n_removed_lines,
+         coalesce(sum(length(solid)) FILTER (fails), 0) AS lost
+  FROM judged GROUP BY doc_id
+), numbers AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_removed_lines, 0) AS n_removed_lines, coalesce(lost, 0) AS lost
+  FROM docs LEFT JOIN by_doc USING (doc_id) LEFT JOIN repeated USING (doc_id)
+), base AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         CASE WHEN word_chars > 0 THEN lost::DOUBLE / word_chars ELSE 0 END AS lost_share
+  FROM numbers
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_removed_lines, lost_share,
+       NOT base_failed AND lost_share <= 0.4::DOUBLE AS kept
+FROM base
+"""
+
+SQL["op4_near_dedup"] = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k + 1 : k + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 3, 1))) AS k FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM shingles a JOIN shingles b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * common >= 80 * (p.n + q.n - common)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM docs
+  UNION
+  SELECT doc_id, y FROM reached JOIN links ON x = other
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+# A plainer path for the given pages, whose articles are marked: blocks of the article element.
+SQL["op7_html_text"] = r"""
+WITH inside AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS a FROM pages
+), plain AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(a, '</?(?:p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS t FROM inside
+), decoded AS (
+  SELECT page_id, url, replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'),
+         '&quot;', '"'), '&#39;', chr(39)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS t FROM plain
+), spaced AS (
+  SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM decoded
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM spaced
+"""
