@@ -226,6 +226,20 @@ def sliding_sequences(
     )
 
 
+def with_daily(windows: DataFrame, daily: DataFrame, day: str, columns: Sequence[str], fill: dict[str, Column]) -> DataFrame:
+    """Windows whose steps carry a ``day``, with that day's ``columns`` as arrays in step order.
+
+    A window holds days, not payloads; each step meets its day's row here, at the very end.
+    ``daily`` has one row per (symbol, ``day``); steps without one get ``fill``.
+    """
+    keys = [SYMBOL, "split", "end_pos"]
+    steps = windows.select(*keys, F.posexplode(f"window.{day}").alias("_step", day))
+    found = steps.join(daily.select(SYMBOL, day, *columns), [SYMBOL, day], "left")
+    entry = F.struct("_step", *[F.coalesce(F.col(c), fill[c]).alias(c) for c in columns])
+    whole = found.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_steps"))
+    return windows.join(whole.select(*keys, *[F.col(f"_steps.{c}").alias(c) for c in columns]), keys)
+
+
 def as_float(df: DataFrame, name: str) -> Column:
     """Numbers as float32 under their own name; arrays and dates as they are."""
     value = F.col(name)

@@ -237,28 +237,30 @@ def multimodal_sequences(spark, sf_dir):
     days = news.select(*KEYS).distinct().withColumn("_has", F.lit(True))
     rows = staged(scaled_rows(spark, sf_dir).result(), "scaled")
     dated = ts.ffill_key(left_features(rows, days, KEYS), F.col("_has").isNotNull(), "text_date")
-    side = packed.withColumnRenamed("date", "text_date")
-    blank = F.array_repeat(F.lit(0), 32)
-    filled = (
-        dated.drop("_has")
-        .join(side, ["stock_symbol", "text_date"], "left")
-        .withColumns({c: F.coalesce(c, blank) for c in ("token_ids", "mask")})
+    windows = staged(
+        ts.sliding_sequences(
+            Timeline.by_date(dated.drop("_has"), ("stock_symbol",), "date"),
+            [*[f"{c}_scaled" for c in PRICE_FEATURES], "text_date"],
+            "close_scaled",
+        ),
+        "windows",
     )
-    windows = ts.sliding_sequences(
-        Timeline.by_date(filled, ("stock_symbol",), "date"),
-        [*[f"{c}_scaled" for c in PRICE_FEATURES], "token_ids", "mask"],
-        "close_scaled",
+    # ids and mask of a day as texts: padding is cut off, the mask is the number of ones
+    daily = packed.select(
+        "stock_symbol",
+        F.col("date").alias("text_date"),
+        F.array_join(F.array_remove("token_ids", 0), " ").alias("ids"),
+        F.aggregate("mask", F.lit(0), lambda a, m: a + m).cast("string").alias("masks"),
     )
-    ids = F.transform("window", lambda step: F.array_join(F.array_remove(step["token_ids"], 0), " "))
-    masks = F.transform("window", lambda step: F.aggregate(step["mask"], F.lit(0), lambda a, m: a + m))
-    return windows.select(
+    whole = ts.with_daily(windows, daily, "text_date", ["ids", "masks"], {"ids": F.lit(""), "masks": F.lit("0")})
+    return whole.select(
         *KEYS,
         "split",
         "end_pos",
         r6("target").alias("target"),
         *[steps(F.col(f"window.{c}_scaled")).alias(f"{c}_steps") for c in PRICE_FEATURES],
-        F.array_join(ids, ";").alias("ids"),
-        F.array_join(masks.cast("array<string>"), ",").alias("masks"),
+        F.array_join("ids", ";").alias("ids"),
+        F.array_join("masks", ",").alias("masks"),
     )
 
 
@@ -323,26 +325,27 @@ def embedding_sequences(spark, sf_dir):
     rows = ts.long_enough_parts(scaled_rows(spark, sf_dir))
     days = daily.select(*KEYS).withColumn("_has", F.lit(True))
     dated = ts.ffill_key(left_features(rows.result(), days, KEYS), F.col("_has").isNotNull(), "vector_date")
-    windows = ts.sliding_sequences(
-        Timeline.by_date(dated.drop("_has"), ("stock_symbol",), "date"),
-        ["close_scaled", "vector_date"],
-        "close_scaled",
+    windows = staged(
+        ts.sliding_sequences(
+            Timeline.by_date(dated.drop("_has"), ("stock_symbol",), "date"),
+            ["close_scaled", "vector_date"],
+            "close_scaled",
+        ),
+        "windows",
     )
-    # the window carries days; each day's vector is joined once per step at the end
-    steps_ = windows.select(*KEYS, "split", "end_pos", "target", F.posexplode("window").alias("step", "w"))
-    side = daily.select("stock_symbol", F.col("date").alias("vector_date"), "embedding")
-    found = steps_.select("*", "w.vector_date", "w.close_scaled").drop("w").join(side, ["stock_symbol", "vector_date"], "left")
-    vector = F.coalesce(F.col("embedding").cast("array<float>"), F.array_repeat(F.lit(0.0).cast("float"), 64))
-    coded_vector = F.array_join(F.transform(vector, lambda x: F.round(x.cast("double") * 1000).cast("long").cast("string")), ",")
-    entry = F.struct("step", F.col("close_scaled").alias("c"), coded_vector.alias("v"))
-    whole = found.groupBy(*KEYS, "split", "end_pos", "target").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    thousandths = F.transform("embedding", lambda x: F.round(x.cast("float").cast("double") * 1000).cast("long").cast("string"))
+    coded_days = daily.select(
+        "stock_symbol", F.col("date").alias("vector_date"), F.array_join(thousandths, ",").alias("vectors")
+    )
+    zeros = F.lit(",".join(["0"] * 64))
+    whole = ts.with_daily(windows, coded_days, "vector_date", ["vectors"], {"vectors": zeros})
     return whole.select(
         *KEYS,
         "split",
         "end_pos",
         r6("target").alias("target"),
-        steps(F.transform("e", lambda x: x["c"])).alias("close_steps"),
-        F.array_join(F.transform("e", lambda x: x["v"]), ";").alias("vectors"),
+        steps(F.col("window.close_scaled")).alias("close_steps"),
+        F.array_join("vectors", ";").alias("vectors"),
     )
 
 
