@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tapeloom.functions.vectors import total
 from tapeloom.operators import series as ts
 from tapeloom.operators.features import token_pack, vocabulary
 from tapeloom.operators.joins import left_features
