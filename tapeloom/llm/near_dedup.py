@@ -8,12 +8,13 @@
    bucket. ``BANDS`` bands of ``ROWS`` registers miss a pair at similarity 0.8 about 3 times
    in a million.
 3. Links are looked for until no two nodes of a bucket are left that could join two groups.
-   First each node is held against one node of another group in its buckets, so that a large
-   group of copies costs its size and not the square of it; this is repeated while it pays.
-   Then all pairs of a bucket that lie in different groups are held against each other.
-   Pairs inside one group need no test, as their link changes no group.
-4. A pair is dropped if the likelihood estimate from both sketches is far below the
-   threshold; the others are decided on their full sets.
+   First each node is held against one hub of each of its buckets, so that a large group of
+   copies costs its size and not the square of it; this is repeated with other hubs while it
+   pays. Buckets whose nodes still lie in more than one group are gathered into neighbourhoods;
+   there the nodes outside the largest group are held against all others, in blocks. Pairs
+   inside one group need no test, as their link changes no group.
+4. A pair is dropped if the likelihood of both sketches peaks far below the threshold; the
+   others are decided on their full sets.
 """
 
 from __future__ import annotations
@@ -38,10 +39,19 @@ BASE, RATE, TOP = 1.125, 20.0, 255
 #: A pair is given up if its estimate is this many standard errors below the threshold.
 ERRORS = 6.0
 
-#: Rounds of one test per node end when the pairs left are at most this many per row in a bucket.
-PAIRS_PER_ROW = 2
+#: Rounds with hubs end when at most this many pairs a node are left for blocks, or no more links are found.
+PAIRS_PER_NODE = 4_000
 ROUNDS = 8
 
+#: Nodes of a block.
+BLOCK = 1_024
+
+#: Tables of two numbers a row are broadcast up to this many rows, which are counted first.
+BROADCAST_ROWS = 500_000
+
+#: Rows of such a table, and pairs to be decided, for one task.
+TASK_ROWS, TASK_PAIRS = 100_000, 4_000
+
 _DOCS_AT_ONCE = 1024
 
 
@@ -137,35 +147,47 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(np.nan_to_num(level, neginf=0), 0, TOP).astype(np.uint8)
 
 
-def estimates(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
-    """Similarity of pairs of sketches of sets of known sizes, by the joint likelihood of
-    how many registers are larger, smaller and equal."""
-    larger, smaller = (a > b).sum(axis=1), (a < b).sum(axis=1)
-    equal = a.shape[1] - larger - smaller
-    u = size_a / (size_a + size_b)
-    v = 1 - u
-    most = np.minimum(u / v, v / u)
+def _likelihood(larger, smaller, equal, u, similarity):
+    """Log-likelihood of how many registers are larger, smaller and equal, at a similarity of two
+    sets of which the first has the share ``u`` of both sizes."""
 
     def chance(x):
         return -np.log1p(-np.clip(x, 0, None) * (BASE - 1) / BASE) / np.log(BASE)
 
-    def likelihood(j):
-        up, down = chance(u - v * j), chance(v - u * j)
-        tiny = 1e-300
-        return (
-            larger * np.log(np.maximum(up, tiny))
-            + smaller * np.log(np.maximum(down, tiny))
-            + equal * np.log(np.maximum(1 - up - down, tiny))
-        )
+    v = 1 - u
+    up, down, tiny = chance(u - v * similarity), chance(v - u * similarity), 1e-300
+    return (
+        larger * np.log(np.maximum(up, tiny))
+        + smaller * np.log(np.maximum(down, tiny))
+        + equal * np.log(np.maximum(1 - up - down, tiny))
+    )
+
 
-    low, high = np.zeros(len(u)), most.copy()
+def estimates(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Most likely similarity of pairs of sketches of sets of known sizes, from both jointly."""
+    larger, smaller = (a > b).sum(axis=1), (a < b).sum(axis=1)
+    equal = a.shape[1] - larger - smaller
+    u = size_a / (size_a + size_b)
+    low, high = np.zeros(len(u)), np.minimum(u / (1 - u), (1 - u) / u)
     for _ in range(40):  # the likelihood has one peak
         third = (high - low) / 3
-        left = likelihood(low + third) < likelihood(high - third)
+        left = _likelihood(larger, smaller, equal, u, low + third) < _likelihood(larger, smaller, equal, u, high - third)
         low, high = np.where(left, low + third, low), np.where(left, high, high - third)
     return (low + high) / 2
 
 
+def likely(a: np.ndarray, b: np.ndarray, size_a, size_b, percent: int) -> np.ndarray:
+    """Whether the sizes allow the similarity, and the likelihood still rises ``ERRORS`` standard
+    errors below it, so that its peak lies higher."""
+    slack = ERRORS * (percent * (100 - percent) / 1e4 / REGISTERS) ** 0.5
+    at = max(percent / 100 - slack, 0.0)
+    larger, smaller = (a > b).sum(axis=-1), (a < b).sum(axis=-1)
+    equal = REGISTERS - larger - smaller
+    u = size_a / (size_a + size_b)
+    rises = _likelihood(larger, smaller, equal, u, at + 1e-4) >= _likelihood(larger, smaller, equal, u, at)
+    return rises & (100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b))
+
+
 def sketched(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """Per row: doc, digest of its set, the set's size and the registers."""
     rows = docs.select(
@@ -193,37 +215,45 @@ def sketched(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
 # --- groups of linked nodes --------------------------------------------------------------
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label) for the nodes of undirected edges (a, b); the label is the smallest node reached.
+def sized(small: DataFrame, rows: int | None = None) -> DataFrame:
+    """``small`` (stored, narrow) for the small side of a join: broadcast if it is counted to have
+    few rows, and left to a shuffle beyond that."""
+    return F.broadcast(small) if (small.count() if rows is None else rows) <= BROADCAST_ROWS else small
 
-    Turns of hanging larger and smaller neighbours on the smallest one; each turn is stored.
-    """
-    links = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "links")
-    mark = _fingerprint(links)
-    while True:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a > b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
-        links = stored(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), "links")
-        if (now := _fingerprint(links)) == mark:
-            break
-        mark = now
-    roots = links.select(F.col("b").alias("node")).distinct().withColumn("label", F.col("node"))
-    return links.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)
 
+def kept(df: DataFrame, name: str, rows: int, each: int = TASK_ROWS) -> DataFrame:
+    """``df``, of at most ``rows`` rows, stored by one task for ``each`` of them."""
+    return stored(df.coalesce(rows // each + 1), name)
 
-def _fingerprint(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
+    """(node, label) for the nodes of undirected edges (a, b); the label is the smallest node reached.
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose full sets are similar enough; ``nodes`` has the sketches."""
-    slack = ERRORS * (percent * (100 - percent) / 1e4 / REGISTERS) ** 0.5
-
-    def likely(batches):
+    Each turn a node takes the smallest label around it and then the label of that label, so
+    that the way to the smallest node halves at least. Each turn is stored. ``rows`` is a bound
+    of the number of edges, which are counted without it.
+    """
+    rows = 2 * (edges.count() if rows is None else rows)
+    both = kept(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links", rows)
+    first = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    labels = kept(first.select("node", F.least("node", "m").alias("label")), "labels", rows)
+    hint = F.broadcast if rows <= BROADCAST_ROWS else lambda df: df
+    while True:
+        around = both.join(hint(labels.select(F.col("node").alias("b"), "label")), "b")
+        around = around.groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
+        taken = around.join(hint(labels), "node")
+        taken = kept(taken.select("node", F.least("m", "label").alias("label"), F.col("label").alias("old")), "taken", rows)
+        if not taken.where("label <> old").head(1):
+            return taken.drop("old")
+        further = taken.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        labels = kept(taken.join(hint(further), "label").select("node", F.col("further").alias("label")), "labels", rows)
+
+
+def confirmed(pairs: DataFrame, facts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those pairs (a, b) whose full sets are similar enough. ``facts`` has the nodes' sketches and
+    texts; only pairs that the sketches' likelihood leaves open are decided on their texts."""
+    def check(batches):
+        last = ("", shingle_set("", size))
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -231,27 +261,18 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, p
                 np.frombuffer(b"".join(column(batch, c)), dtype=np.uint8).reshape(-1, REGISTERS)
                 for c in ("registers_a", "registers_b")
             )
-            n_a, n_b = (batch.column(batch.schema.get_field_index(c)).to_numpy().astype(float) for c in ("n_a", "n_b"))
-            near = estimates(a, b, n_a, n_b) >= percent / 100 - slack
-            yield batch.select(["a", "b"]).filter(pa.array(near))
-
-    def check(batches):
-        last: tuple[str, np.ndarray] = ("", shingle_set("", size))
-        for batch in batches:
+            n_a, n_b = (np.array(column(batch, c), dtype=float) for c in ("n_a", "n_b"))
             found = []
-            for one, two in zip(column(batch, "text_b"), column(batch, "text_a")):
-                if one != last[0]:  # pairs come sorted by their smaller node
+            for near, one, two in zip(likely(a, b, n_a, n_b, percent), column(batch, "text_b"), column(batch, "text_a")):
+                if near and one != last[0]:  # the pairs of one hub come one after another
                     last = (one, shingle_set(one, size))
-                found.append(similar(last[1], shingle_set(two, size), percent))
+                found.append(bool(near) and similar(last[1], shingle_set(two, size), percent))
             yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
 
-    def side(table: DataFrame, end: str) -> DataFrame:
-        return table.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in table.columns if c != "node"])
+    def side(end: str) -> DataFrame:
+        return facts.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("n", "registers", "text")])
 
-    with_sketches = pairs.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b")
-    kept = arrow_map(with_sketches, likely, "a long, b long").distinct()
-    with_texts = kept.join(side(texts, "a"), "a").join(side(texts, "b"), "b")
-    return arrow_map(with_texts, check, "a long, b long").distinct()
+    return arrow_map(pairs.join(side("a"), "a").join(side("b"), "b"), check, "a long, b long")
 
 
 def bucketed(nodes: DataFrame) -> DataFrame:
@@ -261,72 +282,112 @@ def bucketed(nodes: DataFrame) -> DataFrame:
     return bands.select(F.xxhash64("band", "part").alias("bucket"), "node")
 
 
-def open_rows(live: DataFrame, labels: DataFrame) -> DataFrame:
+def open_rows(live: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """(bucket, node, label) of the buckets whose nodes lie in more than one group."""
-    placed = live.join(labels, "node")
+    placed = live.join(sized(labels), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     several = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return stored(placed.join(several.where("low < high").select("bucket"), "bucket"), "open")
+    several = kept(several.where("low < high").select("bucket"), "several", rows)
+    return kept(placed.join(sized(several), "bucket"), "open", rows)
 
 
-def label_counts(rows: DataFrame) -> DataFrame:
-    """Per bucket: rows, and the label with the most rows with their number."""
-    each = rows.groupBy("bucket", "label").agg(F.count("*").alias("c"))
-    return each.groupBy("bucket").agg(
-        F.sum("c").alias("n"), F.max("c").alias("most"), F.max_by("label", F.struct("c", "label")).alias("major")
+def with_hubs(rows: DataFrame, turn: int, count: int) -> DataFrame:
+    """Pairs of each node with the hub of each of its buckets, another one each turn."""
+    order = F.xxhash64("node", F.lit(turn))
+    hubs = rows.groupBy("bucket").agg(F.min_by("node", order).alias("hub"), F.min_by("label", order).alias("hub_label"))
+    offered = rows.join(sized(kept(hubs, "hubs", count)), "bucket").where("label <> hub_label")
+    return offered.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+
+
+def neighbourhoods(rows: DataFrame, count: int) -> DataFrame:
+    """(node, label, place, major, size, minor) of the nodes of open buckets: buckets that share a
+    node lie in one place; of its ``size`` nodes ``minor`` are outside its largest group."""
+    hubs = kept(rows.groupBy("bucket").agg(F.min("node").alias("hub")), "hubs", count)
+    edges = rows.join(sized(hubs), "bucket").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    places = components(kept(edges.distinct(), "bucket-links", count), count)
+    nodes = rows.select("node", "label").distinct().join(sized(places.withColumnRenamed("label", "place")), "node")
+    nodes = kept(nodes, "places", count)
+    each = nodes.groupBy("place", "label").agg(F.count("*").alias("c"))
+    of_place = each.groupBy("place").agg(
+        F.sum("c").alias("size"), F.max("c").alias("most"), F.max_by("label", F.struct("c", "label")).alias("major")
     )
+    of_place = kept(of_place.select("place", "major", "size", (F.col("size") - F.col("most")).alias("minor")), "sizes", count)
+    return kept(nodes.join(sized(of_place), "place"), "neighbours", count)
 
 
-def one_each(rows: DataFrame, tested: DataFrame | None, turn: int) -> DataFrame:
-    """At most one pair per node: with the hub of one of its buckets, another one each turn."""
-    order = F.xxhash64("node", F.lit(turn))
-    hubs = rows.groupBy("bucket").agg(F.min_by("node", order).alias("hub"), F.min_by("label", order).alias("hub_label"))
-    offered = rows.join(hubs, "bucket").where("label <> hub_label")
-    offered = offered.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"), "node", "hub")
-    if tested is not None:
-        offered = offered.join(tested, ["a", "b"], "left_anti")
-    chosen = offered.groupBy("node").agg(F.min_by("hub", F.xxhash64("hub", F.lit(turn))).alias("hub"))
-    return chosen.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+def compared(nodes: DataFrame, facts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes outside the largest group of a place and all others of other groups.
 
+    Both sides are dealt into blocks of about ``BLOCK`` nodes, and each pair of blocks is one
+    small table for one call.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    minor_blocks = F.ceil(F.col("minor") / BLOCK).cast("int")
+    dealt = F.xxhash64("node")
+    everyone = nodes.select(
+        "node", "label", "place", F.lit(False).alias("outside"), F.pmod(dealt, blocks).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("minor_block"),
+    )
+    outside = nodes.where("label <> major").select(
+        "node", "label", "place", F.lit(True).alias("outside"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+        F.pmod(dealt, minor_blocks).cast("int").alias("minor_block"),
+    )
+    rows = everyone.unionByName(outside).join(facts, "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, label, n = (np.array(table.column(c).to_pylist()) for c in ("node", "label", "n"))
+        away = np.array(table.column("outside").to_pylist())
+        registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+        sets = shingle_sets(table.column("text").to_pylist(), size)
+        others = np.flatnonzero(~away)
+        keys = np.concatenate([sets[k] for k in others]) if len(others) else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(len(others)), [len(sets[k]) for k in others])
+        order = np.argsort(keys, kind="stable")
+        keys, owner = keys[order], owner[order]
+        sizes = np.array([len(sets[k]) for k in others])
+        found = []
+        for k in np.flatnonzero(away) if len(others) else ():
+            near = (label[others] != label[k]) & likely(registers[k], registers[others], float(n[k]), n[others].astype(float), percent)
+            if not near.any():
+                continue
+            first, past = np.searchsorted(keys, sets[k], "left"), np.searchsorted(keys, sets[k], "right")
+            hits = np.concatenate([owner[f:p] for f, p in zip(first, past) if p > f] or [owner[:0]])
+            both = np.bincount(hits, minlength=len(others))
+            linked = near & (100 * both >= percent * (len(sets[k]) + sizes - both))
+            found += [(int(node[k]), int(m)) for m in node[others[linked]]]
+        return pa.table({c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate("ab")})
 
-def all_pairs(rows: DataFrame, tested: DataFrame | None) -> DataFrame:
-    """All pairs of a bucket in different groups: nodes outside its largest group against the others."""
-    placed = rows.join(label_counts(rows).select("bucket", "major"), "bucket")
-    left = placed.where("label <> major").select("bucket", F.col("node").alias("x"), F.col("label").alias("x_label"))
-    pairs = left.join(placed, "bucket").where("x_label <> label AND (label = major OR x < node)")
-    pairs = pairs.select(F.greatest("x", "node").alias("a"), F.least("x", "node").alias("b")).distinct()
-    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+    return rows.groupBy("place", "block", "minor_block").applyInArrow(compare, "a long, b long").distinct()
 
 
 def groups(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: int, percent: int) -> DataFrame:
     """(node, label) of the nodes that are linked with another one; see the module's text."""
     bands = bucketed(nodes)
     shared = bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    live = stored(bands.join(shared.select("bucket"), "bucket"), "buckets")
-    involved = stored(live.select("node").distinct(), "involved")
-    nodes = stored(nodes.join(involved, "node"), "sketches")
-    texts = stored(texts_of(involved), "texts")
-
-    labels, edges, tested = involved.withColumn("label", F.col("node")), None, None
-    progress = True
-    for turn in range(ROUNDS + 1):
-        rows = open_rows(live, labels)
-        total, left = label_counts(rows).agg(F.sum("n"), F.sum(F.expr("(n - most) * n"))).first()
-        if not left:
+    live = stored(bands.join(sized(stored(shared.select("bucket"), "shared")), "bucket"), "buckets")
+    size_live = live.count()
+    involved = kept(live.select("node").distinct(), "involved", size_live)
+    few = sized(involved)
+    facts = stored(nodes.join(few, "node").join(texts_of(few), "node"), "facts")
+
+    rows, labels, links, edges = live.withColumn("label", F.col("node")), None, None, 0
+    for turn in range(ROUNDS):
+        pairs = kept(with_hubs(rows, turn, size_live), "pairs", size_live)
+        new = kept(confirmed(pairs, facts, size, percent), "edges", pairs.count(), TASK_PAIRS)
+        if not (linked := new.count()):
             break
-        last = turn == ROUNDS or not progress or (turn > 0 and left <= PAIRS_PER_ROW * total)
-        pairs = stored(all_pairs(rows, tested) if last else one_each(rows, tested, turn), "pairs")
-        new = stored(confirmed(pairs, nodes, texts, size, percent), "edges")
-        progress = bool(new.head(1))
-        edges = new if edges is None else edges.unionByName(new)
-        if last:
+        links, edges = new if links is None else links.unionByName(new), edges + linked
+        labels = components(links, edges)
+        rows = open_rows(live, labels, size_live)
+        near = neighbourhoods(rows, size_live)
+        count, work = near.agg(F.count("*"), F.sum(F.expr("CASE WHEN label <> major THEN size ELSE 0 END"))).first()
+        if not count or work <= PAIRS_PER_NODE * count:
             break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if progress:
-            grown = components(edges)
-            labels = stored(
-                involved.join(grown, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "labels"
-            )
-    return labels.where("false") if edges is None else components(edges)
+    if labels is None:
+        near = neighbourhoods(rows, size_live)
+    new = stored(compared(near, facts, size, percent), "edges")
+    if linked := new.count():
+        labels = components(new if links is None else links.unionByName(new), edges + linked)
+    return live.select("node", F.col("node").alias("label")).limit(0) if labels is None else labels
 
 
 # --- the operator ------------------------------------------------------------------------

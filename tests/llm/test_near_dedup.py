@@ -99,7 +99,8 @@ def test_groups_against_brute_force(spark):
 
 
 def test_kept_documents_and_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "ROUNDS", 0)  # all pairs at once
+    monkeypatch.setattr(near_dedup, "ROUNDS", 0)  # blocks alone
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
     rows = near_rows()
     kept = near_dedup.keep_one(table(spark, rows))
     want = sorted((i for i, _, _, k in by_hand(rows, 5, 80) if k), key=repr)
