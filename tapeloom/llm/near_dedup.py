@@ -299,13 +299,13 @@ def with_hubs(rows: DataFrame, turn: int, count: int) -> DataFrame:
 
 
 def neighbourhoods(rows: DataFrame, count: int) -> DataFrame:
-    """(node, label, place, major, size, minor) of the nodes of open buckets: buckets that share a
-    node lie in one place; of its ``size`` nodes ``minor`` are outside its largest group."""
-    hubs = kept(rows.groupBy("bucket").agg(F.min("node").alias("hub")), "hubs", count)
-    edges = rows.join(sized(hubs), "bucket").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    places = components(kept(edges.distinct(), "bucket-links", count), count)
-    nodes = rows.select("node", "label").distinct().join(sized(places.withColumnRenamed("label", "place")), "node")
-    nodes = kept(nodes, "places", count)
+    """(node, label, place, major, size, minor) of the nodes of open buckets: groups that share a
+    bucket lie in one place; of its ``size`` nodes ``minor`` are outside its largest group."""
+    hubs = kept(rows.groupBy("bucket").agg(F.min("label").alias("hub")), "hubs", count)
+    edges = rows.join(sized(hubs), "bucket").where("label <> hub").select(F.col("label").alias("a"), F.col("hub").alias("b"))
+    edges = kept(edges.distinct(), "bucket-links", count)
+    places = components(edges).select(F.col("label").alias("place"), F.col("node").alias("label"))
+    nodes = kept(rows.select("node", "label").distinct().join(sized(places), "label"), "places", count)
     each = nodes.groupBy("place", "label").agg(F.count("*").alias("c"))
     of_place = each.groupBy("place").agg(
         F.sum("c").alias("size"), F.max("c").alias("most"), F.max_by("label", F.struct("c", "label")).alias("major")
@@ -359,6 +359,22 @@ def compared(nodes: DataFrame, facts: DataFrame, size: int, percent: int) -> Dat
     return rows.groupBy("place", "block", "minor_block").applyInArrow(compare, "a long, b long").distinct()
 
 
+def joined_groups(labels: DataFrame, links: DataFrame, count: int) -> DataFrame:
+    """``labels`` after some more links: only the groups that these join are looked at again."""
+    old = sized(labels)
+
+    def group(end: str) -> DataFrame:
+        return old.select(F.col("node").alias(end), F.col("label").alias(f"group_{end}"))
+
+    ends = links.join(group("a"), "a", "left").join(group("b"), "b", "left")
+    ends = ends.select(F.coalesce("group_a", "a").alias("a"), F.coalesce("group_b", "b").alias("b"))
+    grown = components(kept(ends.where("a <> b").distinct(), "group-links", count), count)
+    grown = grown.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    known = labels.join(sized(grown), "label", "left").select("node", F.coalesce("new", "label").alias("label"))
+    added = grown.select(F.col("label").alias("node"), F.col("new").alias("label"))
+    return known.unionByName(added.join(known.select("node"), "node", "left_anti"))
+
+
 def groups(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: int, percent: int) -> DataFrame:
     """(node, label) of the nodes that are linked with another one; see the module's text."""
     bands = bucketed(nodes)
@@ -386,7 +402,7 @@ def groups(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: i
         near = neighbourhoods(rows, size_live)
     new = stored(compared(near, facts, size, percent), "edges")
     if linked := new.count():
-        labels = components(new if links is None else links.unionByName(new), edges + linked)
+        labels = components(new, linked) if labels is None else joined_groups(labels, new, linked)
     return live.select("node", F.col("node").alias("label")).limit(0) if labels is None else labels
 
 
