@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.runtime import arrow_map, column, quoted, stored
+from tapeloom.llm.runtime import BROADCAST_ROWS, arrow_map, column, quoted, sized, stored
 
 #: Production parameters of the sketch.
 BANDS, ROWS = 64, 8
@@ -46,10 +46,7 @@ ROUNDS = 8
 #: Nodes of a block.
 BLOCK = 1_024
 
-#: Tables of two numbers a row are broadcast up to this many rows, which are counted first.
-BROADCAST_ROWS = 500_000
-
-#: Rows of such a table, and pairs to be decided, for one task.
+#: Rows of a table of a few numbers a row, and pairs to be decided, for one task.
 TASK_ROWS, TASK_PAIRS = 100_000, 4_000
 
 _DOCS_AT_ONCE = 1024
@@ -215,12 +212,6 @@ def sketched(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
 # --- groups of linked nodes --------------------------------------------------------------
 
 
-def sized(small: DataFrame, rows: int | None = None) -> DataFrame:
-    """``small`` (stored, narrow) for the small side of a join: broadcast if it is counted to have
-    few rows, and left to a shuffle beyond that."""
-    return F.broadcast(small) if (small.count() if rows is None else rows) <= BROADCAST_ROWS else small
-
-
 def kept(df: DataFrame, name: str, rows: int, each: int = TASK_ROWS) -> DataFrame:
     """``df``, of at most ``rows`` rows, stored by one task for ``each`` of them."""
     return stored(df.coalesce(rows // each + 1), name)

@@ -81,5 +81,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Stored tables of a few numbers a row are broadcast up to this many rows.
+BROADCAST_ROWS = 500_000
+
+
+def sized(small: DataFrame, rows: int | None = None) -> DataFrame:
+    """``small`` (stored, narrow) for the small side of a join: broadcast if it is counted to have
+    few rows, and left to a shuffle beyond that."""
+    return F.broadcast(small) if (small.count() if rows is None else rows) <= BROADCAST_ROWS else small
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
