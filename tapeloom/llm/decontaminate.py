@@ -4,7 +4,9 @@ A seed is the hash of the tokens under the ones of a mask, laid at one position;
 the zeros may differ. Seeds of all positions of all documents are joined with those of the
 benchmark. Around each hit the tokens of both sides are laid against each other, and the
 hit counts if enough of them agree, so that a passage is found although words in it were
-replaced. All of it is DataFrame operations; the windows of a document are never stored.
+replaced. A hit inside a long item counts as well if a short stretch across it agrees, so that
+a part of a passage is found too. All of it is DataFrame operations; the windows of a document
+are never stored.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ SPAN = len(MASKS[0])
 #: Production parameters: tokens looked at before and after a hit, and how many of a hundred agree.
 CONTEXT, PERCENT = 10, 75
 
+#: A hit counts too if so many tokens agree in some stretch of so many aligned tokens that covers it.
+STRETCH_AGREEING, STRETCH = 13, 17
+
 #: The benchmark's seeds are broadcast up to this many; beyond it they are joined by a shuffle.
 MAX_BROADCAST_SEEDS = 1_000_000
 
@@ -55,6 +60,16 @@ def agreeing(first: Column, end: Column) -> Column:
     return F.size(same)
 
 
+def has_stretch() -> Column:
+    """Whether ``STRETCH_AGREEING`` of the item's tokens in a stretch of ``STRETCH`` that covers the hit agree."""
+    shift = F.col("at") - F.col("item_at")
+    places = F.sequence(F.col("item_at") + SPAN - STRETCH, F.col("item_at") + STRETCH - 1)
+    same = F.filter(places, lambda k: F.coalesce(F.get("words", k + shift) == F.get("item_words", k), F.lit(False)))
+    later = F.slice(same, STRETCH_AGREEING, STRETCH)
+    apart = F.zip_with(F.slice(same, 1, F.size(later)), later, lambda a, b: b - a)
+    return F.exists(apart, lambda d: d < STRETCH)
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -67,7 +82,10 @@ def contaminated(
 
     Columns: the ids, ``n_hits`` (seeds whose surroundings agree) and ``most_agreeing`` (the most
     tokens that agree around one of them). Around a hit up to ``CONTEXT`` tokens of the item on
-    either side are compared; ``PERCENT`` of a hundred must agree. Items and documents of fewer
+    either side are compared; ``PERCENT`` of a hundred must agree. Where no hit of a pair passes
+    that, hits count that lie in a stretch of ``STRETCH`` aligned tokens of which
+    ``STRETCH_AGREEING`` agree: a verbatim run of so many tokens is found wherever it stands in
+    the item and however long the item is. Items and documents of fewer
     than ``SPAN`` tokens prove nothing and are never reported. Rows of one document id are one
     document, likewise items; null ids are an id of their own. Null texts have no tokens. Other
     columns are not looked at. An empty benchmark gives no rows.
@@ -90,11 +108,17 @@ def contaminated(
 
     first = F.greatest(F.lit(0), F.col("item_at") - CONTEXT)
     end = F.least(F.size("item_words"), F.col("item_at") + SPAN + CONTEXT)
-    compared = hits.select("doc", "item", (end - first).alias("compared"), agreeing(first, end).alias("agree"))
+    compared = hits.select("*", (end - first).alias("compared"), agreeing(first, end).alias("agree"))
+    around = F.col("agree") * 100 >= F.col("compared") * PERCENT
+    counted = compared.select("doc", "item", "agree", around.alias("around"), (around | has_stretch()).alias("counts"))
+    n_around, most_around = F.count_if("around"), F.max(F.when(F.col("around"), F.col("agree")))
     return (
-        compared.where(F.col("agree") * 100 >= F.col("compared") * PERCENT)
+        counted.where("counts")
         .groupBy("doc", "item")
-        .agg(F.count("*").alias("n_hits"), F.max("agree").cast("long").alias("most_agreeing"))
+        .agg(
+            F.when(n_around > 0, n_around).otherwise(F.count("*")).alias("n_hits"),
+            F.coalesce(most_around, F.max("agree")).cast("long").alias("most_agreeing"),
+        )
         .select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_hits", "most_agreeing")
     )
 

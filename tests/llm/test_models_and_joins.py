@@ -135,6 +135,34 @@ def test_passages_with_replaced_words(spark, monkeypatch):
     assert decontaminate.contaminated(table(spark, []), benchmark).count() == 0
 
 
+def test_parts_of_long_passages(spark, monkeypatch):
+    draw = random.Random(13)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(4))
+    items = {n: [word() for _ in range(n)] for n in (30, 38, 48, 59, 100)}
+    docs, want = [], set()
+
+    def put(part, item=None):
+        docs.append((len(docs), " ".join([word() for _ in range(40)] + part + [word() for _ in range(40)])))
+        want.update({(len(docs) - 1, item)} if item else ())
+
+    for n, words in items.items():
+        for at in range(n - 12):
+            put(words[at : at + 13], n)  # verbatim, at every place
+        for at in range(0, n - 9, 5):
+            put(words[at : at + 9])  # too short a part to count
+        put([*words[5:15], word(), *words[16:19], word(), *words[20:22]], n)  # 15 of 17 tokens
+    docs.append((len(docs), " ".join(items[59][:13])))  # the part alone, at the borders of item and document
+    want.add((len(docs) - 1, 59))
+    docs.append((len(docs), " ".join(items[59][-13:])))
+    want.add((len(docs) - 1, 59))
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    for most in (decontaminate.MAX_BROADCAST_SEEDS, 0):
+        monkeypatch.setattr(decontaminate, "MAX_BROADCAST_SEEDS", most)
+        got = decontaminate.contaminated(table(spark, docs), benchmark).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+        assert all(r["most_agreeing"] >= 13 and r["n_hits"] > 0 for r in got)
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, known int, host string, s1 int")
 
