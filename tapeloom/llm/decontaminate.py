@@ -5,8 +5,8 @@ the zeros may differ. Seeds of all positions of all documents are joined with th
 benchmark. Around each hit the tokens of both sides are laid against each other, and the
 hit counts if enough of them agree, so that a passage is found although words in it were
 replaced. A hit inside a long item counts as well if a short stretch across it agrees, so that
-a part of a passage is found too. All of it is DataFrame operations; the windows of a document
-are never stored.
+a part of a passage is found too. Items too short for a seed must stand in the document word for
+word. All of it is DataFrame operations; the windows of a document are never stored.
 """
 
 from __future__ import annotations
@@ -30,9 +30,14 @@ STRETCH_AGREEING, STRETCH = 13, 17
 MAX_BROADCAST_SEEDS = 1_000_000
 
 
+#: Fixed value: letters of scripts that put no spaces between words.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
+
 def tokens(text: Column) -> Column:
-    """Runs of letters and digits, lower-cased."""
-    plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")
+    """Runs of letters and digits, lower-cased; each letter of scripts without spaces is one."""
+    spaced = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), UNSPACED, " $0 ")
+    plain = F.regexp_replace(spaced, r"[^\p{L}\p{N}]+", " ")
     return F.split(F.trim(plain), " ")
 
 
@@ -52,6 +57,19 @@ def windows(rows: DataFrame, words: str, at: str) -> DataFrame:
     return placed.select("*", F.explode(seeds(words, at)).alias("seed"))
 
 
+def passages(rows: DataFrame, words: str, sizes: list[int]) -> DataFrame:
+    """``rows`` once for each run of so many tokens, with the run as ``passage`` and its ``length``."""
+    placed = rows.select("*", F.explode(F.sequence(F.lit(0), F.size(words) - 1)).alias("at"))
+    runs = [
+        F.when(
+            F.col("at") + n <= F.size(words),
+            F.struct(F.array_join(F.slice(words, F.col("at") + 1, n), " ").alias("passage"), F.lit(n).alias("length")),
+        )
+        for n in sizes
+    ]
+    return placed.select("*", F.explode(F.array_compact(F.array(*runs))).alias("run")).select("*", "run.*")
+
+
 def agreeing(first: Column, end: Column) -> Column:
     """How many of the item's tokens from ``first`` to ``end`` stand at the same distance from the hit in the document."""
     places = F.sequence(first, end - 1)
@@ -85,18 +103,22 @@ def contaminated(
     either side are compared; ``PERCENT`` of a hundred must agree. Where no hit of a pair passes
     that, hits count that lie in a stretch of ``STRETCH`` aligned tokens of which
     ``STRETCH_AGREEING`` agree: a verbatim run of so many tokens is found wherever it stands in
-    the item and however long the item is. Items and documents of fewer
-    than ``SPAN`` tokens prove nothing and are never reported. Rows of one document id are one
-    document, likewise items; null ids are an id of their own. Null texts have no tokens. Other
-    columns are not looked at. An empty benchmark gives no rows.
+    the item and however long the item is. Items of fewer than ``SPAN`` tokens count wherever all
+    their tokens stand in the document, in order and next to each other; an item of one word is
+    held by each document that has the word. Items without a token are never reported. Rows of
+    one document id are one document, likewise items; null ids are an id of their own. Null texts
+    have no tokens. Other columns are not looked at. An empty benchmark gives no rows.
     """
     rows = docs.select(F.col(quoted(id_col)).alias("doc"), tokens(F.col(quoted(text_col))).alias("words"))
     items = benchmark.select(
         F.col(quoted(item_col)).alias("item"), tokens(F.col(quoted(item_text_col))).alias("item_words")
     ).withColumn("key", F.xxhash64("item", "item_words"))
-    items = items.where(F.size("item_words") >= SPAN).dropDuplicates(["key"])
+    items = items.where(F.get("item_words", F.lit(0)) != "").dropDuplicates(["key"])
+    length = F.size("item_words")
     item_seeds = windows(items, "item_words", "item_at").select("seed", "key", "item_at")
-    count = items.agg(F.sum(F.size("item_words") - SPAN + 1)).first()[0] or 0
+    places = F.sum(F.greatest(length - SPAN + 1, F.lit(0)))
+    sums = items.agg(places, F.count_if(length < SPAN), F.collect_set(F.when(length < SPAN, length))).first()
+    count, n_short, short_sizes = sums[0] or 0, sums[1], sorted(sums[2])
 
     if count * len(MASKS) <= MAX_BROADCAST_SEEDS:
         hits = windows(rows, "words", "at").join(F.broadcast(item_seeds), "seed").drop("seed")
@@ -111,10 +133,15 @@ def contaminated(
     compared = hits.select("*", (end - first).alias("compared"), agreeing(first, end).alias("agree"))
     around = F.col("agree") * 100 >= F.col("compared") * PERCENT
     counted = compared.select("doc", "item", "agree", around.alias("around"), (around | has_stretch()).alias("counts"))
+    counted = counted.where("counts").drop("counts")
+    if n_short:
+        short = items.where(length < SPAN).select("item", F.array_join("item_words", " ").alias("passage"))
+        short = F.broadcast(short) if n_short <= MAX_BROADCAST_SEEDS else short
+        runs = passages(rows, "words", short_sizes).select("doc", "passage", "length").join(short, "passage")
+        counted = counted.union(runs.select("doc", "item", "length", F.lit(True)))
     n_around, most_around = F.count_if("around"), F.max(F.when(F.col("around"), F.col("agree")))
     return (
-        counted.where("counts")
-        .groupBy("doc", "item")
+        counted.groupBy("doc", "item")
         .agg(
             F.when(n_around > 0, n_around).otherwise(F.count("*")).alias("n_hits"),
             F.coalesce(most_around, F.max("agree")).cast("long").alias("most_agreeing"),

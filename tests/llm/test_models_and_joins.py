@@ -163,6 +163,46 @@ def test_parts_of_long_passages(spark, monkeypatch):
         assert all(r["most_agreeing"] >= 13 and r["n_hits"] > 0 for r in got)
 
 
+def test_short_items_and_scripts_without_spaces(spark, monkeypatch):
+    items = [
+        (1, "Who wrote Emma?"),
+        (2, "日本で一番高い山は何ですか"),  # 13 letters, no spaces
+        (3, "法国的首都"),
+        (4, "one two three four five six seven eight nine"),
+        (5, "?!"),
+        (6, None),
+        (7, "Yes"),
+        (8, "short one"),
+        (8, "a longer row of the same item that has more than ten words"),
+        (8, "short one"),
+    ]
+    docs = [
+        (1, "They asked: who wrote EMMA, and when? Who wrote Emma"),
+        (2, "who has written emma"),
+        (3, "問題、日本で一番高い山は何ですか。富士山"),
+        (4, "请问法国的首都在哪里"),
+        (5, "法国人的首都"),
+        (6, "zero one two three four five six seven eight nine ten"),
+        (7, "one two three four six five seven eight nine"),
+        (8, "yes"),
+        (9, "eyes"),
+        (10, "A short one, a longer row of the same item that has more than ten words"),
+        (11, ""),
+        (12, None),
+        (None, "yes yes"),
+    ]
+    want = {(1, 1): (2, 3), (4, 3): (1, 5), (6, 4): (1, 9), (8, 7): (1, 1), (None, 7): (2, 1)}
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for most in (decontaminate.MAX_BROADCAST_SEEDS, 0):
+        monkeypatch.setattr(decontaminate, "MAX_BROADCAST_SEEDS", most)
+        rows = decontaminate.contaminated(table(spark, docs), benchmark).collect()
+        got = {(r["doc_id"], r["item_id"]): (r["n_hits"], r["most_agreeing"]) for r in rows}
+        assert len(got) == len(rows) and {k: got[k] for k in want} == want
+        assert set(got) - set(want) == {(3, 2), (10, 8)} and got[3, 2][1] == got[10, 8][1] == 13
+    left = decontaminate.remove(table(spark, docs), benchmark)
+    assert [r["doc_id"] for r in left.orderBy("doc_id").collect()] == [2, 5, 7, 9, 11, 12]
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, known int, host string, s1 int")
 
