@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import byte_bpe, decontaminate, html_text, license_scan, line_dedup, near_dedup, ngram_lm, quality, token_counts, url_filter
+from tapeloom.llm import (
+    byte_bpe,
+    decontaminate,
+    html_text,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    ngram_lm,
+    quality,
+    queries_structure,
+    token_counts,
+    url_filter,
+)
 from tapeloom.llm.runtime import documents
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -99,9 +111,10 @@ QUERIES = {
     "op8_ngram_lm": op8_ngram_lm,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
+    **queries_structure.QUERIES,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(queries_structure.SQL)
 
 # chr(9)..chr(13) and the space are the white space of a line's ends.
 SQL["op10_line_dedup"] = """
