@@ -5,12 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import periodic_runs
+from tapeloom.llm import conversation_repair, periodic_runs
 from tapeloom.llm.runtime import documents
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with planted faults: by a checksum, rows are dropped, emptied, cut, doubled or given to the user."""
+    space = F.lit(" ")
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    named = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *named)) % 20
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(damaged(documents(spark, sf_dir, "conversations")), copies_col="copies")
+
+
 def made_periodic(text: Column, number: Column, words: Column) -> Column:
     """Where the number ends in 0, the words from place a on repeat the p words there; other texts as they are."""
     g, n = F.floor(number / 10), F.size(words).cast("long")
@@ -43,6 +62,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -98,3 +118,82 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length A
        sha256(coalesce(words, '')) AS collapsed_sha256
 FROM docs LEFT JOIN by_doc USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+def _edited(state: int, after: int, expected: str) -> str:
+    """SQL for the best way to handle a row in a grammar state, without inserts; ``rest`` holds the states' ways after it."""
+
+    def stays(cost: int, edit: str, then: int) -> str:
+        return f"CASE WHEN NOT must_go THEN {{c: {cost} + 5 * cut + rest[{then + 1}].c, a: '{edit}' || rest[{then + 1}].a}} END"
+
+    ways = [f"{{c: 2 + rest[{state + 1}].c, a: 'D' || rest[{state + 1}].a}}", stays(1, "R", after)]
+    ways.append(f"CASE WHEN i = '{expected}' THEN {stays(0, 'K', after)} END")
+    if state == 0:
+        ways.append(f"CASE WHEN i = 's' THEN {stays(0, 'K', 1)} END")
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _inserted(first: int, second: int, third: int) -> str:
+    one, two = (f"{{c: {5 * k} + f[{s + 1}].c, a: '{'I' * k}' || f[{s + 1}].a}}" for k, s in ((1, second), (2, third)))
+    return f"list_min([f[{first + 1}], {one}, {two}])"
+
+
+# A letter at a time from the end, with the best (cost, edits) of each of the four grammar states.
+SQL["op12_conversation_repair"] = rf"""
+WITH RECURSIVE numbered AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32_of_id("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+  FROM conversations
+), turns AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS again,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM numbered WHERE fault <> 0
+), placed AS (
+  SELECT *, row_number() OVER w AS pos, lag(role[1]) OVER w AS before,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, again) > 1 AS seen
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text), again)
+), judged AS (
+  SELECT *, role[1] AS i, NOT regexp_matches(text, '{WORD}') AS blank,
+         seen AND regexp_matches(text, '{WORD}') AS duplicate,
+         regexp_matches(text, '{WORD}') AND NOT seen
+           AND NOT regexp_matches(text, '[.!?][ 	-
+]*\z') AS truncated
+  FROM placed
+), lengths AS (
+  SELECT conv_id, coalesce(max(pos), 0) AS n,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (before || i NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN judged j USING (conv_id) GROUP BY conv_id
+), letters AS (
+  SELECT conv_id, pos, i, blank OR duplicate AS must_go, truncated::INT AS cut FROM judged
+), best(conv_id, pos, rest) AS (
+  SELECT conv_id, n + 1, [{{c: 0, a: ''}}, {{c: 10, a: 'II'}}, {{c: 5, a: 'I'}}, {{c: 0, a: ''}}] FROM lengths
+  UNION ALL
+  SELECT conv_id, pos, [{_inserted(0, 2, 3)}, {_inserted(1, 2, 3)}, {_inserted(2, 3, 2)}, {_inserted(3, 2, 3)}]
+  FROM (
+    SELECT l.conv_id, l.pos, [{_edited(0, 2, "u")}, {_edited(1, 2, "u")}, {_edited(2, 3, "a")}, {_edited(3, 2, "u")}] AS f
+    FROM best b JOIN letters l ON l.conv_id IS NOT DISTINCT FROM b.conv_id AND l.pos = b.pos - 1
+  )
+), found AS (
+  SELECT conv_id, rest[1].c AS cost, rest[1].a AS audit FROM best WHERE pos = 1
+), steps AS (
+  SELECT conv_id, generate_subscripts(edits, 1) AS k, unnest(edits) AS edit
+  FROM (SELECT conv_id, string_split(audit, '') AS edits FROM found WHERE audit <> '')
+), aligned AS (
+  SELECT *, sum((edit <> 'I')::INT) OVER w AS pos, sum((edit <> 'D')::INT) OVER w AS made
+  FROM steps WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+), outputs AS (
+  SELECT a.conv_id, a.k, a.edit, a.made, j.role, j.text,
+         max((a.edit = 'K' AND a.made = 1 AND j.i = 's')::INT) OVER (PARTITION BY a.conv_id) AS system
+  FROM aligned a JOIN judged j ON j.conv_id IS NOT DISTINCT FROM a.conv_id AND j.pos = greatest(a.pos, 1) WHERE a.edit <> 'D'
+), joined AS (
+  SELECT conv_id, string_agg(
+           CASE WHEN edit = 'K' THEN role WHEN (made - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+           CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS rows
+  FROM outputs GROUP BY conv_id
+)
+SELECT l.conv_id, gaps, blank, duplicate, truncated, illegal, cost::BIGINT AS cost, audit, sha256(coalesce(rows, '')) AS repaired_sha256
+FROM lengths l JOIN found f ON f.conv_id IS NOT DISTINCT FROM l.conv_id
+LEFT JOIN joined j ON j.conv_id IS NOT DISTINCT FROM l.conv_id
+"""
