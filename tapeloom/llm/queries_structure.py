@@ -5,12 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import conversation_repair, periodic_runs
+from tapeloom.llm import conversation_repair, periodic_runs, sharding
 from tapeloom.llm.runtime import documents
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.crc32(text).alias("text_crc32"))
+    return sharding.shard(docs).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Conversations with planted faults: by a checksum, rows are dropped, emptied, cut, doubled or given to the user."""
     space = F.lit(" ")
@@ -62,6 +76,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op11_sharding": op11_sharding,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -197,3 +212,53 @@ SELECT l.conv_id, gaps, blank, duplicate, truncated, illegal, cost::BIGINT AS co
 FROM lengths l JOIN found f ON f.conv_id IS NOT DISTINCT FROM l.conv_id
 LEFT JOIN joined j ON j.conv_id IS NOT DISTINCT FROM l.conv_id
 """
+
+# The checksum goes by 64 bytes at a time: a fixed start that brings the register to all ones, zeros before it, then
+# the bytes; the register moves over 64 bytes by a table for each of its own bytes.
+SQL["op11_sharding"] = """
+WITH RECURSIVE byte_table AS (
+  SELECT list(list_reduce([n, -1, -1, -1, -1, -1, -1, -1, -1], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) ORDER BY n) AS tab
+  FROM range(256) r(n)
+), far_table AS (
+  SELECT list(list_reduce(list_prepend(b << (8 * k), list_transform(range(64), lambda z: 0::BIGINT)),
+                          lambda x, y: xor(x >> 8, tab[(x & 255) + 1])) ORDER BY k, b) AS far
+  FROM range(4) k(k), range(256) b(b), byte_table
+), texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 16 AS size,
+         substr(md5(coalesce(text, '')), 1, 16) || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 16) AS place
+  FROM documents
+), hexes AS (
+  SELECT doc_id, repeat('0', (128 - (length(h) % 128)) % 128) || h AS h
+  FROM (SELECT doc_id, '62F52692' || hex(encode(text)) AS h FROM texts)
+), chunks AS (
+  SELECT doc_id, k, substr(h, k * 128 + 1, 128) AS h FROM (SELECT doc_id, h, unnest(range(length(h) // 128)) AS k FROM hexes)
+), registers AS (
+  SELECT doc_id, k, list_reduce(list_prepend(0::BIGINT, list_transform(range(1, 128, 2), lambda i:
+           ((strpos('0123456789ABCDEF', h[i]) - 1) * 16 + strpos('0123456789ABCDEF', h[i + 1]) - 1)::BIGINT)),
+           lambda x, y: xor(x >> 8, tab[xor(x & 255, y) + 1])) AS c
+  FROM chunks, byte_table
+), sums AS (
+  SELECT doc_id, xor(4294967295, list_reduce(list_prepend(0::BIGINT, cs), lambda x, y:
+           xor(y, xor(xor(far[(x & 255) + 1], far[((x >> 8) & 255) + 257]),
+                      xor(far[((x >> 16) & 255) + 513], far[((x >> 24) & 255) + 769]))))) AS crc
+  FROM (SELECT doc_id, list(c ORDER BY k) AS cs FROM registers GROUP BY doc_id), far_table
+), level AS (
+  SELECT l, substr(place, 1, 2 * l) AS prefix, sum(size) AS size FROM texts, range(1, 17) r(l) GROUP BY ALL
+), cells AS (
+  SELECT *, sum(size) OVER (PARTITION BY l ORDER BY prefix) - size AS below FROM level
+), edges AS (
+  SELECT l, prefix, below FROM cells
+  UNION ALL
+  SELECT l, max(prefix) || 'g', max(below + size) FROM cells GROUP BY l
+), misses AS (
+  SELECT k, l, min(abs(below * 40 - k * total)) AS miss, arg_min(prefix, (abs(below * 40 - k * total), below, prefix)) AS prefix, any_value(total) AS total
+  FROM edges, range(1, 40) r(k), (SELECT sum(size) AS total FROM texts) GROUP BY k, l
+), bounds AS (
+  SELECT k, arg_min(prefix, l) AS bound FROM misses WHERE miss * 100 <= total OR l = 16 GROUP BY k
+), dealt AS (
+  SELECT doc_id, size, place, (SELECT count(*) FROM bounds WHERE bound <= place)::INTEGER AS shard FROM texts
+)
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM dealt JOIN sums USING (doc_id)
+"""

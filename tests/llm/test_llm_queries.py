@@ -22,7 +22,7 @@ def test_same_rows_as_sql(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{k}" for k in range(1, 11))
+    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{k}" for k in range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontaminate", "encode"]
 
 
