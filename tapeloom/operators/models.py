@@ -33,6 +33,6 @@ def linear_head(
 
 
 def flatten_window(df: DataFrame, window: str, features: Sequence[str], out: str = "flat") -> DataFrame:
-    """A window of structs as one array, step after step."""
-    step = F.transform(window, lambda s: F.array(*[s[f].cast("double") for f in features]))
-    return df.withColumn(out, F.flatten(step))
+    """A window of one array per feature as one array, step after step."""
+    zipped = F.arrays_zip(*[F.col(f"{window}.{f}").cast("array<double>").alias(f) for f in features])
+    return df.withColumn(out, F.flatten(F.transform(zipped, lambda s: F.array(*[s[f] for f in features]))))

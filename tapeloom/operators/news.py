@@ -178,3 +178,18 @@ def pad_bag(entries, dim: int, size: int):
     bag = F.concat(found, F.array_repeat(zeros, F.lit(size) - n))
     mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.lit(size) - n))
     return bag.alias("bag"), mask.alias("mask")
+
+
+def bag_intervals(days: DataFrame, bags: DataFrame, empty: dict[str, Column], out: str) -> DataFrame:
+    """Every day (symbol, date) with the bag that is valid then, and that bag's date as ``out``.
+
+    A bag is valid from its own day, if that is in the list, until the next such day: the days in order carry the
+    start of the interval they lie in, and each bag, encoded once, meets the days of its interval by that start.
+    Days before the first bag have none: they get ``empty`` and take no part in the join.
+    """
+    columns = [c for c in bags.columns if c not in ("stock_symbol", "date")]
+    starts = bags.select("stock_symbol", "date", F.lit(True).alias("_starts"))
+    dated = ffill_key(days.join(starts, ["stock_symbol", "date"], "left"), F.col("_starts").isNotNull(), out).drop("_starts")
+    valid = dated.join(bags.withColumnRenamed("date", out), ["stock_symbol", out])
+    before = dated.where(F.col(out).isNull()).withColumns(empty)
+    return valid.unionByName(before.select(*valid.columns)).select("stock_symbol", "date", out, *columns)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions.numeric import finite, guarded_pct, guarded_ratio
 from tapeloom.operators.timeline import SEGMENT, Timeline
+from tapeloom.session import staged
 
 SYMBOL, DATE = "stock_symbol", "date"
 ALPHA = math.exp(-0.03)
@@ -50,24 +52,68 @@ def ntile_column(position: Column, total: Column, n: int) -> Column:
     )
 
 
+def tiles(
+    df: DataFrame, metrics: dict[str, str], n: int = 10, group: Sequence[str] = (SYMBOL,), tie: Sequence[str] = (DATE,)
+) -> DataFrame:
+    """``NTILE(n)`` by several metrics at once: the key columns and one tile per metric (metric -> name).
+
+    Rows become narrow (key, metric, value) rows, which are stored, since they are read for the bounds and for the
+    ranks. The bounds come from one sketch and are shared by all groups; a value that several bounds fall on is cut
+    by the tie as well, so neither a hot group nor a hot value is one task. Group and tie identify a row.
+    """
+    keys = list(dict.fromkeys([*group, *tie]))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [k / parts for k in range(1, parts)] or [0.5]
+    rows = staged(df.select(*keys, *[F.col(m).cast("double").alias(m) for m in metrics]), "ranked")
+
+    kind = dict(rows.dtypes)[tie[0]]
+    number = F.unix_date(tie[0]) if kind == "date" else F.col(tie[0])
+    cut_by_tie = kind in ("date", "int", "bigint", "double", "float")
+    values = {m: F.col(m) for m in metrics} | ({"_tie": number.cast("double")} if cut_by_tie else {})
+    marks = [F.percentile_approx(v, shares, 20 * parts).alias(name) for name, v in values.items()]
+    fit = rows.agg(*marks).first().asDict()
+    found = {name: [b for b in fit[name] or [] if abs(b) != float("inf")] for name in values}
+
+    def bucket(table: DataFrame, column: str, bounds: Sequence[float]) -> DataFrame:
+        splits = [-float("inf"), *(sorted(set(bounds)) or [0.0]), float("inf")]
+        cut = Bucketizer(splits=splits, inputCol=column, outputCol=f"{column}_cut", handleInvalid="keep")
+        return cut.transform(table)
+
+    if cut_by_tie:
+        rows = bucket(rows.withColumn("_tie", F.coalesce(number.cast("double"), F.lit(-1.7e308))), "_tie", found["_tie"])
+    entries, wide = [], F.lit(float(parts + 1))
+    for k, m in enumerate(metrics):
+        rows = bucket(rows, m, found[m])
+        hot = sorted({b for b in found[m] if found[m].count(b) > 1})
+        inside = F.when(F.col(m).isin(hot), F.col("_tie_cut")).otherwise(wide) if hot and cut_by_tie else wide
+        segment = (F.col(f"{m}_cut") * (wide + 1) + inside).cast("long")
+        entries.append(F.struct(F.lit(k).alias("metric"), F.col(m).alias("value"), segment.alias("segment")))
+    narrow = rows.select(*keys, F.explode(F.array(*entries)).alias("_e"))
+    narrow = narrow.select(*keys, F.col("_e.metric").alias("_metric"), F.col("_e.value").alias("_value"), F.col("_e.segment").alias(SEGMENT))
+    order = ("_value", *[c for c in tie if c not in group])
+    ranked = Timeline(narrow, (*group, "_metric"), order).annotate(position="_pos", total="_total").result()
+    tile = ntile_column(F.col("_pos"), F.col("_total"), n)
+    picked = [F.max(F.when(F.col("_metric") == k, tile)).alias(out) for k, out in enumerate(metrics.values())]
+    return ranked.groupBy(*keys).agg(*picked)
+
+
 def ntile(
     df: DataFrame, metric: str, out: str, n: int = 10, group: Sequence[str] = (SYMBOL,), tie: Sequence[str] = (DATE,)
 ) -> DataFrame:
-    """``NTILE(n)`` by a metric without a whole group in one task."""
-    rows = Timeline.by_range(df, group, (metric, *tie))
-    ranked = rows.annotate(position="_pos", total="_total").result()
-    tile = ntile_column(F.col("_pos"), F.col("_total"), n)
-    return ranked.withColumn(out, tile).drop("_pos", "_total")
+    """``NTILE(n)`` by a metric: the key columns (group and tie) and the tile."""
+    return tiles(df, {metric: out}, n, group, tie)
+
+
+DECILES = {
+    "volume_delta": "volume_delta_decile_bucket",
+    "volume_change_ratio": "volume_change_ratio_decile_bucket",
+}
 
 
 def decile_buckets(df: DataFrame, group: Sequence[str] = (SYMBOL,)) -> DataFrame:
-    """Deciles of both volume changes over the bars that have them."""
+    """Deciles of both volume changes over the bars that have them: symbol, date and the two tiles."""
     known = df.where(F.col("volume_delta").isNotNull() & F.col("volume_change_ratio").isNotNull())
-    tie = (DATE,) if group else (DATE, SYMBOL)
-    first = ntile(known, "volume_delta", "volume_delta_decile_bucket", 10, group, tie)
-    return ntile(
-        first, "volume_change_ratio", "volume_change_ratio_decile_bucket", 10, group, tie
-    )
+    return tiles(known, DECILES, 10, group, (DATE,) if group else (DATE, SYMBOL))
 
 
 def return_target(df: DataFrame) -> DataFrame:
@@ -179,6 +225,10 @@ def inverse_scale(value: Column, low: Column, high: Column) -> Column:
     return value * F.when(high == low, F.lit(1.0)).otherwise(high - low) + low
 
 
+#: Rows of a block, of which windows are slices.
+BLOCK_ROWS = 1024
+
+
 def sliding_sequences(
     rows: Timeline,
     features: Sequence[str],
@@ -190,15 +240,58 @@ def sliding_sequences(
 ) -> DataFrame:
     """Windows of ``lookback`` rows with the target ``horizon`` rows after the last.
 
-    Windows stay inside one (symbol, split); n - lookback - horizon + 1 per part.
-    ``rows`` must carry ``pos`` and ``split``. ``keep`` columns come from the last
-    row of the window, ``earlier`` names target values some rows before it.
-    Without ``features`` no window array is built.
+    Windows stay inside one (symbol, split); n - lookback - horizon + 1 per part. ``rows`` must carry ``pos`` and
+    ``split``. ``keep`` columns come from the last row of the window, ``earlier`` names target values some rows
+    before it. ``window`` has one array per feature: rows are gathered once into blocks of arrays, with copies of
+    the bordering rows, and a window is a slice of its block. So what belongs to a row (a day's text, say) is put
+    to it before, once. Without ``features`` no arrays are built.
     """
-    slim = rows.df.select(
-        *dict.fromkeys([*rows.group, *rows.order, SEGMENT, "split", "pos", target, *features, *keep])
+    order = [c for c in rows.order if c not in rows.group]
+    kept = list(dict.fromkeys([*rows.group, *order, "split", *keep]))
+    if not features:
+        return window_targets(rows, target, lookback, horizon, kept, earlier or {})
+    inner = [c for c in kept if c not in rows.group]
+    names = list(dict.fromkeys(["pos", target, *inner]))
+    taken = rows.df.select(
+        *rows.group, *[F.col(c).alias(f"_c{k}") for k, c in enumerate(names)], *[as_float(rows.df, f).alias(f"_f{k}") for k, f in enumerate(features)]
+    )
+    pos, places = F.col("_c0"), {c: f"_c{k}" for k, c in enumerate(names)}
+    first = F.floor(F.greatest(pos - horizon, F.lit(0)) / BLOCK_ROWS)
+    spread = taken.withColumn("_block", F.explode(F.sequence(first, F.floor((pos + lookback - 1) / BLOCK_ROWS))))
+    columns = [c for c in taken.columns if c not in rows.group]
+    blocks = spread.groupBy(*rows.group, "_block").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("_rows"))
+    arrays = blocks.select(*rows.group, "_block", *[F.col(f"_rows.{c}").alias(c) for c in columns])
+
+    offset = F.col("_block") * BLOCK_ROWS - F.col("_c0")[0]  # where the block's own rows start
+    own = F.greatest(offset, F.lit(lookback - 1))
+    past = F.least(offset + BLOCK_ROWS, F.size("_c0") - horizon)
+    ends = F.when(own < past, F.sequence(own.cast("int"), (past - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+    at = F.col("_end")
+
+    def value(column: str, shift: int = 0) -> Column:
+        return F.get(places[column], at + shift)
+
+    windows = arrays.withColumn("_end", F.explode(ends)).where(
+        (value("split", 1 - lookback) == value("split")) & (value("split", horizon) == value("split")) & value(target, horizon).isNotNull()
+    )
+    window = F.struct(*[F.slice(f"_f{k}", at - (lookback - 2), F.lit(lookback)).alias(f) for k, f in enumerate(features)])
+    return windows.select(
+        *rows.group,
+        *[value(c).alias(c) for c in inner],
+        value("pos").alias("end_pos"),
+        value(target, horizon).alias("target"),
+        value(target).alias("last_known"),
+        *[value(target, -back).alias(name) for name, back in (earlier or {}).items()],
+        window.alias("window"),
     )
 
+
+def window_targets(
+    rows: Timeline, target: str, lookback: int, horizon: int, kept: Sequence[str], earlier: dict[str, int]
+) -> DataFrame:
+    """What ``sliding_sequences`` gives beside the windows."""
+    slim = rows.df.select(*dict.fromkeys([*rows.group, *rows.order, SEGMENT, "split", "pos", target, *kept]))
+
     def cut(window) -> dict[str, Column]:
         columns = {
             "_from": F.lag("split", lookback - 1).over(window),
@@ -206,12 +299,7 @@ def sliding_sequences(
             "_to": F.lead("split", horizon).over(window),
             "last_known": F.col(target),
         }
-        for name, back in (earlier or {}).items():
-            columns[name] = F.lag(target, back).over(window)
-        if features:
-            step = F.struct(*[as_float(slim, f) for f in features])
-            columns["window"] = F.collect_list(step).over(window.rowsBetween(1 - lookback, 0))
-        return columns
+        return columns | {name: F.lag(target, back).over(window) for name, back in earlier.items()}
 
     cuts = Timeline(slim, rows.group, rows.order).around(lookback - 1, horizon, cut)
     whole = (
@@ -219,31 +307,24 @@ def sliding_sequences(
         & (F.col("_to") == F.col("split"))
         & F.col("target").isNotNull()
     )
-    extra = [*(earlier or {}), *(["window"] if features else [])]
-    kept = dict.fromkeys([*rows.group, *rows.order, "split", *keep])
-    return cuts.where(whole).select(
-        *kept, F.col("pos").alias("end_pos"), "target", "last_known", *extra
-    )
+    return cuts.where(whole).select(*kept, F.col("pos").alias("end_pos"), "target", "last_known", *earlier)
 
 
-def with_daily(windows: DataFrame, daily: DataFrame, day: str, columns: Sequence[str], fill: dict[str, Column]) -> DataFrame:
-    """Windows whose steps carry a ``day``, with that day's ``columns`` as arrays in step order.
+def with_daily(rows: DataFrame, daily: DataFrame, day: str, columns: Sequence[str], fill: dict[str, Column]) -> DataFrame:
+    """Rows that carry a ``day``, with that day's ``columns``: what is long meets each row once, before any window.
 
-    A window holds days, not payloads; each step meets its day's row here, at the very end.
-    ``daily`` has one row per (symbol, ``day``); steps without one get ``fill``.
+    ``daily`` has one row per (symbol, ``day``); rows without one get ``fill``, and take no part in the join.
     """
-    keys = [SYMBOL, "split", "end_pos"]
-    steps = windows.select(*keys, F.posexplode(f"window.{day}").alias("_step", day))
-    found = steps.join(daily.select(SYMBOL, day, *columns), [SYMBOL, day], "left")
-    entry = F.struct("_step", *[F.coalesce(F.col(c), fill[c]).alias(c) for c in columns])
-    whole = found.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_steps"))
-    return windows.join(whole.select(*keys, *[F.col(f"_steps.{c}").alias(c) for c in columns]), keys)
+    found = rows.where(F.col(day).isNotNull()).join(daily.select(SYMBOL, day, *columns), [SYMBOL, day], "left")
+    without = rows.where(F.col(day).isNull()).withColumns({c: fill[c] for c in columns})
+    filled = found.withColumns({c: F.coalesce(F.col(c), fill[c]) for c in columns})
+    return filled.unionByName(without.select(*filled.columns))
 
 
 def as_float(df: DataFrame, name: str) -> Column:
-    """Numbers as float32 under their own name; arrays and dates as they are."""
+    """Numbers as float32 under their own name; texts, arrays and dates as they are."""
     value = F.col(name)
-    return value if dict(df.dtypes)[name].startswith(("array", "date")) else value.cast("float").alias(name)
+    return value if dict(df.dtypes)[name].startswith(("array", "date", "string")) else value.cast("float").alias(name)
 
 
 def long_enough_parts(rows: Timeline, lookback: int = LOOKBACK, horizon: int = HORIZON) -> Timeline:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.operators.joins import salted_join
-from tapeloom.operators.timeline import Timeline
+from tapeloom.operators.timeline import SEGMENT, Timeline, null_safe_keys
 
 
 def value_bounds(df: DataFrame, value: str) -> list[float]:
@@ -43,32 +44,87 @@ def value_runs(
     return rows.result()
 
 
-def quantiles(
-    df: DataFrame, value: str, probabilities: dict[str, float], group: Sequence[str] = ()
+#: Ranks are bracketed by a sketch of this accuracy; a group of no more rows is ranked as it is.
+ACCURACY = 10_000
+
+
+def bracket_shares(probabilities: Sequence[float]) -> list[float]:
+    """Five shares around each probability: the sketch's values there bracket the exact ranks, and cut the bracket."""
+    around = {min(1.0, max(0.0, p + k * 2.0 / ACCURACY)) for p in probabilities for k in (-2, -1, 0, 1, 2)}
+    return sorted(around)
+
+
+def sketched(value: str, probabilities: Sequence[float]) -> list[Column]:
+    """Aggregates that fit the brackets: rows with a value, and the values at the bracket's shares."""
+    number = F.when(~F.isnan(F.col(value).cast("double")), F.col(value))
+    marks = F.percentile_approx(number, bracket_shares(probabilities), ACCURACY)
+    return [F.count(number).alias("_known"), marks.alias("_marks")]
+
+
+def selected(
+    rows: DataFrame, value: str, probabilities: dict[str, float], group: Sequence[str], known: Column, marks: list[Column]
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per group.
+    """Exact quantiles per group, given rows with a value, the rows of a group and its bracket marks.
 
-    ``probabilities`` maps output names to shares. Ranks come from running counts
-    over value ranges; no task holds the whole column.
+    Rows outside every bracket only count, for the bracket above them; those inside keep their value. So what
+    is shuffled and ranked is a small share of the rows, equal values once; segments between marks are ranked apart.
     """
-    runs = value_runs(df, value, group)
-    last = F.col("all_n") - 1
-    aggs = []
+    shares = bracket_shares(list(probabilities.values()))
+    v, reach = F.col(value), 4.0 / ACCURACY
+    inside = known <= ACCURACY
+    for p in probabilities.values():
+        ends = [k for k, s in enumerate(shares) if p - reach - 1e-12 <= s <= p + reach + 1e-12]
+        inside = inside | ((v >= marks[ends[0]]) & (v <= marks[ends[-1]]))
+    segment = reduce(lambda a, b: a + b, [(v >= m).cast("int") for m in marks])
+    placed = rows.select(*group, segment.alias(SEGMENT), F.when(inside, v).alias("_value"), known.alias("_all"))
+    counted = placed.groupBy(*group, SEGMENT, "_value").agg(F.count(F.lit(1)).alias("_n"), F.max("_all").alias("_all"))
+    # in a segment the rows of a bracket come before those that only count
+    counted = counted.withColumn("_rest", F.col("_value").isNull())
+    runs = Timeline(counted, tuple(group), ("_rest", "_value")).annotate(running={"_upto": F.col("_n")}).result()
+
+    last, kept, out = F.col("_all") - 1, {}, []
     for name, p in probabilities.items():
         rank = F.lit(float(p)) * last
-        for side, place in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            holds = (F.col("upto_n") - F.col("n") <= place) & (place < F.col("upto_n"))
-            aggs.append(F.max(F.when(holds, F.col(value))).alias(f"_{name}_{side}"))
-    aggs.append(F.max("all_n").alias("_n"))
-    found = runs.groupBy(*group).agg(*aggs)
-    out = []
+        for side, at in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
+            holds = (F.col("_upto") - F.col("_n") <= at) & (at < F.col("_upto"))
+            kept[f"_{name}_{side}"] = F.max(F.when(holds, F.col("_value")))
+    found = runs.groupBy(*group).agg(*[c.alias(n) for n, c in kept.items()], F.max("_all").alias("_all"))
+    missed = F.raise_error(F.lit("a rank lies outside its bracket"))
     for name, p in probabilities.items():
-        rank = F.lit(float(p)) * (F.col("_n") - 1)
-        lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        rank = F.lit(float(p)) * (F.col("_all") - 1)
+        lo, hi = (F.when(F.col("_all") > 0, F.coalesce(f"_{name}_{side}", missed)) for side in ("lo", "hi"))
         out.append((lo + (hi - lo) * (rank - F.floor(rank))).alias(name))
     return found.select(*group, *out)
 
 
+def with_value(df: DataFrame, value: str) -> DataFrame:
+    return df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+
+
+def constant_marks(marks: list | None, probabilities: dict[str, float]) -> list[Column]:
+    return [F.lit(m) for m in marks or [None] * len(bracket_shares(list(probabilities.values())))]
+
+
+def quantiles(
+    df: DataFrame, value: str, probabilities: dict[str, float], group: Sequence[str] = ()
+) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per group.
+
+    ``probabilities`` maps output names to shares. A first scan brackets all ranks by a mergeable sketch, a second
+    one counts the rows below the brackets and keeps only those inside, which alone are ranked.
+    """
+    rows, shares = with_value(df.select(*group, value), value), list(probabilities.values())
+    if not group:
+        fit = rows.agg(*sketched(value, shares)).first()
+        return selected(rows, value, probabilities, (), F.lit(fit["_known"]), constant_marks(fit["_marks"], probabilities))
+    keys = null_safe_keys(rows, group)
+    keyed = rows.withColumns(keys)
+    fit = keyed.groupBy(*keys).agg(*sketched(value, shares))
+    joined = salted_join(keyed, fit, list(keys), "inner", F.col(value))
+    marks = [F.col("_marks")[k] for k in range(len(bracket_shares(shares)))]
+    return selected(joined, value, probabilities, group, F.col("_known"), marks)
+
+
 def approx_quantiles(df: DataFrame, value: str, probabilities: dict[str, float], accuracy: int = 10_000) -> DataFrame:
     """One-pass sketch quantiles for when an approximation will do."""
     picked = F.percentile_approx(value, list(probabilities.values()), accuracy)
@@ -80,17 +136,23 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
 def describe(df: DataFrame, value: str) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles, max as one row."""
-    simple = df.agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("lowest"),
-        F.max(value).alias("highest"),
-    )
-    one = F.lit(1).alias("_one")
-    quartiles = quantiles(df, value, QUARTILES).select(one, *QUARTILES)
-    return simple.select(one, "*").join(quartiles, "_one", "left").drop("_one")
+    """count, mean, sample deviation, min, quartiles, max as one row.
+
+    The first scan gives all but the quartiles and brackets these, the second one selects them.
+    """
+    simple = {
+        "n": F.count(value),
+        "mean": F.avg(value),
+        "std": F.stddev_samp(value),
+        "lowest": F.min(value),
+        "highest": F.max(value),
+    }
+    aggs = [c.alias(name) for name, c in simple.items()]
+    fit = df.select(value).agg(*aggs, *sketched(value, list(QUARTILES.values()))).first()
+    rows, marks = with_value(df.select(value), value), constant_marks(fit["_marks"], QUARTILES)
+    quartiles = selected(rows, value, QUARTILES, (), F.lit(fit["_known"]), marks)
+    kinds = dict(df.select(value).agg(*aggs).dtypes)
+    return quartiles.select(*[F.lit(fit[name]).cast(kinds[name]).alias(name) for name in simple], *QUARTILES)
 
 
 def limits(df: DataFrame, value: str, low: float, high: float) -> tuple[Column, Column]:

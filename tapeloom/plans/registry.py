@@ -44,7 +44,11 @@ def places(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
     )
 
 
+def millionths(value: Column) -> Column:
+    """A number as text, in millionths."""
+    return F.round(value.cast("double") * 1_000_000).cast("long").cast("string")
+
+
 def steps(values: Column) -> Column:
     """Numbers of an array as one text, in millionths, so that every element can be compared."""
-    whole = F.transform(values, lambda x: F.round(x.cast("double") * 1_000_000).cast("long").cast("string"))
-    return F.array_join(whole, ",")
+    return F.array_join(F.transform(values, millionths), ",")

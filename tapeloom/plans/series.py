@@ -10,7 +10,7 @@ from tapeloom.operators.joins import left_features
 from tapeloom.operators.news import carried_text, daily_mean, daily_mean_embedding, daily_text
 from tapeloom.operators.timeline import Timeline
 from tapeloom.plans.projections import gappy_prices
-from tapeloom.plans.registry import plan, r6, steps
+from tapeloom.plans.registry import millionths, plan, r6, steps
 from tapeloom.plans.sql import check_sql
 from tapeloom.session import staged
 from tapeloom.sources import adapter
@@ -60,7 +60,7 @@ BUCKETS = ["volume_delta_decile_bucket", "volume_change_ratio_decile_bucket"]
     check_sql("deciles", body=f"SELECT stock_symbol, date, {', '.join(BUCKETS)} FROM deciles"),
 )
 def decile_bucket(spark, sf_dir):
-    changes = ts.price_changes(adapter.bars(spark, sf_dir))
+    changes = ts.price_changes(adapter.prices(spark, sf_dir))
     return ts.decile_buckets(changes).select(*KEYS, *BUCKETS)
 
 
@@ -192,7 +192,7 @@ def price_sequences(spark, sf_dir):
         "split",
         "end_pos",
         r6("target").alias("target"),
-        F.size("window").alias("steps"),
+        F.size("window.close_scaled").alias("steps"),
         *[steps(F.col(f"window.{c}_scaled")).alias(f"{c}_steps") for c in PRICE_FEATURES],
     )
 
@@ -234,16 +234,8 @@ def multimodal_sequences(spark, sf_dir):
     vocab = vocabulary(adapter.texts(spark, sf_dir, "documents", "doc_id"), "text")
     packed = token_pack(news, KEYS, "id", "lsa_summary", vocab)
     days = news.select(*KEYS).distinct().withColumn("_has", F.lit(True))
-    rows = staged(scaled_rows(spark, sf_dir).result(), "scaled")
-    dated = ts.ffill_key(left_features(rows, days, KEYS), F.col("_has").isNotNull(), "text_date")
-    windows = staged(
-        ts.sliding_sequences(
-            Timeline.by_date(dated.drop("_has"), ("stock_symbol",), "date"),
-            [*[f"{c}_scaled" for c in PRICE_FEATURES], "text_date"],
-            "close_scaled",
-        ),
-        "windows",
-    )
+    rows = left_features(scaled_rows(spark, sf_dir).result(), days, KEYS)
+    dated = ts.ffill_key(rows, F.col("_has").isNotNull(), "text_date").drop("_has")
     # ids and mask of a day as texts: padding is cut off, the mask is the number of ones
     daily = packed.select(
         "stock_symbol",
@@ -251,15 +243,17 @@ def multimodal_sequences(spark, sf_dir):
         F.array_join(F.array_remove("token_ids", 0), " ").alias("ids"),
         F.aggregate("mask", F.lit(0), lambda a, m: a + m).cast("string").alias("masks"),
     )
-    whole = ts.with_daily(windows, daily, "text_date", ["ids", "masks"], {"ids": F.lit(""), "masks": F.lit("0")})
-    return whole.select(
+    whole = ts.with_daily(dated, daily, "text_date", ["ids", "masks"], {"ids": F.lit(""), "masks": F.lit("0")})
+    coded_steps = {f"{c}_steps": millionths(F.col(f"{c}_scaled").cast("float")) for c in PRICE_FEATURES}
+    features = [*coded_steps, "ids", "masks"]
+    timeline = Timeline.by_date(whole.withColumns(coded_steps), ("stock_symbol",), "date")
+    windows = ts.sliding_sequences(timeline, features, "close_scaled")
+    return windows.select(
         *KEYS,
         "split",
         "end_pos",
         r6("target").alias("target"),
-        *[steps(F.col(f"window.{c}_scaled")).alias(f"{c}_steps") for c in PRICE_FEATURES],
-        F.array_join("ids", ";").alias("ids"),
-        F.array_join("masks", ",").alias("masks"),
+        *[F.array_join(f"window.{c}", ";" if c == "ids" else ",").alias(c) for c in features],
     )
 
 
@@ -320,31 +314,27 @@ WHERE in_part >= 49 AND target IS NOT NULL""",
 )
 def embedding_sequences(spark, sf_dir):
     """Daily mean vectors, carried forward, zeros before the first, cut into windows with scaled prices."""
-    daily = staged(daily_mean_embedding(adapter.vectors(spark, sf_dir)), "daily-vectors")
-    rows = ts.long_enough_parts(scaled_rows(spark, sf_dir))
-    days = daily.select(*KEYS).withColumn("_has", F.lit(True))
-    dated = ts.ffill_key(left_features(rows.result(), days, KEYS), F.col("_has").isNotNull(), "vector_date")
-    windows = staged(
-        ts.sliding_sequences(
-            Timeline.by_date(dated.drop("_has"), ("stock_symbol",), "date"),
-            ["close_scaled", "vector_date"],
-            "close_scaled",
-        ),
-        "windows",
-    )
+    daily = daily_mean_embedding(adapter.vectors(spark, sf_dir))
     thousandths = F.transform("embedding", lambda x: F.round(x.cast("float").cast("double") * 1000).cast("long").cast("string"))
     coded_days = daily.select(
         "stock_symbol", F.col("date").alias("vector_date"), F.array_join(thousandths, ",").alias("vectors")
     )
+    coded_days = staged(coded_days, "daily-vectors")
+    days = coded_days.select("stock_symbol", F.col("vector_date").alias("date"), F.lit(True).alias("_has"))
+    rows = left_features(ts.long_enough_parts(scaled_rows(spark, sf_dir)).result(), days, KEYS)
+    dated = ts.ffill_key(rows, F.col("_has").isNotNull(), "vector_date").drop("_has")
     zeros = F.lit(",".join(["0"] * 64))
-    whole = ts.with_daily(windows, coded_days, "vector_date", ["vectors"], {"vectors": zeros})
-    return whole.select(
+    whole = ts.with_daily(dated, coded_days, "vector_date", ["vectors"], {"vectors": zeros})
+    whole = whole.withColumn("close_steps", millionths(F.col("close_scaled").cast("float")))
+    timeline = Timeline.by_date(whole, ("stock_symbol",), "date")
+    windows = ts.sliding_sequences(timeline, ["close_steps", "vectors"], "close_scaled")
+    return windows.select(
         *KEYS,
         "split",
         "end_pos",
         r6("target").alias("target"),
-        steps(F.col("window.close_scaled")).alias("close_steps"),
-        F.array_join("vectors", ";").alias("vectors"),
+        F.array_join("window.close_steps", ",").alias("close_steps"),
+        F.array_join("window.vectors", ";").alias("vectors"),
     )
 
 

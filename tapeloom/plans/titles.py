@@ -7,38 +7,34 @@ from pyspark.sql import functions as F
 from tapeloom.functions.numeric import same_bucket
 from tapeloom.operators.news import article_groups, rank_in_day, title_batches
 from tapeloom.operators.pairs import adjacent_pairs, random_order
-from tapeloom.operators.series import decile_buckets, price_changes
+from tapeloom.operators.series import DECILES, decile_buckets, price_changes
 from tapeloom.operators.stats import distinct_keys
 from tapeloom.plans.registry import plan, r6
 from tapeloom.plans.sql import check_sql
 from tapeloom.session import staged
 from tapeloom.sources import adapter
 
-BUCKETS = ["volume_delta_decile_bucket", "volume_change_ratio_decile_bucket"]
+BUCKETS = list(DECILES.values())
 GAP = "open_lead_close_lag_change_pct"
 BATCH_KEY = ["date", "article_group"]
 
 
-def bucketed_bars(spark, sf_dir, symbol):
-    """Changes and deciles of one symbol."""
+def changes_of(spark, sf_dir, symbol):
+    """Price and volume changes of one symbol."""
     bars = adapter.prices(spark, sf_dir).where(F.col("stock_symbol") == symbol)
-    return decile_buckets(price_changes(staged(bars, "bars")))
+    return price_changes(bars)
 
 
 def labelled_batches(spark, sf_dir):
     """Title-ordered batches of ten, joined to the bars; batches off the calendar kept."""
-    bars = bucketed_bars(spark, sf_dir, "1-urgent")
+    bars = decile_buckets(changes_of(spark, sf_dir, "1-urgent"))
     return title_batches(article_groups(adapter.news(spark, sf_dir)), bars, BUCKETS, "left")
 
 
-def stored_batches(batches):
-    """Batches on trading days, stored: pairing reads them twice."""
-    return staged(batches.dropna(subset=["date"]), "batches")
-
-
 def gap_batches(spark, sf_dir):
     """Randomly ordered batches of ten on days with a bar."""
-    bars = bucketed_bars(spark, sf_dir, "2-high")
+    changes = staged(changes_of(spark, sf_dir, "2-high").select("stock_symbol", "date", GAP, *DECILES), "changes")
+    bars = changes.select("stock_symbol", "date", GAP).join(decile_buckets(changes), ["stock_symbol", "date"])
     groups = article_groups(adapter.news(spark, sf_dir), by="random")
     return title_batches(groups, bars, [GAP, *BUCKETS], "inner")
 
@@ -97,7 +93,7 @@ def same_sql(column: str, name: str) -> str:
     ),
 )
 def matched_pairs(spark, sf_dir):
-    batches = stored_batches(labelled_batches(spark, sf_dir))
+    batches = labelled_batches(spark, sf_dir).dropna(subset=["date"])
     columns = {
         "aggregated_article_title": "concatarticles",
         "date": "date",
@@ -119,7 +115,7 @@ round(following.{GAP} - this.{GAP}, 6) AS vol_1_vs_2 FROM chained WHERE followin
 )
 def paired_gap_changes(spark, sf_dir):
     columns = {"aggregated_article_title": "concatarticles", "date": "date", GAP: "vol_diff"}
-    pairs = adjacent_pairs(stored_batches(gap_batches(spark, sf_dir)), BATCH_KEY, columns)
+    pairs = adjacent_pairs(gap_batches(spark, sf_dir), BATCH_KEY, columns)
     change = F.col("vol_diff2") - F.col("vol_diff1")
     return pairs.withColumns(
         {"vol_1_vs_2": r6(change), "vol_diff1": r6("vol_diff1"), "vol_diff2": r6("vol_diff2")}
@@ -144,7 +140,7 @@ def paired_buckets_one_pass(spark, sf_dir):
         BUCKETS[0]: "bucket_delta",
         BUCKETS[1]: "bucket_ratio",
     }
-    pairs = adjacent_pairs(stored_batches(gap_batches(spark, sf_dir)), BATCH_KEY, columns)
+    pairs = adjacent_pairs(gap_batches(spark, sf_dir), BATCH_KEY, columns)
     return pairs.withColumns(
         {
             "samebucket_delta": same_bucket(F.col("bucket_delta1"), F.col("bucket_delta2")),
@@ -174,13 +170,13 @@ def random_documents(spark, sf_dir):
 
 @plan("rank_by_title", check_sql("title_groups", body="SELECT id, clean_date, article_title, rn FROM title_groups"))
 def rank_by_title(spark, sf_dir):
-    ranked = rank_in_day(adapter.news(spark, sf_dir), "title")
+    ranked = rank_in_day(adapter.news(spark, sf_dir).select("id", "date", "article_title"), "title")
     return ranked.select("id", "clean_date", "article_title", "rn")
 
 
 @plan("rank_random_in_day", check_sql("random_groups", body="SELECT id, clean_date, rn FROM random_groups"))
 def rank_random_in_day(spark, sf_dir):
-    return rank_in_day(adapter.news(spark, sf_dir), "random").select("id", "clean_date", "rn")
+    return rank_in_day(adapter.news(spark, sf_dir).select("id", "date"), "random").select("id", "clean_date", "rn")
 
 
 @plan(

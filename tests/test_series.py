@@ -102,13 +102,13 @@ def test_windows_stay_inside_symbol_and_split(spark):
             if m - 52 > 0:
                 expected[name, split] = m - 52
     assert got == expected
-    assert windows.where(F.size("window") != 50).count() == 0
+    assert windows.where(F.size("window.close_scaled") != 50).count() == 0
     prices = [c for _, c, _ in bars(270, 270)]
     low, high = min(prices[:216]), max(prices[:216])
     first = windows.where("stock_symbol = 'a' and split = 'test'").orderBy("end_pos").first()
     assert first.end_pos == 216 + 49
     assert first.target == pytest.approx((prices[216 + 52] - low) / (high - low))
-    assert first.window[0].close_scaled == pytest.approx((prices[216] - low) / (high - low), rel=1e-6)
+    assert first.window.close_scaled[0] == pytest.approx((prices[216] - low) / (high - low), rel=1e-6)
 
 
 def test_constant_column_scales_to_zero_and_back(spark):
