@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeloom.functions.keys import random_key, uniform
+from tapeloom.functions.keys import random_key
 from tapeloom.functions.numeric import tercile_bin
 from tapeloom.functions.text import leading_tokens, pieces
 from tapeloom.operators.series import scale
 from tapeloom.operators.stats import limits
+from tapeloom.session import staged
 
 
 def minmax_pooled(df: DataFrame, columns: Sequence[str], fit_on: str = "train") -> DataFrame:
@@ -56,44 +59,86 @@ def median_bins(df: DataFrame, value: str, out: str = "bin") -> DataFrame:
 
 
 # -- outliers ------------------------------------------------------------------
-def _path_adjustment(n: float) -> float:
-    """Mean path length of an unsuccessful search among ``n`` values."""
+#: Path lengths are whole numbers of this unit, so that their sums are exact.
+PATH_UNIT = 1_000_000
+
+
+def path_adjustment(n: int) -> int:
+    """Mean path length of an unsuccessful search among ``n`` values, in units."""
     if n <= 1:
-        return 0.0
-    return 2.0 * (np.log(n - 1) + np.euler_gamma) - 2.0 * (n - 1) / n
+        return 0
+    return round((2.0 * (np.log(n - 1) + np.euler_gamma) - 2.0 * (n - 1) / n) * PATH_UNIT)
 
 
-def isolation_steps(sample: np.ndarray, trees: int, seed: int, max_samples: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """A 1-D isolation forest as a step function: (borders, score per interval).
+def grown(tree: int, values: np.ndarray, depth_limit: int, seed: int) -> list[tuple[float, float, int]]:
+    """(low, high, path length) of the leaves of one tree over a sample; a leaf holds low < x <= high.
 
-    A tree over one variable only cuts intervals, so the mean path length of the
-    forest is constant between neighbouring cut points.
+    The cut of a node lies at a share of its range that a digest of tree, node and seed draws. The root is node 1,
+    the children of node k are 2k (up to the cut) and 2k + 1.
     """
-    rng = np.random.default_rng(seed)
-    size = min(max_samples, len(sample))
+    leaves = []
+    todo = [(np.sort(values), -np.inf, np.inf, 0, 1)]
+    while todo:
+        part, low, high, depth, node = todo.pop()
+        if depth >= depth_limit or len(part) <= 1 or part[0] == part[-1]:
+            leaves.append((low, high, depth * PATH_UNIT + path_adjustment(len(part))))
+            continue
+        share = int(hashlib.md5(f"{tree}:{node}:{seed}".encode()).hexdigest()[:8], 16) / 2**32
+        cut = float(part[0] + (part[-1] - part[0]) * share)
+        at = int(np.searchsorted(part, cut, side="right"))
+        todo.append((part[:at], low, cut, depth + 1, 2 * node))
+        todo.append((part[at:], cut, high, depth + 1, 2 * node + 1))
+    return leaves
+
+
+def isolation_trees(sample: DataFrame, trees: int, seed: int, max_samples: int) -> DataFrame:
+    """(tree, low, high, path): the leaves of all trees, each grown in a task of its own.
+
+    ``sample`` has ``rank`` (from 0) and ``v``. Tree t takes ``max_samples`` ranks in a row, from t shares of the
+    sample on, and goes on at its start; so trees share values only if there are too few.
+    """
+    n = sample.count()
+    size, stride = min(max_samples, n), max(1, n // trees)
     depth_limit = int(np.ceil(np.log2(max(size, 2))))
-    leaves: list[tuple[float, float, float]] = []
-    for _ in range(trees):
-        todo = [(np.sort(rng.choice(sample, size, replace=False)), -np.inf, np.inf, 0)]
-        while todo:
-            part, lo, hi, depth = todo.pop()
-            if depth >= depth_limit or len(part) <= 1 or part[0] == part[-1]:
-                leaves.append((lo, hi, depth + _path_adjustment(len(part))))
-                continue
-            cut = rng.uniform(part[0], part[-1])
-            at = int(np.searchsorted(part, cut, side="right"))
-            todo.append((part[:at], lo, cut, depth + 1))
-            todo.append((part[at:], cut, hi, depth + 1))
-    starts = np.array([leaf[0] for leaf in leaves])
-    ends = np.array([leaf[1] for leaf in leaves])
-    paths = np.array([leaf[2] for leaf in leaves])
+    tree = F.floor(F.col("id") / size)
+    drawn = sample.sparkSession.range(trees * size).select(
+        tree.alias("tree"), ((tree * stride + F.col("id") % size) % n).alias("rank")
+    )
+
+    def grow(table: pa.Table) -> pa.Table:
+        number = table.column("tree")[0].as_py()
+        leaves = grown(number, table.column("v").to_numpy(), depth_limit, seed)
+        columns = [pa.array([number] * len(leaves), pa.int64())]
+        columns += [pa.array([leaf[k] for leaf in leaves], kind) for k, kind in enumerate((pa.float64(), pa.float64(), pa.int64()))]
+        return pa.table(columns, ["tree", "low", "high", "path"])
+
+    joined = drawn.join(sample, "rank").select("tree", "v")
+    return joined.groupBy("tree").applyInArrow(grow, "tree long, low double, high double, path long")
+
+
+def isolation_steps(leaves: Sequence[tuple[float, float, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """A forest over one variable as a step function: (borders, sum of the path lengths per interval)."""
+    starts, ends = (np.array([leaf[k] for leaf in leaves]) for k in (0, 1))
+    paths = np.array([leaf[2] for leaf in leaves], dtype=np.int64)
     borders = np.unique(ends[np.isfinite(ends)])
-    change = np.zeros(len(borders) + 1)
+    change = np.zeros(len(borders) + 1, dtype=np.int64)
     np.add.at(change, np.where(np.isinf(starts), 0, np.searchsorted(borders, starts) + 1), paths)
     inner = np.isfinite(ends)
     np.subtract.at(change, np.searchsorted(borders, ends[inner]) + 1, paths[inner])
-    mean_path = np.cumsum(change) / trees
-    return borders, np.power(2.0, -mean_path / max(_path_adjustment(size), 1e-12))
+    return borders, np.cumsum(change)
+
+
+def short_paths(paths: np.ndarray, counts: np.ndarray, share: float) -> np.ndarray:
+    """Which intervals score above the ``1 - share`` quantile of all rows' scores.
+
+    A score falls as the path grows, so the quantile lies between the paths at two ranks; between two different
+    ones it excludes the longer path.
+    """
+    order = np.argsort(-paths, kind="stable")
+    upto = np.cumsum(counts[order])
+    place = (upto[-1] - 1) * (1.0 - share)
+    low, high = (paths[order][np.searchsorted(upto, p, side="right")] for p in (np.floor(place), np.ceil(place)))
+    return paths <= high if low != high else paths < low
 
 
 def outlier_flag(
@@ -107,28 +152,28 @@ def outlier_flag(
 ) -> DataFrame:
     """``is_outlier``: -1 for the ``contamination`` share hardest to keep apart, else 1; null for nulls.
 
-    The forest is grown on ``max_samples`` values per tree, drawn by digest from all rows; this
+    The forest is grown on ``max_samples`` values per tree, the values of the smallest digests of all rows; this
     bound is part of the method. The score is a step function of the value with at most
     ``max_samples * trees`` steps: rows are counted per step once, which gives the score limit
     and with it the ranges of values that are flagged, so the flag is one comparison.
     """
     known = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    digest = random_key(*key, seed=seed)
-    wanted = max_samples * trees
-    share = min(1.0, (wanted + 10.0 * wanted**0.5) / max(known.count(), 1))
-    drawn = known.where(uniform(digest) < share).select(digest.alias("k"), F.col(value).cast("double").alias("v"))
-    sample = drawn.toPandas().sort_values("k")["v"].to_numpy()[:wanted]
-    if not len(sample):
+    digests = known.select(random_key(*key, seed=seed).alias("k"), F.col(value).cast("double").alias("v"))
+    drawn = staged(digests.orderBy("k", "v").limit(max_samples * trees), "forest-sample")
+    rank = F.row_number().over(Window.orderBy("k", "v")) - 1  # of a sample of fixed size
+    sample = drawn.select(rank.cast("long").alias("rank"), "v")
+    leaves = [(r["low"], r["high"], r["path"]) for r in isolation_trees(sample, trees, seed, max_samples).collect()] if drawn.head(1) else []
+    if not leaves:
         return df.withColumn("is_outlier", F.lit(None).cast("int"))
-    borders, scores = isolation_steps(sample, trees, seed, max_samples)
+    borders, paths = isolation_steps(leaves)
     after = np.nextafter(borders, np.inf)  # a value on a border belongs to the step below it
     splits = [-np.inf, *(after.tolist() or [0.0]), np.inf]
     steps = Bucketizer(splits=splits, inputCol="_v", outputCol="_step")
     counted = steps.transform(known.select(F.col(value).cast("double").alias("_v"))).groupBy("_step").count().collect()
-    counts = np.zeros(len(scores))
+    counts = np.zeros(len(paths), dtype=np.int64)
     for row in counted:
-        counts[min(int(row["_step"]), len(scores) - 1)] += row["count"]
-    high = scores > weighted_quantile(scores, counts, 1.0 - contamination)
+        counts[min(int(row["_step"]), len(paths) - 1)] += row["count"]
+    high = short_paths(paths, counts, contamination)
     turns = np.flatnonzero(high[1:] != high[:-1])  # after these steps flagged and unflagged ranges change
     cuts = after[turns].tolist()
     ranges = Bucketizer(splits=[-np.inf, *(cuts or [0.0]), np.inf], inputCol="_v", outputCol="_range", handleInvalid="keep")
@@ -138,17 +183,6 @@ def outlier_flag(
     return placed.withColumn("is_outlier", flag).drop("_v", "_range")
 
 
-def weighted_quantile(values: np.ndarray, counts: np.ndarray, share: float) -> float:
-    """The quantile, linear between neighbours, of values that occur ``counts`` times."""
-    order = np.argsort(values, kind="stable")
-    upto = np.cumsum(counts[order])
-    if not len(upto) or not upto[-1]:
-        return float("inf")
-    place = (upto[-1] - 1) * share
-    low, high = (values[order][np.searchsorted(upto, p, side="right")] for p in (np.floor(place), np.ceil(place)))
-    return float(low + (high - low) * (place - np.floor(place)))
-
-
 def inlier_filter(df: DataFrame) -> DataFrame:
     return df.where(F.col("is_outlier") == 1).drop("is_outlier")
 

@@ -13,6 +13,7 @@ from tapeloom.operators.stats import percentile_trim
 from tapeloom.plans.registry import plan, r6
 from tapeloom.plans.series import TOKENS, VOCAB_SQL, scaled_rows
 from tapeloom.plans.sql import check_sql
+from tapeloom.session import staged
 from tapeloom.sources import adapter
 
 KEYS = ["stock_symbol", "date"]
@@ -137,24 +138,69 @@ def median_bins(spark, sf_dir):
     return fe.median_bins(orders, "o_totalprice").select("o_orderkey", "bin")
 
 
+# The forest again: trees from digests, every value led down every tree, path lengths as whole millionths.
+FOREST_SQL = """WITH RECURSIVE sample AS (
+  SELECT row_number() OVER (ORDER BY k, v) - 1 AS rank, v
+  FROM (SELECT md5(o_orderkey || ':42') AS k, o_totalprice AS v FROM orders ORDER BY 1, 2 LIMIT 25600)
+), sizes AS (
+  SELECT count(*) AS m, least(256, count(*)) AS size, greatest(1, count(*) // 100) AS stride,
+         ceil(log2(greatest(least(256, count(*)), 2))) AS depth_limit FROM sample
+), grow(depth, tree, node, v) AS (
+  SELECT 0, t.tree, 1::BIGINT, s.v FROM range(100) t(tree), range(256) j(j), sizes, sample s
+  WHERE j < size AND s.rank = (t.tree * stride + j) % m
+  UNION ALL
+  SELECT depth + 1, tree, node * 2 + CAST(v > cut AS INTEGER), v FROM (
+    SELECT *, lo + (hi - lo) * (CAST('0x' || substr(md5(tree || ':' || node || ':42'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE) AS cut
+    FROM (SELECT *, min(v) OVER w AS lo, max(v) OVER w AS hi, count(*) OVER w AS n FROM grow WINDOW w AS (PARTITION BY tree, node))
+  ), sizes WHERE depth < depth_limit AND n > 1 AND lo < hi
+), nodes AS (
+  SELECT *, depth < depth_limit AND n > 1 AND lo < hi AS is_cut,
+         lo + (hi - lo) * (CAST('0x' || substr(md5(tree || ':' || node || ':42'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE) AS cut,
+         depth * 1000000 + CASE WHEN n > 1 THEN
+           CAST(round((2 * (ln(n - 1) + 0.5772156649015329::DOUBLE) - 2 * (n - 1)::DOUBLE / n) * 1000000) AS BIGINT) ELSE 0 END AS path
+  FROM (SELECT depth, tree, node, min(v) AS lo, max(v) AS hi, count(*) AS n FROM grow GROUP BY ALL), sizes
+), led(v, tree, node) AS (
+  SELECT v, tree, 1::BIGINT FROM (SELECT DISTINCT o_totalprice AS v FROM orders), range(100) t(tree)
+  UNION ALL
+  SELECT l.v, l.tree, l.node * 2 + CAST(l.v > n.cut AS INTEGER) FROM led l JOIN nodes n USING (tree, node) WHERE n.is_cut
+), paths AS (
+  SELECT l.v, sum(n.path) AS path FROM led l JOIN nodes n USING (tree, node) WHERE NOT n.is_cut GROUP BY l.v
+), scored AS (
+  SELECT o.*, path, row_number() OVER (ORDER BY path DESC) - 1 AS place, (count(*) OVER () - 1) * (1 - 0.05::DOUBLE) AS wanted
+  FROM orders o JOIN paths p ON p.v = o.o_totalprice
+), bounds AS (
+  SELECT max(path) FILTER (place = floor(wanted)) AS low, max(path) FILTER (place = ceil(wanted)) AS high FROM scored
+), flagged AS (
+  SELECT o_orderkey, o_totalprice,
+         CAST(CASE WHEN low <> high AND path <= high OR low = high AND path < low THEN -1 ELSE 1 END AS INTEGER) AS is_outlier
+  FROM scored, bounds
+) """
+
+
 def flagged(spark, sf_dir):
     orders = adapter.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return fe.outlier_flag(orders, "o_totalprice", ["o_orderkey"])
 
 
-@plan("outlier_flag")
+@plan("outlier_flag", FOREST_SQL + "SELECT o_orderkey, is_outlier FROM flagged")
 def outlier_flag(spark, sf_dir):
     return flagged(spark, sf_dir).select("o_orderkey", "is_outlier")
 
 
-@plan("inlier_filter")
+@plan("inlier_filter", FOREST_SQL + "SELECT o_orderkey, o_totalprice FROM flagged WHERE is_outlier = 1")
 def inlier_filter(spark, sf_dir):
     return fe.inlier_filter(flagged(spark, sf_dir))
 
 
-@plan("trimmed_inliers")
+@plan(
+    "trimmed_inliers",
+    FOREST_SQL
+    + """, inliers AS (SELECT o_orderkey, o_totalprice FROM flagged WHERE is_outlier = 1)
+SELECT * FROM inliers WHERE o_totalprice >= (SELECT quantile_cont(o_totalprice, 0.01) FROM inliers)
+AND o_totalprice <= (SELECT quantile_cont(o_totalprice, 0.99) FROM inliers)""",
+)
 def trimmed_inliers(spark, sf_dir):
-    return percentile_trim(fe.inlier_filter(flagged(spark, sf_dir)), "o_totalprice")
+    return percentile_trim(staged(fe.inlier_filter(flagged(spark, sf_dir)), "inliers"), "o_totalprice")
 
 
 @plan(

@@ -10,6 +10,7 @@ from tapeloom.plans.registry import places, plan, r6
 from tapeloom.plans.sql import check_sql
 from tapeloom.session import scratch_path
 from tapeloom.sources import adapter, csv, sinks, tables
+from tapeloom.streaming.chunks import ingest_chunks, read_chunks
 from tapeloom.streaming.ingest import file_stream, ingest
 
 # The check SQL for clean_text; chr(39) is the single quote.
@@ -66,12 +67,10 @@ round(low, 6) AS low, round(close, 6) AS close, round(adj_close, 6) AS adj_close
     ),
 )
 def price_files(spark, sf_dir):
-    """One CSV file per symbol, written and read again with the symbol from the file's name."""
+    """Price files per symbol, written in one go and read again with the symbol from the path."""
     path = scratch_path(spark, "price-files")
-    bars = adapter.bars(spark, sf_dir)
-    for symbol in adapter.SYMBOLS:
-        own = bars.where(F.col("stock_symbol") == symbol).select(*csv.PRICE_FILE_COLUMNS)
-        sinks.write_single_csv(own, path, f"{symbol}.csv")
+    bars = adapter.prices(spark, sf_dir).select("stock_symbol", *csv.PRICE_FILE_COLUMNS)
+    sinks.write_symbol_files(bars, path)
     back = csv.read_prices_csv(spark, path)
     numbers = [r6(F.col(c).cast("double")).alias(c) for c in ("open", "high", "low", "close", "adj_close")]
     return back.select("stock_symbol", "date", *numbers, F.col("volume").cast("double").alias("volume"))
@@ -242,6 +241,24 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@plan(
+    "stream_chunks",
+    f"""SELECT doc_id, text, lang, source, batch, row_no, chunk_id, 'part-' || lpad(CAST(chunk_id AS VARCHAR), 5, '0') AS part FROM (
+SELECT *, row_no // 70 AS chunk_id FROM (SELECT *, doc_id % 3 AS batch, row_number() OVER (ORDER BY doc_id % 3, doc_id) - 1 AS row_no
+FROM ({CLEANED_DOCS})))""",
+)
+def stream_chunks(spark, sf_dir):
+    """Documents in three deliveries, each taken in by a new start of the stream; chunk numbers go on."""
+    documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    folder, out, checkpoint = (scratch_path(spark, name) for name in ("deliveries", "stream-chunks", "chunk-state"))
+    for delivery in range(3):
+        documents.where(F.col("doc_id") % 3 == delivery).coalesce(1).write.mode("append").parquet(folder)
+        stream = file_stream(spark, folder, documents.schema, "parquet")
+        query = ingest_chunks(stream, lambda df: df.withColumn("text", clean_text(F.col("text"))), "doc_id", out, checkpoint, rows=70)
+        query.awaitTermination()
+    return read_chunks(spark, out)
+
+
 @plan(
     "chunked_write",
     """SELECT doc_id, text, lang, chunk_id, 'part-' || lpad(CAST(chunk_id AS VARCHAR), 5, '0') AS part FROM (

@@ -239,7 +239,38 @@ def attended_bags(spark, sf_dir):
     return places(bags.select(*KEYS, pooled.alias("vector")), KEYS, "vector")
 
 
-@plan("pair_regression")
+def ridge_sql(keys: str, columns: str = "") -> str:
+    """SQL that fits a penalised head on ``data`` (rn, x, y, split) and scores all its rows.
+
+    Normal equations from products of whole columns, solved by conjugate gradients.
+    """
+    return f""", cells AS (SELECT rn, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM data WHERE split = 'train'),
+columns AS (SELECT i, list(v ORDER BY rn) AS c, avg(v) AS m FROM cells GROUP BY i),
+labels_of AS (SELECT list(y ORDER BY rn) AS ys, avg(y) AS my, count(*) AS n FROM data WHERE split = 'train'),
+gram AS (SELECT list(g ORDER BY i) AS g FROM (SELECT a.i, list(list_dot_product(a.c, b.c) / n - a.m * b.m
++ CASE WHEN a.i = b.i THEN 0.01::DOUBLE ELSE 0 END ORDER BY b.i) AS g FROM columns a, columns b, labels_of GROUP BY a.i)),
+right_side AS (SELECT list(list_dot_product(c, ys) / n - m * my ORDER BY i) AS b, list(m ORDER BY i) AS ms, any_value(my) AS my FROM columns, labels_of),
+solve(k, w, r, p, rr, first) AS (
+SELECT 0, list_transform(b, lambda v: 0::DOUBLE), b, b, list_dot_product(b, b), list_dot_product(b, b) FROM right_side
+UNION ALL
+SELECT k + 1, w, r, list_transform(r, lambda v, i: v + list_dot_product(r, r) / rr * p[i]), list_dot_product(r, r), first FROM (
+SELECT k, list_transform(w, lambda v, i: v + a * p[i]) AS w, list_transform(r, lambda v, i: v - a * q[i]) AS r, p, rr, first FROM (
+SELECT *, rr / list_dot_product(p, q) AS a FROM (
+SELECT s.*, list_transform(g, lambda row: list_dot_product(row, p)) AS q FROM solve s, gram WHERE rr > first * 1e-28::DOUBLE AND k < 2000)))),
+fitted AS (SELECT w, my - list_dot_product(w, ms) AS c FROM (SELECT w FROM solve ORDER BY k DESC LIMIT 1), right_side)
+SELECT {keys}, split, {columns}round(list_dot_product(x, w) + c, 6) AS prediction FROM data, fitted"""
+
+
+HEAD_VECTORS = """, vectors_of AS (SELECT id, embedding::DOUBLE[] AS v, label FROM vectors),
+paired AS (SELECT a.id, list_concat(a.v, b.v) AS x, CAST(b.label - a.label AS DOUBLE) AS y FROM vectors_of a JOIN vectors_of b ON b.id = a.id + 1),
+data AS (SELECT *, CASE WHEN rn <= ceil(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM (
+SELECT *, row_number() OVER (ORDER BY md5(id || ':999'), id) AS rn, count(*) OVER () AS n FROM paired))"""
+
+
+@plan(
+    "pair_regression",
+    check_sql("vectors", body=HEAD_VECTORS + ridge_sql("id", "y, ")).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def pair_regression(spark, sf_dir):
     pairs = neighbours(spark, sf_dir).withColumn("y", F.col("label_diff").cast("double"))
     split = staged(random_split(pairs, ["id"]), "pairs")
@@ -249,7 +280,20 @@ def pair_regression(spark, sf_dir):
     return scored.select("id", "split", "y", r6("prediction").alias("prediction"))
 
 
-@plan("sequence_forecast")
+@plan(
+    "sequence_forecast",
+    check_sql(
+        "scaled",
+        body=""", data AS (SELECT * FROM (SELECT stock_symbol, date, split, close_scaled AS last_known,
+lead(close_scaled, 3) OVER w AS y, lead(close_scaled, 3) OVER w AS target, row_number() OVER w - 1 AS in_part,
+flatten(list([CAST(open_scaled AS FLOAT)::DOUBLE, CAST(close_scaled AS FLOAT)::DOUBLE, CAST(volume_scaled AS FLOAT)::DOUBLE]) OVER l) AS x,
+row_number() OVER (ORDER BY stock_symbol, date) AS rn FROM scaled
+WINDOW w AS (PARTITION BY stock_symbol, split ORDER BY date),
+l AS (PARTITION BY stock_symbol, split ORDER BY date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))
+WHERE in_part >= 49 AND y IS NOT NULL)"""
+        + ridge_sql("stock_symbol, date", "round(target, 6) AS target, round(last_known, 6) AS last_known, "),
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def sequence_forecast(spark, sf_dir):
     rows = scaled_rows(spark, sf_dir)
     features = ["open_scaled", "close_scaled", "volume_scaled"]
@@ -257,11 +301,18 @@ def sequence_forecast(spark, sf_dir):
     flat = staged(flatten_window(windows, "window", features).drop("window"), "windows")
     scored = linear_head(flat.where(F.col("split") == "train"), flat, ["flat"], "target", reg=0.01)
     return scored.select(
-        *KEYS, "split", "target", "last_known", r6("prediction").alias("prediction")
+        *KEYS, "split", r6("target").alias("target"), r6("last_known").alias("last_known"), r6("prediction").alias("prediction")
     )
 
 
-@plan("single_text_regression")
+@plan(
+    "single_text_regression",
+    f"""WITH RECURSIVE {TEXT_VECTORS}, vector_of AS (SELECT doc_id, list(value ORDER BY place) AS x FROM text_vectors GROUP BY doc_id),
+data AS (SELECT *, CASE WHEN rn <= ceil(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM (
+SELECT doc_id, x, CAST(quality AS DOUBLE) AS y, row_number() OVER (ORDER BY md5(doc_id || ':999'), doc_id) AS rn, count(*) OVER () AS n
+FROM vector_of JOIN labels USING (doc_id)))"""
+    + ridge_sql("doc_id", "y, "),
+)
 def single_text_regression(spark, sf_dir):
     labels = adapter.table(spark, sf_dir, "labels").select("doc_id", "quality")
     documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text")

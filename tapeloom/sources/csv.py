@@ -63,15 +63,25 @@ def symbol_from_path(path: Column) -> Column:
     return F.regexp_extract(F.lower(path), r"([^/]+)(?=\.csv$)", 1)
 
 
+def symbol_of_file(path: Column) -> Column:
+    """The symbol that a price file's path carries: a folder ``stock_symbol=...``, else the file's name."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    folder = F.regexp_extract(F.lower(plain), r".*/stock_symbol=([^/]*)/[^/]*$", 1)
+    named = F.when(folder != "__hive_default_partition__", F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
+    return F.when(folder != "", named).otherwise(symbol_from_path(plain))
+
+
 def read_prices_csv(spark: SparkSession, path: str) -> DataFrame:
-    """One file per symbol; the symbol comes from the file name."""
-    raw = read_strings(spark, path, PRICE_FILE_COLUMNS)
+    """Price files below a folder; the symbol comes from their paths, and there may be many files of one symbol."""
+    raw = (
+        spark.read.schema(string_schema(PRICE_FILE_COLUMNS))
+        .options(**CSV_OPTIONS, header=True, enforceSchema=True, recursiveFileLookup=True)
+        .csv(path)
+    )
     origin = F.col("_metadata.file_path")
     return raw.select(
         F.lower(origin).alias("path"),
-        symbol_from_path(F.url_decode(F.replace(origin, F.lit("+"), F.lit("%2B")))).alias(
-            "stock_symbol"
-        ),
+        symbol_of_file(origin).alias("stock_symbol"),
         "date",
         "open",
         "high",

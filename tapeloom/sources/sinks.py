@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeloom.operators.joins import salted_join
 from tapeloom.operators.timeline import Timeline
 from tapeloom.sources.csv import CSV_OPTIONS
 
@@ -41,19 +42,18 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = True) -> None:
     df.write.options(**CSV_OPTIONS).option("header", True).option("quoteAll", quote_all).csv(path)
 
 
-def write_single_csv(df: DataFrame, folder: str, name: str) -> None:
-    """One CSV file of a given name in a folder, for readers that take a key from the name.
+def write_symbol_files(df: DataFrame, folder: str, symbol: str = "stock_symbol", rows: int = 1_000_000) -> None:
+    """CSV files whose path carries the key: one folder per symbol, files of at most ``rows`` rows in it.
 
-    The rows pass through one task, so this is for tables of one symbol.
+    One write for any number of symbols. Symbols are dealt over the tasks with a part number, so that a symbol
+    with a large share of the rows is written by many tasks and a small one ends up in few files.
     """
-    spark = df.sparkSession
-    part = f"{folder}/_{name}"
-    df.coalesce(1).write.options(**CSV_OPTIONS).option("header", True).csv(part)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    store = path(part).getFileSystem(spark._jsc.hadoopConfiguration())
-    (written,) = [s.getPath() for s in store.globStatus(path(f"{part}/part-*"))]
-    store.rename(written, path(f"{folder}/{name}"))
-    store.delete(path(part), True)
+    counted = df.groupBy(symbol).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("_parts"))
+    part = F.pmod(F.xxhash64(*[c for c in df.columns if c != symbol]), F.col("_parts"))
+    dealt = salted_join(df, counted, [symbol], "inner", F.xxhash64(*df.columns)).withColumn("_part", part)
+    dealt = dealt.repartition(symbol, "_part").drop("_part", "_parts")
+    writer = dealt.write.partitionBy(symbol).options(**CSV_OPTIONS).option("header", True)
+    writer.option("maxRecordsPerFile", rows).csv(folder)
 
 
 def create_parquet(df: DataFrame, path: str, if_not_exists: bool = False) -> DataFrame:

@@ -176,26 +176,22 @@ def test_linear_head_like_least_squares(spark):
 def test_isolation_steps_equal_walking_the_trees():
     rng = np.random.default_rng(1)
     sample = np.concatenate([rng.normal(size=300), [40.0, -35.0]])
-    borders, scores = fe.isolation_steps(sample, 20, seed=3)
-    assert len(scores) == len(borders) + 1
-    # Walk the same trees value by value: same random draws, one path at a time.
+    leaves = [leaf for t in range(20) for leaf in fe.grown(t, sample, 8, 42)]
+    borders, paths = fe.isolation_steps(leaves)
+    assert len(paths) == len(borders) + 1
     for value in (-35.0, -1.2, 0.0, 0.7, 40.0):
-        walk = np.random.default_rng(3)
-        total = 0.0
-        for _ in range(20):
-            todo = [(np.sort(walk.choice(sample, 256, replace=False)), 0, True)]
-            while todo:
-                part, depth, here = todo.pop()
-                if depth >= 8 or len(part) <= 1 or part[0] == part[-1]:
-                    total += (depth + fe._path_adjustment(len(part))) if here else 0.0
-                    continue
-                cut = walk.uniform(part[0], part[-1])
-                left = value <= cut
-                todo.append((part[part <= cut], depth + 1, here and left))
-                todo.append((part[part > cut], depth + 1, here and not left))
-        expected = 2.0 ** (-(total / 20) / fe._path_adjustment(256))
-        assert scores[np.searchsorted(borders, value)] == pytest.approx(expected)
-    assert scores[-1] > scores[np.searchsorted(borders, 0.0)]
+        own = [path for low, high, path in leaves if low < value <= high]
+        assert len(own) == 20 and paths[np.searchsorted(borders, value)] == sum(own)
+    assert paths[-1] < paths[np.searchsorted(borders, 0.0)]
+
+
+def test_short_paths_are_scores_above_the_quantile():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        paths, counts = rng.integers(1, 9, size=6), rng.integers(1, 5, size=6)
+        rows = np.repeat(-paths.astype(float), counts)
+        for share in (0.05, 0.3, 0.5):
+            assert list(fe.short_paths(paths, counts, share)) == list(-paths > np.quantile(rows, 1 - share))
 
 
 def test_outliers_are_the_far_values(spark):

@@ -115,3 +115,49 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
 def test_scratch_uses_the_named_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_chunks_of_a_stream_go_on_after_any_crash(spark, tmp_path):
+    """A batch that is run again, before or after its record was written, gives the same chunks."""
+    from tapeloom.streaming import chunks
+
+    out, records = str(tmp_path / "out"), str(tmp_path / "records")
+    batches = [spark.createDataFrame([(k, f"t{k}") for k in range(a, b)], "id long, text string") for a, b in ((0, 5), (5, 6), (6, 17))]
+
+    def write(number, times=1):
+        for _ in range(times):
+            chunks.write_batch(batches[number], number, lambda df: df, "id", out, records, rows=4)
+
+    write(0, times=2)
+    write(1)
+    (tmp_path / "records" / "batch-1").rename(tmp_path / "lost")  # ended before the record was written
+    write(1)
+    write(2, times=2)
+    write(1)  # a late repeat counts only what came before it
+    rows = chunks.read_chunks(spark, out).orderBy("row_no").collect()
+    assert [(r.id, r.row_no, r.chunk_id, r.part) for r in rows] == [(k, k, k // 4, f"part-{k // 4:05d}") for k in range(17)]
+    assert [r.batch for r in rows] == [0] * 5 + [1] + [2] * 11
+
+
+def test_stream_restarts_number_on(spark, tmp_path):
+    from tapeloom.streaming import chunks
+    from tapeloom.streaming.ingest import file_stream
+
+    folder, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    for start in (0, 30, 60):
+        spark.range(start, start + 30).coalesce(1).write.mode("append").parquet(folder)
+        stream = file_stream(spark, folder, spark.range(1).schema, "parquet")
+        chunks.ingest_chunks(stream, lambda df: df.where("id % 2 = 0"), "id", out, state, rows=7).awaitTermination()
+    rows = chunks.read_chunks(spark, out).orderBy("row_no").collect()
+    assert [(r.id, r.row_no, r.chunk_id, r.batch) for r in rows] == [(2 * k, k, k // 7, k // 15) for k in range(45)]
+
+
+def test_symbol_files_keep_odd_names_and_split_large_symbols(spark, tmp_path):
+    rows = [(s, f"2020-01-{d:02d}", 1.0 + d) for s in ("a b", "x=y/z", "50%", "brk.b") for d in range(1, 20)]
+    columns = csv.PRICE_FILE_COLUMNS
+    df = spark.createDataFrame(rows, "stock_symbol string, date string, v double")
+    df = df.select("stock_symbol", "date", *[df.v.alias(c) for c in columns[1:]])
+    sinks.write_symbol_files(df, str(tmp_path / "files"), rows=6)
+    back = csv.read_prices_csv(spark, str(tmp_path / "files")).collect()
+    assert sorted((r.stock_symbol, r.date, float(r.close)) for r in back) == sorted(rows)
+    assert len(list((tmp_path / "files").rglob("*.csv"))) >= 4 * 4
