@@ -10,9 +10,9 @@
 3. Links are looked for until no two nodes of a bucket are left that could join two groups.
    First each node is held against one hub of each of its buckets, so that a large group of
    copies costs its size and not the square of it; this is repeated with other hubs while it
-   pays. Buckets whose nodes still lie in more than one group are gathered into neighbourhoods;
-   there the nodes outside the largest group are held against all others, in blocks. Pairs
-   inside one group need no test, as their link changes no group.
+   pays. In buckets whose nodes still lie in more than one group, the nodes outside the largest
+   group are held against all others, in blocks; a pair is tested in the first band it shares.
+   Pairs inside one group need no test, as their link changes no group.
 4. A pair is dropped if the likelihood of both sketches peaks far below the threshold; the
    others are decided on their full sets.
 """
@@ -115,14 +115,16 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 
     The values of a shingle come in rising order, value j from the j-th of ``REGISTERS``
     intervals and for a register of its own, so that work on a set ends at the interval
-    that can lower none of its minima any more.
+    that can lower none of its minima any more. Each shingle has its own order of the registers,
+    of steps by odd numbers with shifts between, so that in small sets bands agree independently.
     """
     m, n = REGISTERS, len(sets)
     least = np.full(n * m, np.inf)
     elements = np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64)
     owner = np.repeat(np.arange(n), [len(s) for s in sets])
     first = mixed(elements + np.uint64(0x1234567887654321)) % np.uint64(m)
-    step = (mixed(elements ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(m)) | np.uint64(1)
+    more = mixed(elements ^ np.uint64(0x5851F42D4C957F2D))
+    step, turn, shift = (more % np.uint64(m)) | np.uint64(1), (more >> np.uint64(20)) | np.uint64(1), more >> np.uint64(40)
     below = 0.0
     for j in range(1, m + 1):
         if not len(elements):
@@ -130,7 +132,11 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
         above = np.log1p(j / (m - j)) / RATE if j < m else np.inf
         unit = (mixed(elements + np.uint64(j * 0x2545F4914F6CDD1D & (1 << 64) - 1)) >> np.uint64(11)).astype(float) / 2**53
         value = below - np.log1p(-unit / (m - j + 1)) / RATE
-        place = owner * m + ((first + np.uint64(j) * step) % np.uint64(m)).astype(np.int64)
+        register = (first + np.uint64(j) * step) % np.uint64(m)
+        register ^= register >> np.uint64(4)
+        register = (register * turn + shift) % np.uint64(m)
+        register ^= register >> np.uint64(5)
+        place = owner * m + register.astype(np.int64)
         np.minimum.at(least, place, value)
         below = above
         if j > 16 and j % 8:
@@ -139,6 +145,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
         going = open_sets[owner]
         if not going.all():
             elements, owner, first, step = elements[going], owner[going], first[going], step[going]
+            turn, shift = turn[going], shift[going]
     with np.errstate(divide="ignore"):
         level = np.floor(1 - np.log(least.reshape(n, m)) / np.log(BASE))
     return np.clip(np.nan_to_num(level, neginf=0), 0, TOP).astype(np.uint8)
@@ -220,24 +227,41 @@ def kept(df: DataFrame, name: str, rows: int, each: int = TASK_ROWS) -> DataFram
 def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, label) for the nodes of undirected edges (a, b); the label is the smallest node reached.
 
-    Each turn a node takes the smallest label around it and then the label of that label, so
-    that the way to the smallest node halves at least. Each turn is stored. ``rows`` is a bound
-    of the number of edges, which are counted without it.
+    Each turn every node keeps one edge, that to its smallest neighbour if that is smaller than itself. These
+    edges are a forest, whose roots are found by going to the parent's parent again and again, with one row a
+    node. Then all other edges are looked at once: those between different roots, each pair of roots once, are the
+    edges of the next turn. Two turns halve the roots that still have edges at least. ``rows`` is a bound of the
+    number of edges, which are counted without it.
     """
-    rows = 2 * (edges.count() if rows is None else rows)
-    both = kept(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links", rows)
-    first = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-    labels = kept(first.select("node", F.least("node", "m").alias("label")), "labels", rows)
-    hint = F.broadcast if rows <= BROADCAST_ROWS else lambda df: df
-    while True:
-        around = both.join(hint(labels.select(F.col("node").alias("b"), "label")), "b")
-        around = around.groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
-        taken = around.join(hint(labels), "node")
-        taken = kept(taken.select("node", F.least("m", "label").alias("label"), F.col("label").alias("old")), "taken", rows)
-        if not taken.where("label <> old").head(1):
-            return taken.drop("old")
-        further = taken.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        labels = kept(taken.join(hint(further), "label").select("node", F.col("further").alias("label")), "labels", rows)
+    rows = edges.count() if rows is None else rows
+    rest = kept(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "links", rows)
+    labels = None
+    while rest.head(1):
+        hint = F.broadcast if 2 * rows <= BROADCAST_ROWS else lambda df: df
+        trees = rest.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
+        trees = kept(trees, "trees", rows)
+        while True:
+            up = trees.select(F.col("node").alias("label"), F.col("label").alias("root"))
+            higher = trees.join(hint(up), "label", "left").select("node", F.coalesce("root", "label").alias("label"), "root")
+            higher = kept(higher, "trees", rows)
+            trees = higher.select("node", "label")
+            if not higher.where("root IS NOT NULL").head(1):
+                break
+        a, b = (trees.select(F.col("node").alias(c), F.col("label").alias(f"root_{c}")) for c in "ab")
+        ends = rest.join(hint(a), "a").join(hint(b), "b", "left").withColumn("root_b", F.coalesce("root_b", "b"))
+        ends = ends.where("root_a <> root_b")
+        ends = ends.select(F.greatest("root_a", "root_b").alias("a"), F.least("root_a", "root_b").alias("b")).distinct()
+        if labels is None:
+            every = rest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            labels = every.join(hint(trees), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+        else:
+            moved = trees.select(F.col("node").alias("label"), F.col("label").alias("root"))
+            labels = labels.join(hint(moved), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+        labels = kept(labels, "labels", 2 * rows)
+        rest = kept(ends, "links", rows)
+    if labels is None:
+        labels = rest.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    return labels
 
 
 def confirmed(pairs: DataFrame, facts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -267,15 +291,15 @@ def confirmed(pairs: DataFrame, facts: DataFrame, size: int, percent: int) -> Da
 
 
 def bucketed(nodes: DataFrame) -> DataFrame:
-    """(bucket, node) for every band of every node."""
+    """(bucket, band, node) for every band of every node."""
     parts = F.array(*[F.substring("registers", ROWS * k + 1, ROWS) for k in range(BANDS)])
     bands = nodes.select("node", F.posexplode(parts).alias("band", "part"))
-    return bands.select(F.xxhash64("band", "part").alias("bucket"), "node")
+    return bands.select(F.xxhash64("band", "part").alias("bucket"), "band", "node")
 
 
 def open_rows(live: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(bucket, node, label) of the buckets whose nodes lie in more than one group."""
-    placed = live.join(sized(labels), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    """(bucket, band, node, label) of the buckets whose nodes lie in more than one group."""
+    placed = live.join(sized(labels), "node", "left").select("bucket", "band", "node", F.coalesce("label", "node").alias("label"))
     several = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     several = kept(several.where("low < high").select("bucket"), "several", rows)
     return kept(placed.join(sized(several), "bucket"), "open", rows)
@@ -289,65 +313,53 @@ def with_hubs(rows: DataFrame, turn: int, count: int) -> DataFrame:
     return offered.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
 
 
-def neighbourhoods(rows: DataFrame, count: int) -> DataFrame:
-    """(node, label, place, major, size, minor) of the nodes of open buckets: groups that share a
-    bucket lie in one place; of its ``size`` nodes ``minor`` are outside its largest group."""
-    hubs = kept(rows.groupBy("bucket").agg(F.min("label").alias("hub")), "hubs", count)
-    edges = rows.join(sized(hubs), "bucket").where("label <> hub").select(F.col("label").alias("a"), F.col("hub").alias("b"))
-    edges = kept(edges.distinct(), "bucket-links", count)
-    places = components(edges).select(F.col("label").alias("place"), F.col("node").alias("label"))
-    nodes = kept(rows.select("node", "label").distinct().join(sized(places), "label"), "places", count)
-    each = nodes.groupBy("place", "label").agg(F.count("*").alias("c"))
-    of_place = each.groupBy("place").agg(
+def outnumbered(rows: DataFrame, count: int) -> DataFrame:
+    """The rows of open buckets with the bucket's ``size``, its largest group ``major`` and the ``minor`` nodes outside it."""
+    each = rows.groupBy("bucket", "label").agg(F.count("*").alias("c"))
+    of_bucket = each.groupBy("bucket").agg(
         F.sum("c").alias("size"), F.max("c").alias("most"), F.max_by("label", F.struct("c", "label")).alias("major")
     )
-    of_place = kept(of_place.select("place", "major", "size", (F.col("size") - F.col("most")).alias("minor")), "sizes", count)
-    return kept(nodes.join(sized(of_place), "place"), "neighbours", count)
+    of_bucket = kept(of_bucket.select("bucket", "major", "size", (F.col("size") - F.col("most")).alias("minor")), "sizes", count)
+    return kept(rows.join(sized(of_bucket), "bucket"), "outnumbered", count)
 
 
-def compared(nodes: DataFrame, facts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between nodes outside the largest group of a place and all others of other groups.
+def compared(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) to be decided: nodes outside the largest group of a bucket and all its nodes of other groups.
 
-    Both sides are dealt into blocks of about ``BLOCK`` nodes, and each pair of blocks is one
-    small table for one call.
+    Both sides are dealt into blocks of about ``BLOCK`` nodes, and each pair of blocks is one small table for one
+    call. Pairs that share several buckets are looked at in that of their first common band only.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     minor_blocks = F.ceil(F.col("minor") / BLOCK).cast("int")
     dealt = F.xxhash64("node")
-    everyone = nodes.select(
-        "node", "label", "place", F.lit(False).alias("outside"), F.pmod(dealt, blocks).cast("int").alias("block"),
+    columns = ["node", "label", "bucket", "band"]
+    everyone = rows.select(
+        *columns, F.lit(False).alias("outside"), F.pmod(dealt, blocks).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("minor_block"),
     )
-    outside = nodes.where("label <> major").select(
-        "node", "label", "place", F.lit(True).alias("outside"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+    outside = rows.where("label <> major").select(
+        *columns, F.lit(True).alias("outside"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
         F.pmod(dealt, minor_blocks).cast("int").alias("minor_block"),
     )
-    rows = everyone.unionByName(outside).join(facts, "node")
+    sketches_of = facts.select("node", "n", "registers").distinct()
 
     def compare(table: pa.Table) -> pa.Table:
-        node, label, n = (np.array(table.column(c).to_pylist()) for c in ("node", "label", "n"))
+        node, label, n, band = (np.array(table.column(c).to_pylist()) for c in ("node", "label", "n", "band"))
         away = np.array(table.column("outside").to_pylist())
         registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        sets = shingle_sets(table.column("text").to_pylist(), size)
+        words = registers.view(np.uint64).reshape(-1, BANDS)  # one word a band
         others = np.flatnonzero(~away)
-        keys = np.concatenate([sets[k] for k in others]) if len(others) else np.empty(0, np.uint64)
-        owner = np.repeat(np.arange(len(others)), [len(sets[k]) for k in others])
-        order = np.argsort(keys, kind="stable")
-        keys, owner = keys[order], owner[order]
-        sizes = np.array([len(sets[k]) for k in others])
         found = []
         for k in np.flatnonzero(away) if len(others) else ():
-            near = (label[others] != label[k]) & likely(registers[k], registers[others], float(n[k]), n[others].astype(float), percent)
-            if not near.any():
-                continue
-            first, past = np.searchsorted(keys, sets[k], "left"), np.searchsorted(keys, sets[k], "right")
-            hits = np.concatenate([owner[f:p] for f, p in zip(first, past) if p > f] or [owner[:0]])
-            both = np.bincount(hits, minlength=len(others))
-            linked = near & (100 * both >= percent * (len(sets[k]) + sizes - both))
-            found += [(int(node[k]), int(m)) for m in node[others[linked]]]
+            same = words[others] == words[k]
+            first = same.any(axis=1) & (same.argmax(axis=1) == band[k]) & (label[others] != label[k])
+            near = others[first]
+            near = near[likely(registers[k], registers[near], float(n[k]), n[near].astype(float), percent)] if len(near) else near
+            found += [(max(int(node[k]), int(m)), min(int(node[k]), int(m))) for m in node[near]]
         return pa.table({c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate("ab")})
 
-    return rows.groupBy("place", "block", "minor_block").applyInArrow(compare, "a long, b long").distinct()
+    met = everyone.unionByName(outside).join(sketches_of, "node")
+    return met.groupBy("bucket", "block", "minor_block").applyInArrow(compare, "a long, b long").distinct()
 
 
 def joined_groups(labels: DataFrame, links: DataFrame, count: int) -> DataFrame:
@@ -376,22 +388,19 @@ def groups(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: i
     few = sized(involved)
     facts = stored(nodes.join(few, "node").join(texts_of(few), "node"), "facts")
 
-    rows, labels, links, edges = live.withColumn("label", F.col("node")), None, None, 0
+    rows, labels = live.withColumn("label", F.col("node")), None
     for turn in range(ROUNDS):
         pairs = kept(with_hubs(rows, turn, size_live), "pairs", size_live)
         new = kept(confirmed(pairs, facts, size, percent), "edges", pairs.count(), TASK_PAIRS)
         if not (linked := new.count()):
             break
-        links, edges = new if links is None else links.unionByName(new), edges + linked
-        labels = components(links, edges)
+        labels = components(new, linked) if labels is None else kept(joined_groups(labels, new, linked), "labels", size_live)
         rows = open_rows(live, labels, size_live)
-        near = neighbourhoods(rows, size_live)
-        count, work = near.agg(F.count("*"), F.sum(F.expr("CASE WHEN label <> major THEN size ELSE 0 END"))).first()
+        count, work = outnumbered(rows, size_live).agg(F.count("*"), F.sum(F.expr("CASE WHEN label <> major THEN size ELSE 0 END"))).first()
         if not count or work <= PAIRS_PER_NODE * count:
             break
-    if labels is None:
-        near = neighbourhoods(rows, size_live)
-    new = stored(compared(near, facts, size, percent), "edges")
+    pairs = stored(compared(outnumbered(rows, size_live), facts, percent), "pairs")
+    new = kept(confirmed(pairs, facts, size, percent), "edges", pairs.count(), TASK_PAIRS)
     if linked := new.count():
         labels = components(new, linked) if labels is None else joined_groups(labels, new, linked)
     return live.select("node", F.col("node").alias("label")).limit(0) if labels is None else labels
@@ -415,17 +424,30 @@ def near_duplicates(
     rows = stored(sketched(docs, size, id_col, text_col), "sketched")
     linked = rows.where("n > 0 AND doc IS NOT NULL")
     firsts = stored(linked.groupBy("digest").agg(F.min("doc").alias("node")), "firsts")
-    nodes = linked.join(firsts, "digest").where("doc = node").select("node", "n", "registers")
+    nodes = linked.join(firsts, "digest").where("doc = node").select("node", "n", "registers").distinct()
 
     def texts_of(ids: DataFrame) -> DataFrame:
         texts = docs.select(F.col(quoted(id_col)).cast("long").alias("node"), F.col(quoted(text_col)).alias("text"))
-        return texts.join(ids, "node").where("text IS NOT NULL")
+        return texts.join(ids, "node").where("text IS NOT NULL").distinct()
 
     labels = groups(nodes, texts_of, size, percent)
+
+    # a document with several texts joins the groups of all of them
+    several = rows.where("doc IS NOT NULL").groupBy("doc").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    several = sized(stored(several.where("low < high").select("doc"), "several_texts"))
+    own = stored(linked.select("doc", "digest").join(several, "doc").join(firsts, "digest").select("doc", "node").distinct(), "own_texts")
+    least = own.groupBy("doc").agg(F.min("node").alias("b"))
+    links = stored(own.join(least, "doc").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "own_links")
+    if count := links.count():
+        labels = kept(joined_groups(labels, links, count), "labels", nodes.count())
+    of_doc = own.join(labels, "node", "left").groupBy("doc").agg(F.min(F.coalesce("label", "node")).alias("shared"))
+    of_doc = sized(stored(of_doc.select(F.col("doc").alias("of"), "shared"), "shared"))
+
     places = firsts.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
     out = rows.select("doc", "digest", "n").join(
         places.withColumnRenamed("digest", "set"), F.col("digest").eqNullSafe(F.col("set")) & F.col("doc").isNotNull(), "left"
     )
+    out = out.join(of_doc, F.col("doc") == F.col("of"), "left").withColumn("component", F.coalesce("shared", "component"))
     return out.select(
         F.col("doc").alias(id_col),
         F.col("n").alias("n_shingles"),

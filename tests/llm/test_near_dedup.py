@@ -119,3 +119,30 @@ def test_components_of_chains_stars_and_circles(spark):
     edges = spark.createDataFrame(chain + star + circle + [(5, 6), (6, 5)], "a long, b long")
     got = {r["node"]: r["label"] for r in near_dedup.components(edges).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100), **dict.fromkeys(range(200, 209), 200)}
+
+
+def test_one_component_per_id(spark):
+    """Rows of one id are one document: it joins the groups of all its texts, and they stay or go together."""
+    one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(3, one), (5, one), (5, two), (7, two), (8, three), (8, ""), (9, three), (9, three), (10, ""), (10, three + " d1")]
+    got = near_dedup.near_duplicates(table(spark, rows)).collect()
+    found = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got)
+    assert {(d, c) for d, _, c, _ in found} == {(3, 3), (5, 3), (7, 3), (8, 8), (9, 8), (10, 8)}
+    assert len(found) == len(rows) and all(k == (d == c) for d, _, c, k in found)
+    assert sorted({(r["doc_id"], r["text"]) for r in near_dedup.keep_one(table(spark, rows)).collect()}) == [(3, one), (8, ""), (8, three)]
+
+
+def test_links_of_a_group_are_closed_one_link_a_node(spark):
+    """Many links inside one group, and groups that meet only through later turns."""
+    draw = random.Random(4)
+    edges = [(a, b) for a in range(120) for b in draw.sample(range(120), 9) if a != b]
+    edges += [(1000 + k, 2000 + k // 2) for k in range(40)] + [(1000 + k, 2000 + (k + 1) // 2) for k in range(39)]
+    got = {r["node"]: r["label"] for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {n: 0 if n < 120 else 1000 for e in edges for n in e}
+
+
+def test_small_sets_share_a_band():
+    draw = np.random.default_rng(5)
+    pairs = [np.sort(draw.integers(0, 2**63, size=5, dtype=np.int64).astype(np.uint64)) for _ in range(6000)]
+    a, b = near_dedup.sketches(pairs), near_dedup.sketches([p[:4] for p in pairs])
+    assert (a == b).reshape(6000, near_dedup.BANDS, near_dedup.ROWS).all(axis=2).any(axis=1).all()
