@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions.text import exponentials, tokens
 from tapeloom.functions.vectors import dot, let, total
+from tapeloom.operators.models import summed
 from tapeloom.operators.news import daily_mean_embedding
+from tapeloom.session import staged
 
 
 MAX_BROADCAST_BYTES = 256 << 20
@@ -35,6 +38,57 @@ def hashed_text_vectors(
     return found.select(key, vector.alias(out))
 
 
+def start_matrix(dim: int, rank: int, seed: int) -> np.ndarray:
+    """Numbers in [-0.5, 0.5) by digest, the same on every engine."""
+    digest = [[hashlib.md5(f"{i}:{j}:{seed}".encode()).hexdigest()[:8] for j in range(rank)] for i in range(dim)]
+    return np.array([[int(d, 16) / 2**32 - 0.5 for d in row] for row in digest])
+
+
+def orthonormal(columns: np.ndarray) -> np.ndarray:
+    """Orthonormal columns of the same space, by Gram and Schmidt; a column that adds nothing becomes zero."""
+    basis: list[np.ndarray] = []
+    for column in columns.T:
+        v, first = column, np.linalg.norm(column)
+        for q in basis:
+            v = v - (v @ q) * q
+        size = np.linalg.norm(v)
+        basis.append(v / size if size > 1e-12 * first else np.zeros(len(v)))
+    return np.array(basis).T
+
+
+def range_basis(df: DataFrame, vector: str, dim: int, rank: int = 8, seed: int = 42, passes: int = 2) -> np.ndarray | None:
+    """An orthonormal (dim, rank) basis that the rows' vectors lie near, by a randomised range finder.
+
+    Each pass multiplies the (rows x dim) matrix and its transpose with the present basis, as a sum over rows in
+    Spark; only (dim x rank) numbers reach the driver. Every pass turns the basis nearer to the directions that hold most.
+    """
+    basis = start_matrix(dim, rank, seed)
+    for _ in range(passes):
+        sums = summed(df, [vector], lambda z, b=basis: z.T @ (z @ b))
+        if sums is None:
+            return None
+        basis = orthonormal(sums.reshape(dim, rank))
+    return basis
+
+
+def low_rank_vectors(
+    df: DataFrame, text: str, dim: int = 256, rank: int = 8, out: str = "embedding", key: str = "doc_id", seed: int = 42
+) -> DataFrame:
+    """Text vectors in a space learned from the texts: hashed token counts on the basis of ``range_basis``."""
+    hashed = staged(hashed_text_vectors(df, text, dim, "_hashed", key), "hashed-texts")
+    basis = range_basis(hashed, "_hashed", dim, rank, seed)
+    if basis is None:
+        return hashed.select(key, F.array().cast("array<double>").alias(out))
+
+    @F.pandas_udf("array<double>")
+    def turn(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            rows = np.stack(batch.to_numpy()).astype(np.float64) @ basis if len(batch) else []
+            yield pd.Series(list(rows), dtype=object)
+
+    return hashed.select(key, turn("_hashed").alias(out))
+
+
 def score_batches(
     df: DataFrame,
     text: str,

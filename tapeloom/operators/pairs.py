@@ -84,20 +84,29 @@ def sampled_pairs(
     return anchors.join(partners, ["_bin", "_idx"]).drop("_bin", "_idx")
 
 
+#: Rows that tasks may send to the one that merges their samples; beyond it a histogram of digests comes first.
+MERGED_ROWS = 20_000_000
+
+
 def random_sample(df: DataFrame, key: Sequence[str], n: int, seed: int = SEED) -> DataFrame:
-    """``n`` random rows, or all of them if there are fewer.
+    """``n`` random rows, or all of them if there are fewer: those of the smallest digests.
 
-    The sample is the ``n`` smallest digests. Rows far above that share are left out
-    before the shuffle; if this leaves fewer than ``n``, nothing is left out.
+    Each task keeps the ``n`` smallest of its rows and one task merges them, in one scan. With so many tasks that
+    this would be too much to merge, digests are counted by their leading bits first, and rows above the
+    digest that ``n`` rows lie below are left out; the sample is the same.
     """
-    total = df.count()
-    if total <= n:
-        return df
-    share = (n + 10.0 * n**0.5 + 10.0) / total
-    near = df.where(uniform(random_key(*key, seed=seed)) < share)
-    chosen = near if near.count() >= n else df
-    picked = random_order(chosen, key, seed).result().where(F.col("rn") <= n)
-    return picked.select(*df.columns)
+    tagged = df.withColumn("_key", random_key(*key, seed=seed))
+    if df.rdd.getNumPartitions() * n > MERGED_ROWS:
+        head = F.substring("_key", 1, 4)
+        counts = tagged.groupBy(head.alias("head")).count().orderBy("head").collect()  # 65,536 rows at most
+        upto, last = 0, "ffff"
+        for row in counts:
+            upto += row["count"]
+            if upto >= n:
+                last = row["head"]
+                break
+        tagged = tagged.where(head <= last)
+    return tagged.orderBy("_key", *key).limit(n).drop("_key")
 
 
 def random_split(df: DataFrame, key: Sequence[str], share: float = 0.2, seed: int = 999) -> DataFrame:

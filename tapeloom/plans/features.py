@@ -10,6 +10,7 @@ from tapeloom.operators import features as fe
 from tapeloom.operators import pairs
 from tapeloom.operators import series as ts
 from tapeloom.operators.stats import percentile_trim
+from tapeloom.operators.subwords import learned_pieces, subword_pack
 from tapeloom.plans.registry import plan, r6
 from tapeloom.plans.series import TOKENS, VOCAB_SQL, scaled_rows
 from tapeloom.plans.sql import check_sql
@@ -231,6 +232,43 @@ def token_pack(spark, sf_dir):
     )
 
 
+PIECES_SQL = f"""corpus AS (SELECT word, count(*) AS n FROM (SELECT unnest({TOKENS.format('text')}) AS word FROM documents) GROUP BY word),
+cut AS (SELECT n, length, CASE WHEN start > 0 THEN '##' ELSE '' END || substr(word, start + 1, length) AS piece
+FROM (SELECT *, unnest(range(1, least(8, length(word) - start) + 1)) AS length FROM (SELECT *, unnest(range(0, length(word))) AS start FROM corpus))),
+counts AS (SELECT length, piece, sum(n) * length AS covered FROM cut GROUP BY length, piece),
+chosen AS (SELECT * FROM counts WHERE length = 1 UNION ALL (SELECT * FROM counts WHERE length > 1 ORDER BY covered DESC, piece LIMIT 2000)),
+pieces AS (SELECT piece, row_number() OVER (ORDER BY length > 1, covered DESC, piece) + 1 AS piece_id FROM chosen)"""
+
+
+@plan("subword_vocabulary", f"WITH {PIECES_SQL} SELECT piece, CAST(piece_id AS INTEGER) AS piece_id FROM pieces")
+def subword_vocabulary(spark, sf_dir):
+    return learned_pieces(adapter.texts(spark, sf_dir, "documents", "doc_id"), "text")
+
+
+@plan(
+    "subword_pack",
+    f"""WITH RECURSIVE {PIECES_SQL}, led AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM (
+SELECT doc_id, list_slice({TOKENS.format('text')}, 1, 32) AS w FROM documents)),
+best AS (SELECT word, start, max(length) AS length, arg_max(piece_id, length) AS piece_id FROM (
+SELECT word, start, unnest(range(1, least(8, length(word) - start) + 1)) AS length
+FROM (SELECT word, unnest(range(0, length(word))) AS start FROM (SELECT DISTINCT word FROM led))) c
+JOIN pieces p ON p.piece = CASE WHEN start > 0 THEN '##' ELSE '' END || substr(word, start + 1, length) GROUP BY word, start),
+walk(word, start, ids) AS (SELECT DISTINCT word, 0::BIGINT, []::BIGINT[] FROM led
+UNION ALL SELECT w.word, w.start + b.length, list_append(w.ids, b.piece_id) FROM walk w JOIN best b ON b.word = w.word AND b.start = w.start),
+texts AS (SELECT doc_id, list_slice(flatten(list(ids ORDER BY place)), 1, 32) AS ids FROM led JOIN walk w ON w.word = led.word AND w.start = length(w.word)
+GROUP BY doc_id)
+SELECT doc_id, place, CAST(coalesce(ids[place + 1], 0) AS INTEGER) AS token_id, CAST(CASE WHEN ids[place + 1] IS NULL THEN 0 ELSE 1 END AS INTEGER) AS mask
+FROM (SELECT doc_id, CAST(unnest(generate_series(0, 31)) AS INTEGER) AS place FROM documents) LEFT JOIN texts USING (doc_id)""",
+)
+def subword_packed(spark, sf_dir):
+    documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
+    packed = subword_pack(documents, "doc_id", "text", learned_pieces(documents, "text"))
+    zipped = F.arrays_zip("token_ids", "mask")
+    return packed.select("doc_id", F.posexplode(zipped).alias("place", "t")).select(
+        "doc_id", "place", F.col("t.token_ids").alias("token_id"), F.col("t.mask").alias("mask")
+    )
+
+
 @plan(
     "random_sample_n",
     "SELECT l_orderkey, l_linenumber, l_quantity FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_quantity, l_partkey FROM lineitem) ORDER BY md5(l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':42'), l_orderkey, l_linenumber, l_partkey LIMIT 10000",

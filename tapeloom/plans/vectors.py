@@ -13,9 +13,11 @@ from tapeloom.functions.vectors import (
     shifted_distance,
 )
 from tapeloom.operators import series as ts
+from tapeloom.operators.bayes import class_chances, fit_tokens, three_classes
 from tapeloom.operators.embedding import (
     attention_pool,
     hashed_text_vectors,
+    low_rank_vectors,
     masked_mean_pool,
     project_embedding,
     score_batches,
@@ -69,6 +71,40 @@ def text_class_score(spark, sf_dir):
     )
 
 
+@plan(
+    "text_class_bayes",
+    f"""WITH labelled AS (SELECT doc_id, text, CASE WHEN toxic = 1 THEN 0 WHEN quality = 1 THEN 2 ELSE 1 END AS label
+FROM documents JOIN labels USING (doc_id)),
+counts AS (SELECT token, count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1, count(*) FILTER (label = 2) AS n2
+FROM (SELECT label, unnest({TOKENS.format('text')}) AS token FROM labelled) GROUP BY token),
+sizes AS (SELECT count(*) AS v, sum(n0) AS a0, sum(n1) AS a1, sum(n2) AS a2 FROM counts),
+logs AS (SELECT token, ln((n0 + 1) / (a0 + v)::DOUBLE) AS l0, ln((n1 + 1) / (a1 + v)::DOUBLE) AS l1, ln((n2 + 1) / (a2 + v)::DOUBLE) AS l2
+FROM counts, sizes),
+texts AS (SELECT greatest(count(*) FILTER (label = 0), 0.5) AS t0, greatest(count(*) FILTER (label = 1), 0.5) AS t1,
+greatest(count(*) FILTER (label = 2), 0.5) AS t2 FROM labelled),
+sums AS (SELECT doc_id, sum(l0) AS s0, sum(l1) AS s1, sum(l2) AS s2
+FROM (SELECT doc_id, unnest({TOKENS.format('text')}) AS token FROM documents) JOIN logs USING (token) GROUP BY doc_id),
+logits AS (SELECT doc_id, coalesce(s0, 0) + ln(t0::DOUBLE / (t0 + t1 + t2)) AS x0, coalesce(s1, 0) + ln(t1::DOUBLE / (t0 + t1 + t2)) AS x1,
+coalesce(s2, 0) + ln(t2::DOUBLE / (t0 + t1 + t2)) AS x2 FROM documents LEFT JOIN sums USING (doc_id), texts),
+raised AS (SELECT doc_id, exp(x0 - greatest(x0, x1, x2)) AS e0, exp(x1 - greatest(x0, x1, x2)) AS e1, exp(x2 - greatest(x0, x1, x2)) AS e2
+FROM logits)
+SELECT doc_id, round(e0 / (e0 + e1 + e2), 6) AS p_neg, round(e1 / (e0 + e1 + e2), 6) AS p_neu, round(e2 / (e0 + e1 + e2), 6) AS p_pos,
+round((e0 + 3 * e1 + 5 * e2) / (e0 + e1 + e2), 6) AS score FROM raised""",
+)
+def text_class_bayes(spark, sf_dir):
+    """Class chances learned from the labelled documents, for all documents, and their score."""
+    documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
+    labels = adapter.table(spark, sf_dir, "labels")
+    label = three_classes(F.col("toxic") == 1, F.col("quality") == 1)
+    labelled = documents.join(labels.select("doc_id", label.alias("label")), "doc_id")
+    found = class_chances(documents, "doc_id", "text", fit_tokens(labelled, "text", "label", 3))
+    return found.select(
+        "doc_id",
+        *[r6(F.col("chances")[i]).alias(name) for i, name in enumerate(("p_neg", "p_neu", "p_pos"))],
+        r6(sentiment_score(F.col("chances"))).alias("score"),
+    )
+
+
 TEXT_VECTORS = f"""counted AS (SELECT doc_id, slot, count(*) AS n FROM (SELECT doc_id,
 CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % 64 AS slot FROM (
 SELECT doc_id, unnest({TOKENS.format('text')}) AS token FROM documents)) GROUP BY 1, 2),
@@ -85,6 +121,37 @@ def text_embedding(spark, sf_dir):
     return places(hashed_text_vectors(documents, "text"), ["doc_id"], "embedding")
 
 
+def orthonormal_sql(name: str, source: str) -> str:
+    """SQL for the orthonormal columns of ``source`` (j, y): table ``name`` (j, q)."""
+    return f"""{name}_steps(k, basis) AS (SELECT 0::BIGINT, []::DOUBLE[][] UNION ALL
+SELECT k + 1, list_append(basis, list_transform(v, lambda e: e / sqrt(list_dot_product(v, v)))) FROM (
+SELECT k, basis, list_reduce(list_prepend(y, basis), lambda v, q: list_transform(v, lambda e, i: e - list_dot_product(v, q) * q[i])) AS v
+FROM {name}_steps JOIN {source} ON j = k)),
+{name} AS (SELECT unnest(range(0, 8)) AS j, unnest(basis) AS q FROM {name}_steps WHERE k = 8)"""
+
+
+def turned_sql(name: str, basis: str) -> str:
+    """SQL for the products of the rows' matrix, its transpose and a basis: table ``name`` (j, y)."""
+    return f"""{name}_rows AS (SELECT j, list(list_dot_product(x, q) ORDER BY doc_id) AS d FROM hashed, {basis} GROUP BY j),
+{name} AS (SELECT j, list(list_dot_product(c, d) ORDER BY place) AS y FROM {name}_rows, by_place GROUP BY j)"""
+
+
+@plan(
+    "text_embedding_learned",
+    f"""WITH RECURSIVE {TEXT_VECTORS.replace('% 64', '% 256').replace('range(0, 64)', 'range(0, 256)')},
+hashed AS (SELECT doc_id, list(value ORDER BY place) AS x FROM text_vectors GROUP BY doc_id),
+by_place AS (SELECT place, list(value ORDER BY doc_id) AS c FROM text_vectors GROUP BY place),
+started AS (SELECT j, list(CAST('0x' || substr(md5(i || ':' || j || ':42'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE - 0.5::DOUBLE ORDER BY i) AS q
+FROM range(256) a(i), range(8) b(j) GROUP BY j),
+{turned_sql("once", "started")}, {orthonormal_sql("first_basis", "once")},
+{turned_sql("twice", "first_basis")}, {orthonormal_sql("basis", "twice")}
+SELECT doc_id, CAST(j AS INTEGER) AS place, round(list_dot_product(x, q), 6) AS value FROM hashed, basis""",
+)
+def text_embedding_learned(spark, sf_dir):
+    documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
+    return places(low_rank_vectors(documents, "text"), ["doc_id"], "embedding")
+
+
 @plan(
     "text_model_batches",
     """SELECT doc_id, CAST(i - 1 AS INTEGER) AS place,
