@@ -123,10 +123,11 @@ def contaminated(
     if count * len(MASKS) <= MAX_BROADCAST_SEEDS:
         hits = windows(rows, "words", "at").join(F.broadcast(item_seeds), "seed").drop("seed")
         hits = hits.join(F.broadcast(items), "key")
-    else:
-        found = windows(rows, "words", "at").select("doc", "at", "seed").join(item_seeds, "seed")
-        found = found.select(F.col("doc").alias("hit"), "at", "key", "item_at").distinct()
-        hits = found.join(rows, F.col("hit").eqNullSafe(F.col("doc"))).join(items, "key")
+    else:  # only hits and the rows they are in meet the tokens again; a seed tells the mask as well
+        rows = rows.withColumn("row", F.xxhash64("doc", "words"))
+        found = windows(rows, "words", "at").select("row", "at", "seed").join(item_seeds, "seed")
+        found = found.select("row", "at", "seed", "key", "item_at").distinct()
+        hits = found.join(rows, "row").join(items, "key")
 
     first = F.greatest(F.lit(0), F.col("item_at") - CONTEXT)
     end = F.least(F.size("item_words"), F.col("item_at") + SPAN + CONTEXT)

@@ -124,10 +124,15 @@ def test_passages_with_replaced_words(spark, monkeypatch):
     docs, items, benchmark = leak_tables(spark)
     want = held_by_hand([d for d in docs if d[0] != 303], items)
     assert len(want) > 10 and all(d is None or d >= 100 for d, _ in want)
+    ways = []
     for most in (decontaminate.MAX_BROADCAST_SEEDS, 0):  # both ways to join
         monkeypatch.setattr(decontaminate, "MAX_BROADCAST_SEEDS", most)
+        got = decontaminate.contaminated(table(spark, [*docs, (docs[25][0], docs[22][1])]), benchmark).collect()
+        ways.append(sorted(map(str, got)))
         got = decontaminate.contaminated(table(spark, docs), benchmark).collect()
+        ways.append(sorted(map(str, got)))
         assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+    assert ways[:2] == ways[2:]  # with the same numbers of hits
     gone = {d for d, _ in want}
     left = decontaminate.remove(table(spark, docs), benchmark)
     assert sorted((r["doc_id"] for r in left.collect()), key=repr) == sorted((d for d, _ in docs if d not in gone), key=repr)
