@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 
 from tapeloom.llm.runtime import arrow_map, column, quoted, shared_file
 
-#: Code points of a window, and of the part it shares with the next one.
-WINDOW, OVERLAP = 16_384, 512
+#: Code points of a window, and of the part it shares with the next one. A code point has at most four bytes, so
+#: the ids of a window can be counted in two bytes.
+WINDOW, OVERLAP = 16_383, 512
 
-#: Pieces whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Pieces whose ids a worker remembers, beyond which the memory starts anew; longer pieces are not remembered.
+REMEMBERED, LONGEST_REMEMBERED = 400_000, 64
 
 #: A match may look this far beyond its own end; a boundary nearer to a cut is not sure.
 LOOKAHEAD = 2
@@ -69,7 +70,9 @@ class ByteBpe:
                     piece = pieces[k]
                     ids = known.get(piece)
                     if ids is None:
-                        ids = known[piece] = little_endian(self.library.encode_ordinary(piece))
+                        ids = little_endian(self.library.encode_ordinary(piece))
+                        if len(piece) <= LONGEST_REMEMBERED:
+                            known[piece] = ids
                     out[k] = ids
         return out
 
@@ -134,10 +137,17 @@ def pretokenised(bpe: ByteBpe, start: int, text: str) -> Window:
 
 
 def stitch(bpe: ByteBpe, windows: list[Window]) -> bytes:
-    """Ids of the whole text from its windows in order."""
+    """Ids of the whole text from its windows in order.
+
+    Where two windows share no boundary, what is not sure yet is pre-tokenised again together with the next
+    window, and if that leads to no seam either, with twice as many windows, and so on: a run of any length is read
+    a few times over, not once per window.
+    """
     out: list[bytes] = []
     here, first = windows[0], 0  # what follows piece ``first`` of this window is sure
-    for after in windows[1:]:
+    at, more = 1, 1
+    while at < len(windows):
+        after = windows[at]
         known = set(after.at)
         limit = here.end - LOOKAHEAD
         seam = next(
@@ -147,12 +157,17 @@ def stitch(bpe: ByteBpe, windows: list[Window]) -> bytes:
         if seam is not None:
             out += here.ids[first:seam]
             here, first = after, bisect_left(after.at, here.at[seam])
+            at, more = at + 1, 1
             continue
         last = max(first, bisect_right(here.at, limit) - 1)
         out += here.ids[first:last]
-        sure = here.at[last]
-        text = here.text[sure - here.start :] + after.text[here.end - after.start :]
-        here, first = pretokenised(bpe, sure, text), 0
+        sure, end = here.at[last], here.end
+        parts = [here.text[sure - here.start :]]
+        for window in windows[at : at + more]:
+            parts.append(window.text[end - window.start :])
+            end = window.end
+        here, first = pretokenised(bpe, sure, "".join(parts)), 0
+        at, more = at + more, 2 * more
     out += here.ids[first:]
     return b"".join(out)
 
@@ -170,7 +185,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(sizes: list[int]) -> bytes:
-    """Sizes inside a window: two bytes each, as a window has at most 2**14 code points and four times as many bytes."""
+    """Sizes inside a window: two bytes each, as a window has fewer than 2**14 code points and four times as many bytes."""
     return array("H", sizes).tobytes()
 
 
@@ -196,8 +211,8 @@ def encode_decode(
     tokens are ordinary text. A text of one window is encoded where it is read; the windows
     of longer ones are dealt out over the tasks and meet again by (id, digest of the text).
     """
-    if not 2 * LOOKAHEAD < overlap < window <= 1 << 14:
-        raise ValueError("the overlap must be shorter than the window, and that at most 16,384")
+    if not 2 * LOOKAHEAD < overlap < window <= WINDOW:
+        raise ValueError(f"the overlap must be shorter than the window, and that at most {WINDOW:,}")
     spark = docs.sparkSession
     ranks = shared_file(spark, ranks_path)
     id_type = docs.schema[id_col].dataType.simpleString()

@@ -60,6 +60,19 @@ def test_documents_of_any_length(spark, library):
     assert byte_bpe.encode_decode(table(spark, []), *args).count() == 0
 
 
+def test_runs_longer_than_windows(spark, library):
+    """Letters of four bytes without a merge, pieces of many windows, and boundaries behind them."""
+    bpe = byte_bpe.ByteBpe(RANKS, public_tokenizers.PATTERN)
+    rows = [(1, "\U00012000" * 40_000), (2, "\U00020000" * 16_384 + " a b " * 9_000), (3, "1 " + "z" * 50_000 + " end")]
+    got = byte_bpe.encode_decode(table(spark, rows), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN).collect()
+    assert sorted((r["doc_id"], bytes(r["decoded"]).decode()) for r in got) == rows
+    for row in got:
+        assert bytes(row["ids"]) == bpe.encode(dict(rows)[row["doc_id"]])
+    for text in ("a b" + "x" * 900 + " c" * 200 + "y" * 300, "x" * 1000):
+        windows = [byte_bpe.pretokenised(bpe, s, text[s : s + 40]) for s in byte_bpe.window_starts(len(text), 40, 9)]
+        assert byte_bpe.numbers(byte_bpe.stitch(bpe, windows)).tolist() == library.encode_ordinary(text)
+
+
 def test_digests_are_those_of_the_library(spark, library):
     got = by_id(encoded(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect())
     for doc in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():
