@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from tapeloom.llm.runtime import arrow_map, column, quoted, shared_file
 
-#: Words, with what adjoins them, whose count a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 800_000
+#: Words, with what adjoins them, whose count a worker remembers, beyond which the memory starts anew; longer ones
+#: are not remembered, so that the memory is bounded in bytes too.
+REMEMBERED, LONGEST_REMEMBERED = 800_000, 64
 
 
 def byte_symbols() -> list[str]:
@@ -126,7 +127,9 @@ class MergeCounter:
         known = self.known
         if (c := known.get(unit)) is None:
             words = self.find(unit)
-            c = known[unit] = self.merges_left(unit) if words == [unit] else sum(map(self._unit, words))
+            c = self.merges_left(unit) if words == [unit] else sum(map(self._unit, words))
+            if len(unit) <= LONGEST_REMEMBERED:
+                known[unit] = c
         return c
 
 
