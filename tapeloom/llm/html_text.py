@@ -81,12 +81,17 @@ def is_furniture(tag: str, attrs: list[tuple[str, str | None]], in_article: bool
 
 
 class Page(HTMLParser):
-    """Elements by number (parent, tag, whether furniture) and blocks (element, text, link characters)."""
+    """Elements by number (parent, tag, whether furniture) and blocks (element, text, link characters).
+
+    ``places`` has, per tag, where its open elements stand in the stack, so that no tag searches the stack.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.off, self.article = [-1], ["#page"], [False], [False]
         self.open = [0]
+        self.places: dict[str, list[int]] = {}
+        self.block_places = [0]
         self.links = 0
         self.blocks: list[tuple[int, str, int]] = []
         self.parts: list[str] = []
@@ -96,8 +101,7 @@ class Page(HTMLParser):
         if self.parts:
             text = SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                k = next((e for e in reversed(self.open) if self.tag[e] in BLOCK or e == 0), 0)
-                self.blocks.append((k, text, min(self.linked, len(text))))
+                self.blocks.append((self.open[self.block_places[-1]], text, min(self.linked, len(text))))
             self.parts, self.linked = [], 0
 
     def close(self) -> None:
@@ -108,15 +112,18 @@ class Page(HTMLParser):
         """Close the open elements above place ``down_to`` of the stack, and that one."""
         for e in self.open[down_to:]:
             self.links -= self.tag[e] == "a"
+            self.places[self.tag[e]].pop()
+        while self.block_places[-1] >= down_to:
+            self.block_places.pop()
         del self.open[down_to:]
 
+    def _place(self, tags) -> int:
+        """The last place of the stack with one of the tags, or 0."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
     def _last(self, tags, stops) -> int | None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.tag[self.open[k]] in tags:
-                return k
-            if self.tag[self.open[k]] in stops:
-                return None
-        return None
+        k = self._place(tags)
+        return k if k and k >= self._place(stops) else None
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK:
@@ -132,6 +139,9 @@ class Page(HTMLParser):
         self.tag.append(tag)
         self.off.append(self.off[top] or is_furniture(tag, attrs, self.article[top]))
         self.article.append(self.article[top] or tag in ("article", "main"))
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCK:
+            self.block_places.append(len(self.open))
         self.open.append(len(self.tag) - 1)
         self.links += tag == "a"
 
@@ -152,6 +162,17 @@ class Page(HTMLParser):
                 self.linked += len(data.strip())
 
 
+def passed_up(points: list[float], parent: list[int]) -> list[float]:
+    """Scores of elements: all of their own points, half of those of their children, a sixth of the next, and from
+    there on a third of each step. An element's number is larger than its parent's, so one pass adds them up."""
+    nearer, farther = [0.0] * len(points), [0.0] * len(points)
+    for k in range(len(points) - 1, 0, -1):
+        up = parent[k]
+        nearer[up] += points[k]
+        farther[up] += nearer[k] / 6 + farther[k] / 3
+    return [p + n / 2 + f for p, n, f in zip(points, nearer, farther)]
+
+
 def main_blocks(html: str) -> list[str]:
     """Blocks of the article in page order."""
     page = Page()
@@ -160,21 +181,22 @@ def main_blocks(html: str) -> list[str]:
     parent, tag, blocks = page.parent, page.tag, page.blocks
     if not blocks:
         return []
-    score, chars, linked = [0.0] * len(tag), [0] * len(tag), [0] * len(tag)
-    chains = []
-    for element, text, in_links in blocks:
-        chain = [element]
-        while chain[-1]:
-            chain.append(parent[chain[-1]])
-        chains.append(chain)
-        points = (1 + text.count(",") + text.count("，") + len(text) / 100) * (1 - in_links / len(text))
-        for k in chain:
-            chars[k] += len(text)
-            linked[k] += in_links
-        for level, k in enumerate(chain[1:] if tag[element] in PARAGRAPH and len(chain) > 1 else chain):
-            score[k] += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-    share = [linked[k] / chars[k] if chars[k] else 0.0 for k in range(len(tag))]
-    best = max((k for k in range(len(tag)) if score[k] > 0), key=lambda k: (score[k] * (1 - share[k]), -k), default=None)
+    size = len(tag)
+    points, chars, linked, first = [0.0] * size, [0] * size, [0] * size, [len(blocks)] * size
+    for n, (element, text, in_links) in enumerate(blocks):
+        worth = (1 + text.count(",") + text.count("，") + len(text) / 100) * (1 - in_links / len(text))
+        points[parent[element] if tag[element] in PARAGRAPH and element else element] += worth
+        chars[element] += len(text)
+        linked[element] += in_links
+        first[element] = min(first[element], n)
+    for k in range(size - 1, 0, -1):
+        up = parent[k]
+        chars[up] += chars[k]
+        linked[up] += linked[k]
+        first[up] = min(first[up], first[k])
+    score = passed_up(points, parent)
+    share = [linked[k] / chars[k] if chars[k] else 0.0 for k in range(size)]
+    best = max((k for k in range(size) if score[k] > 0), key=lambda k: (score[k] * (1 - share[k]), -k), default=None)
     if best is None:
         return []
     up = best
@@ -186,21 +208,18 @@ def main_blocks(html: str) -> list[str]:
     taken = {best}
     if tag[best] not in ("article", "main", "body", "html", "#page"):
         least = max(10.0, SIBLING_SHARE * score[best])
-        first_text = {}
-        for (_, text, _), chain in zip(blocks, chains):
-            for k in chain:
-                first_text.setdefault(k, text)
-        for k in range(1, len(tag)):
+        for k in range(1, size):
             if k != best and parent[k] == parent[best] and chars[k]:
-                prose = tag[k] == "p" and share[k] < 0.25 and (chars[k] > PROSE_CHARS or first_text[k].endswith("."))
+                prose = tag[k] == "p" and share[k] < 0.25 and (chars[k] > PROSE_CHARS or blocks[first[k]][1].endswith("."))
                 if score[k] >= least and share[k] <= LINK_SHARE or prose or tag[k] == "h1":
                     taken.add(k)
-    menus = {
-        k
-        for k in range(len(tag))
-        if tag[k] in ("ul", "ol", "dl", "div", "section", "table") and k not in taken and share[k] > LINK_SHARE
-    }
-    return [text for (_, text, _), chain in zip(blocks, chains) if taken.intersection(chain) and not menus.intersection(chain)]
+    boxes = ("ul", "ol", "dl", "div", "section", "table")
+    kept, cut = [False] * size, [False] * size  # inside what is taken, inside a menu
+    for k in range(size):
+        up = parent[k]
+        kept[k] = k in taken or (up >= 0 and kept[up])
+        cut[k] = (tag[k] in boxes and k not in taken and share[k] > LINK_SHARE) or (up >= 0 and cut[up])
+    return [text for element, text, _ in blocks if kept[element] and not cut[element]]
 
 
 def main_text(html: str) -> str:
