@@ -12,13 +12,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.runtime import arrow_map, column, packed, quoted, stored
+from tapeloom.llm.runtime import BROADCAST_ROWS, arrow_map, column, packed, quoted, sized, stored
 
 SPACES = " \t\n\x0b\x0c\r"
 
 #: Production parameters: the shortest key in code points, and the documents that make it frequent.
 MIN_CHARS, MIN_DOCS = 20, 3
 
+#: Documents from which a line is very common: there are few such lines, and their rows are not shuffled by line.
+HOT_DOCS = 100_000
+
 
 def line_digest(line: str, min_chars: int) -> bytes | None:
     """128-bit hash of a line's key (A-Z lower-cased, white space stripped), or None if it is short."""
@@ -28,6 +31,19 @@ def line_digest(line: str, min_chars: int) -> bytes | None:
     return hashlib.md5(key.encode().lower()).digest()  # lower() of bytes changes A-Z only
 
 
+def met(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The rows of ``lines`` whose line is frequent, with its ``keeper``: never one task for a common line.
+
+    Few frequent lines go to all rows; of many only the very common ones do, and the others meet by line.
+    """
+    frequent = frequent.select("line", "keeper", "n")
+    if frequent.count() <= BROADCAST_ROWS:
+        return lines.join(F.broadcast(frequent), "line")
+    hot = sized(frequent.where(F.col("n") >= HOT_DOCS))
+    others = lines.join(hot.select("line"), "line", "left_anti")
+    return lines.join(hot, "line").unionByName(others.join(frequent.where(F.col("n") < HOT_DOCS), "line"))
+
+
 def dedup_lines(
     docs: DataFrame,
     min_chars: int = MIN_CHARS,
@@ -39,42 +55,44 @@ def dedup_lines(
 
     A line whose key has at least ``min_chars`` code points and is found in at least
     ``min_docs`` documents stays only in the document of the largest id that holds it, there
-    as often as it occurs. Ids are integers. Rows of one id are one document for the count,
-    and so are all rows without an id, which stand below every id. A null or empty text is
-    one empty line. Own columns ``n_lines`` and ``n_dropped`` are replaced.
+    as often as it occurs. Ids are integers. Rows of one id are one document for the count.
+    Rows without an id are documents below every id, one for each different text. A null or empty
+    text is one empty line. Own columns ``n_lines`` and ``n_dropped`` are replaced.
     """
-    lowest = F.lit(-(2**63)).cast("long")
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    has_id = F.col(quoted(id_col)).isNotNull()
     keyed = docs.select(
-        F.coalesce(F.col(quoted(id_col)).cast("long"), lowest).alias("doc"),
-        F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text"),
+        has_id.alias("has_id"),
+        F.when(has_id, F.col(quoted(id_col)).cast("long")).otherwise(F.xxhash64(text)).alias("doc"),
+        text.alias("text"),
         packed([c for c in docs.columns if c != text_col]).alias("rest"),
     )
 
     def digests(batches):
         for batch in batches:
-            keys, docs_ = [], []
-            for doc, text in zip(column(batch, "doc"), column(batch, "text")):
+            keys, rows = [], []
+            for row, text in enumerate(column(batch, "text")):
                 found = {line_digest(line, min_chars) for line in text.split("\n")} - {None}
                 keys += found
-                docs_ += [doc] * len(found)
+                rows += [row] * len(found)
+            places = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(docs_, pa.int64())], ["line", "doc"]
+                [pa.array(keys, pa.binary()), batch.column(0).take(places), batch.column(1).take(places)],
+                ["line", "has_id", "doc"],
             )
 
-    lines = stored(arrow_map(keyed.select("doc", "text"), digests, "line binary, doc long"), "lines")
+    lines = arrow_map(keyed.select("has_id", "doc", "text"), digests, "line binary, has_id boolean, doc long")
+    lines = stored(lines, "lines")
+    doc = F.struct("has_id", "doc")
     frequent = (
         lines.distinct()
         .groupBy("line")
-        .agg(F.count("*").alias("n"), F.max("doc").alias("keeper"))
+        .agg(F.count("*").alias("n"), F.max(doc).alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("line", "keeper")
-    )
-    dropped = (
-        lines.join(frequent, "line")
-        .where(F.col("doc") != F.col("keeper"))
-        .groupBy("doc")
-        .agg(F.collect_set("line").alias("dropped"))
     )
+    frequent = stored(frequent, "frequent_lines")
+    dropped = met(lines, frequent).where(doc != F.col("keeper"))
+    dropped = dropped.groupBy("has_id", "doc").agg(F.collect_set("line").alias("dropped"))
 
     def reassemble(batches):
         for batch in batches:
@@ -98,7 +116,7 @@ def dedup_lines(
                 ["text", "rest", "n_lines", "n_dropped"],
             )
 
-    joined = keyed.join(dropped, "doc", "left").select("text", "dropped", "rest")
+    joined = keyed.join(dropped, ["has_id", "doc"], "left").select("text", "dropped", "rest")
     kind = joined.schema["rest"].dataType.simpleString()
     out = arrow_map(joined, reassemble, f"text string, rest {kind}, n_lines long, n_dropped long")
     added = ("n_lines", "n_dropped")

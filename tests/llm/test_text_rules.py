@@ -1,5 +1,6 @@
 import random
 import sys
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -76,7 +77,7 @@ def dedup_by_hand(rows, least=20, docs=3):
             key = line.strip(" \t\n\x0b\x0c\r")
             key = "".join(c.lower() if "A" <= c <= "Z" else c for c in key)
             if len(key) >= least:
-                keys.setdefault(key, set()).add(-1 if i is None else i)
+                keys.setdefault(key, set()).add((0, text) if i is None else (1, i))
             digits[line] = key
     out = []
     for i, text in rows:
@@ -84,13 +85,13 @@ def dedup_by_hand(rows, least=20, docs=3):
         kept = [
             x
             for x in lines
-            if len(keys.get(digits[x], ())) < docs or max(keys[digits[x]]) == (-1 if i is None else i)
+            if len(keys.get(digits[x], ())) < docs or max(keys[digits[x]]) == ((0, text) if i is None else (1, i))
         ]
         out.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return sorted(out, key=repr)
 
 
-def test_frequent_lines_against_brute_force(spark):
+def test_frequent_lines_against_brute_force(spark, monkeypatch):
     a, b, c = "a line that is long enough", "SECOND line, also long Ä", "short"
     rows = [
         (1, f"{a}\n{b}\n{c}"),
@@ -107,6 +108,11 @@ def test_frequent_lines_against_brute_force(spark):
     assert sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in out), key=repr) == dedup_by_hand(rows)
     assert line_dedup.clean(table(spark, rows)).columns == table(spark, rows).columns
     assert line_dedup.dedup_lines(table(spark, [])).count() == 0
+    # many frequent lines, some of them very common: the same rows
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(line_dedup, "HOT_DOCS", 4)
+    again = line_dedup.dedup_lines(table(spark, rows)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, out))
 
 
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p>";</script></head><body
@@ -127,6 +133,10 @@ def test_article_of_a_page(spark):
     assert html_text.main_text("<article><p>x<p>y</article><aside>z</aside>") == "x y"
     assert html_text.main_text("<div>" * 3000 + "deep, text") == "deep, text"
     assert html_text.main_text("<nav>menu</nav><script>x</script>") == ""
+    start = time.time()
+    assert html_text.main_text("<div>deep, text " * 50_000) == " ".join(["deep, text"] * 50_000)
+    assert html_text.main_text("<div><span>text, </b>" * 20_000).count("text") == 20_000
+    assert time.time() - start < 5
     rows = [(1, None, None), (2, "u", ""), (3, "u", PAGE), (3, "u", PAGE), (None, "u", "<p>a, b")]
     pages = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, text string, id int")
     got = by_id(html_text.extract(pages).collect(), "page_id")
