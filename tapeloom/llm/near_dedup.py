@@ -8,7 +8,7 @@
    bucket. ``BANDS`` bands of ``ROWS`` registers miss a pair at similarity 0.8 about 3 times
    in a million.
 3. Links are looked for until no two nodes of a bucket are left that could join two groups.
-   First each node is held against one hub of each of its buckets, so that a large group of
+   First each node is held against one hub of its buckets, so that a large group of
    copies costs its size and not the square of it; this is repeated with other hubs while it
    pays. In buckets whose nodes still lie in more than one group, the nodes outside the largest
    group are held against all others, in blocks; a pair is tested in the first band it shares.
@@ -306,11 +306,13 @@ def open_rows(live: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 
 def with_hubs(rows: DataFrame, turn: int, count: int) -> DataFrame:
-    """Pairs of each node with the hub of each of its buckets, another one each turn."""
+    """Pairs of each node with one hub: the first of those of its buckets, in an order that all share and that
+    changes with each turn. So the nodes of a group of copies meet at few hubs, one pair a node."""
     order = F.xxhash64("node", F.lit(turn))
     hubs = rows.groupBy("bucket").agg(F.min_by("node", order).alias("hub"), F.min_by("label", order).alias("hub_label"))
     offered = rows.join(sized(kept(hubs, "hubs", count)), "bucket").where("label <> hub_label")
-    return offered.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+    first = offered.groupBy("node").agg(F.min_by("hub", F.xxhash64("hub", F.lit(turn))).alias("hub"))
+    return first.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
 
 
 def outnumbered(rows: DataFrame, count: int) -> DataFrame:
