@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.runtime import BROADCAST_ROWS, arrow_map, column, packed, quoted, sized, stored
+from tapeloom.llm.runtime import arrow_map, column, met, packed, quoted, stored
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -31,19 +31,6 @@ def line_digest(line: str, min_chars: int) -> bytes | None:
     return hashlib.md5(key.encode().lower()).digest()  # lower() of bytes changes A-Z only
 
 
-def met(lines: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The rows of ``lines`` whose line is frequent, with its ``keeper``: never one task for a common line.
-
-    Few frequent lines go to all rows; of many only the very common ones do, and the others meet by line.
-    """
-    frequent = frequent.select("line", "keeper", "n")
-    if frequent.count() <= BROADCAST_ROWS:
-        return lines.join(F.broadcast(frequent), "line")
-    hot = sized(frequent.where(F.col("n") >= HOT_DOCS))
-    others = lines.join(hot.select("line"), "line", "left_anti")
-    return lines.join(hot, "line").unionByName(others.join(frequent.where(F.col("n") < HOT_DOCS), "line"))
-
-
 def dedup_lines(
     docs: DataFrame,
     min_chars: int = MIN_CHARS,
@@ -91,7 +78,7 @@ def dedup_lines(
         .where(F.col("n") >= min_docs)
     )
     frequent = stored(frequent, "frequent_lines")
-    dropped = met(lines, frequent).where(doc != F.col("keeper"))
+    dropped = met(lines, frequent, ["line"], F.col("n"), HOT_DOCS).where(doc != F.col("keeper"))
     dropped = dropped.groupBy("has_id", "doc").agg(F.collect_set("line").alias("dropped"))
 
     def reassemble(batches):

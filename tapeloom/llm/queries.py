@@ -138,10 +138,8 @@ FROM judged GROUP BY doc_id
 """
 
 
-def _url_level(level: int, source: str) -> str:
-    """SQL for one level of the path-template tree: table t<level> from ``source``."""
-    above = ", ".join(["host", *[f"g{k}" for k in range(1, level)]])
-    seg, name = f"s{level}", f"g{level}"
+def _url_level(level: int) -> str:
+    """SQL for one level of the path-template tree: from t<level - 1> to t<level>, in which ended branches stay."""
 
     def differ(x: str) -> str:
         b, n, b0, n0 = (f"{c}::DOUBLE" for c in (x, "n", f"{x}0", "n0"))
@@ -149,28 +147,38 @@ def _url_level(level: int, source: str) -> str:
         return f"{gap} * {gap} * ({n} + {n0}) > 3.8416::DOUBLE * ({b} + {b0}) * ({n} + {n0} - {b} - {b0}) * {n} * {n0}"
 
     return f"""
-c{level} AS (
-  SELECT {above}, {seg}, sum(n) AS n, sum(bad) AS bad, sum(good) AS good FROM {source} GROUP BY {above}, {seg}
+r{level} AS (
+  SELECT *, coalesce(parts[{level}], '') AS seg FROM t{level - 1} WHERE NOT ended
+), c{level} AS (
+  SELECT host, branch, seg, sum(n) AS n, sum(bad) AS bad, sum(good) AS good FROM r{level} GROUP BY host, branch, seg
 ), k{level} AS (
-  SELECT *, CASE WHEN kids > 50 AND n * 50 < total THEN '*' ELSE {seg} END AS kind
-  FROM (SELECT *, sum(n) OVER (PARTITION BY {above}) AS total, count(*) OVER (PARTITION BY {above}) AS kids FROM c{level})
+  SELECT *, CASE WHEN kids > 50 AND n * 50 < total THEN '*' ELSE seg END AS kind
+  FROM (SELECT *, sum(n) OVER w AS total, count(*) OVER w AS kids, max(seg <> '') OVER w AS deeper,
+        sum(bad + good) OVER w > 0 AND sum(bad) OVER w < sum(n) OVER w AND sum(good) OVER w < sum(n) OVER w AS mixed
+        FROM c{level} WINDOW w AS (PARTITION BY host, branch))
 ), m{level} AS (
-  SELECT {above}, kind, sum(n) AS n, sum(bad) AS bad, sum(good) AS good FROM k{level} GROUP BY {above}, kind
+  SELECT host, branch, kind, any_value(deeper) AS deeper, any_value(mixed) AS mixed, sum(n) AS n, sum(bad) AS bad, sum(good) AS good
+  FROM k{level} GROUP BY host, branch, kind
 ), b{level} AS (
   SELECT *, lag(n) OVER o AS n0, lag(bad) OVER o AS bad0, lag(good) OVER o AS good0 FROM m{level}
-  WINDOW o AS (PARTITION BY {above} ORDER BY bad / n, good / n, kind)
-), r{level} AS (
+  WINDOW o AS (PARTITION BY host, branch ORDER BY bad / n, good / n, kind)
+), u{level} AS (
   SELECT *, sum(CASE WHEN n0 IS NULL OR {differ("bad")} OR {differ("good")} THEN 1 ELSE 0 END)
-    OVER (PARTITION BY {above} ORDER BY bad / n, good / n, kind ROWS UNBOUNDED PRECEDING) AS run
+    OVER (PARTITION BY host, branch ORDER BY bad / n, good / n, kind ROWS UNBOUNDED PRECEDING) AS run
   FROM b{level}
 ), v{level} AS (
-  SELECT {above}, kind, min(kind) OVER w || CASE WHEN count(*) OVER w > 1 THEN '+' ELSE '' END AS {name} FROM r{level}
-  WINDOW w AS (PARTITION BY {above}, run)
+  SELECT host, branch, kind, deeper, mixed AND deeper AS goes_on,
+         min(kind) OVER w || CASE WHEN count(*) OVER w > 1 THEN '+' ELSE '' END AS name FROM u{level}
+  WINDOW w AS (PARTITION BY host, branch, run)
 ), t{level} AS (
-  SELECT s.*, v.{name} FROM {source} s JOIN k{level} USING ({above}, {seg}) JOIN v{level} v USING ({above}, kind)
+  SELECT host, shape, parts, n, bad, good, NOT goes_on AS ended,
+         branch || CASE WHEN goes_on AND name <> '' THEN '/' || name WHEN NOT goes_on AND v.deeper THEN '/**' ELSE '' END AS branch
+  FROM r{level} JOIN (SELECT host, branch, seg, kind FROM k{level}) USING (host, branch, seg) JOIN v{level} v USING (host, branch, kind)
+  UNION ALL SELECT * FROM t{level - 1} WHERE ended
 )"""
 
 
+# Five levels are more than the given urls have.
 SQL["op2_url_filter"] = f"""
 WITH parsed AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
@@ -185,27 +193,22 @@ WITH parsed AS (
     ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
    AND starts_with(path, substr(rule, strpos(rule, '/')))
   GROUP BY page_id, host, path
-), cut AS (
-  SELECT *, string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(path, '[0-9a-f]{{16,}}', '{{x}}', 'g'),
-           '[0-9]+', '{{n}}', 'g'), '/+', '/', 'g'), '^/|/$', '', 'g'), '/') AS parts
-  FROM fits
 ), urls AS (
-  SELECT *, coalesce(parts[1], '') AS s1, coalesce(parts[2], '') AS s2, coalesce(parts[3], '') AS s3,
-         CASE WHEN len(parts) > 3 THEN '**' ELSE '' END AS s4
-  FROM cut
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(path, '[0-9a-f]{{16,}}', '{{x}}', 'g'),
+           '[0-9]+', '{{n}}', 'g'), '/+', '/', 'g'), '^/|/$', '', 'g') AS shape
+  FROM fits
 ), t0 AS (
-  SELECT host, s1, s2, s3, s4, count(*) AS n, count(*) FILTER (ruled = 'block') AS bad,
-         count(*) FILTER (ruled = 'allow') AS good
-  FROM urls WHERE host <> '' GROUP BY host, s1, s2, s3, s4
-), {", ".join(_url_level(k, f"t{k - 1}") for k in (1, 2, 3))}, leaves AS (
-  SELECT *, host || concat(CASE WHEN g1 <> '' THEN '/' || g1 END, CASE WHEN g2 <> '' THEN '/' || g2 END,
-                           CASE WHEN g3 <> '' THEN '/' || g3 END, CASE WHEN s4 <> '' THEN '/' || s4 END) AS template,
+  SELECT host, shape, string_split(shape, '/') AS parts, count(*) AS n, count(*) FILTER (ruled = 'block') AS bad,
+         count(*) FILTER (ruled = 'allow') AS good, false AS ended, host AS branch
+  FROM urls WHERE host <> '' GROUP BY host, shape
+), {", ".join(map(_url_level, range(1, 6)))}, leaves AS (
+  SELECT host, shape, branch AS template,
          (sum(bad) OVER w + 0.1::DOUBLE * 5) / (sum(bad) OVER w + sum(good) OVER w + 5) AS badness
-  FROM t3 WINDOW w AS (PARTITION BY host, g1, g2, g3, s4)
+  FROM t5 WINDOW w AS (PARTITION BY host, branch)
 )
 SELECT page_id, host, path, rule, template, coalesce(badness, 0.1::DOUBLE) AS badness,
        coalesce(ruled, CASE WHEN badness >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict
-FROM urls LEFT JOIN leaves USING (host, s1, s2, s3, s4)
+FROM urls LEFT JOIN leaves USING (host, shape)
 """
 
 

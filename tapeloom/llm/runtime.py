@@ -91,5 +91,19 @@ def sized(small: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(small) if (small.count() if rows is None else rows) <= BROADCAST_ROWS else small
 
 
+def met(rows: DataFrame, keyed: DataFrame, on: list[str], weight: Column, hot: int) -> DataFrame:
+    """An inner join of many rows to a stored table with one row per key, where a key may own most of the rows.
+
+    Few keys go to all rows; of many keys only those do whose ``weight`` (about their number of rows) reaches
+    ``hot``, which there can only be few of, and the others meet by a shuffle.
+    """
+    if keyed.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(keyed), on)
+    heavy = sized(keyed.where(weight >= hot))
+    others = rows.join(heavy.select(*on), on, "left_anti").join(keyed.where(weight < hot), on)
+    apart = rows.join(heavy, on)
+    return apart.unionByName(others.select(*apart.columns))
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

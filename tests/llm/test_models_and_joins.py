@@ -7,7 +7,7 @@ from pathlib import Path
 sys.path[:0] = [str(Path(__file__).resolve().parent), str(Path(__file__).resolve().parents[1])]
 from helpers import by_id, table  # noqa: E402
 
-from tapeloom.llm import decontaminate, ngram_lm, url_filter  # noqa: E402
+from tapeloom.llm import decontaminate, ngram_lm, runtime, url_filter  # noqa: E402
 from tapeloom.llm.queries import URL_RULES  # noqa: E402
 
 
@@ -249,5 +249,34 @@ def test_templates_merge_like_branches_and_reject_bad_ones(spark):
         bad = "/spam/" in url or "/deals/" in url
         assert got[i]["verdict"] == ("block" if bad else "allow")
         assert got[i]["template"] == ("site.com/deals+/{n}" if bad else "site.com/blog+/{n}")
-    assert {got[i]["template"] for i, _, _ in rows[240:]} == {"other.com/*/p"}
+    assert {got[i]["template"] for i, _, _ in rows[240:]} == {"other.com/**"}
     assert {got[i]["verdict"] for i, _, _ in rows[240:]} == {"allow"}
+
+
+def test_templates_of_any_depth(spark, monkeypatch):
+    """Urls that differ in their fourth and in their ninth segment only, half of them labelled; many hosts' tables joined apart."""
+    rows = []
+    for k in range(400):
+        word = "casino" if k % 2 else "notes"
+        rows.append((k, f"http://a.org/2024/05/{k % 28}/{word}/{k}", k % 2 if k < 200 else None))
+        rows.append((1000 + k, f"http://b.org/1/2/x/y/z/u/v/w/{word}-page/{'i' * (k % 70)}", k % 2 if k < 200 else None))
+    rows += [(5000 + k, f"http://c.org/{k}/{'abcdefghijklmnopqrstuvwxyz'[k % 26] * (k % 90 + 1)}", k % 5 // 4) for k in range(300)]
+    out = [r.asDict() for r in url_filter.judge_urls(pages(spark, rows), [], label_col="known").orderBy("page_id").collect()]
+    got = {r["page_id"]: r for r in out}
+    for i, url, _ in rows[:800]:
+        assert got[i]["verdict"] == ("block" if "casino" in url else "allow"), url
+    assert got[1]["template"] == "a.org/{n}/{n}/{n}/casino/{n}" and got[1001]["template"].startswith("b.org/{n}/{n}/x/y/z/u/v/w/casino-page/")
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(url_filter, "HOT_CHILDREN", 20)
+    again = [r.asDict() for r in url_filter.judge_urls(pages(spark, rows), [], label_col="known").orderBy("page_id").collect()]
+    assert again == out
+
+
+def test_many_rules_are_looked_up(spark, monkeypatch):
+    rules = URL_RULES + [("block", f"site{k}.net/a/{'b' * (k % 5)}") for k in range(40)] + [("allow", "x.site3.net/")]
+    urls = ["http://x.site3.net/a/bbb", "http://site4.net/a/bbbbq", "http://w.site9.net/a/b", "http://example.net/en/q", "http://net/", "http://q", None]
+    rows = [(k, u, None) for k, u in enumerate(urls)]
+    few = [tuple(r) for r in url_filter.judge_urls(pages(spark, rows), rules).orderBy("page_id").collect()]
+    monkeypatch.setattr(url_filter, "MAX_RULES", 0)
+    assert [tuple(r) for r in url_filter.judge_urls(pages(spark, rows), rules).orderBy("page_id").collect()] == few
+    assert [r[3] for r in few] == ["site3.net/a/bbb", "site4.net/a/bbbb", "net/", "example.net/en/", "net/", None, None]

@@ -7,7 +7,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 from helpers import by_id, table  # noqa: E402
 
-from tapeloom.llm import html_text, license_scan, line_dedup, quality  # noqa: E402
+from tapeloom.llm import html_text, license_scan, line_dedup, quality, runtime  # noqa: E402
 
 CLEAN = """The river runs past the old mill and the road turns north towards the hills.
 Every spring the farmers open the gates so that water can reach the lower fields.
@@ -109,7 +109,7 @@ def test_frequent_lines_against_brute_force(spark, monkeypatch):
     assert line_dedup.clean(table(spark, rows)).columns == table(spark, rows).columns
     assert line_dedup.dedup_lines(table(spark, [])).count() == 0
     # many frequent lines, some of them very common: the same rows
-    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(line_dedup, "HOT_DOCS", 4)
     again = line_dedup.dedup_lines(table(spark, rows)).collect()
     assert sorted(map(str, again)) == sorted(map(str, out))
