@@ -2,10 +2,11 @@
 
 A paragraph is a line of a text. A multinomial logistic regression on hashed word n-grams
 tells licence families and the class of everything else apart. It is trained on variants of
-each family's notices and on a bounded sample of the corpus's own lines; a part that is held
-back calibrates the probabilities (one temperature) and the least probability that a family
-needs, so that few other lines reach it. What the classifier names is confirmed by comparing
-the line's word n-grams with the family's notices.
+each family's notices and on a bounded sample of the corpus's own lines. Whole notices, with
+all their variants, and a part of the lines are held back from a first fit and calibrate the
+probabilities (one temperature) and the least probability that a family needs, so that few
+other lines reach it; then all are fitted. What the classifier names is confirmed by
+comparing the line's word n-grams with the family's paragraphs.
 """
 
 from __future__ import annotations
@@ -26,68 +27,184 @@ from pyspark.sql import functions as F
 
 from tapeloom.llm.runtime import arrow_map, column, quoted, ship, stored
 
-#: Well-known notices of each family.
+#: Paragraphs of the licences, and notices that name them.
 NOTICES = {
     "MIT": [
-        "Released under the MIT License.",
-        "Licensed under the MIT license.",
-        "This project is licensed under the terms of the MIT License",
+        "Distributed under the terms of the MIT license",
+        "This project is licensed under the MIT License - see the LICENSE file for details",
         "SPDX-License-Identifier: MIT",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files, to deal in the Software without restriction",
+        "This software is released under the MIT license, see LICENSE.txt",
+        "The code is MIT licensed",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the Software), to deal in the Software without restriction, including without limitation "
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+        "to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the Software.",
+        "The software is provided as is, without warranty of any kind, express or implied, including but not limited to "
+        "the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the "
+        "authors or copyright holders be liable for any claim, damages or other liability, whether in an action of "
+        "contract, tort or otherwise, arising from, out of or in connection with the software or the use or other "
+        "dealings in the software.",
     ],
     "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
-        "compliance with the License.",
+        "Apache License, Version 2.0, January 2004",
         "This project is released under the Apache 2.0 license",
         "SPDX-License-Identifier: Apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with "
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
+        "on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+        "specific language governing permissions and limitations under the License.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, "
+        "non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, "
+        "publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or "
+        "Object form.",
+        "Distributed under the Apache License, Version 2.0. See accompanying file LICENSE",
+        "The documentation is available under the Apache License 2.0",
     ],
     "GPL": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-        "General Public License as published by the Free Software Foundation",
+        "GNU General Public License, Version 3, 29 June 2007",
         "Released under the GNU GPL version 2 or later",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "This program is licensed under the GNU General Public License, version 2",
+        "You should have received a copy of the GNU General Public License along with this program. If not, see "
+        "http://www.gnu.org/licenses/.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+        "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+        "Licensed under the terms of the GNU General Public License as published by the Free Software Foundation; version 3",
     ],
     "LGPL": [
+        "GNU Lesser General Public License, Version 2.1, February 1999",
         "Licensed under the GNU Lesser General Public License, version 2.1.",
-        "This library is free software; you can redistribute it under the terms of the GNU Lesser General Public License",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library; if not, write to "
+        "the Free Software Foundation, Inc.",
+        "The library is released under the GNU LGPL version 3",
+    ],
+    "AGPL": [
+        "GNU Affero General Public License, Version 3, 19 November 2007",
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "This server is released under the GNU AGPL version 3 or later",
     ],
     "BSD": [
         "Licensed under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met",
         "Released under the BSD license",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+        "This software is provided by the copyright holders and contributors as is and any express or implied warranties, "
+        "including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are "
+        "disclaimed. In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, "
+        "special, exemplary, or consequential damages",
+        "This code is distributed under the 2-clause BSD license",
+    ],
+    "ISC": [
+        "Licensed under the ISC License",
+        "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "The software is provided as is and the author disclaims all warranties with regard to this software including all "
+        "implied warranties of merchantability and fitness. In no event shall the author be liable for any special, direct, "
+        "indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits",
+        "This package is available under the ISC license",
+    ],
+    "zlib": [
+        "Licensed under the zlib license",
+        "SPDX-License-Identifier: Zlib",
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter "
+        "it and redistribute it freely, subject to the following restrictions:",
+        "The origin of this software must not be misrepresented; you must not claim that you wrote the original software.",
+        "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.",
+        "Released under the zlib/libpng license",
+    ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license to use, reproduce, display, distribute, execute, and transmit the "
+        "Software, and to prepare derivative works of the Software",
+        "Use, modification and distribution are subject to the Boost Software License, Version 1.0.",
     ],
     "MPL-2.0": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Mozilla Public License Version 2.0",
         "Licensed under the Mozilla Public License, version 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        "Covered Software is provided under this License on an as is basis, without warranty of any kind, either expressed, "
+        "implied, or statutory",
+        "The add-on is available under the Mozilla Public License 2.0",
+    ],
+    "EPL-2.0": [
+        "Eclipse Public License - v 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0",
+        "The accompanying program is provided under the terms of this Eclipse Public License. Any use, reproduction or "
+        "distribution of the program constitutes recipient's acceptance of this agreement.",
     ],
     "CC-BY": [
-        "Licensed under CC BY 4.0.",
+        "Creative Commons Attribution 4.0 International Public License",
+        "Available under CC BY 4.0",
+        "SPDX-License-Identifier: CC-BY-4.0",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "Text and images are published under a CC BY 3.0 license",
+        "Except where otherwise noted, content on this site is licensed under a Creative Commons Attribution 4.0 license",
     ],
     "CC-BY-SA": [
+        "Creative Commons Attribution-ShareAlike 4.0 International Public License",
         "Licensed under CC BY-SA 4.0.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Text is available under the Creative Commons Attribution-ShareAlike License; additional terms may apply.",
+        "Published under a CC BY-SA 3.0 license",
     ],
     "CC-BY-NC": [
-        "Licensed under CC BY-NC 4.0.",
+        "Creative Commons Attribution-NonCommercial 4.0 International Public License",
+        "Available under CC BY-NC 4.0",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "Published under a CC BY-NC 3.0 license",
+        "Licensed under CC BY-NC 4.0 for non-commercial use only",
     ],
     "public-domain": [
         "Released into the public domain under CC0 1.0 Universal.",
+        "SPDX-License-Identifier: Unlicense",
         "This is free and unencumbered software released into the public domain.",
-        "To the extent possible under law, the author has waived all copyright and related rights to this work.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+        "as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "This file has been placed in the public domain",
     ],
     "proprietary": [
-        "All rights reserved.",
-        "Copyright 2020 the authors. All rights reserved.",
+        "Copyright 2020 the authors, all rights reserved worldwide.",
+        "Copyright (c) Example Corporation. All rights reserved.",
         "Unauthorized copying of this file, via any medium, is strictly prohibited",
+        "Proprietary and confidential",
+        "This material may not be reproduced, displayed, modified or distributed without the express prior written permission "
+        "of the copyright holder. All rights reserved",
+        "No part of this publication may be reproduced, stored in a retrieval system, or transmitted in any form or by any "
+        "means without the prior permission of the publisher",
     ],
 }
 UNKNOWN = "unknown"
@@ -96,6 +213,7 @@ FAMILIES = [UNKNOWN, *NOTICES]
 #: Production parameters.
 FEATURES = 1 << 15
 VARIANTS = 24  # of each notice
+HELD_NOTICES = 4  # every so many-th notice of a family is held back
 SAMPLE_DOCS = 2_000  # whose lines stand for all others; the bound of the sample
 FALSE_ALARMS = 0.001  # share of held-back other lines that may reach the least probability
 SHARED = 3
@@ -147,18 +265,23 @@ def places(lines: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def notices(spark: SparkSession) -> DataFrame:
-    """(family, text): the notices and variants of them with words left out and words around them."""
+    """(family, text, held): the notices and variants of them with words left out and words around them.
+
+    Every ``HELD_NOTICES``-th notice of a family is held back, so that the probabilities are set by notices that the
+    classifier has not seen in any variant.
+    """
     draw = random.Random(7)
     before = ["", "This file is", "Copyright (c) 2021 Example Authors.", "Note:", "The code is"]
     after = ["", "See the file LICENSE for details.", "as described below", "http://www.example.org"]
     rows = []
     for family, texts in NOTICES.items():
-        for text in texts:
-            rows.append((family, text))
+        for number, text in enumerate(texts, 1):
+            held = number % HELD_NOTICES == 0
+            rows.append((family, text, held))
             for _ in range(VARIANTS):
                 kept = [w for w in text.split() if len(text.split()) < 4 or draw.random() > 0.08]
-                rows.append((family, " ".join([draw.choice(before), *kept, draw.choice(after)]).strip()))
-    return spark.createDataFrame(rows, "family string, text string")
+                rows.append((family, " ".join([draw.choice(before), *kept, draw.choice(after)]).strip(), held))
+    return spark.createDataFrame(rows, "family string, text string, held boolean")
 
 
 # --- the classifier ----------------------------------------------------------------------
@@ -210,14 +333,16 @@ def other_lines(docs: DataFrame, text_col: str) -> DataFrame:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LicenseClassifier:
     """Fit on variants of the notices and on the lines of about ``SAMPLE_DOCS`` documents, drawn by
-    a digest of their id; lines that look like a notice are left out of the sample."""
+    a digest of their id; lines that look like a notice are left out of the sample. Without any line
+    of the corpus (an empty table, or texts without words) the notices alone are told apart.
+    """
     spark = docs.sparkSession
     share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
     digest = F.pmod(F.xxhash64(quoted(id_col)), F.lit(1 << 30))
     others = other_lines(docs.where(digest < int(share * (1 << 30))), text_col)
-    held = F.pmod(F.xxhash64("family", "text"), F.lit(4)) == 0
+    others = others.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(4)) == 0)
     label = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")) - 1
-    rows = others.unionByName(notices(spark)).select("text", held.alias("held"), label.cast("double").alias("label"))
+    rows = others.unionByName(notices(spark)).select("text", "held", label.cast("double").alias("label"))
     sample = stored(rows, "license-sample")
 
     ship(spark)
@@ -228,16 +353,20 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
         where, counts = np.unique(found, return_counts=True)
         return Vectors.sparse(FEATURES, where.tolist(), (counts / np.sqrt(ends[-1])).tolist())
 
-    fitted = sample.where("NOT held")
-    classes = fitted.groupBy("label").agg((1 / F.sqrt(F.count("*"))).alias("weight"))
-    fitted = fitted.join(F.broadcast(classes), "label").select("label", "weight", vector("text").alias("features"))
-    regression = LogisticRegression(
-        family="multinomial", maxIter=30, regParam=1e-5, weightCol="weight", standardization=False
-    )
-    fit = regression.fit(fitted)
-    weights = np.ascontiguousarray(fit.coefficientMatrix.toArray().T.astype(np.float32))
-    classifier = LicenseClassifier(weights, fit.interceptVector.toArray())
-    sent = spark.sparkContext.broadcast(classifier)
+    features = stored(sample.select("label", "held", vector("text").alias("features")), "license-features")
+
+    def fitted(rows: DataFrame) -> LicenseClassifier:
+        classes = rows.groupBy("label").agg((1 / F.sqrt(F.count("*"))).alias("weight"))
+        regression = LogisticRegression(
+            family="multinomial", maxIter=30, regParam=1e-5, weightCol="weight", standardization=False
+        )
+        fit = regression.fit(rows.join(F.broadcast(classes), "label").select("label", "weight", "features"))
+        weights = np.ascontiguousarray(fit.coefficientMatrix.toArray().T.astype(np.float32))
+        return LicenseClassifier(weights, fit.interceptVector.toArray())
+
+    first = fitted(features.where("NOT held"))
+    classifier = fitted(features)
+    sent = spark.sparkContext.broadcast(first)
 
     def score(batches):
         for batch in batches:

@@ -184,6 +184,57 @@ def test_licence_notices(spark):
         "Apache-2.0": "The software is licensed under the Apache License, Version 2.0",
         "GPL": "The whole work is licensed under the GNU General Public License, version 3",
         "BSD": "It is released under the BSD license",
+        "ISC": "This module is licensed under the ISC license",
+        "AGPL": "The service is licensed under the GNU Affero General Public License, version 3 or later",
     }
     names, _ = classifier.named([license_scan.tokens(t) for t in unseen.values()])
     assert [license_scan.FAMILIES[n] for n in names] == list(unseen)
+    # paragraphs of whole licences, without their beginnings and ends
+    paragraphs = [(f, " ".join(t.split()[4:-3])) for f, ts in license_scan.NOTICES.items() for t in ts if len(t.split()) > 30]
+    names, _ = classifier.named([license_scan.tokens(t) for _, t in paragraphs])
+    right = [license_scan.FAMILIES[n] == f for n, (f, _) in zip(names, paragraphs)]
+    assert len(right) > 12 and sum(right) >= 0.9 * len(right)
+
+
+def scanned_by_hand(docs, classifier):
+    """Each line's class from its own n-grams' weights, and its similarity from sets, one line after another."""
+    import numpy as np
+    import xxhash
+
+    found, mask = set(), 2**64 - 1
+    for doc, text in docs:
+        for number, line in enumerate((text or "").split("\n")):
+            words = "".join(c if c.isalnum() else " " for c in line.lower()).split()
+            if not words:
+                continue
+            hashed = [xxhash.xxh3_64_intdigest(w) for w in words]
+            keys = hashed + [(a * 0x9E3779B97F4A7C15 & mask) ^ b for a, b in zip(hashed, hashed[1:])]
+            rows = [(k ^ k >> 29) % license_scan.FEATURES for k in keys]
+            raw = classifier.weights[rows].astype(float).sum(axis=0) / len(rows) ** 0.5 + classifier.intercepts
+            top = int(raw.argmax())
+            if not top:
+                continue
+            chance = 1 / np.exp((raw - raw[top]) / classifier.temperature).sum()
+            mine = set(words) | set(zip(words, words[1:]))
+            near = 0.0
+            for notice in license_scan.NOTICES[license_scan.FAMILIES[top]]:
+                theirs = "".join(c if c.isalnum() else " " for c in notice.lower()).split()
+                theirs = set(theirs) | set(zip(theirs, theirs[1:]))
+                if len(mine & theirs) >= 3:
+                    near = max(near, len(mine & theirs) / min(len(mine), len(theirs)))
+            sure = bool(chance >= classifier.least and near >= 0.5)
+            found.add((doc, number, license_scan.FAMILIES[top], round(chance, 4), round(near, 6), sure))
+    return found
+
+
+def test_scan_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    classifier = license_scan.train(docs.limit(0))  # notices alone: many lines get a family, few are confirmed
+    more = spark.createDataFrame([(-1, "Note\nThis file is Apache-2.0 licensed, see the Apache License, Version 2.0\n" + "word " * 40_000)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").unionByName(more)
+    got = {(r[0], r[1], r[2], round(r[3], 4), round(r[4], 6), r[5]) for r in license_scan.scan(rows, classifier).collect()}
+    want = scanned_by_hand([tuple(r) for r in rows.collect()], classifier)
+    near = lambda rows: {(*r[:3], *r[4:]) for r in rows if abs(r[3] - classifier.least) > 1e-3}
+    assert near(got) == near(want) and len(got) > 20 and any(r[-1] for r in got)
+    chances = {r[:3]: r[3] for r in want}
+    assert all(abs(r[3] - chances[r[:3]]) < 1e-3 for r in got)
