@@ -8,7 +8,7 @@
    bucket. ``BANDS`` bands of ``ROWS`` registers miss a pair at similarity 0.8 about 3 times
    in a million.
 3. Links are looked for until no two nodes of a bucket are left that could join two groups.
-   First each node is held against one hub of its buckets, so that a large group of
+   First each node is held against a few hubs of its buckets, so that a large group of
    copies costs its size and not the square of it; this is repeated with other hubs while it
    pays. In buckets whose nodes still lie in more than one group, the nodes outside the largest
    group are held against all others, in blocks; a pair is tested in the first band it shares.
@@ -39,9 +39,12 @@ BASE, RATE, TOP = 1.125, 20.0, 255
 #: A pair is given up if its estimate is this many standard errors below the threshold.
 ERRORS = 6.0
 
-#: Rounds with hubs end when at most this many pairs a node are left for blocks, or no more links are found.
-PAIRS_PER_NODE = 4_000
-ROUNDS = 8
+#: Rounds with hubs end when at most this many pairs a row are left for blocks, or few of their pairs are links.
+PAIRS_PER_ROW = 32
+ROUNDS, LEAST_LINKED = 4, 0.02
+
+#: Hubs that a node is held against in a round, of those of all its buckets.
+HUBS = 6
 
 #: Nodes of a block.
 BLOCK = 1_024
@@ -306,13 +309,15 @@ def open_rows(live: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 
 def with_hubs(rows: DataFrame, turn: int, count: int) -> DataFrame:
-    """Pairs of each node with one hub: the first of those of its buckets, in an order that all share and that
-    changes with each turn. So the nodes of a group of copies meet at few hubs, one pair a node."""
+    """Pairs of each node with ``HUBS`` hubs: the first of those of its buckets, in an order that all share and that
+    changes with each turn. So the nodes of a group of copies meet at few hubs, with few pairs a node."""
     order = F.xxhash64("node", F.lit(turn))
     hubs = rows.groupBy("bucket").agg(F.min_by("node", order).alias("hub"), F.min_by("label", order).alias("hub_label"))
     offered = rows.join(sized(kept(hubs, "hubs", count)), "bucket").where("label <> hub_label")
-    first = offered.groupBy("node").agg(F.min_by("hub", F.xxhash64("hub", F.lit(turn))).alias("hub"))
-    return first.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+    entry = F.struct(F.xxhash64("hub", F.lit(turn)).alias("order"), "hub")
+    first = offered.groupBy("node").agg(F.slice(F.sort_array(F.collect_set(entry)), 1, HUBS).alias("hubs"))
+    pairs = first.select("node", F.explode("hubs.hub").alias("hub"))
+    return pairs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
 
 
 def outnumbered(rows: DataFrame, count: int) -> DataFrame:
@@ -325,11 +330,12 @@ def outnumbered(rows: DataFrame, count: int) -> DataFrame:
     return kept(rows.join(sized(of_bucket), "bucket"), "outnumbered", count)
 
 
-def compared(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) to be decided: nodes outside the largest group of a bucket and all its nodes of other groups.
+def compared(rows: DataFrame, facts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes outside the largest group of a bucket and its nodes of other groups.
 
     Both sides are dealt into blocks of about ``BLOCK`` nodes, and each pair of blocks is one small table for one
-    call. Pairs that share several buckets are looked at in that of their first common band only.
+    call. Pairs that share several buckets are looked at in that of their first common band only. Groups that a
+    link has joined count as one in the rest of the call, so it gives fewer links than it has groups.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     minor_blocks = F.ceil(F.col("minor") / BLOCK).cast("int")
@@ -343,24 +349,32 @@ def compared(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
         *columns, F.lit(True).alias("outside"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
         F.pmod(dealt, minor_blocks).cast("int").alias("minor_block"),
     )
-    sketches_of = facts.select("node", "n", "registers").distinct()
 
     def compare(table: pa.Table) -> pa.Table:
         node, label, n, band = (np.array(table.column(c).to_pylist()) for c in ("node", "label", "n", "band"))
         away = np.array(table.column("outside").to_pylist())
         registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(-1, REGISTERS)
         words = registers.view(np.uint64).reshape(-1, BANDS)  # one word a band
-        others = np.flatnonzero(~away)
-        found = []
+        texts = table.column("text").to_pylist()
+        others, known, found = np.flatnonzero(~away), {}, []
+
+        def set_of(k: int) -> np.ndarray:
+            if k not in known:
+                known[k] = shingle_set(texts[k], size)
+            return known[k]
+
         for k in np.flatnonzero(away) if len(others) else ():
             same = words[others] == words[k]
             first = same.any(axis=1) & (same.argmax(axis=1) == band[k]) & (label[others] != label[k])
             near = others[first]
             near = near[likely(registers[k], registers[near], float(n[k]), n[near].astype(float), percent)] if len(near) else near
-            found += [(max(int(node[k]), int(m)), min(int(node[k]), int(m))) for m in node[near]]
+            for m in near:
+                if label[m] != label[k] and similar(set_of(k), set_of(m), percent):
+                    found.append((int(node[k]), int(node[m])))
+                    label[label == label[m]] = label[k]
         return pa.table({c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate("ab")})
 
-    met = everyone.unionByName(outside).join(sketches_of, "node")
+    met = everyone.unionByName(outside).join(facts, "node")
     return met.groupBy("bucket", "block", "minor_block").applyInArrow(compare, "a long, b long").distinct()
 
 
@@ -393,16 +407,16 @@ def groups(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: i
     rows, labels = live.withColumn("label", F.col("node")), None
     for turn in range(ROUNDS):
         pairs = kept(with_hubs(rows, turn, size_live), "pairs", size_live)
-        new = kept(confirmed(pairs, facts, size, percent), "edges", pairs.count(), TASK_PAIRS)
+        tested = pairs.count()
+        new = kept(confirmed(pairs, facts, size, percent), "edges", tested, TASK_PAIRS)
         if not (linked := new.count()):
             break
         labels = components(new, linked) if labels is None else kept(joined_groups(labels, new, linked), "labels", size_live)
-        rows = open_rows(live, labels, size_live)
+        rows = open_rows(rows.drop("label"), labels, size_live)  # a bucket of one group stays one
         count, work = outnumbered(rows, size_live).agg(F.count("*"), F.sum(F.expr("CASE WHEN label <> major THEN size ELSE 0 END"))).first()
-        if not count or work <= PAIRS_PER_NODE * count:
+        if not count or work <= PAIRS_PER_ROW * count or linked < LEAST_LINKED * tested:
             break
-    pairs = stored(compared(outnumbered(rows, size_live), facts, percent), "pairs")
-    new = kept(confirmed(pairs, facts, size, percent), "edges", pairs.count(), TASK_PAIRS)
+    new = stored(compared(outnumbered(rows, size_live), facts, size, percent), "edges")
     if linked := new.count():
         labels = components(new, linked) if labels is None else joined_groups(labels, new, linked)
     return live.select("node", F.col("node").alias("label")).limit(0) if labels is None else labels
