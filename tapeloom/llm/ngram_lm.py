@@ -2,18 +2,18 @@
 
 Words are hashed. The distinct hashes of the training text, sorted and cut into shards by
 their leading bits, are the vocabulary; a word's number is its place in it. A pair of words is
-one 64-bit key of two numbers, so pairs are exact. Shard by shard the keys are counted,
-sorted and stored, with the counts that Kneser-Ney needs:
+one 64-bit key of two numbers, so pairs are exact; a triple is known by a 64-bit hash of its
+numbers, stored as sorted hash arrays. Shard by shard the keys are counted, sorted and stored,
+with the counts that Kneser-Ney needs:
 
 * for each context how often it occurs and how many words follow it once, twice and more;
-* for each word how many contexts it follows (its continuation count).
+* for each pair how many words it follows, and for each word how many contexts (continuation counts).
 
-Pairs lie in the shard of their context; those of a very frequent context are spread by their
-second word, and its numbers are summed from all shards. Each worker maps the arrays it needs
-and looks up the sorted keys of a batch at once.
+Triples lie in the shard of their first two words, pairs in that of their first word; those
+of very frequent contexts are spread, and their numbers are summed from all shards. Each
+worker maps the arrays it needs and looks up the sorted keys of a batch at once.
 
-The model has order two: contexts of one word. Its next order would need about four times the
-input in shuffle and files; see the README.
+The order is a parameter: three, or two, where pairs have plain counts and no triples are kept.
 """
 
 from __future__ import annotations
@@ -28,13 +28,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.llm.near_dedup import mixed
 from tapeloom.llm.runtime import arrow_map, column, quoted, ship
-from tapeloom.llm.shared_arrays import mapped_array, write_array
+from tapeloom.llm.shared_arrays import mapped_array, opened_array, write_array
 from tapeloom.session import scratch_path
 
+#: Production parameter: words of the longest n-gram, 2 or 3.
+ORDER = 3
+
 #: Training tokens per shard, and the bounds of the number of shards (as powers of two).
 SHARD_TOKENS = 8_000_000
-LEAST_BITS, MOST_BITS = 3, 14
+LEAST_BITS, MOST_BITS = 3, 22
 
 #: Tokens that a task counts together before it sends what it has.
 FLUSH_TOKENS = 4_000_000
@@ -45,6 +49,12 @@ END = b" end of text"
 #: The number of the context before the first token; no word has it.
 BEGIN = 0xFFFFFFFF
 
+#: Hash arrays are cut into so many buckets (as a power of two); inside them 32 bits of the hash are stored.
+BUCKET_BITS = 14
+
+#: An odd multiplier that tells a triple's last word from its first two.
+LAST_WORD = np.uint64(0x9FB21C651E98DF25)
+
 _DOCS_AT_ONCE = 1024
 
 
@@ -76,6 +86,39 @@ def find(where: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places, where[places] == keys
 
 
+def bucket_and_rest(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each hash, and what is stored of it."""
+    return (hashes >> np.uint64(32 - BUCKET_BITS) & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64), (hashes >> np.uint64(32)).astype("<u4")
+
+
+def write_hashes(folder: str, kind: str, shard: int, hashes: np.ndarray, **values: np.ndarray) -> None:
+    """Sorted hash array ``kind`` of a shard, where its buckets start, and values in the same order."""
+    bucket, rest = bucket_and_rest(hashes)
+    order = np.argsort(bucket.astype(np.uint64) << np.uint64(32) | rest)
+    starts = np.searchsorted(bucket[order], np.arange((1 << BUCKET_BITS) + 1))
+    write_array(f"{folder}/{kind}-starts-{shard}", starts.astype("<u4"))
+    write_array(f"{folder}/{kind}-{shard}", rest[order])
+    for name, rows in values.items():
+        write_array(f"{folder}/{kind}-{name}-{shard}", rows[order].astype("<u4"))
+
+
+def find_hashes(folder: str, kind: str, shard: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of hashes in a stored hash array, and whether they are there. The array is mapped for this call only."""
+    with opened_array(f"{folder}/{kind}-starts-{shard}", "<u4") as starts, opened_array(f"{folder}/{kind}-{shard}", "<u4") as stored:
+        bucket, rest = bucket_and_rest(hashes)
+        if not len(stored):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        low, end = starts[bucket].astype(np.int64), starts[bucket + 1].astype(np.int64)
+        high = end.copy()
+        while (going := low < high).any():
+            middle = (low + high) >> 1
+            less = going & (stored[np.minimum(middle, len(stored) - 1)] < rest)
+            low = np.where(less, middle + 1, low)
+            high = np.where(going & ~less, middle, high)
+        there = (low < end) & (stored[np.minimum(low, len(stored) - 1)] == rest)
+    return low, there
+
+
 # --- the model's arrays ------------------------------------------------------------------
 
 
@@ -93,6 +136,8 @@ class Model:
     types: int = 0  # distinct pairs
     low_discounts: tuple[float, ...] = (0.5, 1.0, 1.5)
     low_mass: float = 0.0
+    order: int = 2
+    high_discounts: tuple[float, ...] = (0.5, 1.0, 1.5)  # of triples
 
     @property
     def words(self) -> int:
@@ -171,6 +216,10 @@ class Model:
         mass = stats[before, 1:] @ np.array(self.discounts)
         with np.errstate(divide="ignore", invalid="ignore"):
             chance = np.where(total > 0, (kept + mass * low[back]) / total, low[back])
+        if self.order > 2:
+            first = np.append(BEGIN, context[:-1])
+            first[starts] = BEGIN
+            chance = self.high(first, context, word, chance)
         return {
             "n_tokens": ends - starts,
             "n_known": np.add.reduceat((seen > 0)[back].astype(np.int64), starts),
@@ -178,6 +227,56 @@ class Model:
             "score": np.add.reduceat(np.log10(chance), starts),
         }
 
+    def spread_pairs(self, pairs: np.ndarray) -> np.ndarray:
+        """Which contexts of two words are spread over the shards: those of two frequent words."""
+        first, second = unpaired(pairs)
+        return find(self.frequent, first)[1] & find(self.frequent, second)[1]
+
+    def high(self, first: np.ndarray, second: np.ndarray, word: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Chances of words after two words, interpolated with those after one; -1 stands for words outside the vocabulary."""
+        seen = np.flatnonzero((first >= 0) & (second >= 0))
+        pairs, of_pair = np.unique(paired(first[seen], second[seen]), return_inverse=True)
+        stats = np.zeros((len(pairs), 4))
+        hashes, spread = mixed(pairs), self.spread_pairs(pairs)
+        shards = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        for shard in np.unique(shards):
+            mine = np.flatnonzero((shards == shard) & ~spread)
+            if len(mine):
+                _, there = find_hashes(self.folder, "single", shard, hashes[mine])
+                stats[mine[there]] = (1, 1, 0, 0)
+                places, there = find_hashes(self.folder, "several", shard, hashes[mine])
+                with opened_array(f"{self.folder}/several-stats-{shard}", "<u4") as values:
+                    stats[mine[there]] = values.reshape(-1, 4)[places[there]]
+            mine = np.flatnonzero((shards == shard) & spread)
+            if len(mine):
+                with opened_array(f"{self.folder}/spread-{shard}", "<u8") as keys:
+                    places, there = find(keys, pairs[mine])
+                with opened_array(f"{self.folder}/spread-stats-{shard}", "<u8") as values:
+                    stats[mine[there]] = values.reshape(-1, 4)[places[there]]
+        known = word[seen] >= 0
+        triples, example, of_triple = np.unique(
+            triple_hashes(hashes[of_pair[known]], word[seen][known]), return_index=True, return_inverse=True
+        )
+        source = of_pair[known][example]
+        counts = np.zeros(len(triples))
+        shards = (np.where(spread[source], triples, hashes[source]) >> np.uint64(64 - self.bits)).astype(np.int64)
+        for shard in np.unique(shards):
+            mine = np.flatnonzero(shards == shard)
+            counts[mine] = find_hashes(self.folder, "triple", shard, triples[mine])[1]
+            places, there = find_hashes(self.folder, "triples", shard, triples[mine])
+            if there.any():
+                with opened_array(f"{self.folder}/triples-counts-{shard}", "<u4") as values:
+                    counts[mine[there]] = values[places[there]]
+        count = np.zeros(len(seen))
+        count[known] = counts[of_triple]
+        total = stats[of_pair, 0]
+        kept = np.maximum(count - discount(count, self.high_discounts), 0)
+        mass = (stats[:, 1:] @ np.array(self.high_discounts))[of_pair]
+        out = lower.copy()
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out[seen] = np.where(total > 0, (kept + mass * lower[seen]) / total, lower[seen])
+        return out
+
     def low(self, types: np.ndarray) -> np.ndarray:
         """Chance of a word by its continuation count, interpolated with one share for each word and the unknown."""
         share = 1 / (self.words + 1)
@@ -187,6 +286,10 @@ class Model:
         return (kept + self.low_mass * share) / self.types
 
 
+def triple_hashes(pair_hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mixed(pair_hashes + words.astype(np.uint64) * LAST_WORD)
+
+
 def paired(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
     return contexts.astype(np.uint64) << np.uint64(32) | words.astype(np.uint64)
 
@@ -256,7 +359,23 @@ def _gathered(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
     return table.column("shard")[0].as_py(), *counted(keys, counts.astype(np.int64))
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
+def _triples(hashes: np.ndarray, pairs: np.ndarray, words: np.ndarray, counts: np.ndarray):
+    """Distinct triples (hash, pair, word) with summed counts."""
+    order = np.argsort(hashes)
+    hashes, counts = hashes[order], counts[order]
+    starts = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))) if len(hashes) else np.empty(0, np.int64)
+    sums = np.add.reduceat(counts, starts) if len(starts) else counts[:0]
+    return hashes[starts], pairs[order[starts]], words[order[starts]], sums
+
+
+def _grouped_stats(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per distinct key: the sum of its counts, and how many of them are one, two and more."""
+    distinct, back = np.unique(keys, return_inverse=True)
+    parts = (counts, counts == 1, counts == 2, counts > 2)
+    return distinct, np.stack([np.bincount(back, p, minlength=len(distinct)) for p in parts], axis=1).astype(np.int64)
+
+
+def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
     """Count the texts of ``docs`` and store the model below ``spark.checkpoint.dir``.
 
     Only one row per shard comes to the driver, and the numbers of the contexts that make up
@@ -296,21 +415,104 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     offsets = np.append(0, np.cumsum(sizes))
     tokens = sum(row["tokens"] for row in written)
     top = [offsets[row["shard"]] + place for row in written for place in row["top"]]
-    model = Model(folder, bits, offsets, tokens, np.array(sorted([*top, BEGIN]), dtype=np.int64))
+    if offsets[-1] >= BEGIN:
+        raise ValueError(f"{offsets[-1]} different words do not fit into 32 bits")
+    model = Model(folder, bits, offsets, tokens, np.array(sorted([*top, BEGIN]), dtype=np.int64), order=order)
     _write_empty(model, {row["shard"] for row in written}, {"words": "<u8", "occurrences": "<u8"}, {})
 
+    def numbered(group: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of all words of the texts, and of the one and the two words before each."""
+        hashes, ends = hashed_tokens(group)
+        distinct, back = np.unique(hashes, return_inverse=True)
+        word = model.numbers(distinct)[back]
+        starts = np.append(0, ends[:-1])
+        second = np.append(BEGIN, word[:-1])
+        second[starts] = BEGIN
+        first = np.append(BEGIN, second[:-1])
+        first[starts] = BEGIN
+        return first, second, word
+
     def count_pairs(batches):
-        def keys_of(group: list[str]) -> np.ndarray:
-            hashes, ends = hashed_tokens(group)
-            distinct, back = np.unique(hashes, return_inverse=True)
-            word = model.numbers(distinct)[back]
-            context = np.append(BEGIN, word[:-1])
-            context[ends[:-1]] = BEGIN
-            return paired(context, word)
-
-        for keys, counts in _flushed(map(keys_of, _text_groups(batches))):
+        for keys, counts in _flushed(paired(*numbered(group)[1:]) for group in _text_groups(batches)):
             yield _by_shard(model.pair_shard(*unpaired(keys)), keys, counts)
 
+    def count_triples(batches):
+        def parts():
+            held, size = [], 0
+            for group in _text_groups(batches):
+                first, second, word = numbered(group)
+                held.append((paired(first, second), word.astype("<u4")))
+                size += len(word)
+                if size >= FLUSH_TOKENS:
+                    yield [np.concatenate(x) for x in zip(*held)]
+                    held, size = [], 0
+            if size:
+                yield [np.concatenate(x) for x in zip(*held)]
+
+        for pairs, words in parts():
+            hashes = triple_hashes(mixed(pairs), words)
+            hashes, pairs, words, counts = _triples(hashes, pairs, words, np.ones(len(words), np.int64))
+            near = np.argsort(pairs)  # neighbours are alike, so that they are packed well
+            hashes, pairs, words, counts = hashes[near], pairs[near], words[near], counts[near]
+            home = np.where(model.spread_pairs(pairs), hashes, mixed(pairs)) >> np.uint64(64 - bits)
+            order_ = np.argsort(home, kind="stable")
+            found, cuts = np.unique(home[order_], return_index=True)
+            cuts = np.append(cuts, len(home))
+            columns = [pairs[order_].astype("<u8"), words[order_], counts[order_].astype("<u4")]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(found.astype(np.int32)),
+                    *[pa.array([c[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in columns],
+                ],
+                ["shard", "pairs", "words", "counts"],
+            )
+
+    def write_triples(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        pairs, words, counts = (
+            np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
+            for c, kind in (("pairs", "<u8"), ("words", "<u4"), ("counts", "<u4"))
+        )
+        hashes, pairs, words, counts = _triples(triple_hashes(mixed(pairs), words), pairs, words, counts.astype(np.int64))
+        once = counts == 1
+        write_hashes(folder, "triple", shard, hashes[once])
+        write_hashes(folder, "triples", shard, hashes[~once], counts=counts[~once])
+        spread = model.spread_pairs(pairs)
+        keys, stats = _grouped_stats(mixed(pairs[~spread]), counts[~spread])
+        single = stats[:, 0] == 1
+        write_hashes(folder, "single", shard, keys[single])
+        write_hashes(folder, "several", shard, keys[~single], stats=stats[~single])
+        # a distinct triple is one more word that its last two follow
+        follows, types = counted(paired(unpaired(pairs)[1], words.astype(np.int64)))
+        pairs_out = _by_shard(model.pair_shard(*unpaired(follows)), follows, types)
+        hot, hot_stats = _grouped_stats(pairs[spread], counts[spread])
+        home = (mixed(hot) >> np.uint64(64 - bits)).astype(np.int64)
+        homes = np.unique(home)
+        of_counts = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
+        rows = pairs_out.num_rows + len(homes)
+        columns = {
+            "is_pair": pa.array([True] * pairs_out.num_rows + [False] * len(homes)),
+            "shard": pa.array(pairs_out.column(0).to_pylist() + homes.tolist(), pa.int32()),
+            "keys": pa.array(pairs_out.column(1).to_pylist() + [hot[home == h].tobytes() for h in homes], pa.binary()),
+            "counts": pa.array(
+                pairs_out.column(2).to_pylist() + [hot_stats[home == h].astype("<u8").tobytes() for h in homes], pa.binary()
+            ),
+            "source": pa.array([shard] * rows, pa.int32()),
+            "of_counts": pa.array([of_counts] + [[]] * (rows - 1), pa.list_(pa.int64())),
+        }
+        return pa.table(columns)
+
+    def write_spread(table: pa.Table) -> pa.Table:
+        """Contexts of two frequent words: their numbers from all shards."""
+        shard = table.column("shard")[0].as_py()
+        keys = np.concatenate([np.frombuffer(k, "<u8") for k in table.column("keys").to_pylist()])
+        stats = np.concatenate([np.frombuffer(c, "<u8").reshape(-1, 4) for c in table.column("counts").to_pylist()])
+        distinct, back = np.unique(keys, return_inverse=True)
+        sums = np.stack([np.bincount(back, stats[:, k], minlength=len(distinct)) for k in range(4)], axis=1)
+        write_array(f"{folder}/spread-{shard}", distinct.astype("<u8"))
+        write_array(f"{folder}/spread-stats-{shard}", sums.astype("<u8"))
+        return pa.table({"shard": pa.array([shard], pa.int32())})
+
     def write_pairs(table: pa.Table) -> pa.Table:
         shard, keys, counts = _gathered(table)
         once = counts == 1
@@ -344,7 +546,22 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         return pa.table(out)
 
     lists = ", ".join(f"{n} array<long>" for n in ("of_counts", "hot", "hot0", "hot1", "hot2", "hot3"))
-    pairs = arrow_map(texts, count_pairs, _PART).groupBy("shard")
+    if order > 2:
+        kinds = "is_pair boolean, shard int, keys binary, counts binary, source int, of_counts array<long>"
+        triples = arrow_map(texts, count_triples, "shard int, pairs binary, words binary, counts binary").groupBy("shard")
+        triples.applyInArrow(write_triples, kinds).write.parquet(f"{folder}/triples-out")
+        found = spark.read.schema(kinds).parquet(f"{folder}/triples-out")
+        sums = found.agg(*[F.sum(F.get("of_counts", F.lit(k))) for k in range(4)]).first()
+        model.high_discounts = discounts_of(*(int(v or 0) for v in sums))
+        hot = found.where("NOT is_pair").groupBy("shard").applyInArrow(write_spread, "shard int").collect()
+        sources = {row[0] for row in found.select("source").distinct().collect()}
+        for shard in set(range(1 << bits)) - sources:
+            for kind, names in (("triple", ()), ("triples", ("counts",)), ("single", ()), ("several", ("stats",))):
+                write_hashes(folder, kind, shard, np.empty(0, np.uint64), **{n: np.empty((0, 4)) for n in names})
+        _write_empty(model, {row[0] for row in hot}, {"spread": "<u8", "spread-stats": "<u8"}, {})
+        pairs = found.where("is_pair").select("shard", "keys", "counts").groupBy("shard")
+    else:
+        pairs = arrow_map(texts, count_pairs, _PART).groupBy("shard")
     stored_pairs = pairs.applyInArrow(write_pairs, f"{_PART}, source int, {lists}, types long")
     path = f"{folder}/followers"
     stored_pairs.write.parquet(path)

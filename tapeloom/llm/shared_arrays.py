@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -54,3 +55,13 @@ def mapped_array(uri: str, dtype: str) -> np.ndarray:
         empty = os.path.getsize(path) == 0
         _MAPPED[key] = np.empty(0, dtype) if empty else np.memmap(path, dtype=dtype, mode="r")
     return _MAPPED[key]
+
+
+@contextmanager
+def opened_array(uri: str, dtype: str):
+    """The array, mapped for a short while: what is looked at once does not stay in a worker's memory."""
+    path = _local(uri)
+    if path is None:
+        yield mapped_array(uri, dtype)
+    else:
+        yield np.empty(0, dtype) if os.path.getsize(path) == 0 else np.memmap(path, dtype=dtype, mode="r")

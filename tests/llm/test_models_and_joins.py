@@ -4,6 +4,8 @@ import sys
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import pytest
+
 sys.path[:0] = [str(Path(__file__).resolve().parent), str(Path(__file__).resolve().parents[1])]
 from helpers import by_id, table  # noqa: E402
 
@@ -11,13 +13,14 @@ from tapeloom.llm import decontaminate, ngram_lm, runtime, url_filter  # noqa: E
 from tapeloom.llm.queries import URL_RULES  # noqa: E402
 
 
-def kneser_ney(texts):
+def kneser_ney(texts, continuations=None):
     """(chance of a word after a context, count of a word, tokens, words), by dictionaries."""
     count, pairs = Counter(), Counter()
     for text in texts:
         words = [*(text or "").encode().lower().split(), "end"]
         count.update(words)
         pairs.update(zip(["begin", *words], words))
+    pairs = continuations or pairs
     total, kinds, types = Counter(), defaultdict(lambda: [0, 0, 0]), Counter()
     for (h, w), n in pairs.items():
         total[h] += n
@@ -43,22 +46,52 @@ def kneser_ney(texts):
     return chance, count, sum(count.values()), len(count)
 
 
+def kneser_ney_of_three(texts):
+    """As above with contexts of two words: the chance of a word after two others."""
+    triples = Counter()
+    for text in texts:
+        words = [*(text or "").encode().lower().split(), "end"]
+        triples.update(zip(["begin", "begin", *words], ["begin", *words], words))
+    total, kinds, pairs = Counter(), defaultdict(lambda: [0, 0, 0]), Counter()
+    for (g, h, w), n in triples.items():
+        total[g, h] += n
+        kinds[g, h][min(n, 3) - 1] += 1
+        pairs[h, w] += 1
+    of = Counter(triples.values())
+    high = ngram_lm.discounts_of(*(of[k] for k in (1, 2, 3, 4)))
+    below, count, tokens, size = kneser_ney(texts, pairs)
+
+    def chance(g, h, w):
+        if not total[g, h]:
+            return below(h, w)
+        n = triples[g, h, w]
+        kept = n - high[min(n, 3) - 1] if n else 0
+        return (kept + sum(d * k for d, k in zip(high, kinds[g, h])) * below(h, w)) / total[g, h]
+
+    return chance, count, tokens, size
+
+
 def texts():
     draw = random.Random(8)
     words = ["the"] * 12 + ["of"] * 6 + [f"w{k}" for k in range(60)]
     return [" ".join(draw.choice(words) for _ in range(draw.randint(0, 80))) for _ in range(120)]
 
 
-def test_scores_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_against_brute_force(spark, monkeypatch, order):
     monkeypatch.setattr(ngram_lm, "FLUSH_TOKENS", 500)
     corpus = texts()
     rows = [(n, t) for n, t in enumerate(corpus)]
-    model = ngram_lm.train(table(spark, rows + [(500, None), (501, "")]))
+    model = ngram_lm.train(table(spark, rows + [(500, None), (501, "")]), order=order)
     assert len(model.frequent) > 1  # "the" is spread
-    chance, count, tokens, size = kneser_ney([*corpus, None, ""])
+    if order == 3:
+        of_three, count, tokens, size = kneser_ney_of_three([*corpus, None, ""])
+    else:
+        of_two, count, tokens, size = kneser_ney([*corpus, None, ""])
+        of_three = lambda g, h, w: of_two(h, w)
     assert (model.tokens, model.words) == (tokens, size)
-    for h in ("begin", b"the", b"w3"):
-        assert math.isclose(sum(chance(h, w) for w in count) + chance(h, "?"), 1)
+    for g, h in (("begin", "begin"), ("begin", b"the"), (b"the", b"the"), (b"w1", b"w3"), (b"?", b"w3")):
+        assert math.isclose(sum(of_three(g, h, w) for w in count) + of_three(g, h, "?"), 1)
     asked = rows[:40] + [(900, "the unknown W3 of"), (901, None), (901, ""), (None, "of the " * 3000)]
     got = by_id(ngram_lm.score(table(spark, asked), model).collect())
     for i, text in asked:
@@ -66,7 +99,7 @@ def test_scores_against_brute_force(spark, monkeypatch):
         row = got[i][0]
         assert row["n_tokens"] == len(words) and row["n_known"] == sum(count[w] > 0 for w in words)
         base = sum(math.log10((count[w] + 1) / (tokens + size + 1)) for w in words)
-        score = sum(math.log10(chance(h, w)) for h, w in zip(["begin", *words], words))
+        score = sum(math.log10(of_three(*n)) for n in zip(["begin", "begin", *words], ["begin", *words], words))
         assert math.isclose(row["base_score"], base, rel_tol=1e-9) and math.isclose(row["score"], score, rel_tol=1e-9)
         assert math.isclose(row["perplexity"], 10 ** (-score / len(words)), rel_tol=1e-6)
     assert len(got[901]) == 2
@@ -74,6 +107,7 @@ def test_scores_against_brute_force(spark, monkeypatch):
 
 def test_model_of_nothing(spark):
     model = ngram_lm.train(table(spark, []))
+    assert model.order == 3
     (row,) = ngram_lm.score(table(spark, [(1, "a b")]), model).collect()
     assert (row["n_tokens"], row["n_known"], row["base_score"], row["score"]) == (3, 0, 0.0, 0.0)
     assert ngram_lm.score(table(spark, []), model).count() == 0
