@@ -17,27 +17,42 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go, and the documents that fail or lose too much."""
+    """Failing lines go, and the documents that fail or lose too much.
+
+    Each row is judged on its own, so repeated rows and rows without an id stay or go as their text does. A null,
+    empty or blank text has fewer than 20 words and goes. An empty table stays one; other columns are kept.
+    """
     return quality.clean(docs)
 
 
 def frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of three or more documents stay in one of them."""
+    """Lines of three or more documents stay in one of them.
+
+    Rows of one id are one document, rows without an id one for each different text. Every row stays, a null text as
+    an empty one; other columns are kept.
+    """
     return line_dedup.clean(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8."""
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8.
+
+    Rows of one id stay or go together. Rows without an id and texts without a word are like no other and stay.
+    """
     return near_dedup.keep_one(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents that hold a passage of the benchmark go.
+
+    Rows of one id go together, and so do all rows without an id if one of them holds a passage. Null and empty texts
+    hold none; without a benchmark all stay.
+    """
     return decontaminate.remove(docs, documents(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token numbers and digests of the documents that are left."""
+    """Token numbers and digests of the documents that are left: one row for each row, a null text as an empty one."""
     return queries.encoded(docs)
 
 
