@@ -116,7 +116,10 @@ def dedup_lines(
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits: int) -> DataFrame:
-    """The documents without their frequent lines, same columns; ``n_chars`` follows the text."""
+    """The documents without their frequent lines, same columns; ``n_chars`` follows the text.
+
+    Nulls, repeated rows and ids, and empty tables as in ``dedup_lines``: every row stays.
+    """
     out = dedup_lines(docs, id_col=id_col, text_col=text_col, **limits)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(quoted(text_col)).cast(docs.schema["n_chars"].dataType))

@@ -473,7 +473,10 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those that are near copies of a kept one; same columns."""
+    """The documents without those that are near copies of a kept one; same columns.
+
+    Rows of one id stay or go together; rows without an id and texts without a word stay, also repeated ones.
+    """
     gone = near_duplicates(docs, size, percent, id_col, text_col).where("NOT kept")
     gone = gone.select(F.col(quoted(id_col)).alias("_gone")).distinct()
     return docs.join(gone, F.col(quoted(id_col)) == F.col("_gone"), "left_anti")

@@ -160,7 +160,8 @@ def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def clean(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that are kept, without their failing lines; same columns as before.
 
-    A column ``n_chars`` is set to the length of the text that is left.
+    A column ``n_chars`` is set to the length of the text that is left. Every row is judged on its own, also
+    repeated ones and those without an id; null, empty and blank texts have too few words and go.
     """
     kept = judged(docs, text_col).where("verdict.kept").withColumn(text_col, F.col("verdict.kept_text"))
     if "n_chars" in docs.columns:

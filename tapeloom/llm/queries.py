@@ -30,6 +30,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encoded(docs: DataFrame) -> DataFrame:
+    """Token count and digests of each row's ids and decoded bytes, as ``byte_bpe.encode_decode`` gives them."""
     done = byte_bpe.encode_decode(docs, public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
     return done.select(
         "doc_id",

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import sys
 from pathlib import Path
 
@@ -47,6 +48,33 @@ def test_pipeline_against_brute_force(spark):
     assert got == want and 0 < len(got) < 200
 
 
+def test_pipeline_on_awkward_tables(spark, tmp_path):
+    """Null and repeated ids, null, empty and very long texts, columns with names that are used inside, empty tables."""
+    from helpers import table
+
+    def prose(seed, lines):
+        draw = random.Random(seed)
+        word = lambda: "".join(draw.choice(["ra", "lo", "mi", "ten", "sho", "ve"]) for _ in range(draw.randint(2, 4)))
+        return "\n".join(" ".join(word() for _ in range(14)).capitalize() + "." for _ in range(lines))
+
+    clean, other, long, fourth, fifth = prose(1, 8), prose(2, 8), prose(3, 4000), prose(4, 8), prose(5, 300)
+    leak = " ".join(f"question{k} answer{k}" for k in range(20)) + "."
+    rows = [(1, clean), (2, clean + " And more."), (3, other), (3, other), (4, other + "\n" + leak), (5, None), (6, ""), (7, "too short")]
+    rows += [(8, long), (None, fourth), (None, fifth)]
+    folder = tmp_path / "tables"
+    table(spark, rows).write.parquet(str(folder / "documents.parquet"))
+    items = spark.createDataFrame([(1, leak), (2, None), (2, "")], "item_id long, text string")
+    items.write.parquet(str(folder / "benchmark.parquet"))
+    got = sorted(((r["doc_id"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, str(folder)).collect()), key=str)
+    assert [i for i, _ in got] == [1, 3, 3, 8, None, None]
+    texts = {i: hashlib.sha256(t.encode()).hexdigest() for i, t in ((1, clean), (3, other), (8, long))}
+    assert all(texts[i] == d for i, d in got if i is not None)
+    docs = table(spark, rows)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs.limit(0), str(folder))
+        assert out.columns == docs.columns and out.count() == 0
+
+
 def decontaminated(rows, items, by_hand):
     """Position by position, for documents with enough equal tokens on one diagonal with an item."""
     import re
