@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions.text import softmax, tokens
-from tapeloom.operators.joins import salted_join
+from tapeloom.operators.joins import frequent_apart
 from tapeloom.session import staged
 
 
 @dataclass(frozen=True)
 class TokenModel:
-    """Per token the log chance in each class (``logs``), and the classes' log shares."""
+    """Per token its count and its log chance in each class (``logs``), and the classes' log shares."""
 
     table: DataFrame
     priors: tuple[float, ...]
@@ -43,15 +43,16 @@ def fit_tokens(labelled: DataFrame, text: str, label: str, classes: int, smoothi
     sizes = [max(float(t), 0.5) for t in texts]
     below = [float(fit[f"_n{c}"] or 0) + smoothing * float(fit["v"]) for c in range(classes)]
     logs = [F.ln((F.col(f"_n{c}") + F.lit(smoothing)) / F.lit(below[c])) for c in range(classes)]
-    return TokenModel(table.select("token", F.array(*logs).alias("logs")), tuple(log(s / sum(sizes)) for s in sizes))
+    count = sum((F.col(f"_n{c}") for c in range(classes)), F.lit(0)).alias("count")
+    return TokenModel(table.select("token", count, F.array(*logs).alias("logs")), tuple(log(s / sum(sizes)) for s in sizes))
 
 
 def class_chances(df: DataFrame, key: str, text: str, model: TokenModel) -> DataFrame:
     """(key, chances): the posterior of each class per text; tokens that the model has not seen say nothing.
 
-    Texts and model meet by token; frequent tokens are spread over tasks. ``key`` identifies a row.
+    Texts and model meet by token, frequent tokens apart from the others. ``key`` identifies a row.
     """
-    met = salted_join(token_counts(df, [key], text), model.table, ["token"], "inner", F.col(key))
+    met = frequent_apart(token_counts(df, [key], text), model.table, ["token"], "count")
     sums = [F.sum(F.col("n") * F.col("logs")[c]).alias(f"_s{c}") for c in range(len(model.priors))]
     scored = df.select(key).join(met.groupBy(key).agg(*sums), key, "left")
     logits = F.array(*[F.coalesce(f"_s{c}", F.lit(0.0)) + F.lit(p) for c, p in enumerate(model.priors)])

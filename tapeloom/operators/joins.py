@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 def salt_count(df: DataFrame) -> int:
     """Parts that a hot key is spread over: a quarter of the shuffle partitions."""
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
@@ -30,6 +29,25 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+#: Keys that are sent to all rows; with more of them only those of many rows are.
+FEW_KEYS = 500_000
+
+
+def frequent_apart(rows: DataFrame, keyed: DataFrame, on: Sequence[str], weight: str, hot: int = 1_000_000) -> DataFrame:
+    """Inner join of many rows to a stored table with one row per key, of which some own a large share of the rows.
+
+    ``weight`` names a column that tells about how many rows a key owns. A small table goes to all rows. Of a large
+    one only the keys of at least ``hot`` rows do, which can only be few, and the others meet by a shuffle, uncopied.
+    """
+    if keyed.count() <= FEW_KEYS:
+        return rows.join(F.broadcast(keyed), list(on))
+    heavy = keyed.where(F.col(weight) >= hot)
+    heavy = F.broadcast(heavy) if heavy.count() <= FEW_KEYS else heavy
+    others = rows.join(heavy.select(*on), list(on), "left_anti").join(keyed.where(F.col(weight) < hot), list(on))
+    apart = rows.join(heavy, list(on))
+    return apart.unionByName(others.select(*apart.columns))
+
+
 def key_intersection(
     rows: DataFrame, keyed: DataFrame, on: Sequence[str], spread: Column
 ) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tapeloom.operators import bayes, embedding, pairs, stats, subwords
+from tapeloom.operators import bayes, embedding, joins, pairs, stats, subwords
 from tapeloom.operators import series as ts
 
 WORDS = "an ant anthem banana band hand handy sand sandy um drum".split()
@@ -66,6 +66,16 @@ def test_bayes_like_the_formula(spark):
     assert sum(got[40]) == pytest.approx(1.0)  # a null text: the classes' shares
 
 
+def test_frequent_keys_are_joined_apart(spark, monkeypatch):
+    rows = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN 0 ELSE id % 50 END AS k")
+    keyed = rows.groupBy("k").count().where("k < 40").withColumnRenamed("count", "n")
+    want = sorted(map(tuple, rows.join(keyed, "k").select("id", "k", "n").collect()))
+    assert sorted(map(tuple, joins.frequent_apart(rows, keyed, ["k"], "n").select("id", "k", "n").collect())) == want
+    monkeypatch.setattr(joins, "FEW_KEYS", 10)
+    apart = joins.frequent_apart(rows, keyed, ["k"], "n", hot=100)
+    assert sorted(map(tuple, apart.select("id", "k", "n").collect())) == want
+
+
 def test_range_basis_is_near_the_best_one(spark):
     rng = np.random.default_rng(5)
     rows = rng.normal(size=(300, 3)) @ rng.normal(size=(3, 20)) + 0.01 * rng.normal(size=(300, 20))
