@@ -49,13 +49,13 @@ ACCURACY = 10_000
 
 
 def bracket_shares(probabilities: Sequence[float]) -> list[float]:
-    """Five shares around each probability: the sketch's values there bracket the exact ranks, and cut the bracket."""
-    around = {min(1.0, max(0.0, p + k * 2.0 / ACCURACY)) for p in probabilities for k in (-2, -1, 0, 1, 2)}
-    return sorted(around)
+    """For each probability a share below and one above it, whose values by the sketch bracket the exact ranks."""
+    reach = 4.0 / ACCURACY
+    return [share for p in probabilities for share in (max(0.0, p - reach), min(1.0, p + reach))]
 
 
 def sketched(value: str, probabilities: Sequence[float]) -> list[Column]:
-    """Aggregates that fit the brackets: rows with a value, and the values at the bracket's shares."""
+    """Aggregates that fit the brackets: rows with a value, and the values at the brackets' ends."""
     number = F.when(~F.isnan(F.col(value).cast("double")), F.col(value))
     marks = F.percentile_approx(number, bracket_shares(probabilities), ACCURACY)
     return [F.count(number).alias("_known"), marks.alias("_marks")]
@@ -64,23 +64,20 @@ def sketched(value: str, probabilities: Sequence[float]) -> list[Column]:
 def selected(
     rows: DataFrame, value: str, probabilities: dict[str, float], group: Sequence[str], known: Column, marks: list[Column]
 ) -> DataFrame:
-    """Exact quantiles per group, given rows with a value, the rows of a group and its bracket marks.
+    """Exact quantiles per group, given rows with a value, the rows of a group and its brackets' ends.
 
-    Rows outside every bracket only count, for the bracket above them; those inside keep their value. So what
-    is shuffled and ranked is a small share of the rows, equal values once; segments between marks are ranked apart.
+    Rows outside every bracket only count; those inside keep their value. So what is shuffled and ranked is a
+    small share of the rows, equal values once, and what lies between two ends is ranked apart.
     """
-    shares = bracket_shares(list(probabilities.values()))
-    v, reach = F.col(value), 4.0 / ACCURACY
-    inside = known <= ACCURACY
-    for p in probabilities.values():
-        ends = [k for k, s in enumerate(shares) if p - reach - 1e-12 <= s <= p + reach + 1e-12]
-        inside = inside | ((v >= marks[ends[0]]) & (v <= marks[ends[-1]]))
-    segment = reduce(lambda a, b: a + b, [(v >= m).cast("int") for m in marks])
-    placed = rows.select(*group, segment.alias(SEGMENT), F.when(inside, v).alias("_value"), known.alias("_all"))
-    counted = placed.groupBy(*group, SEGMENT, "_value").agg(F.count(F.lit(1)).alias("_n"), F.max("_all").alias("_all"))
-    # in a segment the rows of a bracket come before those that only count
-    counted = counted.withColumn("_rest", F.col("_value").isNull())
-    runs = Timeline(counted, tuple(group), ("_rest", "_value")).annotate(running={"_upto": F.col("_n")}).result()
+    v = F.col(value)
+    begun = reduce(lambda a, b: a + b, [(v >= m).cast("int") for m in marks[::2]])
+    ended = reduce(lambda a, b: a + b, [(v > m).cast("int") for m in marks[1::2]])
+    placed = rows.select(*group, v.alias("_v"), known.alias("_all"), begun.alias("_begun"), ended.alias("_ended"))
+    inside = (F.col("_all") <= ACCURACY) | (F.col("_begun") > F.col("_ended"))
+    counted = placed.groupBy(
+        *group, (F.col("_begun") + F.col("_ended")).alias(SEGMENT), F.when(inside, F.col("_v")).alias("_value")
+    ).agg(F.count(F.lit(1)).alias("_n"), F.max("_all").alias("_all"))
+    runs = Timeline(counted, tuple(group), ("_value",)).annotate(running={"_upto": F.col("_n")}).result()
 
     last, kept, out = F.col("_all") - 1, {}, []
     for name, p in probabilities.items():
