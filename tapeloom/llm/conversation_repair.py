@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from dataclasses import dataclass
 from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -174,30 +175,29 @@ def repaired(rows, audit: str, state: int):
 
 
 def in_blocks(turns: DataFrame) -> DataFrame:
-    """Rows (conv, turn, role, text, copies) put into blocks (conv, block): row arrays in order.
+    """Rows (conv, turn, role, text, copies) put into blocks (conv, block): row arrays in order, stored.
 
     A block has the turns of one stretch of ``BLOCK_TURNS``; where more than ``BLOCK_ROWS`` rows share it, it is
-    cut by turn and by leading digits of the rows' digests. Equal rows of a turn are one row with a count.
+    cut by turn and by leading digits of the rows' digests. There equal rows of a turn become one row with a
+    count first, so that not even a row that is repeated without end is gathered.
     """
     stretch = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(2**62)))
     sizes = turns.groupBy("conv", stretch.alias("stretch")).count().where(F.col("count") > BLOCK_ROWS)
-    wide = stored(sizes.withColumn("digits", F.ceil(F.log2(F.col("count") / BLOCK_ROWS) / 4).cast("int")), "wide_blocks")
+    digits = F.ceil(F.log2(F.col("count") / BLOCK_ROWS) / 4).cast("int").alias("digits")
+    wide = sized(stored(sizes.select(F.struct("conv").alias("conv_key"), "stretch", digits), "wide_blocks"))
     digest = F.md5(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"))
-    rows = (
-        turns.groupBy("conv", "turn", "role", "text")
-        .agg(F.sum("copies").alias("copies"))
-        .withColumns({"stretch": stretch, "digest": F.when(F.col("copies") > 0, digest)})
-    )
-    wide = wide.select(F.struct("conv").alias("conv_key"), "stretch", "digits")
-    keyed = rows.withColumn("conv_key", F.struct("conv")).join(sized(wide), ["conv_key", "stretch"], "left")
-    cut = F.col("digits").isNotNull()
-    block = F.struct(
-        "stretch",
-        F.when(cut, F.coalesce("turn", F.lit(-(2**62)))).alias("turn"),
-        F.when(cut, F.coalesce(F.expr("substring(digest, 1, digits)"), F.lit(""))).alias("part"),
-    )
-    entry = F.struct("turn", "digest", "role", "text", "copies")
-    blocks = keyed.groupBy("conv", block.alias("block")).agg(F.array_sort(F.collect_list(entry)).alias("rows"))
+    rows = turns.withColumns({"conv_key": F.struct("conv"), "stretch": stretch, "digest": F.when(F.col("copies") > 0, digest)})
+    entry = ["turn", "digest", "role", "text", "copies"]
+
+    def block(turn: Column, part: Column) -> Column:
+        return F.struct("stretch", turn.cast("long").alias("turn"), part.cast("string").alias("part")).alias("block")
+
+    plain = rows.join(wide, ["conv_key", "stretch"], "left_anti").select("conv", block(F.lit(None), F.lit(None)), *entry)
+    part = F.coalesce(F.expr("substring(digest, 1, digits)"), F.lit(""))
+    repeated = rows.join(wide, ["conv_key", "stretch"]).groupBy("conv", "stretch", "digits", *entry[:-1])
+    repeated = repeated.agg(F.sum("copies").alias("copies"))
+    repeated = repeated.select("conv", block(F.coalesce("turn", F.lit(-(2**62))), part), *entry)
+    blocks = plain.unionByName(repeated).groupBy("conv", "block").agg(F.array_sort(F.collect_list(F.struct(*entry))).alias("rows"))
     return stored(blocks, "turn_blocks")
 
 
@@ -219,7 +219,7 @@ def seen_before(blocks: DataFrame) -> DataFrame:
 
 
 def signed(blocks: DataFrame) -> DataFrame:
-    """The blocks with signature, faults and first and last turn; rows keep role, text and copies."""
+    """(conv, block, signature, marks) of the blocks, stored: letters and faults, without the texts."""
     kind = blocks.schema["conv"].dataType.simpleString()
     place = blocks.schema["block"].dataType.simpleString()
     rows = blocks.withColumn("key", F.struct("conv")).join(seen_before(blocks), ["key", "block"], "left")
@@ -233,12 +233,11 @@ def signed(blocks: DataFrame) -> DataFrame:
                 signs.append(one)
                 marks.append(two)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(signs, pa.string()), pa.array(marks, pa.string())],
-                ["conv", "block", "rows", "signature", "marks"],
+                [batch.column(0), batch.column(1), pa.array(signs, pa.string()), pa.array(marks, pa.string())],
+                ["conv", "block", "signature", "marks"],
             )
 
-    entry = blocks.schema["rows"].dataType.simpleString()
-    schema = f"conv {kind}, block {place}, rows {entry}, signature string, marks string"
+    schema = f"conv {kind}, block {place}, signature string, marks string"
     return stored(arrow_map(rows.select("conv", "block", "rows", "earlier"), sign, schema), "signed_blocks")
 
 
@@ -289,9 +288,9 @@ def with_ways(blocks: DataFrame) -> DataFrame:
     return apart.unionByName(others).select("conv", "block", "ways")
 
 
-def by_conversation(rows: DataFrame) -> DataFrame:
+def by_conversation(rows: DataFrame, *then: str) -> DataFrame:
     """Partitions with whole conversations, their blocks in order; read as streams, so held block by block."""
-    return rows.repartition("conv").sortWithinPartitions("conv", "block")
+    return rows.repartition("conv").sortWithinPartitions("conv", "block", *then)
 
 
 def conversations_of(batches):
@@ -317,6 +316,26 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+@dataclass(frozen=True)
+class Edited:
+    """``blocks`` (conv, block, rows) and ``plan`` (conv, block, marks, state, edits, cost), both stored.
+
+    ``block`` sorts the blocks of a conversation; rows hold turn, digest, role, text and copies; marks the fault of
+    each row (b, d, t or a space); state is that of the grammar at the block's start, cost what it takes from there.
+    """
+
+    blocks: DataFrame
+    plan: DataFrame
+
+    def streamed(self) -> DataFrame:
+        """Each block's plan right before its rows: the texts are shuffled once, by conversation."""
+        names = ("marks", "state", "edits", "cost")
+        rows = self.blocks.select("*", *[F.lit(None).cast(self.plan.schema[c].dataType).alias(c) for c in names])
+        plan = self.plan.select("conv", "block", F.lit(None).cast(self.blocks.schema["rows"].dataType).alias("rows"), *names)
+        both = plan.unionByName(rows).withColumn("has_rows", F.col("rows").isNotNull())
+        return by_conversation(both, "has_rows")
+
+
 def edits(
     conversations: DataFrame,
     id_col: str = "conv_id",
@@ -324,11 +343,9 @@ def edits(
     role_col: str = "role",
     text_col: str = "text",
     copies_col: str | None = None,
-) -> DataFrame:
-    """The blocks of all conversations with their cheapest edits, stored.
+) -> Edited:
+    """The blocks of all conversations with their cheapest edits.
 
-    Columns: conv, block (sorts the blocks of a conversation), rows (turn, digest, role, text, copies), signature,
-    marks (fault per row: b, d, t or a space), state (of the grammar at the start), edits, cost (to go from there).
     A row counts ``copies_col`` times (once without it); with 0 it only brings its conversation into the result.
     Rows are ordered by turn (null first), then by a digest of role and text. A null role or text is one space,
     rows without an id are one conversation, other columns are not looked at.
@@ -342,7 +359,8 @@ def edits(
         F.when(present, F.coalesce(F.col(quoted(text_col)), F.lit(" "))).alias("text"),
         F.when(present, copies).otherwise(F.lit(0).cast("long")).alias("copies"),
     )
-    blocks = signed(in_blocks(turns))
+    blocks = in_blocks(turns)
+    signatures = signed(blocks)
     kind, place = (blocks.schema[c].dataType.simpleString() for c in ("conv", "block"))
     ddl = f"conv {kind}, block {place}, state int, edits string, cost long"
     schema = arrow_schema(ddl)
@@ -360,30 +378,34 @@ def edits(
 
         return in_batches(found(), schema)
 
-    picked = arrow_map(by_conversation(with_ways(blocks)), work, ddl)
+    picked = arrow_map(by_conversation(with_ways(signatures)), work, ddl)
     key = F.struct("conv").alias("key")
-    return stored(
-        blocks.select("*", key).join(picked.select(key, "block", "state", "edits", "cost"), ["key", "block"]).drop("key"),
-        "edited_blocks",
-    )
+    plan = signatures.select("*", key).join(picked.select(key, "block", "state", "edits", "cost"), ["key", "block"])
+    return Edited(blocks, stored(plan.select("conv", "block", "marks", "state", "edits", "cost"), "edited_blocks"))
 
 
-def repaired_turns(edited: DataFrame, id_col: str = "conv_id") -> DataFrame:
+def whole_blocks(rows):
+    """The blocks of a conversation as its stream gives them: plan and rows put together."""
+    for plan, block in zip(rows, rows):
+        yield {**plan, "rows": block["rows"]}
+
+
+def repaired_turns(edited: Edited, id_col: str = "conv_id") -> DataFrame:
     """The repaired conversations as rows (id, block, place in the block, role, text)."""
-    kind, place = (edited.schema[c].dataType.simpleString() for c in ("conv", "block"))
+    kind, place = (edited.plan.schema[c].dataType.simpleString() for c in ("conv", "block"))
     ddl = f"conv {kind}, block {place}, place int, role string, text string"
     schema = arrow_schema(ddl)
 
     def work(batches):
         def found():
-            for conv, blocks in conversations_of(batches):
-                for b in blocks:
+            for conv, rows in conversations_of(batches):
+                for b in whole_blocks(rows):
                     for k, (role, text) in enumerate(repaired(b["rows"], b["edits"], b["state"])):
                         yield {"conv": conv, "block": b["block"], "place": k, "role": role, "text": text}
 
         return in_batches(found(), schema)
 
-    return arrow_map(edited, work, ddl).withColumnRenamed("conv", id_col)
+    return arrow_map(edited.streamed(), work, ddl).withColumnRenamed("conv", id_col)
 
 
 #: Pairs of role initials that may follow one another.
@@ -396,7 +418,7 @@ def summary(conv, blocks) -> dict:
     audit, digest, sep, last = [], hashlib.sha256(), "", None
     first_turn = last_turn = None
     turns = 0
-    for k, b in enumerate(blocks):
+    for k, b in enumerate(whole_blocks(blocks)):
         for name, mark in (("blank", "b"), ("duplicate", "d"), ("truncated", "t")):
             out[name] += b["marks"].count(mark)
         for entry in b["rows"]:
@@ -432,7 +454,7 @@ def repair(conversations: DataFrame, id_col: str = "conv_id", **columns) -> Data
     The texts of a conversation pass through one task for the digest, block by block; its audit is one cell.
     """
     edited = edits(conversations, id_col, **columns)
-    kind = edited.schema["conv"].dataType.simpleString()
+    kind = edited.plan.schema["conv"].dataType.simpleString()
     counts = ", ".join(f"{c} long" for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))
     ddl = f"conv {kind}, {counts}, audit string, repaired_sha256 string"
     schema = arrow_schema(ddl)
@@ -440,5 +462,4 @@ def repair(conversations: DataFrame, id_col: str = "conv_id", **columns) -> Data
     def work(batches):
         return in_batches((summary(c, b) for c, b in conversations_of(batches)), schema)
 
-    rows = edited.select("conv", "block", "rows", "marks", "state", "edits", "cost")
-    return arrow_map(by_conversation(rows), work, ddl).withColumnRenamed("conv", id_col)
+    return arrow_map(edited.streamed(), work, ddl).withColumnRenamed("conv", id_col)
