@@ -37,11 +37,11 @@ from tapeloom.session import scratch_path
 ORDER = 3
 
 #: Training tokens per shard, and the bounds of the number of shards (as powers of two).
-SHARD_TOKENS = 8_000_000
+SHARD_TOKENS = 4_000_000
 LEAST_BITS, MOST_BITS = 3, 22
 
-#: Tokens that a task counts together before it sends what it has.
-FLUSH_TOKENS = 4_000_000
+#: Tokens that a task counts together before it sends what it has; triples take more room.
+FLUSH_TOKENS, FLUSH_TRIPLES = 4_000_000, 1_500_000
 
 #: The end of a text is a token; no word has a space, so none is spelled like it.
 END = b" end of text"
@@ -359,6 +359,18 @@ def _gathered(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
     return table.column("shard")[0].as_py(), *counted(keys, counts.astype(np.int64))
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """An array packed for a shuffle: first bytes of all values, then the second ones, and so on, by zstd."""
+    turned = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(turned.tobytes(), asbytes=True)
+
+
+def restored(packed: bytes, kind: str) -> np.ndarray:
+    n, width = int.from_bytes(packed[:8], "little"), np.dtype(kind).itemsize
+    plain = pa.Codec("zstd").decompress(packed[8:], decompressed_size=n * width, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(width, n).T).view(kind).ravel()
+
+
 def _triples(hashes: np.ndarray, pairs: np.ndarray, words: np.ndarray, counts: np.ndarray):
     """Distinct triples (hash, pair, word) with summed counts."""
     order = np.argsort(hashes)
@@ -443,7 +455,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
                 first, second, word = numbered(group)
                 held.append((paired(first, second), word.astype("<u4")))
                 size += len(word)
-                if size >= FLUSH_TOKENS:
+                if size >= FLUSH_TRIPLES:
                     yield [np.concatenate(x) for x in zip(*held)]
                     held, size = [], 0
             if size:
@@ -462,7 +474,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(found.astype(np.int32)),
-                    *[pa.array([c[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in columns],
+                    *[pa.array([squeezed(c[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in columns],
                 ],
                 ["shard", "pairs", "words", "counts"],
             )
@@ -470,7 +482,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
     def write_triples(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         pairs, words, counts = (
-            np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
+            np.concatenate([restored(x.as_py(), kind) for x in table.column(c)])
             for c, kind in (("pairs", "<u8"), ("words", "<u4"), ("counts", "<u4"))
         )
         hashes, pairs, words, counts = _triples(triple_hashes(mixed(pairs), words), pairs, words, counts.astype(np.int64))

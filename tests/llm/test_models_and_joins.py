@@ -80,6 +80,7 @@ def texts():
 @pytest.mark.parametrize("order", [2, 3])
 def test_scores_against_brute_force(spark, monkeypatch, order):
     monkeypatch.setattr(ngram_lm, "FLUSH_TOKENS", 500)
+    monkeypatch.setattr(ngram_lm, "FLUSH_TRIPLES", 700)
     corpus = texts()
     rows = [(n, t) for n, t in enumerate(corpus)]
     model = ngram_lm.train(table(spark, rows + [(500, None), (501, "")]), order=order)
