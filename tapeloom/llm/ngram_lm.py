@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.llm.near_dedup import mixed
 from tapeloom.llm.runtime import arrow_map, column, quoted, ship
-from tapeloom.llm.shared_arrays import mapped_array, opened_array, write_array
+from tapeloom.llm.shared_arrays import fresh_array, opened_array, write_array
 from tapeloom.session import scratch_path
 
 #: Production parameter: words of the longest n-gram, 2 or 3.
@@ -144,7 +144,7 @@ class Model:
         return int(self.offsets[-1])
 
     def array(self, kind: str, shard: int, dtype: str) -> np.ndarray:
-        return mapped_array(f"{self.folder}/{kind}-{shard}", dtype)
+        return fresh_array(f"{self.folder}/{kind}-{shard}", dtype)
 
     def shard_of(self, numbers: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offsets, numbers, side="right") - 1
@@ -321,7 +321,7 @@ def _text_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
 
 
 def _by_shard(shards: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """One row per shard: its keys and counts as bytes."""
+    """One row per shard: its keys and counts, packed."""
     order = np.argsort(shards, kind="stable")
     shards, keys, counts = shards[order], keys[order], counts[order]
     found, starts = np.unique(shards, return_index=True)
@@ -329,8 +329,8 @@ def _by_shard(shards: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.Re
     return pa.RecordBatch.from_arrays(
         [
             pa.array(found, pa.int32()),
-            pa.array([keys[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            pa.array([counts[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([squeezed(keys[a:b].astype("<u8")) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([squeezed(counts[a:b].astype("<u4")) for a, b in zip(cuts, cuts[1:])], pa.binary()),
         ],
         ["shard", "keys", "counts"],
     )
@@ -354,8 +354,8 @@ def _flushed(parts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarr
 
 
 def _gathered(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
-    keys = np.concatenate([np.frombuffer(k, "<u8") for k in table.column("keys").to_pylist()])
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in table.column("counts").to_pylist()])
+    keys = np.concatenate([restored(k.as_py(), "<u8") for k in table.column("keys")])
+    counts = np.concatenate([restored(c.as_py(), "<u4") for c in table.column("counts")])
     return table.column("shard")[0].as_py(), *counted(keys, counts.astype(np.int64))
 
 

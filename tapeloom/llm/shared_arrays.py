@@ -57,11 +57,14 @@ def mapped_array(uri: str, dtype: str) -> np.ndarray:
     return _MAPPED[key]
 
 
-@contextmanager
-def opened_array(uri: str, dtype: str):
-    """The array, mapped for a short while: what is looked at once does not stay in a worker's memory."""
+def fresh_array(uri: str, dtype: str) -> np.ndarray:
+    """The array, mapped for whoever holds it: what is looked at once does not stay in a worker's memory."""
     path = _local(uri)
     if path is None:
-        yield mapped_array(uri, dtype)
-    else:
-        yield np.empty(0, dtype) if os.path.getsize(path) == 0 else np.memmap(path, dtype=dtype, mode="r")
+        return mapped_array(uri, dtype)
+    return np.empty(0, dtype) if os.path.getsize(path) == 0 else np.memmap(path, dtype=dtype, mode="r")
+
+
+@contextmanager
+def opened_array(uri: str, dtype: str):
+    yield fresh_array(uri, dtype)
