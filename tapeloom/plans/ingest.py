@@ -11,7 +11,7 @@ from tapeloom.plans.sql import check_sql
 from tapeloom.session import scratch_path
 from tapeloom.sources import adapter, csv, sinks, tables
 from tapeloom.streaming.chunks import ingest_chunks, read_chunks
-from tapeloom.streaming.ingest import file_stream, ingest
+from tapeloom.streaming.ingest import file_stream, ingest, table_stream
 
 # The check SQL for clean_text; chr(39) is the single quote.
 CLEAN = (
@@ -229,7 +229,7 @@ CLEANED_DOCS = f"SELECT doc_id, {CLEAN.format('text')} AS text, lang, source FRO
 @plan("stream_ingest", CLEANED_DOCS)
 def stream_ingest(spark, sf_dir):
     schema = adapter.table(spark, sf_dir, "documents").schema
-    stream = file_stream(spark, sf_dir, schema, "parquet", pattern="documents.parquet")
+    stream = table_stream(spark, f"{sf_dir}/documents.parquet", schema)
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     query = ingest(
         stream,

@@ -5,7 +5,7 @@ from tapeloom.functions.text import clean_text
 from pyspark.errors import AnalysisException
 from tapeloom.session import release, scratch_path, scratch_root, staged
 from tapeloom.sources import csv, sinks, tables
-from tapeloom.streaming.ingest import file_stream, ingest
+from tapeloom.streaming.ingest import file_stream, ingest, table_stream
 
 
 def test_price_files_take_the_symbol_from_the_name(spark, tmp_path):
@@ -112,6 +112,18 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     assert pass_once() == ["1", "2", "3"]
 
 
+def test_stream_of_a_table_in_one_file_or_many(spark, tmp_path):
+    """A table may be a folder of part files, or a file beside other tables."""
+    many, one = str(tmp_path / "many.parquet"), tmp_path / "one.parquet"
+    spark.range(40).repartition(20).write.parquet(many)
+    spark.range(7).coalesce(1).write.parquet(str(tmp_path / "made"))
+    one.write_bytes(next((tmp_path / "made").glob("part-*.parquet")).read_bytes())
+    for path, n in ((many, 40), (str(one), 7)):
+        out = scratch_path(spark, "table-out")
+        ingest(table_stream(spark, path, spark.range(1).schema), lambda df: df, out, scratch_path(spark, "table-state")).awaitTermination()
+        assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(n))
+
+
 def test_scratch_uses_the_named_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
