@@ -37,17 +37,31 @@ def frequent_apart(rows: DataFrame, keyed: DataFrame, on: Sequence[str], weight:
     """Inner join of many rows to a stored table with one row per key, of which some own a large share of the rows.
 
     ``weight`` names a column that tells about how many rows a key owns. A small table goes to all rows. Of a large
-    one only the keys of at least ``hot`` rows do, which can only be few, and the others meet by a shuffle, uncopied.
+    one only the heaviest keys do, as many as are still few, and those of at least ``hot`` rows; the others, which
+    own few rows each, meet by a shuffle, uncopied. ``rows`` are never broadcast, however small Spark takes them to be.
     """
     if keyed.count() <= FEW_KEYS:
         return rows.join(F.broadcast(keyed), list(on))
-    heavy = keyed.where(F.col(weight) >= hot)
+    least = min(hot, heaviest(keyed, weight))
+    heavy = keyed.where(F.col(weight) >= least)
     heavy = F.broadcast(heavy) if heavy.count() <= FEW_KEYS else heavy
-    others = rows.join(heavy.select(*on), list(on), "left_anti").join(keyed.where(F.col(weight) < hot), list(on))
+    others = rows.join(heavy.select(*on), list(on), "left_anti").hint("merge").join(keyed.where(F.col(weight) < least), list(on))
     apart = rows.join(heavy, list(on))
     return apart.unionByName(others.select(*apart.columns))
 
 
+def heaviest(keyed: DataFrame, weight: str) -> int:
+    """The smallest power of two that at most ``FEW_KEYS`` keys have as their weight or more."""
+    counts = keyed.where(F.col(weight) >= 1).groupBy(F.floor(F.log2(weight)).alias("power")).count().collect()
+    least, keys = 64, 0
+    for power, n in sorted(counts, reverse=True):
+        keys += n
+        if keys > FEW_KEYS:
+            break
+        least = power
+    return 2 ** int(least)
+
+
 def key_intersection(
     rows: DataFrame, keyed: DataFrame, on: Sequence[str], spread: Column
 ) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions.text import leading_tokens, tokens
 from tapeloom.operators.features import PAD, UNKNOWN
-from tapeloom.operators.joins import salted_join
+from tapeloom.operators.joins import FEW_KEYS, frequent_apart, salted_join
 from tapeloom.session import staged
 
 #: Letters of the longest piece; the mark of a piece that goes on inside a word.
@@ -46,11 +46,17 @@ def learned_pieces(df: DataFrame, text: str, size: int = 2000) -> DataFrame:
 def longest_matches(words: DataFrame, pieces: DataFrame) -> DataFrame:
     """(word, ids) for distinct words: from its start on, always the longest piece that fits.
 
-    All substrings of a word meet the pieces by one equi-join, frequent pieces spread over tasks; the walk over the
-    matches is then a fold over the word's own positions. A letter that is no piece is unknown.
+    All substrings of a word meet the pieces by one equi-join: pieces that are counted to be few go to all of them,
+    others are copied, so that frequent pieces are spread over tasks. The substrings are many more than Spark takes
+    them to be, and are never broadcast. The walk over the matches is then a fold over the word's own positions. A
+    letter that is no piece is unknown.
     """
     cut = words.select("word", F.explode(substrings(F.col("word"))).alias("p")).select("word", "p.*")
-    met = salted_join(cut, pieces, ["piece"], "inner", F.col("word"))
+    pieces = staged(pieces, "kept-pieces")
+    if pieces.count() <= FEW_KEYS:
+        met = cut.join(F.broadcast(pieces), "piece")
+    else:
+        met = salted_join(cut.hint("merge"), pieces, ["piece"], "inner", F.col("word"))
     best = met.groupBy("word", "start").agg(F.max(F.struct("length", "piece_id")).alias("best"))
     found = best.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("start", "best"))).alias("at"))
     whole = words.join(found, "word", "left")
@@ -75,8 +81,9 @@ def subword_pack(df: DataFrame, key: str, text: str, pieces: DataFrame, max_len:
     """
     led = df.select(key, F.posexplode(leading_tokens(F.col(text), max_len)).alias("place", "word"))
     led = staged(led, "leading-words")
-    matched = longest_matches(led.select("word").distinct(), pieces)
-    met = salted_join(led, matched, ["word"], "inner", F.col(key))
+    words = staged(led.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "distinct-words")
+    matched = staged(longest_matches(words.select("word"), pieces).join(words, "word"), "matched-words")
+    met = frequent_apart(led, matched, ["word"], "n")
     entries = F.array_sort(F.collect_list(F.struct("place", "ids")))
     packed = met.groupBy(key).agg(F.slice(F.flatten(F.transform(entries, lambda e: e["ids"])), 1, max_len).alias("ids"))
     whole = df.select(key).join(packed, key, "left")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.operators import bayes, embedding, joins, pairs, stats, subwords
 from tapeloom.operators import series as ts
+from tapeloom.session import staged
 
 WORDS = "an ant anthem banana band hand handy sand sandy um drum".split()
 
@@ -47,6 +48,19 @@ def test_longest_match_like_a_loop(spark):
         assert got[key].token_ids == want + [0] * (32 - len(want)) and sum(got[key]["mask"]) == len(want)
 
 
+def test_exploded_words_are_never_broadcast(spark, monkeypatch):
+    """Spark takes words and their substrings to be as small as the texts they come from."""
+    df, _ = texts(spark)
+    few = subwords.learned_pieces(df, "text", 30)
+    for limit in (joins.FEW_KEYS, 3):
+        monkeypatch.setattr(joins, "FEW_KEYS", limit)
+        monkeypatch.setattr(subwords, "FEW_KEYS", limit, raising=False)
+        words = staged(df.select(F.explode(F.split("text", " ")).alias("word")).distinct(), "words")
+        for made in (subwords.longest_matches(words, few), subwords.subword_pack(df, "doc_id", "text", few)):
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert "BuildRight" in plan and "BuildLeft" not in plan
+
+
 def test_bayes_like_the_formula(spark):
     df, rows = texts(spark, 40)
     labelled = df.withColumn("label", F.when(F.col("doc_id") % 4 < 3, F.col("doc_id") % 2).cast("int"))
