@@ -22,10 +22,9 @@ class TokenModel:
     priors: tuple[float, ...]
 
 
-def token_counts(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """(keys, token, n): the tokens of each text, counted before anything is joined."""
-    words = df.select(*keys, F.explode(tokens(F.col(text))).alias("token"))
-    return words.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
+def token_rows(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """(keys, token): one row per token of each text."""
+    return df.select(*keys, F.explode(tokens(F.col(text))).alias("token"))
 
 
 def fit_tokens(labelled: DataFrame, text: str, label: str, classes: int, smoothing: float = 1.0) -> TokenModel:
@@ -35,9 +34,8 @@ def fit_tokens(labelled: DataFrame, text: str, label: str, classes: int, smoothi
     priors are the shares of the texts, a class without texts counting as half a text.
     """
     known = labelled.where(F.col(label).isNotNull())
-    counts = token_counts(known, [label], text)
-    each = [F.sum(F.when(F.col(label) == c, F.col("n")).otherwise(0)).alias(f"_n{c}") for c in range(classes)]
-    table = staged(counts.groupBy("token").agg(*each), "token-counts")
+    each = [F.count_if(F.col(label) == c).alias(f"_n{c}") for c in range(classes)]
+    table = staged(token_rows(known, [label], text).groupBy("token").agg(*each), "token-counts")
     fit = table.agg(F.count(F.lit(1)).alias("v"), *[F.sum(f"_n{c}").alias(f"_n{c}") for c in range(classes)]).first()
     texts = known.agg(*[F.count_if(F.col(label) == c).alias(f"_t{c}") for c in range(classes)]).first()
     sizes = [max(float(t), 0.5) for t in texts]
@@ -50,10 +48,11 @@ def fit_tokens(labelled: DataFrame, text: str, label: str, classes: int, smoothi
 def class_chances(df: DataFrame, key: str, text: str, model: TokenModel) -> DataFrame:
     """(key, chances): the posterior of each class per text; tokens that the model has not seen say nothing.
 
-    Texts and model meet by token, frequent tokens apart from the others. ``key`` identifies a row.
+    Texts and model meet by token, frequent tokens apart from the others: they meet where the text is read, so that
+    their logs are added up before the shuffle, and only rare tokens travel. ``key`` identifies a row.
     """
-    met = frequent_apart(token_counts(df, [key], text), model.table, ["token"], "count")
-    sums = [F.sum(F.col("n") * F.col("logs")[c]).alias(f"_s{c}") for c in range(len(model.priors))]
+    met = frequent_apart(token_rows(df, [key], text), model.table, ["token"], "count")
+    sums = [F.sum(F.col("logs")[c]).alias(f"_s{c}") for c in range(len(model.priors))]
     scored = df.select(key).join(met.groupBy(key).agg(*sums), key, "left")
     logits = F.array(*[F.coalesce(f"_s{c}", F.lit(0.0)) + F.lit(p) for c, p in enumerate(model.priors)])
     return scored.select(key, softmax(logits).alias("chances"))

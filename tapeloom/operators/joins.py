@@ -50,6 +50,19 @@ def frequent_apart(rows: DataFrame, keyed: DataFrame, on: Sequence[str], weight:
     return apart.unionByName(others.select(*apart.columns))
 
 
+#: Narrow rows, of a key and a number, that are sent to all rows.
+FEW_NARROW = 2_000_000
+
+
+def keyed_join(rows: DataFrame, narrow: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join of rows with long cells to a stored narrow table: long cells travel only if the table is large.
+
+    Even then they are not sorted, as the narrow side is hashed.
+    """
+    few = narrow.count() <= FEW_NARROW
+    return rows.join(F.broadcast(narrow) if few else narrow.hint("shuffle_hash"), list(on))
+
+
 def heaviest(keyed: DataFrame, weight: str) -> int:
     """The smallest power of two that at most ``FEW_KEYS`` keys have as their weight or more."""
     counts = keyed.where(F.col(weight) >= 1).groupBy(F.floor(F.log2(weight)).alias("power")).count().collect()

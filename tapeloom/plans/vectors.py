@@ -23,7 +23,7 @@ from tapeloom.operators.embedding import (
     score_batches,
     symbol_queries,
 )
-from tapeloom.operators.joins import salted_join
+from tapeloom.operators.joins import keyed_join, salted_join
 from tapeloom.operators.models import flatten_window, linear_head
 from tapeloom.operators.news import news_bag
 from tapeloom.operators.pairs import random_split
@@ -96,7 +96,7 @@ def text_class_bayes(spark, sf_dir):
     documents = adapter.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     labels = adapter.table(spark, sf_dir, "labels")
     label = three_classes(F.col("toxic") == 1, F.col("quality") == 1)
-    labelled = documents.join(labels.select("doc_id", label.alias("label")), "doc_id")
+    labelled = keyed_join(documents, staged(labels.select("doc_id", label.alias("label")), "classes"), ["doc_id"])
     found = class_chances(documents, "doc_id", "text", fit_tokens(labelled, "text", "label", 3))
     return found.select(
         "doc_id",

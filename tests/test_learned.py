@@ -80,6 +80,28 @@ def test_bayes_like_the_formula(spark):
     assert sum(got[40]) == pytest.approx(1.0)  # a null text: the classes' shares
 
 
+def test_chances_travel_as_sums(spark, monkeypatch):
+    """No row per text and token is shuffled, but for rare tokens; chances are the same with few and many tokens."""
+    df, _ = texts(spark, 40)
+    model = bayes.fit_tokens(df.withColumn("label", (F.col("doc_id") % 3).cast("int")), "text", "label", 3)
+    found = bayes.class_chances(df, "doc_id", "text", model)
+    dealt = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in x]
+    assert dealt and not any("token" in x for x in dealt)
+    want = {r.doc_id: pytest.approx(r.chances) for r in found.collect()}
+    for limit in (0, 4):
+        monkeypatch.setattr(joins, "FEW_KEYS", limit)
+        assert {r.doc_id: r.chances for r in bayes.class_chances(df, "doc_id", "text", model).collect()} == want
+
+
+def test_narrow_tables_meet_long_rows_where_they_are(spark, monkeypatch):
+    rows = spark.range(50).selectExpr("id % 9 AS k", "id AS long_cell")
+    narrow = spark.range(20).selectExpr("id % 5 AS k", "id AS n")
+    want = sorted(map(tuple, rows.join(narrow, "k").collect()))
+    for limit in (joins.FEW_NARROW, 3):
+        monkeypatch.setattr(joins, "FEW_NARROW", limit)
+        assert sorted(map(tuple, joins.keyed_join(rows, narrow, ["k"]).collect())) == want
+
+
 def test_frequent_keys_are_joined_apart(spark, monkeypatch):
     rows = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN 0 ELSE id % 50 END AS k")
     keyed = rows.groupBy("k").count().where("k < 40").withColumnRenamed("count", "n")
