@@ -110,7 +110,7 @@ def wide_news_scan(spark, sf_dir):
         F.lit(None).cast("string").alias("textrank_summary"),
         F.concat(F.lit('"quoted"  '), "source").alias("lexrank_summary"),
     )
-    sinks.write_csv(raw, path)
+    sinks.write_csv(raw, path, rows=sinks.WHOLE_FILE_ROWS)
     news = clean_text_columns(csv.read_news_csv(spark, path, wide=True, multi_line=True))
     filled = [F.coalesce(c, F.lit("")).alias(c) for c in csv.NEWS_WIDE_COLUMNS[5:]]
     return news.select("url", "article_title", *filled)

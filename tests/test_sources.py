@@ -87,6 +87,16 @@ def test_materialize_builds_once(spark):
     assert len(calls) == 1
 
 
+def test_texts_with_line_breaks_lie_in_small_files(spark):
+    path = scratch_path(spark, "wide")
+    rows = [(str(k), "\n" * (k % 3) + 'a "b"\r' + "x") for k in range(23)]
+    df = spark.createDataFrame(rows, "k string, text string").coalesce(1)
+    sinks.write_csv(df, path, rows=5)
+    read = csv.read_strings(spark, path, ["k", "text"], multi_line=True)
+    assert len(read.inputFiles()) == 5
+    assert sorted(map(tuple, read.collect())) == sorted(rows)
+
+
 def test_existing_tables(spark):
     path = scratch_path(spark, "ctas")
     sinks.create_parquet(spark.range(2), path)
