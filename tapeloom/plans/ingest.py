@@ -248,12 +248,12 @@ SELECT *, row_no // 70 AS chunk_id FROM (SELECT *, doc_id % 3 AS batch, row_numb
 FROM ({CLEANED_DOCS})))""",
 )
 def stream_chunks(spark, sf_dir):
-    """Documents in three deliveries, each taken in by a new start of the stream; chunk numbers go on."""
+    """Documents in three deliveries, each taken in by a new start of the stream as one batch; chunk numbers go on."""
     documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     folder, out, checkpoint = (scratch_path(spark, name) for name in ("deliveries", "stream-chunks", "chunk-state"))
     for delivery in range(3):
-        documents.where(F.col("doc_id") % 3 == delivery).coalesce(1).write.mode("append").parquet(folder)
-        stream = file_stream(spark, folder, documents.schema, "parquet")
+        documents.where(F.col("doc_id") % 3 == delivery).write.mode("append").parquet(folder)
+        stream = file_stream(spark, folder, documents.schema, "parquet", files_per_batch=None)
         query = ingest_chunks(stream, lambda df: df.withColumn("text", clean_text(F.col("text"))), "doc_id", out, checkpoint, rows=70)
         query.awaitTermination()
     return read_chunks(spark, out)

@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +99,28 @@ def test_texts_with_line_breaks_lie_in_small_files(spark):
     assert sorted(map(tuple, read.collect())) == sorted(rows)
 
 
+def test_deliveries_and_wide_news_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Neither a delivery of documents nor a file of texts with line breaks grows with the table."""
+    from tapeloom.plans import ingest as plans
+
+    rows = [(k, f"text\n{k}", "en", "s") for k in range(300)]
+    schema = "doc_id long, text string, lang string, source string"
+    spark.createDataFrame(rows, schema).repartition(48).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(sinks, "WHOLE_FILE_ROWS", 40)
+    made = []
+    monkeypatch.setattr(plans, "scratch_path", lambda s, name: made.append(scratch_path(s, name)) or made[-1])
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")  # a task for each file or two
+    try:
+        numbered = plans.stream_chunks(spark, str(tmp_path)).collect()
+        assert plans.wide_news_scan(spark, str(tmp_path)).count() == 300
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    order = sorted(range(300), key=lambda k: (k % 3, k))
+    assert [(r.doc_id, r.batch) for r in sorted(numbered, key=lambda r: r.row_no)] == [(k, k % 3) for k in order]
+    parts = {name: list(pathlib.Path(path).glob("part-*")) for path in made for name in ("deliveries", "wide-news") if f"/{name}-" in path}
+    assert len(parts["deliveries"]) > 16 * 3 and len(parts["wide-news"]) >= 300 / 40
+
+
 def test_existing_tables(spark):
     path = scratch_path(spark, "ctas")
     sinks.create_parquet(spark.range(2), path)
