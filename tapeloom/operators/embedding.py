@@ -7,8 +7,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from tapeloom.functions.text import exponentials, tokens
 from tapeloom.functions.vectors import dot, let, total
@@ -95,19 +99,33 @@ def score_batches(
     load: Callable[[], Callable[[pd.Series], list]],
     out: str,
     out_type: str = "array<float>",
+    part_rows: int = 1000,
+    part_bytes: int = 4 << 20,
 ) -> DataFrame:
     """Run a caller's model over a text column in Arrow batches.
 
     ``load`` is called once per task and returns a function from a series of texts
     to one value per text; only the text crosses to Python. It must be importable on
-    the executors or be a local function.
+    the executors or be a local function. The model gets parts of an Arrow batch, of at most
+    ``part_rows`` texts and, unless one text is longer, ``part_bytes``: as Python strings, the
+    texts of a whole batch would take several times its size.
     """
+    kind = to_arrow_type(DataType.fromDDL(out_type))
 
-    @F.pandas_udf(out_type)
-    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    # all that it needs is local, so that it travels to executors that do not have this package
+    @F.arrow_udf(out_type)
+    def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
         for batch in batches:
-            yield pd.Series(list(model(batch)), index=batch.index)
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            start = 0
+            while start < len(batch):
+                most = (ends[start - 1] if start else 0) + part_bytes
+                fit = int(np.searchsorted(ends, most, side="right"))
+                stop = max(start + 1, min(fit, start + part_rows))
+                texts = batch.slice(start, stop - start).to_pandas()
+                yield pa.array(list(model(texts)), kind, from_pandas=True)
+                start = stop
 
     return df.withColumn(out, apply(F.col(text)))
 

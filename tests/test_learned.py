@@ -126,6 +126,24 @@ def test_range_basis_is_near_the_best_one(spark):
     assert flat[:, 1].tolist() == [0.0, 0.0]
 
 
+def test_models_get_small_parts_of_a_batch(spark):
+    """At most so many texts or bytes at once, a longer text alone; values stay with their rows."""
+    rows = [(k, ("é" if k % 50 == 3 else "x") * (k % 50) if k % 9 else None) for k in range(700)] + [(700, "y" * 5000)]
+    df = spark.createDataFrame(rows, "k long, text string").coalesce(1)
+
+    def load():
+        def model(texts):
+            sizes = [len(t.encode()) if t else 0 for t in texts]
+            return [[float(n), float(len(sizes)), float(sum(sizes))] for n in sizes]
+
+        return model
+
+    got = {r.k: r.v for r in embedding.score_batches(df, "text", load, "v", "array<double>", 30, 400).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: len((t or "").encode()) for k, t in rows}
+    assert max(v[1] for v in got.values()) == 30
+    assert all(v[2] <= 400 for k, v in got.items() if k < 700) and got[700] == [5000.0, 1.0, 5000.0]
+
+
 def test_samples_are_the_same_by_both_ways(spark, monkeypatch):
     df = spark.range(5000).repartition(6)
     one = {r.id for r in pairs.random_sample(df, ["id"], 70).collect()}
