@@ -1,3 +1,4 @@
+import collections
 import datetime as dt
 
 import pytest
@@ -142,6 +143,26 @@ def test_a_day_of_many_articles_multiplies_no_rows(spark):
     assert [r.lsa_summary for r in rows] == ["none"] * 2 + [whole] * 4  # the last known text is carried on
 
 
+def test_long_texts_are_dealt_out_in_lists(spark, monkeypatch):
+    """No task puts out all rows of a day with a long text; rows that come twice, and nulls, are kept as they are."""
+    start = dt.date(2000, 1, 1)
+    news = [("s", start + dt.timedelta(20 * k), k, c * 3000) for k, c in enumerate("abc")] + [("t", start, 9, "z"), (None, start, 10, "n")]
+    news = spark.createDataFrame(news, "stock_symbol string, date date, id long, lsa_summary string")
+    days = [(s, start + dt.timedelta(k), k) for s in ("s", "t", None) for k in range(-2, 60)] + [("s", None, -9), ("t", start, 0)]
+    days = spark.createDataFrame(days, "stock_symbol string, date date, k long")
+
+    def last(symbol, k):
+        return "none" if symbol is None or k < 0 else "z" if symbol == "t" else "abc"[min(k // 20, 2)] * 3000
+
+    for size in (nw.TASK_BYTES, 9000):
+        monkeypatch.setattr(nw, "TASK_BYTES", size)
+        out = nw.carried_text(days, nw.daily_text(news), "lsa_summary", "none")
+        rows = out.withColumn("_task", F.spark_partition_id()).collect()
+        assert sorted((str(r.stock_symbol), r.k, r.lsa_summary) for r in rows) == sorted((str(s), k, last(s, k)) for s, _, k in map(tuple, days.collect()))
+        most = max(collections.Counter(r._task for r in rows if len(r.lsa_summary) == 3000).values())
+    assert most <= 15  # of 60 rows with long texts; by day they would be 20 and more
+
+
 def test_token_pack(spark):
     rows = [("d1", 0, "b a a"), ("d1", 1, "...c!"), ("d2", 0, ""), ("d3", 0, "a " * 50)]
     df = spark.createDataFrame(rows, "doc string, part int, text string")
