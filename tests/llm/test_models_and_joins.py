@@ -175,6 +175,26 @@ def test_passages_with_replaced_words(spark, monkeypatch):
     assert decontaminate.contaminated(table(spark, []), benchmark).count() == 0
 
 
+def test_hits_take_only_nearby_tokens_and_texts_meet_once(spark, monkeypatch):
+    draw = random.Random(17)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(4))
+    passage = [word() for _ in range(24)]
+    items = [*[(n, " ".join(passage).upper()) for n in range(40)], (40, "one short item"), (41, "One short item!")]
+    long = [word() for _ in range(3000)]
+    docs = [(1, " ".join([*long, *passage, *long, *passage])), (2, " ".join(passage[:5])), (3, "x one short item")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    seen, taken = [], decontaminate.found_hits
+    monkeypatch.setattr(decontaminate, "found_hits", lambda *a: seen.append(taken(*a)) or seen[-1])
+    for most in (decontaminate.MAX_BROADCAST_SEEDS, 0):
+        monkeypatch.setattr(decontaminate, "MAX_BROADCAST_SEEDS", most)
+        rows = decontaminate.contaminated(table(spark, docs), benchmark).collect()
+        got = {(r["doc_id"], r["item_id"]): (r["n_hits"], r["most_agreeing"]) for r in rows}
+        assert got == {**{(1, n): (90, 24) for n in range(40)}, (3, 40): (1, 3), (3, 41): (1, 3)}
+        hits = seen[-1].collect()  # two passages of 15 positions under three masks, not once for each of 40 ids
+        assert len(hits) == 90 and "words" not in seen[-1].columns
+        assert max(len(h["near"]) for h in hits) == decontaminate.SPAN + 2 * decontaminate.CONTEXT
+
+
 def test_parts_of_long_passages(spark, monkeypatch):
     draw = random.Random(13)
     word = lambda: "".join(draw.choice("abcdefgh") for _ in range(4))
