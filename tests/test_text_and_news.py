@@ -163,6 +163,32 @@ def test_long_texts_are_dealt_out_in_lists(spark, monkeypatch):
     assert most <= 15  # of 60 rows with long texts; by day they would be 20 and more
 
 
+def test_carried_texts_are_not_shuffled(spark, monkeypatch):
+    """Texts are shuffled to their parts and their days; no copy of them is on its way to the rows that carry it."""
+    start = dt.date(2000, 1, 1)
+    news = [(s, start + dt.timedelta(10 * k), i, f"{s}{k}{i}" * 500) for s in "ab" for k in range(3) for i in range(4)]
+    news = spark.createDataFrame(news, "stock_symbol string, date date, id long, lsa_summary string")
+    days = [(s, start + dt.timedelta(k), k) for s in "ab" for k in range(-1, 40)]
+    days = spark.createDataFrame(days, "stock_symbol string, date date, k long")
+    want = {(s, k): " ".join(f"{s}{min(k // 10, 2)}{i}" * 500 for i in range(4)) if k >= 0 else "none" for s in "ab" for k in range(-1, 40)}
+
+    def exchanges(df):
+        plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        lines = plan.splitlines()
+        return [x for k, x in enumerate(lines) if "Exchange" in x and "lsa_summary" in " ".join(lines[k + 1 : k + 3])]
+
+    assert len(exchanges(nw.daily_text(news))) == 2
+    monkeypatch.setattr(nw, "TASK_BYTES", 30_000)
+    for few in (nw.FEW_CARRIED, 0):  # both ways
+        monkeypatch.setattr(nw, "FEW_CARRIED", few)
+        out = nw.carried_text(days, nw.daily_text(news), "lsa_summary", "none")
+        rows = out.withColumn("_task", F.spark_partition_id()).collect()
+        assert {(r.stock_symbol, r.k): r.lsa_summary for r in rows} == want and len(rows) == len(want)
+        most = max(collections.Counter(r._task for r in rows if r.k >= 0).values())
+        assert most <= 10  # of 80 rows of 6,000 letters
+        assert bool(exchanges(out)) == (few == 0)
+
+
 def test_token_pack(spark):
     rows = [("d1", 0, "b a a"), ("d1", 1, "...c!"), ("d2", 0, ""), ("d3", 0, "a " * 50)]
     df = spark.createDataFrame(rows, "doc string, part int, text string")
