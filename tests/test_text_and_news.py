@@ -1,6 +1,7 @@
 import collections
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +164,18 @@ def test_long_texts_are_dealt_out_in_lists(spark, monkeypatch):
     assert most <= 15  # of 60 rows with long texts; by day they would be 20 and more
 
 
+def test_long_texts_are_stored_in_small_groups(spark, monkeypatch):
+    paths, taken = [], nw.staged
+    monkeypatch.setattr(nw, "staged", lambda df, *a: paths.extend((out := taken(df, *a)).inputFiles()) or out)
+    letters = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(40_000)), lambda k: F.md5(F.concat(F.col("id"), k))))
+    texts = spark.range(0, 30, 1, 1).select(F.lit("s").alias("stock_symbol"), F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("id").cast("int")).alias("date"), letters.alias("lsa_summary"))
+    stored = nw.stored_texts(texts, "lsa_summary")
+    assert {r._bytes for r in stored.select("_bytes").collect()} == {40_000 * 32}
+    (path,) = paths
+    groups = pq.ParquetFile(path.removeprefix("file://")).metadata
+    assert max(groups.row_group(k).num_rows for k in range(groups.num_row_groups)) <= 10  # all 30 before
+
+
 def test_carried_texts_are_not_shuffled(spark, monkeypatch):
     """Texts are shuffled to their parts and their days; no copy of them is on its way to the rows that carry it."""
     start = dt.date(2000, 1, 1)
